@@ -317,7 +317,7 @@ def heading_title(elements: DataFrame) -> DataFrame:
     """Text of the first ``<h1>`` per page -> (page_id, title)."""
     return (elements.filter(F.col("tag") == "h1")
                     .groupBy("page_id")
-                    .agg(collapse_space(F.min_by("text", "elem_seq")).alias("title")))
+                    .agg(py_strip(F.min_by("text", "elem_seq")).alias("title")))
 
 
 # Fixed value: a byline ("By Jane Doe", "By: Jane Doe").

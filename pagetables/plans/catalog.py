@@ -80,3 +80,247 @@ SELECT page_id, elem_seq, href, text FROM anchors
 def extract_anchors_q(spark, sf):
     return H.extract_anchors(read_table(spark, sf, "pages")).select(
         "page_id", "elem_seq", "href", "text")
+
+
+# ---------------------------------------------------------------------------
+# F1, F4, J3, F9, A1, A2, A4, F14, F7, F8, F25 over the page anchors
+
+@register("links_with_prefix", f"""
+WITH {Q.anchors_cte()}
+SELECT page_id, elem_seq, href, text AS title FROM anchors WHERE starts_with(href, '{PREFIX_TH}')
+""")
+def links_with_prefix_q(spark, sf):
+    l = _page_links(spark, sf)
+    return L.links_with_prefix(l, PREFIX_TH).select("page_id", "elem_seq", "href", "title")
+
+
+# The stop list of navigation words for F4 (as the crawlers' ignore lists).
+IGNORE_NAV = ["the", "and", "of", "der", "la", "de", "und", "le", "el", "y"]
+
+
+@register("drop_ignored_titles", f"""
+WITH {Q.anchors_cte()}
+SELECT page_id, elem_seq, text AS title FROM anchors
+WHERE text NOT IN ({", ".join(Q.lit(w) for w in IGNORE_NAV)})
+""")
+def drop_ignored_titles_q(spark, sf):
+    l = _page_links(spark, sf)
+    return L.drop_ignored_titles(l, IGNORE_NAV).select("page_id", "elem_seq", "title")
+
+
+@register("drop_ignored_titles_table", f"""
+WITH {Q.anchors_cte()},
+stop AS (SELECT text FROM anchors GROUP BY text HAVING count(DISTINCT page_id) >= 10)
+SELECT page_id, elem_seq, text AS title FROM anchors
+WHERE text NOT IN (SELECT text FROM stop)
+""")
+def drop_ignored_titles_table_q(spark, sf):
+    """The stop list is a table (titles on 10+ pages), applied as an anti join."""
+    l = _page_links(spark, sf)
+    stop = (l.groupBy("title").agg(F.countDistinct("page_id").alias("n"))
+             .filter("n >= 10").select("title"))
+    return L.drop_ignored_titles(l, stop).select("page_id", "elem_seq", "title")
+
+
+@register("resolve_url", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL}
+SELECT page_id, elem_seq, story_url FROM links
+""")
+def resolve_url_q(spark, sf):
+    return _page_links(spark, sf).select("page_id", "elem_seq", "story_url")
+
+
+def _dedup_out(d):
+    return d.select("title", "story_url", "category",
+                    F.col("first_ord.page_id").alias("first_page_id"),
+                    F.col("first_ord.elem_seq").alias("first_elem_seq"))
+
+
+@register("dedup_first", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id, elem_seq) AS rn FROM links)
+SELECT title, story_url, category, page_id AS first_page_id, elem_seq AS first_elem_seq
+FROM r WHERE rn = 1
+""")
+def dedup_first_q(spark, sf):
+    l = _page_links(spark, sf)
+    return _dedup_out(L.dedup_first(l, "title", order=["page_id", "elem_seq"],
+                                    values=["story_url", "category"]))
+
+
+@register("dedup_last", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id DESC, elem_seq DESC) AS rn,
+             min(page_id * 100000 + elem_seq) OVER (PARTITION BY title) AS fo FROM links)
+SELECT title, story_url, category, CAST(fo // 100000 AS BIGINT) AS first_page_id,
+       CAST(fo % 100000 AS INTEGER) AS first_elem_seq
+FROM r WHERE rn = 1
+""")
+def dedup_last_q(spark, sf):
+    l = _page_links(spark, sf)
+    return _dedup_out(L.dedup_last(l, "title", order=["page_id", "elem_seq"],
+                                   values=["story_url", "category"]))
+
+
+@register("count_titles", f"""
+WITH {Q.anchors_cte()}
+SELECT count(DISTINCT text) AS n_titles FROM anchors
+""")
+def count_titles_q(spark, sf):
+    return L.count_titles(_page_links(spark, sf))
+
+
+@register("categories_with_min_links", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL}
+SELECT category, count(DISTINCT story_url) AS n_links FROM links
+GROUP BY category HAVING count(DISTINCT story_url) > 10
+""")
+def categories_with_min_links_q(spark, sf):
+    return L.categories_with_min_links(_page_links(spark, sf), 10, key="story_url")
+
+
+# Fixed value: the F8 override (one category reads another suffix).
+SUFFIX_OVERRIDE = {"de": "a"}
+
+
+@register("category_prefix", f"""
+SELECT page_id, {Q.url_segment('url', 1)} AS category,
+       string_split(regexp_replace(url, '\\A/+|/+\\z', '', 'g'), '/')[-1] AS suffix,
+       CASE WHEN {Q.url_segment('url', 1)} = 'de' THEN 'a'
+            ELSE string_split(regexp_replace(url, '\\A/+|/+\\z', '', 'g'), '/')[-1] END AS prefix
+FROM pages
+""")
+def category_prefix_q(spark, sf):
+    p = read_table(spark, sf, "pages").withColumn("category", TX.url_path_segment("url", 1))
+    return p.select("page_id", "category", TX.url_suffix("url").alias("suffix"),
+                    TX.category_prefix("url", "category", SUFFIX_OVERRIDE).alias("prefix"))
+
+
+@register("drop_home_links", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL}
+SELECT page_id, elem_seq, story_url FROM links
+WHERE regexp_extract(story_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) NOT IN ('', '/')
+  AND regexp_extract(story_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)
+    = regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)
+""")
+def drop_home_links_q(spark, sf):
+    l = _page_links(spark, sf)
+    return L.drop_home_links(l, "story_url", page_url="url").select(
+        "page_id", "elem_seq", "story_url")
+
+
+# ---------------------------------------------------------------------------
+# H1 and what is built on it (H4, H5, H16, J4), cross-checked against regex
+
+def _strip_sql(x="html"):
+    from pagetables.operators.html import STRIP_RE
+    return f"regexp_replace({x}, {Q.lit(STRIP_RE)}, '', 'g')"
+
+
+@register("anchors_from_elements", f"""
+WITH {Q.anchors_cte()}
+SELECT page_id, elem_seq, href, text FROM anchors
+""")
+def anchors_from_elements_q(spark, sf):
+    """H1 = H2: anchors of the Python tree parse equal those of the JVM regex."""
+    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["a"])
+    return H.anchors_from_elements(el)
+
+
+@register("element_tag_counts", f"""
+WITH s AS (SELECT page_id,
+  regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'),
+                 '(?is)(<(script|style)\\b[^>]*>).*?</(script|style)\\s*>', '\\1', 'g') AS h
+  FROM pages),
+t AS (SELECT page_id, lower(unnest(regexp_extract_all(h, '<([A-Za-z][A-Za-z0-9]*)\\b[^>]*>', 1))) AS tag
+      FROM s)
+SELECT page_id, tag, count(*) AS n FROM t GROUP BY page_id, tag
+""")
+def element_tag_counts_q(spark, sf):
+    """H1: element table, counted per page and tag."""
+    el = H.shred_elements(read_table(spark, sf, "pages"), with_text=False)
+    return el.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("first_by_class", f"""
+WITH s AS (SELECT page_id, {_strip_sql()} AS h FROM pages)
+SELECT page_id, {Q.unescape("regexp_extract(h, '(?s)<div class=\"ad\">(.*?)</div>', 1)")} AS text
+FROM s WHERE h LIKE '%<div class="ad">%'
+""")
+def first_by_class_q(spark, sf):
+    """H4: ``soup.find('div', class_='ad').text`` per page."""
+    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["div"])
+    return H.first_by_class(el, "div", "ad")
+
+
+@register("heading_title", f"""
+WITH s AS (SELECT page_id, {_strip_sql()} AS h FROM pages)
+SELECT page_id, {Q.py_strip(Q.strip_tags("regexp_extract(h, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))} AS title
+FROM s WHERE regexp_matches(h, '<h1[^>]*>')
+""")
+def heading_title_q(spark, sf):
+    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["h1"])
+    return H.heading_title(el)
+
+
+@register("paragraph_after_title", f"""
+WITH s AS (SELECT page_id, {_strip_sql()} AS h FROM pages),
+t AS (SELECT page_id, h,
+        {Q.py_strip(Q.strip_tags("regexp_extract(h, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))} AS title,
+        string_split(h, '<p>') AS segs FROM s)
+SELECT page_id, title,
+       {Q.py_strip(Q.strip_tags("split_part(segs[3], '</p>', 1)"))} AS text
+FROM t WHERE len(segs) >= 3 AND contains({Q.strip_tags('segs[2]')}, title)
+""")
+def paragraph_after_title_q(spark, sf):
+    """J4 on landed pages: title = the page's h1; story = paragraph after the one holding it."""
+    from pagetables.operators.content import paragraph_after_title
+    pages = read_table(spark, sf, "pages")
+    el = H.shred_elements(pages, tags=["p", "h1"]).cache()
+    titles = H.heading_title(el)
+    paras = H.paragraphs(el)
+    return paragraph_after_title(titles, paras).select("page_id", "title", "text")
+
+
+@register("links_section", f"""
+WITH {Q.anchors_cte()}
+SELECT page_id,
+  'Links/Buttons:' || chr(10) || string_agg('- [' || {Q.collapse_space('text')} || '](' ||
+      {Q.url_origin('url')} || href || ')', chr(10) ORDER BY elem_seq) AS links_text
+FROM anchors GROUP BY page_id
+""")
+def links_section_q(spark, sf):
+    """H7 + H8 + H10 + H15: snapshot with furniture removed and links at the end; its links tail."""
+    snap = H.page_snapshot(read_table(spark, sf, "pages"), exclude=H.FURNITURE_SELECTORS,
+                           links_at_end=True)
+    return (snap.filter(F.size("links") > 0)
+                .select("page_id", H.links_section(F.col("snapshot")).alias("links_text")))
+
+
+@register("page_snapshot", None)
+def page_snapshot_q(spark, sf):
+    """Snapshot text of every page (furniture removed, images listed)."""
+    snap = H.page_snapshot(read_table(spark, sf, "pages"), exclude=H.FURNITURE_SELECTORS,
+                           links_at_end=True, images_at_end=True, as_struct=True)
+    return snap.select("page_id", "title", "snapshot", F.to_json("record").alias("record"))
+
+
+@register("main_text", None)
+def main_text_q(spark, sf):
+    """Main text without nav/header/footer/aside and site furniture."""
+    return H.main_text(read_table(spark, sf, "pages"))
+
+
+@register("byline_author", None)
+def byline_author_q(spark, sf):
+    """Byline author per page, blank when there is none."""
+    pages = read_table(spark, sf, "pages")
+    el = H.shred_elements(pages, tags=H.BYLINE_TAGS)
+    return H.byline_author(el, pages)
+
+
+@register("paragraphs", None)
+def paragraphs_q(spark, sf):
+    """H5: every paragraph in document order (text of nested paragraphs included)."""
+    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["p"])
+    return H.paragraphs(el).select("page_id", "p_no", "text")
