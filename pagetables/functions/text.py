@@ -111,3 +111,18 @@ def resolve_url(base, href) -> Column:
 def resolve_relative(listing_url, href) -> Column:
     """``listing_url + href`` (NULL href gives NULL)."""
     return F.concat(_c(listing_url), _c(href))
+
+
+def resolve_href(base, href) -> Column:
+    """Resolve ``href`` against the page url ``base`` (urljoin for the usual forms):
+    absolute, scheme-relative, root-relative, query-only and path-relative."""
+    b, h = _c(base), _c(href)
+    no_frag = F.regexp_replace(b, "#.*$", "")
+    no_query = F.regexp_replace(no_frag, "[?].*$", "")
+    scheme = F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    return (F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+             .when(h.startswith("/"), F.concat(url_origin(b), h))
+             .when(h.startswith("?"), F.concat(no_query, h))
+             .when(h == "", no_frag)
+             .otherwise(F.concat(F.regexp_replace(no_query, "[^/]*$", ""), h)))

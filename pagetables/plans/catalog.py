@@ -324,3 +324,248 @@ def paragraphs_q(spark, sf):
     """H5: every paragraph in document order (text of nested paragraphs included)."""
     el = H.shred_elements(read_table(spark, sf, "pages"), tags=["p"])
     return H.paragraphs(el).select("page_id", "p_no", "text")
+
+
+# ---------------------------------------------------------------------------
+# Listing sites derived from `conversations`: I1, I2, F2, F5, F6, F12, A3, H6,
+# F11, J2, U2, Q1, Q2 (rules in pagetables/plans/site.py)
+
+from pagetables.plans import paginate as P  # noqa: E402
+from pagetables.plans import pipelines as PL  # noqa: E402
+from pagetables.plans import site as S  # noqa: E402
+
+# Stop lists of the two crawls over the derived sites.
+LABEL_IGNORE = ["Le", "La", "The", "Der", "El", "Et"]
+NUMBER_IGNORE = ["首页", "Le", "La", "The"]
+
+_TITLE = Q.lit(S.TITLE_RE)
+
+
+def _label(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return S.label_site(conv), S.label_categories(conv)
+
+
+def _number(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return S.number_site(conv), S.number_categories(conv)
+
+
+_LINES_SQL = f"""
+    _sl AS (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS i
+            FROM conversations),
+    lines AS (SELECT conv_id, turn, role, CAST(i AS BIGINT) AS i, line,
+                     regexp_extract(line, {_TITLE}, 1) AS raw_title,
+                     {Q.py_strip(f"regexp_extract(line, {_TITLE}, 1)")} AS title,
+                     row_number() OVER (PARTITION BY conv_id, turn ORDER BY i) - 1 AS k,
+                     count(*) OVER (PARTITION BY conv_id, turn) AS n_lines
+              FROM _sl WHERE regexp_extract(line, {_TITLE}, 1) <> ''),
+    turns AS (SELECT conv_id, turn, role, max(turn) OVER (PARTITION BY conv_id) AS last_turn
+              FROM conversations)"""
+
+_LABEL_WALK_SQL = f"""
+    edges AS (SELECT conv_id, turn AS u,
+                 CASE WHEN turn < last_turn AND role <> 'system' THEN turn + 1
+                      WHEN turn = last_turn AND turn >= 1 AND role = 'assistant' THEN 1 END AS v
+              FROM turns),
+    walk AS (
+      WITH RECURSIVE w(conv_id, node, d, seen) AS (
+        SELECT conv_id, 0, 0, [0] FROM turns WHERE turn = 0
+        UNION ALL
+        SELECT w.conv_id, e.v, w.d + 1, list_append(w.seen, e.v)
+        FROM w JOIN edges e ON e.conv_id = w.conv_id AND e.u = w.node
+        WHERE e.v IS NOT NULL AND NOT list_contains(w.seen, e.v))
+      SELECT conv_id, node AS turn, d + 1 AS page_no FROM w)"""
+
+
+def _label_url(c, t):
+    return (f"CASE WHEN {t} = 0 THEN '{S.LABEL_HOST}c' || {c} || '/' "
+            f"ELSE '{S.LABEL_HOST}c' || {c} || '/list_' || {c} || '_' || ({t} + 1) || '.html' END")
+
+
+_FOLLOW_NEXT_SQL = f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL}
+SELECT CAST(conv_id AS INTEGER) AS category_no, CAST(page_no AS INTEGER) AS page_no,
+       {_label_url('conv_id', 'turn')} AS url
+FROM walk
+"""
+
+
+@register("follow_next", _FOLLOW_NEXT_SQL)
+def follow_next_q(spark, sf):
+    """I1 by pointer doubling (cycles end at the first revisit)."""
+    site, seeds = _label(spark, sf)
+    return P.follow_next(site, seeds).select("category_no", "page_no", "url")
+
+
+@register("follow_next_recursive", _FOLLOW_NEXT_SQL)
+def follow_next_recursive_q(spark, sf):
+    """I1 by Spark's recursive CTE (the plain form the doubling is checked against)."""
+    site, seeds = _label(spark, sf)
+    return P.follow_next(site, seeds, method="recursive").select("category_no", "page_no", "url")
+
+
+@register("next_page_link", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL}
+SELECT {_label_url('conv_id', 'u')} AS url, 'list_' || conv_id || '_' || (v + 1) || '.html' AS next_href
+FROM edges WHERE v IS NOT NULL
+""")
+def next_page_link_q(spark, sf):
+    """the first link labelled 下一页 on every listing page."""
+    site, _ = _label(spark, sf)
+    a = H.extract_anchors(site)
+    return L.next_page_link(a, S.NEXT_LABEL, part=("url",))
+
+
+@register("pagination_links", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL},
+pl AS (
+  SELECT conv_id, turn, 0 AS o, 'list_' || conv_id || '_1.html' AS href FROM turns
+  UNION ALL SELECT conv_id, u, 1, 'list_' || conv_id || '_' || (v + 1) || '.html' FROM edges
+            WHERE v IS NOT NULL
+  UNION ALL SELECT conv_id, turn, 2, 'list_' || conv_id || '_' || (last_turn + 1) || '.html'
+            FROM turns)
+SELECT {_label_url('conv_id', 'turn')} AS url, href, count(*) AS n FROM pl GROUP BY ALL
+""")
+def pagination_links_q(spark, sf):
+    """the pager links (list_…) of every listing page, counted per href."""
+    site, _ = _label(spark, sf)
+    a = L.pagination_links(H.extract_anchors(site))
+    return a.groupBy("url", "href").agg(F.count(F.lit(1)).alias("n"))
+
+
+_RECENT_SQL = f"""
+    first_cat AS (SELECT min(conv_id) AS conv_id FROM turns),
+    recent AS (SELECT l.conv_id, l.k, l.title, l.turn, l.i FROM lines l
+               JOIN turns t ON t.conv_id = l.conv_id AND t.turn = 0 AND l.turn = t.last_turn
+               WHERE l.conv_id = (SELECT conv_id FROM first_cat))"""
+
+
+@register("recent_links", f"""
+WITH {_LINES_SQL}, {_RECENT_SQL}
+SELECT '/c' || conv_id || '/' || conv_id || '_' || turn || '_' || i || '.html' AS href,
+       title FROM recent
+""")
+def recent_links_q(spark, sf):
+    """H6 + F11: links after the 最新发布 marker on page 1 of the first category,
+    kept when ``href.split('/')[-2]`` is the category suffix."""
+    site, seeds = _label(spark, sf)
+    first = seeds.orderBy("category_no").limit(1)
+    p1 = site.join(first.select("url"), "url")
+    el = H.shred_elements(p1, tags=["span", "a"])
+    rec = H.anchors_after_marker(el, "span", S.RECENT_LABEL, ".html")
+    rec = rec.join(p1.select("page_id", TX.url_suffix("url").alias("suffix")), "page_id")
+    return L.recent_links(rec, F.col("suffix")).select("href", TX.py_strip("text").alias("title"))
+
+
+_NUMBER_SQL = f"""
+    nt AS (SELECT conv_id, turn, role, turn + 1 AS n,
+                  max(turn) OVER (PARTITION BY conv_id) + 1 AS n_pages FROM conversations),
+    nums AS (SELECT conv_id, turn, m, row_number() OVER (PARTITION BY conv_id, turn ORDER BY m) - 1 AS j
+             FROM (SELECT conv_id, turn, n, role,
+                          unnest(range(greatest(n - 2, 1), least(n + 2, n_pages) + 1)) AS m FROM nt)
+             WHERE NOT (m = n + 1 AND role = 'system')),
+    hl AS (SELECT conv_id, turn, count(*) AS n_lines FROM lines GROUP BY ALL),
+    meta AS (SELECT nt.conv_id, nt.turn, coalesce(hl.n_lines, 0) // 2 AS h,
+                    (SELECT count(*) FROM nums WHERE nums.conv_id = nt.conv_id AND nums.turn = nt.turn) AS n_num
+             FROM nt LEFT JOIN hl ON hl.conv_id = nt.conv_id AND hl.turn = nt.turn),
+    seq AS (
+      SELECT conv_id, turn, 0 AS elem_seq, '首页' AS title, NULL AS i FROM nt
+      UNION ALL
+      SELECT l.conv_id, l.turn, CASE WHEN l.k < m.h THEN 1 + l.k ELSE 1 + m.n_num + l.k END,
+             l.title, l.i
+      FROM lines l JOIN meta m ON m.conv_id = l.conv_id AND m.turn = l.turn
+      UNION ALL
+      SELECT s.conv_id, s.turn, 1 + m.h + s.j, CAST(s.m AS VARCHAR), NULL
+      FROM nums s JOIN meta m ON m.conv_id = s.conv_id AND m.turn = s.turn),
+    kept0 AS (SELECT *, CAST(regexp_matches(title, '^\\p{{Nd}}+$') AS INTEGER) AS dig FROM seq
+              WHERE title NOT IN ({", ".join(Q.lit(w) for w in NUMBER_IGNORE)})),
+    kept1 AS (SELECT *, CAST(coalesce(max(dig) OVER (PARTITION BY conv_id, turn ORDER BY elem_seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AND dig = 0 AS INTEGER) AS stp
+              FROM kept0),
+    kept AS (SELECT * FROM (SELECT *, coalesce(sum(stp) OVER (PARTITION BY conv_id, turn ORDER BY elem_seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sb FROM kept1) WHERE sb = 0),
+    nwalk AS (
+      WITH RECURSIVE w(conv_id, n) AS (
+        SELECT DISTINCT conv_id, 1 FROM conversations
+        UNION ALL
+        SELECT DISTINCT w.conv_id, w.n + 1 FROM w
+        JOIN kept k ON k.conv_id = w.conv_id AND k.dig = 1 AND k.title = CAST(w.n + 1 AS VARCHAR)
+                   AND k.turn + 1 <= w.n
+        WHERE w.n + 1 <= 1000)
+      SELECT conv_id, n AS page_no FROM w)"""
+
+
+def _number_url(c, n):
+    return (f"CASE WHEN {n} = 1 THEN '{S.NUMBER_HOST}/news/c' || {c} || '/' "
+            f"ELSE '{S.NUMBER_HOST}/news/c' || {c} || '/list_' || {n} || '.htm' END")
+
+
+@register("take_through_index", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL}
+SELECT {_number_url('conv_id', 'turn + 1')} AS url, CAST(elem_seq AS INTEGER) AS elem_seq, title,
+       dig = 1 AS is_index
+FROM kept
+""")
+def take_through_index_q(spark, sf):
+    """F4 + F5 + F6: links of each numbered listing page as the crawl reads them."""
+    site, seeds = _number(spark, sf)
+    links = P.numbered_page_links(site, seeds, NUMBER_IGNORE)
+    return links.select("url", "elem_seq", "title", "is_index")
+
+
+@register("split_index_links", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL}
+SELECT dig = 1 AS is_index, count(*) AS n FROM kept GROUP BY ALL
+""")
+def split_index_links_q(spark, sf):
+    """page-number links against story links, counted."""
+    site, seeds = _number(spark, sf)
+    links = P.numbered_page_links(site, seeds, NUMBER_IGNORE)
+    return links.groupBy("is_index").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("follow_numbered", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL}
+SELECT CAST(conv_id AS INTEGER) AS category_no, CAST(page_no AS INTEGER) AS page_no,
+       {_number_url('conv_id', 'page_no')} AS url
+FROM nwalk
+""")
+def follow_numbered_q(spark, sf):
+    """Numbered pages, index growing as pages are read, cap 1,000 pages."""
+    site, seeds = _number(spark, sf)
+    return P.follow_numbered(site, seeds, NUMBER_IGNORE).select("category_no", "page_no", "url")
+
+
+@register("page_index", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL}
+SELECT CAST(k.conv_id AS INTEGER) AS category_no, k.title AS number,
+       {_number_url('k.conv_id', 'CAST(k.title AS INTEGER)')} AS url
+FROM kept k JOIN nwalk w ON w.conv_id = k.conv_id AND w.page_no = k.turn + 1
+WHERE k.dig = 1 GROUP BY ALL
+""")
+def page_index_q(spark, sf):
+    """A3: first-wins number -> url per category, over the pages walked."""
+    site, seeds = _number(spark, sf)
+    walked = P.follow_numbered(site, seeds, NUMBER_IGNORE)
+    idx = P.page_index(site, walked, NUMBER_IGNORE)
+    return idx.select("category_no", "number", "url")
+
+
+@register("story_table_by_number", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL},
+st AS (SELECT k.conv_id, w.page_no, k.elem_seq, k.title, k.i, k.turn FROM kept k
+       JOIN nwalk w ON w.conv_id = k.conv_id AND w.page_no = k.turn + 1 WHERE k.dig = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY conv_id, page_no, elem_seq) AS rn FROM st),
+src AS (SELECT conv_id, turn, i, line FROM lines)
+SELECT r.title, {Q.py_strip('s.line')} AS text, 'num' || r.conv_id AS category,
+       '{S.NUMBER_HOST}/news/c' || r.conv_id || '/' || r.conv_id || '_' || r.turn || '_' || r.i || '.htm'
+         AS story_url
+FROM r JOIN src s ON s.conv_id = r.conv_id AND s.turn = r.turn AND s.i = r.i
+WHERE r.rn = 1
+""")
+def story_table_by_number_q(spark, sf):
+    """Q2: numbered crawl -> (title, text, category, story_url)."""
+    site, seeds = _number(spark, sf)
+    return PL.story_table_by_number(site, seeds, NUMBER_IGNORE)
