@@ -569,3 +569,48 @@ def story_table_by_number_q(spark, sf):
     """Q2: numbered crawl -> (title, text, category, story_url)."""
     site, seeds = _number(spark, sf)
     return PL.story_table_by_number(site, seeds, NUMBER_IGNORE)
+
+
+_IGN_L = ", ".join(Q.lit(w) for w in LABEL_IGNORE)
+
+_LABEL_TITLES_SQL = f"""
+    pl AS (
+      SELECT w.conv_id, w.page_no, 0 AS phase, l.k AS o, l.title, l.turn, l.i
+      FROM walk w JOIN lines l ON l.conv_id = w.conv_id AND l.turn = w.turn
+      UNION ALL
+      SELECT w.conv_id, w.page_no, 0, 100000 + l.k, l.title, l.turn, l.i
+      FROM walk w JOIN turns t ON t.conv_id = w.conv_id AND t.turn = 0 AND w.turn = 0
+      JOIN lines l ON l.conv_id = w.conv_id AND l.turn = t.last_turn),
+    rc AS (SELECT conv_id, 1 AS page_no, 1 AS phase, k AS o, title, turn, i FROM recent
+           WHERE title NOT IN ({_IGN_L})),
+    alll AS (SELECT * FROM pl WHERE title NOT IN ({_IGN_L}) UNION ALL SELECT * FROM rc),
+    f AS (SELECT * FROM alll WHERE NOT (page_no >= 2 AND title IN (SELECT title FROM rc))),
+    r AS (SELECT *,
+            row_number() OVER (PARTITION BY title ORDER BY conv_id DESC, page_no DESC, phase DESC, o DESC) AS rn
+          FROM f),
+    winners AS (SELECT r.title, r.conv_id, r.turn, r.i,
+                  '{S.LABEL_HOST}c' || r.conv_id || '/' || r.conv_id || '_' || r.turn || '_' || r.i || '.html' AS url
+                FROM r WHERE rn = 1)"""
+
+
+@register("story_table_by_label", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL}, {_RECENT_SQL}, {_LABEL_TITLES_SQL}
+SELECT w.title AS name, w.url, 'cat' || w.conv_id AS category,
+       CASE WHEN l.role = 'system' THEN NULL
+            ELSE translate({Q.py_rstrip("'　　' || l.line || chr(13)")}, chr(13) || '　', '') END AS content
+FROM winners w JOIN lines l ON l.conv_id = w.conv_id AND l.turn = w.turn AND l.i = w.i
+""")
+def story_table_by_label_q(spark, sf):
+    """Q1: labelled crawl -> (name, url, category, content)."""
+    site, seeds = _label(spark, sf)
+    return PL.story_table_by_label(site, seeds, LABEL_IGNORE)
+
+
+@register("dedup_last_by_label", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL}, {_RECENT_SQL}, {_LABEL_TITLES_SQL}
+SELECT title, url, 'cat' || conv_id AS category FROM winners
+""")
+def dedup_last_by_label_q(spark, sf):
+    """A2 + J2 + U2 on the labelled crawl: last write wins, recent titles kept off later pages."""
+    site, seeds = _label(spark, sf)
+    return PL.label_links(site, seeds, LABEL_IGNORE).select("title", "url", "category")
