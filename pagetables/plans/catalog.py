@@ -614,3 +614,159 @@ def dedup_last_by_label_q(spark, sf):
     """A2 + J2 + U2 on the labelled crawl: last write wins, recent titles kept off later pages."""
     site, seeds = _label(spark, sf)
     return PL.label_links(site, seeds, LABEL_IGNORE).select("title", "url", "category")
+
+
+# ---------------------------------------------------------------------------
+# Structured answers: X1, A9, X2a–d, X3, X4, Q3 over a completions table
+# derived from documents + labels (rules in pagetables/plans/site.py)
+
+from pagetables.operators import answers as X  # noqa: E402
+
+SH = S.STORY_HOST
+# Fixed value: our own system prompt for the category question.
+CATEGORY_PROMPT = ("List the categories of stories this page links to, as JSON "
+                   "{\"categories\": {name: url}}; answer {\"error\": …} if there are none.")
+
+
+def _completions(spark, sf, kind=None):
+    c = S.completions(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    return c.filter(F.col("kind") == kind) if kind else c
+
+
+_DOCS_SQL = """
+    dl AS (SELECT d.doc_id, d.text, d.lang, d.source, l.quality, coalesce(l.toxic, 0) AS toxic
+           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+@register("parse_categories", f"""
+WITH {_DOCS_SQL}
+SELECT '{SH}home/' || doc_id AS key, lang AS category, '{SH}' || lang || '/' || doc_id || '/' AS url
+FROM dl WHERE toxic <> 1
+UNION ALL
+SELECT '{SH}home/' || doc_id, source, '{SH}' || source || '/' || doc_id || '/' FROM dl WHERE toxic <> 1
+""")
+def parse_categories_q(spark, sf):
+    return X.parse_categories(_completions(spark, sf, "categories"))
+
+
+@register("parse_decision", f"""
+WITH {_DOCS_SQL}
+SELECT '{SH}' || lang || '/' || doc_id || '/' AS key, coalesce(quality = 1, false) AS decision FROM dl
+""")
+def parse_decision_q(spark, sf):
+    return X.parse_decision(_completions(spark, sf, "decision"))
+
+
+@register("split_refusals", f"""
+WITH {_DOCS_SQL},
+s AS (SELECT 'categories' AS kind, CASE WHEN toxic = 1 THEN 'refused' ELSE 'ok' END AS status FROM dl
+      UNION ALL SELECT 'decision', 'ok' FROM dl
+      UNION ALL SELECT 'titles', CASE WHEN toxic = 1 THEN 'refused'
+                                      WHEN coalesce(quality = 0 AND lang = 'de', false) THEN 'bad' ELSE 'ok' END FROM dl
+      UNION ALL SELECT 'story', CASE WHEN toxic = 1 THEN 'refused' ELSE 'ok' END FROM dl)
+SELECT kind, status, count(*) AS n FROM s GROUP BY ALL
+""")
+def split_refusals_q(spark, sf):
+    """Answers routed ok / refused / bad, counted per question."""
+    s = X.split_refusals(_completions(spark, sf))
+    return s.groupBy("kind", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TITLE_ROWS_SQL = f"""
+    tl AS (SELECT dl.doc_id, dl.lang, dl.quality, dl.toxic, l.i, l.k, l.title AS t0, l.raw_title
+           FROM dl JOIN (SELECT doc_id, CAST(i AS BIGINT) AS i,
+                                regexp_extract(line, {_TITLE}, 1) AS raw_title,
+                                regexp_extract(line, {_TITLE}, 1) AS title,
+                                row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k
+                         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                                      unnest(range(len(string_split(text, chr(10))))) AS i
+                               FROM documents)
+                         WHERE regexp_extract(line, {_TITLE}, 1) <> '') l ON l.doc_id = dl.doc_id),
+    tparsed AS (
+      SELECT '{SH}' || lang || '/' || doc_id || '/' AS key, doc_id, lang, k,
+             CASE WHEN lang IN ('en', 'fr') THEN raw_title ELSE raw_title || ' (' || i || ')' END AS title,
+             '{SH}story/' || doc_id || '/' || i AS url, '' AS next_page
+      FROM tl WHERE toxic <> 1 AND NOT coalesce(quality = 0 AND lang = 'de', false))"""
+
+
+@register("parse_titles", f"""
+WITH {_DOCS_SQL}, {_TITLE_ROWS_SQL}
+SELECT key, title, url, next_page FROM tparsed
+""")
+def parse_titles_q(spark, sf):
+    """Both answer shapes (array of {title, url}, map title -> url)."""
+    return X.parse_titles(_completions(spark, sf, "titles")).select(
+        "key", "title", "url", "next_page")
+
+
+@register("parse_story", f"""
+WITH {_DOCS_SQL},
+ft AS (SELECT doc_id, min_by(regexp_extract(line, {_TITLE}, 1), i) AS t FROM
+         (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
+       WHERE regexp_extract(line, {_TITLE}, 1) <> '' GROUP BY doc_id)
+SELECT '{SH}story/' || dl.doc_id || '/0' AS key,
+       CASE WHEN toxic = 1 THEN '' ELSE coalesce(ft.t, '') END AS title,
+       CASE WHEN toxic = 1 OR lang = 'de' THEN '' ELSE source END AS author,
+       CASE WHEN toxic = 1 THEN '' ELSE text END AS content,
+       '' AS next_page,
+       CASE WHEN toxic = 1 THEN 'refused' ELSE 'ok' END AS status
+FROM dl LEFT JOIN ft ON ft.doc_id = dl.doc_id
+""")
+def parse_story_q(spark, sf):
+    """X2d: nested and flat story answers."""
+    return X.parse_story(_completions(spark, sf, "story"))
+
+
+@register("story_table_from_answers", f"""
+WITH {_DOCS_SQL}, {_TITLE_ROWS_SQL},
+okcat AS (SELECT '{SH}' || lang || '/' || doc_id || '/' AS url FROM dl WHERE toxic <> 1 AND quality = 1),
+lk AS (SELECT t.* FROM tparsed t JOIN okcat c ON c.url = t.key),
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY key DESC, k DESC) AS rn FROM lk),
+st AS (SELECT '{SH}story/' || doc_id || '/0' AS url, toxic, lang, source, text FROM dl)
+SELECT r.title, CASE WHEN st.url IS NULL OR st.toxic = 1 OR st.lang = 'de' THEN '' ELSE st.source END AS author,
+       CASE WHEN st.url IS NULL OR st.toxic = 1 THEN '' ELSE st.text END AS content,
+       r.lang AS category, r.url
+FROM r LEFT JOIN st ON st.url = r.url WHERE r.rn = 1
+""")
+def story_table_from_answers_q(spark, sf):
+    """Q3: categories (X2a) kept by the decision (X2b) -> titles (X2c) -> A2 -> stories (X2d, X4)."""
+    from pagetables.plans.pipelines import story_table_from_answers
+    return story_table_from_answers(_completions(spark, sf))
+
+
+@register("collect_messages", f"""
+SELECT conv_id, 0 AS msg_no, 'system' AS role, {Q.lit(CATEGORY_PROMPT)} AS content
+FROM conversations GROUP BY conv_id
+UNION ALL
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER), role, text
+FROM conversations
+""")
+def collect_messages_q(spark, sf):
+    """A conversation's turns as one ordered message list (flattened to compare)."""
+    m = X.collect_messages(read_table(spark, sf, "conversations"), system_prompt=CATEGORY_PROMPT)
+    return m.select("conv_id", F.posexplode("messages").alias("msg_no", "m")).select(
+        "conv_id", F.col("msg_no").cast("int").alias("msg_no"),
+        F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@register("build_chat_requests", f"""
+WITH {Q.anchors_cte()}
+SELECT page_id, 0 AS msg_no, 'system' AS role, {Q.lit(CATEGORY_PROMPT)} AS content FROM anchors
+GROUP BY page_id
+UNION ALL
+SELECT page_id, 1, 'user',
+  'Links/Buttons:' || chr(10) || string_agg('- [' || {Q.collapse_space('text')} || '](' ||
+      {Q.url_origin('url')} || href || ')', chr(10) ORDER BY elem_seq)
+FROM anchors GROUP BY page_id
+""")
+def build_chat_requests_q(spark, sf):
+    """One request per page: our prompt + the links tail of its snapshot."""
+    snap = H.page_snapshot(read_table(spark, sf, "pages"), exclude=H.FURNITURE_SELECTORS,
+                           links_at_end=True)
+    snap = snap.filter(F.size("links") > 0).withColumn("links_text",
+                                                       H.links_section(F.col("snapshot")))
+    req = X.build_chat_requests(snap, CATEGORY_PROMPT, text="links_text")
+    return req.select("page_id", F.posexplode("messages").alias("msg_no", "m")).select(
+        "page_id", F.col("msg_no").cast("int").alias("msg_no"),
+        F.col("m.role").alias("role"), F.col("m.content").alias("content"))

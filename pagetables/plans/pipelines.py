@@ -98,3 +98,22 @@ def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pag
     paras = H.paragraphs(H.shred_elements(story_pages.select("page_id", "html"), tags=["p"]))
     found = paragraph_after_title(fetched.select("title", "url", "category", "page_id"), paras)
     return found.select("title", "text", "category", F.col("url").alias(STORY_COLUMNS_B[3]))
+
+
+def story_table_from_answers(completions: DataFrame) -> DataFrame:
+    """Q3: F15/X2a -> F14/X2b -> X2c -> A2 -> X2d -> X4 -> K3 columns.
+
+    completions: (key, kind, content), kinds categories / decision / titles / story.
+    Category order is the category url; within a listing, the answer's order.
+    """
+    from pagetables.operators import answers as X
+    c = completions
+    cats = X.parse_categories(c.filter(F.col("kind") == "categories"))
+    dec = X.parse_decision(c.filter(F.col("kind") == "decision")).filter("decision")
+    ok = cats.join(dec.select(F.col("key").alias("url")), "url", "left_semi")
+    titles = X.parse_titles(c.filter(F.col("kind") == "titles"))
+    links = titles.join(ok.select(F.col("url").alias("key"), "category"), "key")
+    links = links.withColumn("url", py_strip("url")).withColumn("title", py_strip("title"))
+    deduped = dedup_last(links, "title", order=("key", "pos"), values=("url", "category"))
+    stories = X.parse_story(c.filter(F.col("kind") == "story"))
+    return X.assemble_stories(deduped.select("title", "url", "category"), stories)
