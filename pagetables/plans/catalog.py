@@ -770,3 +770,214 @@ def build_chat_requests_q(spark, sf):
     return req.select("page_id", F.posexplode("messages").alias("msg_no", "m")).select(
         "page_id", F.col("msg_no").cast("int").alias("msg_no"),
         F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+# ---------------------------------------------------------------------------
+# Vectors: E1, E2, E4, E5, E7, E8, A7, A8, Q4, Q5 over documents / embeddings
+
+from pagetables.operators import merge as M  # noqa: E402
+from pagetables.operators import vectors as V  # noqa: E402
+
+# Sizes of the vector queries (the reference's 512-token cut,
+# 128-wide merge vectors, 64 in its trial; chunk cap of our choosing).
+MAX_TOKENS = 512
+EMBED_DIM = 128
+TRIAL_DIM = 64
+CHUNK_CHARS = 2000
+MERGE_TARGET = 5
+
+_WS = Q.lit(TX.PY_SPACE + "+")
+
+
+def _words_sql(table="documents", key="doc_id", text="text"):
+    return f"""
+    _wa AS (SELECT {key}, regexp_split_to_array({text}, {_WS}) AS arr FROM {table}),
+    _wu AS (SELECT {key}, unnest(arr) AS token, unnest(range(len(arr))) AS idx FROM _wa),
+    words AS (SELECT {key}, token, row_number() OVER (PARTITION BY {key} ORDER BY idx) - 1 AS pos
+              FROM _wu WHERE token <> '')"""
+
+
+def _bucket_sql(w, dim):
+    return f"CAST(CAST(('0x' || substr(md5({w}), 1, 8)) AS BIGINT) % {dim} AS INTEGER)"
+
+
+@register("tokenize_truncate", f"""
+WITH {_words_sql()}
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, token FROM words WHERE pos < {MAX_TOKENS}
+""")
+def tokenize_truncate_q(spark, sf):
+    """The first 512 words of every document."""
+    t = V.tokenize_truncate(read_table(spark, sf, "documents"), "doc_id", "text", MAX_TOKENS)
+    return t.select("doc_id", "pos", "token")
+
+
+@register("embed_texts", f"""
+WITH {_words_sql()},
+c AS (SELECT doc_id, {_bucket_sql('token', EMBED_DIM)} AS dim, CAST(count(*) AS DOUBLE) AS cnt
+      FROM words GROUP BY ALL)
+SELECT doc_id, dim, round(cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY doc_id)), 6) AS value FROM c
+""")
+def embed_texts_q(spark, sf):
+    """Hashed word-count vectors (normalised), long form."""
+    v = V.embed_texts(read_table(spark, sf, "documents"), "doc_id", "text", EMBED_DIM)
+    return v.select("doc_id", "dim", F.round("value", 6).alias("value"))
+
+
+def _segments_sql(max_chars=CHUNK_CHARS):
+    m = max_chars
+    return f"""
+    _ln AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS li
+            FROM documents),
+    _un AS (SELECT doc_id, li, j, CASE WHEN length(line) <= {m} THEN line
+                                       ELSE substr(line, j * {m} + 1, {m}) END AS u
+            FROM (SELECT doc_id, li, line,
+                         unnest(range(CASE WHEN length(line) <= {m} THEN 1
+                                           ELSE CAST(ceil(length(line) / {m}) AS BIGINT) END)) AS j
+                  FROM _ln)),
+    units AS (SELECT doc_id, u, length(u) AS ul,
+                     row_number() OVER (PARTITION BY doc_id ORDER BY li, j) AS ui FROM _un),
+    packed AS (
+      WITH RECURSIVE p(doc_id, ui, chunk_no, cur) AS (
+        SELECT doc_id, ui, 0, ul FROM units WHERE ui = 1
+        UNION ALL
+        SELECT u.doc_id, u.ui,
+               CASE WHEN p.cur + 1 + u.ul <= {m} THEN p.chunk_no ELSE p.chunk_no + 1 END,
+               CASE WHEN p.cur + 1 + u.ul <= {m} THEN p.cur + 1 + u.ul ELSE u.ul END
+        FROM p JOIN units u ON u.doc_id = p.doc_id AND u.ui = p.ui + 1)
+      SELECT * FROM p),
+    chunks AS (SELECT p.doc_id, CAST(p.chunk_no AS INTEGER) AS chunk_no,
+                      string_agg(u.u, chr(10) ORDER BY u.ui) AS chunk
+               FROM packed p JOIN units u ON u.doc_id = p.doc_id AND u.ui = p.ui
+               GROUP BY p.doc_id, p.chunk_no)"""
+
+
+@register("segment_texts", f"""
+WITH {_segments_sql()}
+SELECT doc_id, chunk_no, CAST(length(chunk) AS INTEGER) AS n_chars, chunk FROM chunks
+""")
+def segment_texts_q(spark, sf):
+    """E5: chunks of at most 2,000 characters, lines packed greedily."""
+    ch = V.segment_texts(read_table(spark, sf, "documents"), "doc_id", "text", CHUNK_CHARS)
+    return ch.select("doc_id", "chunk_no", "n_chars", "chunk")
+
+
+_CHUNK_VEC_SQL = f"""
+    _cw AS (SELECT doc_id, chunk_no, regexp_split_to_array(chunk, {_WS}) AS arr FROM chunks),
+    cwords AS (SELECT doc_id, chunk_no, unnest(arr) AS token FROM _cw),
+    ccnt AS (SELECT doc_id, chunk_no, {_bucket_sql('token', TRIAL_DIM)} AS dim,
+                    CAST(count(*) AS DOUBLE) AS cnt
+             FROM cwords WHERE token <> '' GROUP BY ALL),
+    cnorm AS (SELECT doc_id, chunk_no, sqrt(sum(cnt * cnt)) AS nrm FROM ccnt GROUP BY ALL)"""
+
+
+@register("embed_long_texts", f"""
+WITH {_segments_sql()}, {_CHUNK_VEC_SQL},
+w AS (SELECT doc_id, chunk_no, CAST(length(chunk) AS DOUBLE) AS w FROM chunks),
+tw AS (SELECT doc_id, sum(w) AS tw FROM w GROUP BY doc_id),
+sv AS (SELECT c.doc_id, c.dim, sum(w.w * c.cnt / n.nrm) AS sv
+       FROM ccnt c JOIN cnorm n USING (doc_id, chunk_no) JOIN w USING (doc_id, chunk_no)
+       GROUP BY c.doc_id, c.dim)
+SELECT sv.doc_id, sv.dim, round(sv.sv / tw.tw, 6) AS value FROM sv JOIN tw USING (doc_id)
+""")
+def embed_long_texts_q(spark, sf):
+    """Segment, embed chunks, length-weighted mean per document."""
+    v = V.embed_long_texts(read_table(spark, sf, "documents"), "doc_id", "text",
+                           CHUNK_CHARS, TRIAL_DIM)
+    return v.select("doc_id", "dim", F.round("value", 6).alias("value"))
+
+
+@register("adjacent_chunk_similarity", f"""
+WITH {_segments_sql()}, {_CHUNK_VEC_SQL},
+pairs AS (SELECT a.doc_id, a.chunk_no FROM chunks a JOIN chunks b
+          ON b.doc_id = a.doc_id AND b.chunk_no = a.chunk_no + 1),
+dots AS (SELECT a.doc_id, a.chunk_no, sum(a.cnt * b.cnt) AS dot FROM ccnt a JOIN ccnt b
+         ON b.doc_id = a.doc_id AND b.chunk_no = a.chunk_no + 1 AND b.dim = a.dim GROUP BY ALL)
+SELECT p.doc_id, p.chunk_no,
+       round(CASE WHEN na.nrm > 0 AND nb.nrm > 0 THEN coalesce(d.dot, 0) / (na.nrm * nb.nrm) END, 6) AS sim
+FROM pairs p LEFT JOIN dots d USING (doc_id, chunk_no)
+LEFT JOIN cnorm na ON na.doc_id = p.doc_id AND na.chunk_no = p.chunk_no
+LEFT JOIN cnorm nb ON nb.doc_id = p.doc_id AND nb.chunk_no = p.chunk_no + 1
+""")
+def adjacent_chunk_similarity_q(spark, sf):
+    """Cosine of each chunk with the next one (64-wide hashed counts)."""
+    ch = V.segment_texts(read_table(spark, sf, "documents"), "doc_id", "text", CHUNK_CHARS)
+    cnt = V.embed_texts(ch, ["doc_id", "chunk_no"], "chunk", TRIAL_DIM, normalize=False)
+    dense = V.to_dense(cnt, ["doc_id", "chunk_no"], TRIAL_DIM)
+    # chunks without words have no bucket rows: give them a zero vector
+    dense = ch.select("doc_id", "chunk_no").join(dense, ["doc_id", "chunk_no"], "left")
+    sims = V.adjacent_similarity(dense, "doc_id", "chunk_no", "vec")
+    w = ch.select("doc_id", F.col("chunk_no").alias("_c"))
+    nxt = w.withColumn("chunk_no", F.col("_c") - 1).select("doc_id", "chunk_no")
+    return (sims.join(nxt, ["doc_id", "chunk_no"], "left_semi")
+                .select("doc_id", "chunk_no", F.round("sim", 6).alias("sim")))
+
+
+@register("semantic_chunks", None)
+def semantic_chunks_q(spark, sf):
+    """Merge neighbouring chunks by similarity until 5 remain."""
+    ch = V.segment_texts(read_table(spark, sf, "documents"), "doc_id", "text", CHUNK_CHARS)
+    return M.merge_adjacent_chunks(ch, MERGE_TARGET, EMBED_DIM)
+
+
+def _emb(spark, sf):
+    return read_table(spark, sf, "embeddings")
+
+
+@register("l2_normalize", """
+WITH e AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS v,
+                  unnest(range(len(embedding))) AS dim FROM embeddings),
+n AS (SELECT vec_id, sqrt(sum(v * v)) AS nrm FROM e GROUP BY vec_id)
+SELECT vec_id, CAST(dim AS INTEGER) AS dim, round(v / greatest(nrm, 1e-12), 6) AS value
+FROM e JOIN n USING (vec_id)
+""")
+def l2_normalize_q(spark, sf):
+    """Every embedding scaled to unit length."""
+    n = V.l2_normalize(_emb(spark, sf).select("vec_id", F.col("embedding").alias("vec")))
+    return V.to_long(n, "vec_id").select("vec_id", "dim", F.round("value", 6).alias("value"))
+
+
+@register("weighted_mean_vectors", """
+WITH e AS (SELECT label, CAST(vec_id AS DOUBLE) AS w, unnest(CAST(embedding AS DOUBLE[])) AS v,
+                  unnest(range(len(embedding))) AS dim FROM embeddings)
+SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(w * v) / sum(w), 6) AS value FROM e GROUP BY ALL
+""")
+def weighted_mean_vectors_q(spark, sf):
+    """Per label, the mean of its vectors weighted by vec_id."""
+    e = _emb(spark, sf).select("label", F.col("vec_id").cast("double").alias("w"),
+                               F.posexplode("embedding").alias("dim", "value"))
+    e = e.withColumn("dim", F.col("dim").cast("int")).withColumn("value", F.col("value").cast("double"))
+    return V.weighted_mean_vectors(e, "label", "w").select(
+        "label", "dim", F.round("value", 6).alias("value"))
+
+
+@register("position_weighted_pool", """
+WITH t AS (SELECT label, embedding,
+                  CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) AS DOUBLE) AS w
+           FROM embeddings),
+e AS (SELECT label, w, unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(range(len(embedding))) AS dim
+      FROM t)
+SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(w * v) / sum(w), 6) AS value FROM e GROUP BY ALL
+""")
+def position_weighted_pool_q(spark, sf):
+    """A label's vectors as the tokens of one text, position-weighted mean."""
+    t = _emb(spark, sf).select(F.col("label"), F.col("vec_id").alias("pos"),
+                               F.col("embedding").alias("hidden"), F.lit(1).alias("mask"))
+    p = V.position_weighted_pool(t, "label", "pos", "hidden", "mask")
+    return p.select("label", "dim", F.round("value", 6).alias("value"))
+
+
+@register("adjacent_similarity", """
+WITH e AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS v,
+                  lead(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS nv
+           FROM embeddings)
+SELECT label, vec_id,
+       round(list_dot_product(v, nv) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(nv, nv))), 6)
+         AS sim
+FROM e WHERE nv IS NOT NULL
+""")
+def adjacent_similarity_q(spark, sf):
+    """Cosine of each vector with the next one of its label."""
+    s = V.adjacent_similarity(_emb(spark, sf), "label", "vec_id", "embedding")
+    return s.filter(F.col("sim").isNotNull()).select("label", "vec_id",
+                                                      F.round("sim", 6).alias("sim"))
