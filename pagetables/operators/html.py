@@ -540,3 +540,20 @@ def links_section(snapshot: Column) -> Column:
     """The tail of a snapshot from ``Links/Buttons:`` on; NULL when absent."""
     pos = F.instr(snapshot, LINKS_HEADER)
     return F.when(pos > 0, F.substr(snapshot, pos))
+
+
+def links_summary(anchors: DataFrame, base_url: str = "url") -> DataFrame:
+    """H10 on the JVM: a page's links as ``Links/Buttons:`` lines, in document order.
+
+    anchors: H2 output with the page url.  One row per page; a page's
+    anchors are one group (bounded by the page).
+    """
+    from pagetables.functions.text import resolve_href
+    a = anchors.select("page_id", "elem_seq", collapse_space("text").alias("t"),
+                       resolve_href(base_url, "href").alias("h"))
+    g = a.groupBy("page_id").agg(F.array_sort(F.collect_list(
+        F.struct("elem_seq", "t", "h"))).alias("_l"))
+    lines = F.transform("_l", lambda s: F.concat(F.lit("- ["), s["t"], F.lit("]("), s["h"],
+                                                 F.lit(")")))
+    return g.select("page_id", F.concat(F.lit(LINKS_HEADER + "\n"),
+                                        F.array_join(lines, "\n")).alias("links_text"))

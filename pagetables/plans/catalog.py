@@ -981,3 +981,361 @@ def adjacent_similarity_q(spark, sf):
     s = V.adjacent_similarity(_emb(spark, sf), "label", "vec_id", "embedding")
     return s.filter(F.col("sim").isNotNull()).select("label", "vec_id",
                                                       F.round("sim", 6).alias("sim"))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: S2, S4 + K2, S6, K4
+
+from pagetables.operators import content as C  # noqa: E402
+from pagetables.session import scratch_path  # noqa: E402
+from pagetables.sources import readers as R  # noqa: E402
+from pagetables.sources import writers as W  # noqa: E402
+
+
+@register("decode_pages", "SELECT doc_id, text AS html FROM documents")
+def decode_pages_q(spark, sf):
+    """Documents stored as bytes (UTF-8, German ones as UTF-16) decoded back."""
+    d = read_table(spark, sf, "documents")
+    cs = F.when(F.col("lang") == "de", F.lit("utf-16")).otherwise(F.lit("utf-8"))
+    raw = d.select("doc_id", cs.alias("charset"),
+                   F.when(F.col("lang") == "de", F.encode("text", "UTF-16"))
+                    .otherwise(F.encode("text", "UTF-8")).alias("body"))
+    return R.decode_pages(raw, charsets=("utf-8", "utf-16")).select("doc_id", "html")
+
+
+_STORY_ROWS_SQL = f"""
+    fw AS (SELECT doc_id, text, lang, regexp_extract(text, {_TITLE}, 1) AS title FROM documents)"""
+
+
+@register("stories_csv_round_trip", f"""
+WITH {_STORY_ROWS_SQL}
+SELECT title, text, lang AS category, '{SH}doc/' || doc_id AS story_url FROM fw
+""")
+def stories_csv_round_trip_q(spark, sf):
+    """K2 + S4: a story table with commas, quotes, newlines written as CSV and read back."""
+    d = read_table(spark, sf, "documents")
+    st = d.select(F.regexp_extract("text", S.TITLE_RE, 1).alias("title"), "text",
+                  F.col("lang").alias("category"),
+                  F.concat(F.lit(SH + "doc/"), F.col("doc_id")).alias("story_url"))
+    path = scratch_path(spark, "stories-csv")
+    W.write_stories_csv(st, path, W.STORY_COLUMNS_B)
+    return R.read_stories_csv(spark, path, W.STORY_COLUMNS_B)
+
+
+@register("read_completions", f"""
+WITH {_DOCS_SQL}
+SELECT '{SH}' || lang || '/' || doc_id || '/' AS key, coalesce(quality = 1, false) AS decision FROM dl
+""")
+def read_completions_q(spark, sf):
+    """Answers landed as JSON lines, read with an explicit schema, then parsed."""
+    path = scratch_path(spark, "completions")
+    _completions(spark, sf).write.mode("overwrite").json(path)
+    c = R.read_completions(spark, path)
+    return X.parse_decision(c.filter(F.col("kind") == "decision"))
+
+
+@register("records_from_map", f"""
+WITH {_DOCS_SQL}, {_TITLE_ROWS_SQL}
+SELECT '{SH}' || lang || '/' || doc_id || '/' AS key, raw_title || ' (' || i || ')' AS title,
+       '{SH}story/' || doc_id || '/' || i AS url, lang AS category
+FROM tl
+""")
+def records_from_map_q(spark, sf):
+    """K4: a map of records per listing (title -> {url, category}) turned into rows."""
+    d = read_table(spark, sf, "documents")
+    did = F.col("doc_id")
+    m = F.map_from_entries(F.transform(S._lines(F.col("text")), lambda s: F.struct(
+        F.concat(s["title"], F.lit(" ("), s["i"].cast("string"), F.lit(")")),
+        F.struct(S.story_url(did, s["i"]).alias("url"), F.col("lang").alias("category")))))
+    recs = d.select(S.cat_url(F.col("lang"), did).alias("key"), m.alias("stories"))
+    rows = recs.select("key", F.explode("stories").alias("title", "r"))
+    return rows.select("key", "title", "r.url", "r.category")
+
+
+# ---------------------------------------------------------------------------
+# Content and link odds and ends: F16, J1, F24, F18, F23, A6, L1–L3, J8, A10,
+# F19, F20, J6, U1, F17/J5 + I3
+
+@register("valid_urls", f"""
+WITH {_LINES_SQL}
+SELECT DISTINCT '{S.LABEL_HOST}c' || conv_id || '/' || conv_id || '_' || turn || '_' || i || '.html' AS url
+FROM lines WHERE role <> 'system'
+""")
+def valid_urls_q(spark, sf):
+    """F16: story links of the label site that lead to a landed page."""
+    site, _ = _label(spark, sf)
+    a = L.links_with_prefix(H.extract_anchors(site), "/c")
+    urls = a.select(F.concat(F.lit(S.LABEL_HOST), F.substring("href", 2, 1 << 30)).alias("url"))
+    return L.valid_urls(urls, site).distinct()
+
+
+@register("fetch_pages", f"""
+WITH {_LINES_SQL}
+SELECT DISTINCT '{S.LABEL_HOST}c' || conv_id || '/' || conv_id || '_' || turn || '_' || i || '.html' AS url,
+       role <> 'system' AS fetched
+FROM lines
+""")
+def fetch_pages_q(spark, sf):
+    """Every story link of the label site joined to the landed pages."""
+    site, _ = _label(spark, sf)
+    a = L.links_with_prefix(H.extract_anchors(site), "/c")
+    urls = a.select(F.concat(F.lit(S.LABEL_HOST), F.substring("href", 2, 1 << 30))
+                    .alias("url")).distinct()
+    return C.fetch_pages(urls, site, "url", cols=("page_id",)).select("url", "fetched")
+
+
+@register("missing_stories", f"""
+WITH s AS (SELECT page_id, {_strip_sql()} AS h FROM pages),
+t AS (SELECT page_id,
+        {Q.py_strip(Q.strip_tags("regexp_extract(h, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))} AS title,
+        string_split(h, '<p>') AS segs FROM s WHERE regexp_matches(h, '<h1[^>]*>'))
+SELECT page_id, title FROM t
+WHERE NOT (len(segs) >= 3 AND contains({Q.strip_tags('segs[2]')}, title))
+""")
+def missing_stories_q(spark, sf):
+    """pages whose h1 title is on no paragraph (reported instead of dropped)."""
+    pages = read_table(spark, sf, "pages")
+    el = H.shred_elements(pages, tags=["p", "h1"]).cache()
+    titles = H.heading_title(el)
+    found = C.paragraph_after_title(titles, H.paragraphs(el))
+    return C.missing_stories(titles, found.select("page_id", "title"), key="page_id") \
+            .select("page_id", "title")
+
+
+@register("with_full_page_fallback", f"""
+WITH {Q.anchors_cte()},
+pg AS (SELECT page_id, {Q.url_segment('url', 1)} AS category FROM pages),
+n AS (SELECT pg.page_id, pg.category,
+             count(a.href) FILTER (WHERE starts_with(a.href, '{PREFIX_TH}')) AS n_links,
+             count(a.href) AS n_all
+      FROM pg LEFT JOIN anchors a ON a.page_id = pg.page_id GROUP BY ALL),
+s AS (SELECT *, max(CAST(n_links = 0 AS INTEGER)) OVER (PARTITION BY category ORDER BY page_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AS full_page FROM n)
+SELECT page_id, category, full_page, CAST(CASE WHEN full_page THEN n_all ELSE n_links END AS INTEGER) AS n_used
+FROM s
+""")
+def with_full_page_fallback_q(spark, sf):
+    """links-only input ('/th' links) unless empty; after the first empty page of a
+    category the whole page is used for the rest of it (page_id order)."""
+    pages = read_table(spark, sf, "pages")
+    a = H.extract_anchors(pages)
+    g = a.groupBy("page_id").agg(
+        F.collect_list(F.when(F.col("href").startswith(PREFIX_TH), F.col("href"))).alias("links"),
+        F.collect_list("href").alias("full"))
+    p = pages.select("page_id", TX.url_path_segment("url", 1).alias("category")) \
+             .join(g, "page_id", "left")
+    f = C.with_full_page_fallback(p, "links", "full", part=("category",), order=("page_id",))
+    return f.select("page_id", "category", "full_page",
+                    F.coalesce(F.size("input"), F.lit(0)).cast("int").alias("n_used"))
+
+
+@register("with_page_note", f"""
+WITH {Q.anchors_cte()},
+lt AS (SELECT page_id, url,
+  'Links/Buttons:' || chr(10) || string_agg('- [' || {Q.collapse_space('text')} || '](' ||
+      {Q.url_origin('url')} || href || ')', chr(10) ORDER BY elem_seq) AS links_text
+  FROM anchors GROUP BY page_id, url)
+SELECT page_id, links_text || chr(10) || 'Current Page Number: ' ||
+       row_number() OVER (PARTITION BY {Q.url_segment('url', 1)} ORDER BY page_id) AS snapshot
+FROM lt
+""")
+def with_page_note_q(spark, sf):
+    """H10 (JVM links summary) + F23: the page number appended to each page's text."""
+    pages = read_table(spark, sf, "pages")
+    s = H.links_summary(H.extract_anchors(pages)).withColumnRenamed("links_text", "snapshot")
+    s = s.join(pages.select("page_id", TX.url_path_segment("url", 1).alias("category")),
+               "page_id")
+    from pyspark.sql import Window
+    s = s.withColumn("page_no", F.row_number().over(
+        Window.partitionBy("category").orderBy("page_id")))
+    return C.with_page_note(s).select("page_id", "snapshot")
+
+
+@register("frame_shape", "SELECT count(*) AS n_rows, 3 AS n_cols FROM pages")
+def frame_shape_q(spark, sf):
+    """Rows and columns of the page table."""
+    return C.frame_shape(read_table(spark, sf, "pages")).withColumn(
+        "n_cols", F.col("n_cols").cast("int"))
+
+
+@register("head_rows", f"""
+WITH {Q.anchors_cte()}, {_LINKS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id, elem_seq) AS rn FROM links)
+SELECT title, story_url FROM r WHERE rn = 1 ORDER BY page_id, elem_seq LIMIT 5
+""")
+def head_rows_q(spark, sf):
+    """L1/L2: the first five title/url pairs (top-n is the feature)."""
+    d = L.dedup_first(_page_links(spark, sf), "title", order=["page_id", "elem_seq"],
+                      values=["story_url", "category"])
+    return C.head_rows(d, ["first_ord"], 5).select("title", "story_url")
+
+
+@register("sample_first", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL},
+st AS (SELECT k.conv_id, w.page_no, k.elem_seq, k.title, k.i, k.turn FROM kept k
+       JOIN nwalk w ON w.conv_id = k.conv_id AND w.page_no = k.turn + 1 WHERE k.dig = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY conv_id, page_no, elem_seq) AS rn FROM st)
+SELECT title, '{S.NUMBER_HOST}/news/c' || conv_id || '/' || conv_id || '_' || turn || '_' || i || '.htm' AS url
+FROM r WHERE rn = 1 ORDER BY conv_id, page_no, elem_seq LIMIT 20
+""")
+def sample_first_q(spark, sf):
+    """L3: the trial run on the first 20 stories of the numbered crawl, in crawl order."""
+    site, seeds = _number(spark, sf)
+    t = PL.number_links(site, seeds, NUMBER_IGNORE)
+    return C.sample_first(t, ["first_ord"], 20).select("title", "url")
+
+
+# Fixed value: the title looked up by J8.
+LOOKUP = "Les"
+
+
+@register("lookup_title", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL},
+st AS (SELECT k.conv_id, w.page_no, k.elem_seq, k.title, k.i, k.turn FROM kept k
+       JOIN nwalk w ON w.conv_id = k.conv_id AND w.page_no = k.turn + 1 WHERE k.dig = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY conv_id, page_no, elem_seq) AS rn FROM st)
+SELECT title, 'num' || conv_id AS category FROM r WHERE rn = 1 AND title = '{LOOKUP}'
+""")
+def lookup_title_q(spark, sf):
+    """One known title looked up in the numbered crawl's title table."""
+    site, seeds = _number(spark, sf)
+    t = PL.number_links(site, seeds, NUMBER_IGNORE)
+    return C.lookup_title(t, LOOKUP).select("title", "category")
+
+
+@register("titles_map", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL},
+pl AS (SELECT w.conv_id, w.page_no, l.k AS o, l.title, l.turn, l.i
+       FROM walk w JOIN lines l ON l.conv_id = w.conv_id AND l.turn = w.turn
+       UNION ALL
+       SELECT w.conv_id, w.page_no, 100000 + l.k, l.title, l.turn, l.i
+       FROM walk w JOIN turns t ON t.conv_id = w.conv_id AND t.turn = 0 AND w.turn = 0
+       JOIN lines l ON l.conv_id = w.conv_id AND l.turn = t.last_turn),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, page_no, title ORDER BY o DESC) AS rn FROM pl)
+SELECT CAST(conv_id AS INTEGER) AS category_no, CAST(page_no AS INTEGER) AS page_no, title,
+       '{S.LABEL_HOST}c' || conv_id || '/' || conv_id || '_' || turn || '_' || i || '.html' AS url
+FROM r WHERE rn = 1
+""")
+def titles_map_q(spark, sf):
+    """A10: {title: (url, category)} of each listing page of the labelled walk."""
+    site, seeds = _label(spark, sf)
+    chain = P.follow_next(site, seeds)
+    listing = site.join(chain.select("page_id", "category_no", "category", "page_no"), "page_id")
+    a = H.extract_anchors(listing, keep_cols=("category_no", "category", "page_no"))
+    a = a.filter(F.col("href").startswith("/c")).withColumn("title", F.col("text")) \
+         .withColumn("url", F.concat(F.lit(S.LABEL_HOST), F.substring("href", 2, 1 << 30)))
+    m = L.titles_map(a)
+    e = m.select("category_no", "page_no", F.explode("titles").alias("title", "v"))
+    return e.select("category_no", "page_no", "title", F.col("v.url").alias("url"))
+
+
+@register("clean_content", f"""
+SELECT doc_id, translate({Q.py_rstrip("'　' || replace(text, chr(10), chr(13) || chr(10)) || ' 　' || chr(13)")},
+                         chr(13) || '　', '') AS content
+FROM documents
+""")
+def clean_content_q(spark, sf):
+    """content with carriage returns and ideographic spaces cleaned."""
+    d = read_table(spark, sf, "documents")
+    dirty = F.concat(F.lit("　"), F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")),
+                     F.lit(" 　\r"))
+    return C.clean_content(d.select("doc_id", dirty.alias("content")))
+
+
+@register("newlines_to_spaces", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
+def newlines_to_spaces_q(spark, sf):
+    """newlines to blanks before embedding."""
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", C.newlines_to_spaces("text").alias("text"))
+
+
+# Fixed value: the category seeds of the landed pages (S3), in order.
+PAGE_CATEGORIES = {"en": "http://example/en/", "fr": "http://example/fr/",
+                   "de": "http://example/de/", "es": "http://example/es/"}
+
+
+@register("attach_category", f"""
+SELECT page_id, CAST(CASE {Q.url_segment('url', 1)} WHEN 'en' THEN 0 WHEN 'fr' THEN 1
+                        WHEN 'de' THEN 2 WHEN 'es' THEN 3 END AS INTEGER) AS category_no,
+       {Q.url_segment('url', 1)} AS category
+FROM pages WHERE {Q.url_segment('url', 1)} IN ('en', 'fr', 'de', 'es')
+""")
+def attach_category_q(spark, sf):
+    """S3 + J6: category seeds from a literal map, broadcast-joined to the pages."""
+    seeds = R.category_seeds(spark, PAGE_CATEGORIES)
+    p = read_table(spark, sf, "pages").select(
+        "page_id", TX.url_path_segment("url", 1).alias("category"))
+    return p.join(F.broadcast(seeds.select("category", "category_no")), "category") \
+            .select("page_id", "category_no", "category")
+
+
+@register("union_links", f"""
+WITH {_LINES_SQL}, {_NUMBER_SQL}
+SELECT 'label' AS site, count(*) AS n FROM lines
+UNION ALL SELECT 'number', count(*) FROM kept WHERE dig = 0
+""")
+def union_links_q(spark, sf):
+    """Story links of both sites in one table, counted per site.
+
+    A label-site story is counted on its own turn's page (the recent block
+    repeats some of them on page 1)."""
+    conv = read_table(spark, sf, "conversations")
+    lab = H.extract_anchors(S.label_site(conv)).filter(
+        F.col("href").rlike("^/c[0-9]+/[0-9]+_[0-9]+_[0-9]+\\.html$"))
+    story_turn = F.regexp_extract("href", "_([0-9]+)_[0-9]+\\.html$", 1).cast("int")
+    page_turn = F.coalesce(
+        F.regexp_extract("url", "list_[0-9]+_([0-9]+)\\.html$", 1).try_cast("int") - 1,
+        F.lit(0))
+    lab = lab.filter(story_turn == page_turn)
+    nb = P.numbered_page_links(S.number_site(conv), S.number_categories(conv), NUMBER_IGNORE) \
+          .filter(~F.col("is_index"))
+    u = L.union_links(lab.select(F.lit("label").alias("site"), "href"),
+                      nb.select(F.lit("number").alias("site"), F.col("link_url").alias("href")))
+    return u.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+
+
+_VALIDATED_SQL = f"""
+    vedges AS (SELECT e.conv_id, e.u, e.v FROM edges e JOIN turns t ON t.conv_id = e.conv_id AND t.turn = e.u
+               WHERE e.v IS NOT NULL AND NOT (t.role = 'user' AND t.turn >= 2)),
+    vwalk AS (
+      WITH RECURSIVE w(conv_id, node, d, seen) AS (
+        SELECT conv_id, 0, 0, [0] FROM turns WHERE turn = 0
+        UNION ALL
+        SELECT w.conv_id, e.v, w.d + 1, list_append(w.seen, e.v)
+        FROM w JOIN vedges e ON e.conv_id = w.conv_id AND e.u = w.node
+        WHERE NOT list_contains(w.seen, e.v))
+      SELECT conv_id, node AS turn, d + 1 AS page_no FROM w)"""
+
+
+def _answers_for_label_site(site):
+    """One "next_page" answer per listing page: the page's real next link, except
+    on user turns from the third page on, where the answer names a page the
+    listing does not link to (a made-up url the validation must reject)."""
+    a = H.extract_anchors(site)
+    nxt = L.next_page_link(a, S.NEXT_LABEL, part=("url",))
+    real = TX.resolve_href("url", "next_href")
+    turn = F.coalesce(F.regexp_extract("url", "list_[0-9]+_([0-9]+)\\.html$", 1)
+                      .try_cast("int") - 1, F.lit(0))
+    return nxt.select("url", real.alias("real"), turn.alias("turn"))
+
+
+@register("follow_validated", f"""
+WITH {_LINES_SQL}, {_LABEL_WALK_SQL}, {_VALIDATED_SQL}
+SELECT CAST(conv_id AS INTEGER) AS category_no, CAST(page_no AS INTEGER) AS page_no,
+       {_label_url('conv_id', 'turn')} AS url
+FROM vwalk
+""")
+def follow_validated_q(spark, sf):
+    """I3 + F17/J5: follow the next page an answer names only if the page links to it."""
+    conv = read_table(spark, sf, "conversations")
+    site, seeds = S.label_site(conv), S.label_categories(conv)
+    nx = _answers_for_label_site(site)
+    roles = conv.select(F.col("conv_id").cast("int").alias("category_no"), "turn", "role")
+    cat = F.regexp_extract("url", "/c([0-9]+)/", 1).cast("int")
+    ans = (nx.withColumn("category_no", cat)
+             .join(roles, ["category_no", "turn"], "left")
+             .select("url", F.when((F.col("role") == "user") & (F.col("turn") >= 2),
+                                   F.concat(F.regexp_replace("url", "[^/]*$", ""),
+                                            F.lit("list_999.html")))
+                              .otherwise(F.col("real")).alias("next_page")))
+    return P.follow_validated(site, seeds, ans).select("category_no", "page_no", "url")
