@@ -225,7 +225,8 @@ def _shred_batches(keep_tags, exclude, target, with_text):
                     out["tag"].append(tag)
                     out["attrs"].append(attrs)
                     out["text"].append(text)
-            yield pd.DataFrame(out)
+            if out["page_id"]:
+                yield pd.DataFrame(out)
     return run
 
 
@@ -526,7 +527,8 @@ def page_snapshot(pages: DataFrame, exclude=(), target=(), remove_images=False,
                 out["links"].append([{"text": t, "href": h} for t, h in links])
                 out["images"].append([{"alt": a, "src": s} for a, s in images])
                 out["snapshot"].append(snap)
-            yield pd.DataFrame(out)
+            if out["page_id"]:
+                yield pd.DataFrame(out)
 
     src = pages.select(F.col("page_id").cast("long"), "url", "html")
     snap = src.mapInPandas(run, SNAPSHOT_SCHEMA)

@@ -82,6 +82,8 @@ def read_stories_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     return (spark.read.schema(schema)
                  .option("header", True).option("multiLine", True)
                  .option("escape", '"').option("quote", '"')
+                 .option("ignoreLeadingWhiteSpace", False)
+                 .option("ignoreTrailingWhiteSpace", False)
                  .csv(path))
 
 

@@ -16,11 +16,13 @@ def write_stories_csv(df: DataFrame, path: str, columns, mode: str = "overwrite"
     """K1–K3: CSV with header, no index, fixed column order.
 
     Written in parallel (one file per partition); embedded commas, quotes and
-    newlines are quoted with ``"`` doubled, as Python's csv module does.
+    newlines are quoted with ``"`` doubled, as Python's csv module does, and
+    surrounding whitespace is kept (Spark trims it by default).
     """
     (df.select(*columns).write.mode(mode)
        .option("header", True).option("escape", '"').option("quote", '"')
        .option("quoteAll", quote_all).option("encoding", "UTF-8")
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
 
 
