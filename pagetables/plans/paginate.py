@@ -159,9 +159,11 @@ def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
                     is_digits("title").alias("is_index"))
 
 
-def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
-                    site_prefix: str = "/news/", checkpoint_every: int = 8) -> DataFrame:
-    """Page n+1 is the url first listed under number n+1 on a page already read.
+def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
+                             site_prefix: str = "/news/", checkpoint_every: int = 8
+                             ) -> DataFrame:
+    """I2 the plain way: page n+1 is the url first listed under number n+1 on a
+    page already read; one round per page number (kept to cross-check).
 
     All categories advance together, one round per page number.  The
     per-page link table is built once (JVM regex) and checkpointed; a round
@@ -210,6 +212,62 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
                    .select("category_no", "category", "page_no", "url", "page_id"))
 
 
+def _walk_prefix(cands: DataFrame, live: DataFrame) -> DataFrame:
+    """Keep landed pages 1..K of each walk, K + 1 being its first missing number."""
+    from pyspark.sql import Window
+    c = cands.join(live, F.col("url") == F.col("_live"), "left_semi")
+    w = Window.partitionBy("category_no").orderBy("page_no")
+    return (c.withColumn("_rn", F.row_number().over(w))
+             .filter(F.col("page_no") == F.col("_rn")).drop("_rn"))
+
+
+def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
+                    site_prefix: str = "/news/", max_rounds: int | None = None) -> DataFrame:
+    """Page n+1 is the url first listed under number n+1 on a page already read;
+    the walk ends at the first number not listed, or after ``max_pages`` pages.
+
+    Solved as a fixpoint over whole walks instead of one round per page:
+    start from a guess (any url a page of the category lists for each
+    number), then repeat: read the index entries of the pages of the
+    current walks, take for each number m the entry of the earliest page
+    before m (first wins), cut each walk at its first gap.  The equations
+    have one solution (page n depends only on pages < n), so the first
+    repeat is the exact walk; each round fixes at least one more page, and
+    when a site's numbering is consistent the guess is already right: two
+    rounds whatever the length.  Each round is a few joins and one window
+    per category (at most ``max_pages`` rows), checkpointed.
+    seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id)
+    """
+    from pagetables.functions.text import url_suffix
+    links = numbered_page_links(pages, seeds, ignore, site_prefix).filter("is_index")
+    num = F.col("title").try_cast("int")
+    links = cut_lineage(
+        links.filter(num.isNotNull() & (num.cast("string") == F.col("title")))
+             .select("url", "suffix", "elem_seq", num.alias("m"), "link_url"))
+    cats = seeds.select("category_no", url_suffix("url").alias("suffix"))
+    live = pages.select(F.col("url").alias("_live")).distinct()
+    seed_rows = seeds.select("category_no", F.lit(1).alias("page_no"), "url")
+    bounded = (F.col("m") >= 2) & (F.col("m") <= max_pages)
+    guess = (links.filter(bounded).join(F.broadcast(cats), "suffix")
+                  .groupBy("category_no", F.col("m").alias("page_no"))
+                  .agg(F.min("link_url").alias("url")))
+    cur = cut_lineage(_walk_prefix(seed_rows.unionByName(guess), live))
+    for _ in range(max_rounds or max_pages + 1):
+        ent = (cur.join(F.broadcast(cats), "category_no")
+                  .join(links, ["url", "suffix"])
+                  .filter(bounded & (F.col("page_no") < F.col("m"))))
+        nxt = (ent.groupBy("category_no", F.col("m").alias("page_no"))
+                  .agg(F.min_by("link_url", F.struct("page_no", "elem_seq")).alias("url")))
+        new = cut_lineage(_walk_prefix(seed_rows.unionByName(nxt), live))
+        if new.exceptAll(cur).union(cur.exceptAll(new)).isEmpty():
+            break
+        cur = new
+    pid = pages.select("url", "page_id").dropDuplicates(["url"])
+    return (cur.join(pid, "url")
+               .join(F.broadcast(seeds.select("category_no", "category")), "category_no")
+               .select("category_no", "category", "page_no", "url", "page_id"))
+
+
 def page_index(pages: DataFrame, walked: DataFrame, ignore=(),
                site_prefix: str = "/news/") -> DataFrame:
     """A3: the first-wins map number -> url of each category, over the pages walked."""

@@ -87,3 +87,23 @@ def test_numbered_walk_uses_index_of_pages_read(spark):
     first = rows(links.filter("url = 'http://n.example/news/g/'"), "elem_seq", "title")
     # reading stops after the first story that follows the index run
     assert [t for _, t in first] == ["a", "1", "2", "3", "late"]
+
+
+def test_numbered_fixpoint_equals_stepwise_with_inconsistent_numbers(spark):
+    # number 3 points to two different pages; first wins by page order
+    pages = pages_df(spark, [
+        (1, f"{NB}/news/g/", _num_page(["a"], [1, 2])),
+        (2, f"{NB}/news/g/list_2.htm",
+         '<html><body><p><a href="/news/g/b.htm">b</a></p>'
+         '<a href="/news/g/list_3b.htm">3</a><a href="/news/g/list_3.htm">3</a>'
+         '<a href="/news/g/list_4.htm">4</a><a href="/news/g/z.htm">z</a></body></html>'),
+        (3, f"{NB}/news/g/list_3.htm", _num_page(["c"], [5])),
+        (4, f"{NB}/news/g/list_3b.htm", _num_page(["c2"], [3])),
+        (5, f"{NB}/news/g/list_4.htm", _num_page(["d"], [4, 5])),
+        (6, f"{NB}/news/g/list_5.htm", _num_page(["e"], [5])),
+    ])
+    seeds = category_seeds(spark, {"g": f"{NB}/news/g/"})
+    a = rows(P.follow_numbered(pages, seeds), "page_no", "url")
+    b = rows(P.follow_numbered_stepwise(pages, seeds), "page_no", "url")
+    assert a == b
+    assert a[2] == (3, f"{NB}/news/g/list_3b.htm") and [r[0] for r in a] == [1, 2, 3, 4, 5]
