@@ -38,7 +38,10 @@ def _landed(df: DataFrame, pages: DataFrame, col: str) -> DataFrame:
 def label_edges(pages: DataFrame, label: str = "下一页") -> DataFrame:
     """I1's edges: the first link labelled ``label`` on each page, resolved
     against the page url, kept only when it leads to a landed page."""
-    a = extract_anchors(pages.select("page_id", "url", "html"))
+    # only a page whose html holds the label can have a next link: a plain
+    # substring test (no regex) drops story pages before the anchor scan
+    listing = pages.select("page_id", "url", "html").filter(F.col("html").contains(label))
+    a = extract_anchors(listing)
     nxt = next_page_link(a, label, part=("page_id", "url"))
     e = nxt.select(F.col("url").alias("u"), resolve_href("url", "next_href").alias("v"))
     return _landed(e, pages, "v")
@@ -124,7 +127,10 @@ def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
 
     answers: (url, next_page) - one parsed answer per listing page (X2c).
     """
-    a = extract_anchors(pages.select("page_id", "url", "html"))
+    asked = pages.select("page_id", "url", "html").join(
+        answers.select(F.col("url").alias("_au")).distinct(), F.col("url") == F.col("_au"),
+        "left_semi")
+    a = extract_anchors(asked)
     held = a.select(F.col("url").alias("_u"), resolve_href("url", "href").alias("_v"))
     cand = answers.select(F.col("url").alias("u"), py_strip("next_page").alias("v")) \
                   .filter(F.col("v") != "")
@@ -148,7 +154,9 @@ def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
     the href prefix, so this is computed once for all pages, before any walk.
     -> (url, suffix, elem_seq, title, link_url, is_index)
     """
-    a = extract_anchors(pages.select("page_id", "url", "html"))
+    # pages without the site prefix in their html have no such links
+    listing = pages.select("page_id", "url", "html").filter(F.col("html").contains(site_prefix))
+    a = extract_anchors(listing)
     a = a.withColumn("title", F.col("text"))
     seg = F.regexp_extract(F.col("href"), "^" + site_prefix + "([^/]+)/", 1)
     a = a.withColumn("suffix", seg).filter(F.col("suffix") != "")

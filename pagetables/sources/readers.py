@@ -32,8 +32,24 @@ COMPLETIONS_SCHEMA = T.StructType([
 ])
 
 
+# The driver tables whose rows are long texts (per-row work is heavy).
+WIDE_TABLES = ("pages", "documents", "conversations", "embeddings")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan has fewer splits than cores.
+
+    A small file with one row group is read by one task, and every
+    per-row stage after it (regex over html, the Python parse) would run
+    in that task.  At scale a table has many files and this is a no-op.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in WIDE_TABLES else df
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
