@@ -211,3 +211,28 @@ def exclude_recent(links: DataFrame, recent: DataFrame, title: str = "title",
 def attach_category(df: DataFrame, categories: DataFrame, on: str = "category_no") -> DataFrame:
     """Page -> category.  ``categories`` is the seed literal (bounded): broadcast."""
     return df.join(F.broadcast(categories.select(on, "category")), on)
+
+
+def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,
+                        min_links: int = 10) -> DataFrame:
+    """F15 (+ F16, F14): categories a home page really links to and that lead to
+    listing pages with more than ``min_links`` distinct story links.
+
+    home_anchors: (page_id, url, elem_seq, href, text) of the home page(s);
+    story_prefix: a str or Column (over the candidate page's url) that story
+    hrefs start with.  -> (category, url, n_links)
+    """
+    from pagetables.functions.text import resolve_href
+    from pagetables.operators.html import extract_anchors
+    cand = home_anchors.select(F.col("text").alias("category"),
+                               resolve_href("url", "href").alias("cat_url"))
+    cand = valid_urls(cand, pages, "cat_url")
+    linked = pages.join(cand.select(F.col("cat_url").alias("url")).distinct(), "url",
+                        "left_semi")
+    a = extract_anchors(linked.select("page_id", "url", "html"))
+    p = F.lit(story_prefix) if isinstance(story_prefix, str) else story_prefix
+    n = (a.filter(F.col("href").startswith(p))
+          .groupBy(F.col("url").alias("cat_url"))
+          .agg(F.countDistinct("href").alias("n_links"))
+          .filter(F.col("n_links") > min_links))
+    return cand.join(n, "cat_url").select("category", F.col("cat_url").alias("url"), "n_links")

@@ -1339,3 +1339,38 @@ def follow_validated_q(spark, sf):
                                             F.lit("list_999.html")))
                               .otherwise(F.col("real")).alias("next_page")))
     return P.follow_validated(site, seeds, ans).select("category_no", "page_no", "url")
+
+
+# Fixed value: the story-link threshold of the discovery query (the reference
+# asks for "more than 10"; the derived listing pages are shorter).
+DISCOVER_MIN = 3
+
+
+@register("discover_categories", f"""
+WITH {_LINES_SQL},
+nav AS (  -- pager links of each seed page that lead to a landed listing page
+  SELECT conv_id, turn + 1 AS tgt, '{S.NEXT_LABEL}' AS lab FROM turns
+  WHERE turn = 0 AND turn < last_turn AND role <> 'system'
+  UNION ALL
+  SELECT conv_id, last_turn, '{S.LAST_LABEL}' FROM turns WHERE turn = 0 AND last_turn >= 1),
+nl AS (SELECT conv_id, turn, count(DISTINCT i) AS n FROM lines GROUP BY ALL)
+SELECT nav.lab AS category, {_label_url('nav.conv_id', 'nav.tgt')} AS url, nl.n AS n_links
+FROM nav JOIN nl ON nl.conv_id = nav.conv_id AND nl.turn = nav.tgt
+WHERE nl.n > {DISCOVER_MIN}
+""")
+def discover_categories_q(spark, sf):
+    """listing pages that seed pages link to, landed and holding > 3 story links."""
+    site, seeds = _label(spark, sf)
+    home = site.join(seeds.select("url"), "url")
+    a = H.extract_anchors(home).filter(~F.col("href").startswith("/"))
+    return L.discover_categories(a, site, "/c", DISCOVER_MIN)
+
+
+@register("story_csv_from_answers", ORACLES["story_table_from_answers"])
+def story_csv_from_answers_q(spark, sf):
+    """Q3 + K3: the answer-driven story table written as CSV (fixed field order) and read back."""
+    from pagetables.plans.pipelines import story_table_from_answers
+    st = story_table_from_answers(_completions(spark, sf))
+    path = scratch_path(spark, "stories-k3")
+    W.write_stories_csv(st, path, W.STORY_COLUMNS_C)
+    return R.read_stories_csv(spark, path, W.STORY_COLUMNS_C)

@@ -92,10 +92,19 @@ def category_seeds(spark: SparkSession, mapping) -> DataFrame:
     return spark.createDataFrame(rows, CATEGORY_SCHEMA)
 
 
-def read_stories_csv(spark: SparkSession, path: str, columns) -> DataFrame:
-    """Read a stories CSV written by ``write_stories_csv``."""
+def read_stories_csv(spark: SparkSession, path: str, columns,
+                     empty_as_null: bool = False) -> DataFrame:
+    """Read a stories CSV written by ``write_stories_csv``.
+
+    Story fields are never NULL (missing ones are ''), so by default an
+    empty field reads back as '' (Spark would read both ``""`` and an empty
+    field as NULL).
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (spark.read.schema(schema)
+    r = spark.read
+    if not empty_as_null:
+        r = r.option("nullValue", "\u0000")
+    return (r.schema(schema)
                  .option("header", True).option("multiLine", True)
                  .option("escape", '"').option("quote", '"')
                  .option("ignoreLeadingWhiteSpace", False)
