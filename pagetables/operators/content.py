@@ -89,12 +89,14 @@ def with_full_page_fallback(df: DataFrame, links_col: str, full_col: str,
     """use the links-only extraction unless it came back empty; once the
     full page was needed, keep using it for every later page (sticky switch).
 
-    The switch is a running ``max`` over page order, so it is per category
-    chain here (the reference keeps it across categories; pass ``part=()``
-    for that).
+    The switch is a running ``max`` over page order within a category chain
+    (the reference keeps it across categories; one global order would put
+    every page through one task, so ``part`` is required).
     """
+    if not part:
+        raise ValueError("with_full_page_fallback needs partition columns")
     empty = (F.coalesce(F.size(links_col), F.lit(0)) <= 0).cast("int")
-    w = (Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(*order)
     sticky = F.max(empty).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return (df.withColumn("full_page", sticky == 1)
               .withColumn(out, F.when(F.col("full_page"), F.col(full_col))
