@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.functions.text import is_digits, py_strip
+from pagetables.session import small_side
 
 ORDER_COLS = ["category_no", "page_no", "phase", "elem_seq"]
 
@@ -209,8 +210,8 @@ def exclude_recent(links: DataFrame, recent: DataFrame, title: str = "title",
 
 
 def attach_category(df: DataFrame, categories: DataFrame, on: str = "category_no") -> DataFrame:
-    """Page -> category.  ``categories`` is the seed literal (bounded): broadcast."""
-    return df.join(F.broadcast(categories.select(on, "category")), on)
+    """Page -> category; the seed table is broadcast when its size check passes."""
+    return df.join(small_side(categories.select(on, "category")), on)
 
 
 def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,

@@ -17,6 +17,7 @@ from pagetables.functions import text as TX
 from pagetables.operators import html as H
 from pagetables.operators import links as L
 from pagetables.plans import sqlfrag as Q
+from pagetables.session import small_side
 from pagetables.sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -342,13 +343,17 @@ _TITLE = Q.lit(S.TITLE_RE)
 
 
 def _label(spark, sf):
+    """The derived label site, written once to the shared checkpoint folder
+    (a walk reads it several times per round)."""
+    from pagetables.session import cut_lineage
     conv = read_table(spark, sf, "conversations")
-    return S.label_site(conv), S.label_categories(conv)
+    return cut_lineage(S.label_site(conv)), S.label_categories(conv)
 
 
 def _number(spark, sf):
+    from pagetables.session import cut_lineage
     conv = read_table(spark, sf, "conversations")
-    return S.number_site(conv), S.number_categories(conv)
+    return cut_lineage(S.number_site(conv)), S.number_categories(conv)
 
 
 _LINES_SQL = f"""
@@ -1265,7 +1270,7 @@ def attach_category_q(spark, sf):
     seeds = R.category_seeds(spark, PAGE_CATEGORIES)
     p = read_table(spark, sf, "pages").select(
         "page_id", TX.url_path_segment("url", 1).alias("category"))
-    return p.join(F.broadcast(seeds.select("category", "category_no")), "category") \
+    return p.join(small_side(seeds.select("category", "category_no")), "category") \
             .select("page_id", "category_no", "category")
 
 

@@ -27,7 +27,7 @@ from pagetables.operators.html import extract_anchors
 from pagetables.operators.links import (dedup_first, drop_ignored_titles,
                                         links_with_prefix, next_page_link,
                                         take_through_index)
-from pagetables.session import cut_lineage
+from pagetables.session import cut_lineage, small_side
 
 
 def _landed(df: DataFrame, pages: DataFrame, col: str) -> DataFrame:
@@ -118,7 +118,7 @@ def follow_next(pages: DataFrame, seeds: DataFrame, label: str = "下一页",
         w = walk_chains_recursive(s, edges, pages, max_pages or 1000)
     else:
         w = walk_chains(s, edges, pages, max_pages)
-    return w.join(F.broadcast(seeds.select("category_no", "category")), "category_no")
+    return w.join(small_side(seeds.select("category_no", "category")), "category_no")
 
 
 def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
@@ -138,7 +138,7 @@ def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
                       "left_semi")
     edges = _landed(valid, pages, "v")
     w = walk_chains(seeds.select("category_no", "url"), edges, pages, max_pages)
-    return w.join(F.broadcast(seeds.select("category_no", "category")), "category_no")
+    return w.join(small_side(seeds.select("category_no", "category")), "category_no")
 
 
 # ---------------------------------------------------------------------------
@@ -175,8 +175,8 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
 
     All categories advance together, one round per page number.  The
     per-page link table is built once (JVM regex) and checkpointed; a round
-    joins the current frontier (one row per live category, a bounded
-    literal of the driver program, so broadcast) to it.
+    joins the current frontier (one row per live category, broadcast when
+    its size check passes) to it.
     seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id)
     """
     from pagetables.functions.text import url_suffix
@@ -188,11 +188,12 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
     front = cats.join(live, F.col("url") == F.col("_live"), "left_semi") \
                 .select("category_no", "suffix", "url", F.lit(1).alias("page_no"))
     visited = cut_lineage(front)
+    cats_b = small_side(cats.select("category_no", "suffix"))
     index = None
     n = 1
     while n < max_pages:
         # index entries listed on the pages reached in this round
-        got = (links.join(F.broadcast(front.select("url", "suffix", "page_no",
+        got = (links.join(small_side(front.select("url", "suffix", "page_no",
                                                    "category_no")), ["url", "suffix"])
                     .select("category_no", F.col("title").alias("number"),
                             "link_url", F.col("page_no").alias("listed_on"), "elem_seq"))
@@ -206,7 +207,7 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
                     .groupBy("category_no")
                     .agg(F.min_by("link_url", F.struct("listed_on", "elem_seq")).alias("url")))
         nxt = nxt.join(live, F.col("url") == F.col("_live"), "left_semi")
-        front = cut_lineage(nxt.join(F.broadcast(cats.select("category_no", "suffix")),
+        front = cut_lineage(nxt.join(cats_b,
                                      "category_no")
                                .select("category_no", "suffix", "url",
                                        F.lit(want).alias("page_no")))
@@ -216,7 +217,7 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
         n = want
     pid = pages.select(F.col("url"), "page_id").dropDuplicates(["url"])
     return (visited.join(pid, "url")
-                   .join(F.broadcast(seeds.select("category_no", "category")), "category_no")
+                   .join(small_side(seeds.select("category_no", "category")), "category_no")
                    .select("category_no", "category", "page_no", "url", "page_id"))
 
 
@@ -252,16 +253,16 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
     links = cut_lineage(
         links.filter(num.isNotNull() & (num.cast("string") == F.col("title")))
              .select("url", "suffix", "elem_seq", num.alias("m"), "link_url"))
-    cats = seeds.select("category_no", url_suffix("url").alias("suffix"))
+    cats = small_side(seeds.select("category_no", url_suffix("url").alias("suffix")))
     live = pages.select(F.col("url").alias("_live")).distinct()
     seed_rows = seeds.select("category_no", F.lit(1).alias("page_no"), "url")
     bounded = (F.col("m") >= 2) & (F.col("m") <= max_pages)
-    guess = (links.filter(bounded).join(F.broadcast(cats), "suffix")
+    guess = (links.filter(bounded).join(cats, "suffix")
                   .groupBy("category_no", F.col("m").alias("page_no"))
                   .agg(F.min("link_url").alias("url")))
     cur = cut_lineage(_walk_prefix(seed_rows.unionByName(guess), live))
     for _ in range(max_rounds or max_pages + 1):
-        ent = (cur.join(F.broadcast(cats), "category_no")
+        ent = (cur.join(cats, "category_no")
                   .join(links, ["url", "suffix"])
                   .filter(bounded & (F.col("page_no") < F.col("m"))))
         nxt = (ent.groupBy("category_no", F.col("m").alias("page_no"))
@@ -272,7 +273,7 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
         cur = new
     pid = pages.select("url", "page_id").dropDuplicates(["url"])
     return (cur.join(pid, "url")
-               .join(F.broadcast(seeds.select("category_no", "category")), "category_no")
+               .join(small_side(seeds.select("category_no", "category")), "category_no")
                .select("category_no", "category", "page_no", "url", "page_id"))
 
 

@@ -12,7 +12,7 @@ from pagetables.operators.content import fetch_pages, paragraph_after_title
 from pagetables.operators.links import (dedup_first, dedup_last, drop_ignored_titles,
                                         exclude_recent, recent_links, union_recent)
 from pagetables.plans.paginate import follow_next, follow_numbered, numbered_page_links
-from pagetables.session import cut_lineage
+from pagetables.session import cut_lineage, small_side
 from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 
@@ -30,7 +30,7 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
         chain.select("page_id", "category_no", "page_no"), "page_id")
     a = H.extract_anchors(listing.withColumn("url", F.lit(None).cast("string")),
                           keep_cols=("category_no", "page_no"))
-    a = a.join(F.broadcast(cat), "category_no")
+    a = a.join(small_side(cat), "category_no")
     a = a.filter(F.col("href").startswith(F.col("prefix")))
     a = a.withColumn("title", F.col("text"))
     a = drop_ignored_titles(a, list(ignore))
@@ -44,7 +44,7 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     p1_pages = pages.join(p1, "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
-    rec = rec.join(p1, "page_id").join(F.broadcast(cat), "category_no")
+    rec = rec.join(p1, "page_id").join(small_side(cat), "category_no")
     rec = recent_links(rec, F.col("suffix")).withColumn("title", py_strip("text"))
     rec = drop_ignored_titles(rec, list(ignore))
     rec = rec.select("title", F.concat(base, F.substring("href", 2, 1 << 30)).alias("url"),
@@ -78,7 +78,7 @@ def number_links(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int =
     w = walked.select("url", "category_no", "category", "page_no",
                       url_suffix(F.col("url")).alias("_s"))
     sfx = seeds.select("category_no", url_suffix("url").alias("suffix"))
-    got = (links.join(w.drop("_s"), "url").join(F.broadcast(sfx), ["category_no", "suffix"])
+    got = (links.join(w.drop("_s"), "url").join(small_side(sfx), ["category_no", "suffix"])
                 .select("title", F.col("link_url").alias("url"), "category", "category_no",
                         "page_no", "elem_seq"))
     return dedup_first(got, "title", order=("category_no", "page_no", "elem_seq"),

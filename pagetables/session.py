@@ -76,3 +76,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+# Fixed value: rows a side may have to be broadcast by name (seed tables are
+# literals of a few rows; a derived seed table may be large).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def small_side(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``df`` only if it is proven small (at most ``max_rows`` rows,
+    counted on at most ``max_rows + 1`` of them); otherwise return it as is,
+    and the join shuffles (or AQE picks a broadcast from the measured size)."""
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
