@@ -71,6 +71,7 @@ ELEMENT_SCHEMA = T.StructType([
     T.StructField("elem_seq", T.IntegerType()),
     T.StructField("parent_seq", T.IntegerType()),
     T.StructField("depth", T.IntegerType()),
+    T.StructField("outer_seq", T.IntegerType()),
     T.StructField("tag", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),
@@ -135,8 +136,8 @@ class _Shredder(HTMLParser):
         self.exclude = [_parse_selector(s) for s in exclude]
         self.target = [_parse_selector(s) for s in target]
         self.with_text = with_text
-        self.rows = []          # (seq, parent, depth, tag, attrs, text)
-        self.stack = []         # [seq, tag, attrs, chunk_start, excluded, depth]
+        self.rows = []          # (seq, parent, depth, outer, tag, attrs, text)
+        self.stack = []         # [seq, tag, attrs, chunk_start, excluded, depth, targeted]
         self.chunks = []
         self.seq = 0
         self.excluded_depth = 0
@@ -152,22 +153,24 @@ class _Shredder(HTMLParser):
         seq = self.seq
         self.seq += 1
         depth = len(self.stack)
+        # outermost open element with the same tag (-1: not nested in one)
+        outer = next((e[0] for e in self.stack if e[1] == tag), -1)
         if void:
             if not (excluded or self.excluded_depth):
-                self._emit(seq, self._parent(), depth, tag, attrs, "")
+                self._emit(seq, self._parent(), depth, outer, tag, attrs, "")
             return
-        self.stack.append([seq, tag, attrs, len(self.chunks), excluded, depth, targeted])
+        self.stack.append([seq, tag, attrs, len(self.chunks), excluded, depth, targeted, outer])
         if excluded:
             self.excluded_depth += 1
         if targeted:
             self.target_depth += 1
 
-    def _emit(self, seq, parent, depth, tag, attrs, text):
+    def _emit(self, seq, parent, depth, outer, tag, attrs, text):
         if self.keep_tags is None or tag in self.keep_tags:
-            self.rows.append((seq, parent, depth, tag, attrs, text))
+            self.rows.append((seq, parent, depth, outer, tag, attrs, text))
 
     def _close_top(self):
-        seq, tag, attrs, start, excluded, depth, targeted = self.stack.pop()
+        seq, tag, attrs, start, excluded, depth, targeted, outer = self.stack.pop()
         parent = self._parent()
         if excluded:
             self.excluded_depth -= 1
@@ -175,7 +178,7 @@ class _Shredder(HTMLParser):
             self.target_depth -= 1
         if not (excluded or self.excluded_depth):
             text = "".join(self.chunks[start:]) if self.with_text else None
-            self._emit(seq, parent, depth, tag, attrs, text)
+            self._emit(seq, parent, depth, outer, tag, attrs, text)
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, tag in VOID_TAGS)
@@ -210,18 +213,18 @@ class _Shredder(HTMLParser):
 def _shred_batches(keep_tags, exclude, target, with_text):
     def run(batches):
         for pdf in batches:
-            out = {k: [] for k in ("page_id", "elem_seq", "parent_seq", "depth", "tag",
-                                   "attrs", "text")}
+            out = {k: [] for k in ELEMENT_SCHEMA.fieldNames()}
             for pid, html in zip(pdf["page_id"], pdf["html"]):
                 if html is None:
                     continue
                 p = _Shredder(keep_tags, exclude, target, with_text)
                 p.feed(html)
-                for seq, parent, depth, tag, attrs, text in p.finish():
+                for seq, parent, depth, outer, tag, attrs, text in p.finish():
                     out["page_id"].append(pid)
                     out["elem_seq"].append(seq)
                     out["parent_seq"].append(parent)
                     out["depth"].append(depth)
+                    out["outer_seq"].append(outer)
                     out["tag"].append(tag)
                     out["attrs"].append(attrs)
                     out["text"].append(text)
@@ -347,18 +350,15 @@ def main_text(pages: DataFrame, exclude=tuple(NON_MAIN_TAGS) + tuple(FURNITURE_S
               ) -> DataFrame:
     """Main text without header/footer/nav/aside/furniture -> (page_id, text).
 
-    Paragraph texts (``<p>``, not nested in another kept ``<p>``) joined in
-    document order with a newline.
+    Texts of the outermost ``<p>`` elements (a paragraph inside another one,
+    at any depth, is already part of its text), whitespace collapsed, joined
+    in document order with a newline.  One group per page.
     """
-    el = shred_elements(pages, tags=["p"], exclude=exclude)
-    top = el.alias("c").join(el.select(F.col("page_id").alias("pp"),
-                                       F.col("elem_seq").alias("ps")).alias("p"),
-                             (F.col("c.page_id") == F.col("p.pp"))
-                             & (F.col("c.parent_seq") == F.col("p.ps")), "left_anti")
-    return (top.groupBy("page_id")
-               .agg(F.array_join(F.transform(
-                   F.array_sort(F.collect_list(F.struct("elem_seq", "text"))),
-                   lambda s: collapse_space(s["text"])), "\n").alias("text")))
+    el = shred_elements(pages, tags=["p"], exclude=exclude).filter(F.col("outer_seq") == -1)
+    return (el.groupBy("page_id")
+              .agg(F.array_join(F.transform(
+                  F.array_sort(F.collect_list(F.struct("elem_seq", "text"))),
+                  lambda s: collapse_space(s["text"])), "\n").alias("text")))
 
 
 # ---------------------------------------------------------------------------

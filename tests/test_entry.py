@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"page_snapshot", "main_text", "byline_author", "paragraphs", "semantic_chunks"}
+ROWS_ONLY = {"page_snapshot", "semantic_chunks"}
 
 
 def test_every_query_has_an_oracle_or_is_known_rows_only():

@@ -99,3 +99,8 @@ def test_byline_and_main_text(spark):
     assert rows(H.byline_author(el, p), "page_id", "author") == [(1, "Site Staff"), (2, "")]
     mt = rows(H.main_text(p), "page_id", "text")
     assert mt == [(1, "By: Jane Doe\nPara one.\nPara two."), (2, "no byline")]
+
+
+def test_main_text_skips_paragraphs_nested_through_other_tags(spark):
+    p = pages_df(spark, [(1, "u", NESTED)])
+    assert rows(H.main_text(p), "text") == [("The Title hereStory text.More.",)]
