@@ -298,12 +298,42 @@ def links_section_q(spark, sf):
                 .select("page_id", H.links_section(F.col("snapshot")).alias("links_text")))
 
 
-@register("page_snapshot", None)
+_BLOCK_RE = Q.lit("(?i)</?(" + "|".join(sorted(H.BLOCK_TAGS)) + ")\\b[^>]*>")
+
+
+@register("page_snapshot", f"""
+WITH {Q.anchors_cte()},
+s AS (SELECT page_id, url, {_strip_sql()} AS h FROM pages),
+b AS (SELECT page_id, url,
+        {Q.collapse_space(Q.unescape("regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1)"))} AS title,
+        regexp_replace(regexp_replace(regexp_replace(h, '(?is)<head\\b.*?</head>', '', 'g'),
+                                      {Q.lit('(?is)<div class="ad">.*?</div>')}, '', 'g'),
+                       {_BLOCK_RE}, chr(10), 'g') AS hb
+      FROM s),
+sp AS (SELECT page_id, string_split({Q.strip_tags('hb')}, chr(10)) AS ls FROM b),
+l AS (SELECT page_id, unnest(ls) AS line, unnest(range(len(ls))) AS li FROM sp),
+body AS (SELECT page_id, string_agg(cl, chr(10) ORDER BY li) AS body
+         FROM (SELECT page_id, li, {Q.collapse_space('line')} AS cl FROM l) WHERE cl <> ''
+         GROUP BY page_id),
+lk AS (SELECT page_id, string_agg('- [' || {Q.collapse_space('text')} || '](' ||
+                                  {Q.url_origin('url')} || href || ')', chr(10) ORDER BY elem_seq) AS lt
+       FROM anchors GROUP BY page_id)
+SELECT b.page_id, b.title,
+  'Title: ' || b.title || chr(10) || chr(10) || 'URL Source: ' || b.url || chr(10) || chr(10) ||
+  'Markdown Content:' || chr(10) || coalesce(body.body, '') || chr(10) || chr(10) ||
+  'Links/Buttons:' || chr(10) || coalesce(lk.lt, '') || chr(10) || chr(10) || 'Images:' || chr(10)
+    AS snapshot
+FROM b LEFT JOIN body USING (page_id) LEFT JOIN lk USING (page_id)
+""")
 def page_snapshot_q(spark, sf):
-    """Snapshot text of every page (furniture removed, images listed)."""
+    """Snapshot text of every page (furniture removed, links and images listed).
+
+    The oracle restates the rendering rule: block tags break lines, lines
+    are whitespace-collapsed and empty ones dropped, the head and the
+    furniture do not show."""
     snap = H.page_snapshot(read_table(spark, sf, "pages"), exclude=H.FURNITURE_SELECTORS,
-                           links_at_end=True, images_at_end=True, as_struct=True)
-    return snap.select("page_id", "title", "snapshot", F.to_json("record").alias("record"))
+                           links_at_end=True, images_at_end=True)
+    return snap.select("page_id", "title", "snapshot")
 
 
 @register("main_text", f"""
@@ -956,7 +986,42 @@ def adjacent_chunk_similarity_q(spark, sf):
                 .select("doc_id", "chunk_no", F.round("sim", 6).alias("sim")))
 
 
-@register("semantic_chunks", None)
+_MERGE_COS = "CASE WHEN list_dot_product(vecs[k], vecs[k]) > 0 AND list_dot_product(vecs[k + 1], vecs[k + 1]) > 0 THEN round(list_dot_product(vecs[k], vecs[k + 1]) / (sqrt(list_dot_product(vecs[k], vecs[k])) * sqrt(list_dot_product(vecs[k + 1], vecs[k + 1]))), 12) ELSE 0.0 END"
+
+
+@register("semantic_chunks", f"""
+WITH {_segments_sql()},
+_cw AS (SELECT doc_id, chunk_no, regexp_split_to_array(chunk, {_WS}) AS arr FROM chunks),
+_cwd AS (SELECT doc_id, chunk_no, unnest(arr) AS token FROM _cw),
+cc AS (SELECT doc_id, chunk_no, {_bucket_sql('token', EMBED_DIM)} AS dim, CAST(count(*) AS DOUBLE) AS cnt
+       FROM _cwd WHERE token <> '' GROUP BY ALL),
+dense AS (SELECT c.doc_id, c.chunk_no, list(coalesce(cc.cnt, 0.0) ORDER BY d.dim) AS vec
+          FROM chunks c CROSS JOIN range({EMBED_DIM}) d(dim)
+          LEFT JOIN cc ON cc.doc_id = c.doc_id AND cc.chunk_no = c.chunk_no AND cc.dim = d.dim
+          GROUP BY c.doc_id, c.chunk_no),
+docs AS (SELECT c.doc_id, list(c.chunk ORDER BY c.chunk_no) AS texts, list(d.vec ORDER BY c.chunk_no) AS vecs,
+                list(c.chunk_no ORDER BY c.chunk_no) AS firsts, list(c.chunk_no ORDER BY c.chunk_no) AS lasts
+         FROM chunks c JOIN dense d USING (doc_id, chunk_no) GROUP BY c.doc_id),
+m AS (
+  WITH RECURSIVE r(doc_id, texts, vecs, firsts, lasts) AS (
+    SELECT * FROM docs
+    UNION ALL
+    SELECT doc_id,
+      list_concat(list_slice(texts, 1, i - 1), [texts[i] || ' ' || texts[i + 1]],
+                  list_slice(texts, i + 2, len(texts))),
+      list_concat(list_slice(vecs, 1, i - 1),
+                  [list_transform(list_zip(vecs[i], vecs[i + 1]), lambda x: x[1] + x[2])],
+                  list_slice(vecs, i + 2, len(vecs))),
+      list_concat(list_slice(firsts, 1, i), list_slice(firsts, i + 2, len(firsts))),
+      list_concat(list_slice(lasts, 1, i - 1), [lasts[i + 1]], list_slice(lasts, i + 2, len(lasts)))
+    FROM (SELECT *, list_position(sims, list_max(sims)) AS i
+          FROM (SELECT *, list_transform(range(1, len(vecs)), lambda k: {_MERGE_COS}) AS sims
+                FROM r WHERE len(texts) > {MERGE_TARGET})))
+  SELECT doc_id, texts, firsts, lasts FROM r WHERE len(texts) <= {MERGE_TARGET})
+SELECT doc_id, CAST(k - 1 AS INTEGER) AS chunk_no, CAST(firsts[k] AS INTEGER) AS first_chunk,
+       CAST(lasts[k] AS INTEGER) AS last_chunk, texts[k] AS chunk
+FROM (SELECT *, unnest(range(1, len(texts) + 1)) AS k FROM m)
+""")
 def semantic_chunks_q(spark, sf):
     """Merge neighbouring chunks by similarity until 5 remain."""
     ch = V.segment_texts(read_table(spark, sf, "documents"), "doc_id", "text", CHUNK_CHARS)
