@@ -31,10 +31,19 @@ from pagetables.session import cut_lineage, small_side
 
 
 def _landed(df: DataFrame, pages: DataFrame, col: str) -> DataFrame:
-    live = pages.select(F.col("url").alias("_live")).distinct()
+    """Rows whose ``col`` is a landed page url (a semi join needs no distinct)."""
+    live = pages.select(F.col("url").alias("_live"))
     return df.join(live, F.col(col) == F.col("_live"), "left_semi")
 
 
+def _with_page_id(df: DataFrame, pages: DataFrame, keys) -> DataFrame:
+    """Attach page_id by url; a url landed twice keeps its smallest page_id.
+
+    The dedup runs on the (small) joined result, not on the page table."""
+    j = df.join(pages.select("url", "page_id"), "url")
+    return j.groupBy(*keys, "url").agg(F.min("page_id").alias("page_id"))
+
+
 def label_edges(pages: DataFrame, label: str = "下一页") -> DataFrame:
     """I1's edges: the first link labelled ``label`` on each page, resolved
     against the page url, kept only when it leads to a landed page."""
@@ -43,10 +52,18 @@ def label_edges(pages: DataFrame, label: str = "下一页") -> DataFrame:
     listing = pages.select("page_id", "url", "html").filter(F.col("html").contains(label))
     a = extract_anchors(listing)
     nxt = next_page_link(a, label, part=("page_id", "url"))
-    e = nxt.select(F.col("url").alias("u"), resolve_href("url", "next_href").alias("v"))
+    e = nxt.select(F.col("url").alias("u"), resolve_href("url", "next_href").alias("v"),
+                   "page_id")
     return _landed(e, pages, "v")
 
 
+def _one_edge_per_page(edges: DataFrame) -> DataFrame:
+    """At most one successor per url: a url landed twice follows its smallest page_id."""
+    if "page_id" in edges.columns:
+        return edges.groupBy("u").agg(F.min_by("v", "page_id").alias("v"))
+    return edges.groupBy("u").agg(F.min("v").alias("v"))
+
+
 def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
                 max_pages: int | None = None, key: str = "category_no") -> DataFrame:
     """Pointer-doubling walk.
@@ -56,7 +73,7 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
     """
     r = _landed(seeds.select(key, F.col("url").alias("node")), pages, "node") \
         .withColumn("d", F.lit(0).cast("long"))
-    j = edges.select("u", "v").dropDuplicates(["u"])
+    j = _one_edge_per_page(edges)
     r = cut_lineage(r)
     j = cut_lineage(j)
     step = 1
@@ -70,7 +87,8 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
         new = cut_lineage(new)
         if new.isEmpty():
             break
-        r = cut_lineage(r.unionByName(new))
+        # r stays a union of checkpointed pieces: its plan grows by one leaf per round
+        r = r.unionByName(new)
         if max_pages is not None and 2 * step >= max_pages:
             break
         # J_{k+1}(u) = J_k(J_k(u))
@@ -78,10 +96,8 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
               .select(F.col("a.u").alias("u"), F.col("b.v").alias("v"))
         j = cut_lineage(j2)
         step *= 2
-    out = r.join(pages.select(F.col("url").alias("node"), "page_id").dropDuplicates(["node"]),
-                 "node")
-    return out.select(key, (F.col("d") + 1).cast("int").alias("page_no"),
-                      F.col("node").alias("url"), "page_id")
+    out = _with_page_id(r.withColumnRenamed("node", "url"), pages, [key, "d"])
+    return out.select(key, (F.col("d") + 1).cast("int").alias("page_no"), "url", "page_id")
 
 
 def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
@@ -90,8 +106,8 @@ def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
     spark = seeds.sparkSession
     _landed(seeds.select(key, F.col("url").alias("node")), pages, "node") \
         .createOrReplaceTempView("_pt_seeds")
-    edges.select("u", "v").dropDuplicates(["u"]).createOrReplaceTempView("_pt_edges")
-    pages.select("url", "page_id").dropDuplicates(["url"]).createOrReplaceTempView("_pt_pages")
+    _one_edge_per_page(edges).createOrReplaceTempView("_pt_edges")
+    pages.select("url", "page_id").createOrReplaceTempView("_pt_pages")
     out = spark.sql(f"""
       WITH RECURSIVE w({key}, node, d, seen) MAX RECURSION LEVEL {max_pages + 1} AS (
         SELECT {key}, node, 0L, array(node) FROM _pt_seeds
@@ -100,8 +116,9 @@ def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
         FROM w JOIN _pt_edges e ON w.node = e.u
         WHERE NOT array_contains(w.seen, e.v) AND w.d + 1 < {max_pages}
       )
-      SELECT w.{key}, CAST(w.d + 1 AS INT) AS page_no, w.node AS url, p.page_id
+      SELECT w.{key}, CAST(w.d + 1 AS INT) AS page_no, w.node AS url, min(p.page_id) AS page_id
       FROM w JOIN _pt_pages p ON p.url = w.node
+      GROUP BY w.{key}, w.d, w.node
     """)
     return out
 
@@ -128,7 +145,7 @@ def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
     answers: (url, next_page) - one parsed answer per listing page (X2c).
     """
     asked = pages.select("page_id", "url", "html").join(
-        answers.select(F.col("url").alias("_au")).distinct(), F.col("url") == F.col("_au"),
+        answers.select(F.col("url").alias("_au")), F.col("url") == F.col("_au"),
         "left_semi")
     a = extract_anchors(asked)
     held = a.select(F.col("url").alias("_u"), resolve_href("url", "href").alias("_v"))
@@ -184,7 +201,7 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
                         .filter("is_index"))
     cats = seeds.select("category_no", "category", "url",
                         url_suffix("url").alias("suffix"))
-    live = pages.select(F.col("url").alias("_live")).distinct()
+    live = pages.select(F.col("url").alias("_live"))
     front = cats.join(live, F.col("url") == F.col("_live"), "left_semi") \
                 .select("category_no", "suffix", "url", F.lit(1).alias("page_no"))
     visited = cut_lineage(front)
@@ -215,8 +232,8 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
             break
         visited = visited.unionByName(front)
         n = want
-    pid = pages.select(F.col("url"), "page_id").dropDuplicates(["url"])
-    return (visited.join(pid, "url")
+    return (_with_page_id(visited.select("category_no", "page_no", "url"), pages,
+                          ["category_no", "page_no"])
                    .join(small_side(seeds.select("category_no", "category")), "category_no")
                    .select("category_no", "category", "page_no", "url", "page_id"))
 
@@ -254,7 +271,7 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
         links.filter(num.isNotNull() & (num.cast("string") == F.col("title")))
              .select("url", "suffix", "elem_seq", num.alias("m"), "link_url"))
     cats = small_side(seeds.select("category_no", url_suffix("url").alias("suffix")))
-    live = pages.select(F.col("url").alias("_live")).distinct()
+    live = pages.select(F.col("url").alias("_live"))
     seed_rows = seeds.select("category_no", F.lit(1).alias("page_no"), "url")
     bounded = (F.col("m") >= 2) & (F.col("m") <= max_pages)
     guess = (links.filter(bounded).join(cats, "suffix")
@@ -271,8 +288,7 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
         if new.exceptAll(cur).union(cur.exceptAll(new)).isEmpty():
             break
         cur = new
-    pid = pages.select("url", "page_id").dropDuplicates(["url"])
-    return (cur.join(pid, "url")
+    return (_with_page_id(cur, pages, ["category_no", "page_no"])
                .join(small_side(seeds.select("category_no", "category")), "category_no")
                .select("category_no", "category", "page_no", "url", "page_id"))
 
