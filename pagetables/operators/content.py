@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import clean_content as _clean
 from pagetables.functions.text import py_strip
+from pagetables.session import small_side
 
 
 def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
@@ -89,18 +90,24 @@ def with_full_page_fallback(df: DataFrame, links_col: str, full_col: str,
     """use the links-only extraction unless it came back empty; once the
     full page was needed, keep using it for every later page (sticky switch).
 
-    The switch is a running ``max`` over page order within a category chain
-    (the reference keeps it across categories; one global order would put
-    every page through one task, so ``part`` is required).
+    The switch holds from the first empty page of a chain on: that page is
+    found by an aggregate per chain (combined map-side) and joined back, so
+    no chain is sorted in one task, however long it is.  The reference keeps
+    the switch across categories; here it is per chain (``part``), since one
+    global order would need a global sort.
     """
     if not part:
         raise ValueError("with_full_page_fallback needs partition columns")
-    empty = (F.coalesce(F.size(links_col), F.lit(0)) <= 0).cast("int")
-    w = Window.partitionBy(*part).orderBy(*order)
-    sticky = F.max(empty).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return (df.withColumn("full_page", sticky == 1)
-              .withColumn(out, F.when(F.col("full_page"), F.col(full_col))
-                                .otherwise(F.col(links_col))))
+    keys = list(part)
+    o = F.struct(*[F.col(c) for c in order])
+    empty = F.coalesce(F.size(links_col), F.lit(0)) <= 0
+    first = df.filter(empty).groupBy(*keys).agg(F.min(o).alias("_first_empty"))
+    j = df.join(small_side(first), keys, "left")
+    full = F.coalesce(o >= F.col("_first_empty"), F.lit(False))
+    return (j.withColumn("full_page", full)
+             .withColumn(out, F.when(F.col("full_page"), F.col(full_col))
+                               .otherwise(F.col(links_col)))
+             .drop("_first_empty"))
 
 
 def frame_shape(df: DataFrame) -> DataFrame:

@@ -144,12 +144,21 @@ def weighted_mean_vectors(long: DataFrame, group: Sequence[str] | str, weight: s
 
 def position_weighted_pool(tokens: DataFrame, group: Sequence[str] | str = "doc_id",
                            order: str = "pos", vec: str = "hidden",
-                           mask: str = "mask") -> DataFrame:
+                           mask: str = "mask", large_groups: bool = False) -> DataFrame:
     """Weight of a token = mask x running sum of the mask (1, 2, 3, … for
-    real tokens, 0 for padding), then the weighted mean -> (group..., dim, value)."""
+    real tokens, 0 for padding), then the weighted mean -> (group..., dim, value).
+
+    ``large_groups``: a group may be huge (not one text): the running sum is
+    the token's position among the group's real tokens, computed without a
+    per-group sort (``ordering.with_positions``)."""
     g = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    t = tokens.withColumn("w", (F.col(mask) * F.sum(mask).over(w)).cast("double"))
+    if large_groups:
+        from pagetables.operators.ordering import with_positions
+        real = tokens.filter(F.col(mask) == 1)
+        t = with_positions(real, g, [order], "w").withColumn("w", F.col("w").cast("double"))
+    else:
+        w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        t = tokens.withColumn("w", (F.col(mask) * F.sum(mask).over(w)).cast("double"))
     long = t.select(*g, "w", F.posexplode(vec).alias("dim", "value")) \
             .withColumn("value", F.col("value").cast("double"))
     return weighted_mean_vectors(long, g, "w").withColumn("dim", F.col("dim").cast("int"))
@@ -161,10 +170,17 @@ def l2_normalize(df: DataFrame, vec: str = "vec", out: str | None = None) -> Dat
 
 
 def adjacent_similarity(df: DataFrame, group: Sequence[str] | str = "doc_id",
-                        order: str = "chunk_no", vec: str = "vec") -> DataFrame:
+                        order: str = "chunk_no", vec: str = "vec",
+                        large_groups: bool = False) -> DataFrame:
     """Cosine of each item with the next one in order -> adds ``sim``
-    (NULL on the last item)."""
+    (NULL on the last item).  A document's chunks are one window; with
+    ``large_groups`` the next item is found by global rank instead."""
     g = [group] if isinstance(group, str) else list(group)
+    if large_groups:
+        from pagetables.operators.ordering import with_next
+        n = with_next(df, g, [order], [vec], prefix="_next_")
+        return (n.withColumn("sim", cosine(F.col(vec), F.col("_next_" + vec)))
+                 .drop("_next_" + vec, "_g", "pos"))
     w = Window.partitionBy(*g).orderBy(order)
     return df.withColumn("sim", cosine(F.col(vec), F.lead(vec).over(w)))
 

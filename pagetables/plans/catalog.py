@@ -1071,7 +1071,8 @@ def position_weighted_pool_q(spark, sf):
     """A label's vectors as the tokens of one text, position-weighted mean."""
     t = _emb(spark, sf).select(F.col("label"), F.col("vec_id").alias("pos"),
                                F.col("embedding").alias("hidden"), F.lit(1).alias("mask"))
-    p = V.position_weighted_pool(t, "label", "pos", "hidden", "mask")
+    # ten labels over the whole table: groups grow with the data
+    p = V.position_weighted_pool(t, "label", "pos", "hidden", "mask", large_groups=True)
     return p.select("label", "dim", F.round("value", 6).alias("value"))
 
 
@@ -1086,7 +1087,8 @@ FROM e WHERE nv IS NOT NULL
 """)
 def adjacent_similarity_q(spark, sf):
     """Cosine of each vector with the next one of its label."""
-    s = V.adjacent_similarity(_emb(spark, sf), "label", "vec_id", "embedding")
+    s = V.adjacent_similarity(_emb(spark, sf), "label", "vec_id", "embedding",
+                              large_groups=True)
     return s.filter(F.col("sim").isNotNull()).select("label", "vec_id",
                                                       F.round("sim", 6).alias("sim"))
 
@@ -1253,9 +1255,9 @@ def with_page_note_q(spark, sf):
     s = H.links_summary(H.extract_anchors(pages)).withColumnRenamed("links_text", "snapshot")
     s = s.join(pages.select("page_id", TX.url_path_segment("url", 1).alias("category")),
                "page_id")
-    from pyspark.sql import Window
-    s = s.withColumn("page_no", F.row_number().over(
-        Window.partitionBy("category").orderBy("page_id")))
+    # page number within the category without sorting a category in one task
+    from pagetables.operators.ordering import with_positions
+    s = with_positions(s, ["category"], ["page_id"], "page_no")
     return C.with_page_note(s).select("page_id", "snapshot")
 
 
