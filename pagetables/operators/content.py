@@ -29,20 +29,22 @@ def paragraph_after_title(links: DataFrame, paras: DataFrame, title: str = "titl
                           page: str = "page_id") -> DataFrame:
     """The paragraph after the first paragraph containing the title.
 
-    ``paras`` is H5's (page_id, p_no, text).  ``lead`` is computed per page
-    first, so one join (on page_id) and one aggregate finish it: the theta
-    condition ``contains`` runs inside the page's partition.
+    ``paras`` is H5's (page_id, p_no, text).  A page's paragraphs become one
+    ordered array (bounded by the page), each link row is joined to its
+    page's array, and the first paragraph holding the title is found with a
+    higher-order function: one row per link, no (link, paragraph) pairs.
     Links whose title is on no paragraph (or on the last one) give no row.
     """
-    w = Window.partitionBy("page_id").orderBy("p_no")
-    p = paras.select(F.col("page_id").alias("_ppid"), "p_no", F.col("text").alias("p_text"),
-                     F.lead("text").over(w).alias("next_text"))
-    j = links.join(p, F.col(page) == F.col("_ppid")).drop("_ppid")
-    j = j.filter(F.col("p_text").contains(F.col(title)))
-    keys = [c for c in links.columns]
-    first = j.groupBy(*keys).agg(F.min_by("next_text", "p_no").alias("next_text"))
-    return (first.filter(F.col("next_text").isNotNull())
-                 .withColumn("text", py_strip("next_text")).drop("next_text"))
+    per_page = paras.groupBy(F.col("page_id").alias("_ppid")).agg(
+        F.array_sort(F.collect_list(F.struct("p_no", "text"))).alias("_ps"))
+    j = links.join(per_page, F.col(page) == F.col("_ppid")).drop("_ppid")
+    hit = F.array_position(F.transform("_ps", lambda p: p["text"].contains(F.col(title))),
+                           F.lit(True))
+    nxt = F.when((hit > 0) & (hit < F.size("_ps")),
+                 F.element_at(F.col("_ps"), (hit + 1).cast("int"))["text"])
+    return (j.withColumn("_next", nxt).drop("_ps")
+             .filter(F.col("_next").isNotNull())
+             .withColumn("text", py_strip("_next")).drop("_next"))
 
 
 def missing_stories(links: DataFrame, found: DataFrame, key: str = "title") -> DataFrame:
