@@ -104,3 +104,13 @@ def test_byline_and_main_text(spark):
 def test_main_text_skips_paragraphs_nested_through_other_tags(spark):
     p = pages_df(spark, [(1, "u", NESTED)])
     assert rows(H.main_text(p), "text") == [("The Title hereStory text.More.",)]
+
+
+def test_snapshot_record_and_html_format(spark):
+    html = ('<html><head><title>T</title></head><body><div class="ad">x</div>'
+            '<p>a &amp; <b>b</b></p></body></html>')
+    p = pages_df(spark, [(1, "http://h.example/", html)])
+    r = H.page_snapshot(p, exclude=[".ad"], as_struct=True).collect()[0]
+    assert (r.record.url, r.record.title, r.record.content) == ("http://h.example/", "T", "a & b")
+    h = H.page_snapshot(p, exclude=[".ad"], fmt="html").collect()[0]
+    assert "<p>a &amp; <b>b</b></p>" in h.snapshot and "class=\"ad\"" not in h.snapshot

@@ -73,3 +73,20 @@ def test_merge_adjacent_chunks_in_spark(spark):
     d1 = [r.chunk for r in out if r.doc_id == 1]
     assert len(d1) == 3 and " ".join(d1).split() == "a b a b c z y z y w q".split()
     assert [r.chunk for r in out if r.doc_id == 2] == ["only one"]
+
+
+def test_merge_revector_modes_and_custom_embedder():
+    chunks = ["a a b", "a b", "z z", "z y"]
+    by_sum = M.merge_sequence(chunks, 2, dim=32, revector="sum")
+    by_mean = M.merge_sequence(chunks, 2, dim=32, revector="mean")
+    calls = []
+
+    def emb(ts):
+        calls.append(len(ts))
+        return [M.hashed_vector(t, 32) for t in ts]
+
+    by_embed = M.merge_sequence(chunks, 2, revector="embed", embedder=emb)
+    assert [t for _, _, t in by_sum] == ["a a b a b", "z z z y"]
+    assert [t for _, _, t in by_mean] == [t for _, _, t in by_sum]
+    assert [t for _, _, t in by_embed] == [t for _, _, t in by_sum]
+    assert calls[0] == 4 and all(c == 1 for c in calls[1:])
