@@ -127,14 +127,39 @@ def _matches(parsed, tag: str, attrs: dict) -> bool:
     return True
 
 
+class _Selectors:
+    """A list of simple selectors, indexed: single-class selectors (the usual
+    furniture list) are one set intersection per element."""
+
+    def __init__(self, selectors):
+        parsed = [_parse_selector(x) for x in selectors]
+        self.classes = frozenset(p[2][0] for p in parsed
+                                 if p[0] is None and p[1] is None and len(p[2]) == 1)
+        self.others = [p for p in parsed
+                       if not (p[0] is None and p[1] is None and len(p[2]) == 1)]
+        self.empty = not parsed
+
+    def __bool__(self):
+        return not self.empty
+
+    def match(self, tag: str, attrs: dict) -> bool:
+        if self.empty:
+            return False
+        if self.classes:
+            cls = attrs.get("class")
+            if cls and not self.classes.isdisjoint(cls.split()):
+                return True
+        return any(_matches(p, tag, attrs) for p in self.others)
+
+
 class _Shredder(HTMLParser):
     """Tree builder over stdlib html.parser, for one page."""
 
     def __init__(self, keep_tags=None, exclude=(), target=(), with_text=True):
         super().__init__(convert_charrefs=True)
         self.keep_tags = keep_tags
-        self.exclude = [_parse_selector(s) for s in exclude]
-        self.target = [_parse_selector(s) for s in target]
+        self.exclude = _Selectors(exclude)
+        self.target = _Selectors(target)
         self.with_text = with_text
         self.rows = []          # (seq, parent, depth, outer, tag, attrs, text)
         self.stack = []         # [seq, tag, attrs, chunk_start, excluded, depth, targeted]
@@ -148,8 +173,8 @@ class _Shredder(HTMLParser):
 
     def _open(self, tag, attrs, void):
         attrs = {k: (v if v is not None else "") for k, v in attrs}
-        excluded = any(_matches(p, tag, attrs) for p in self.exclude)
-        targeted = any(_matches(p, tag, attrs) for p in self.target)
+        excluded = self.exclude.match(tag, attrs)
+        targeted = self.target.match(tag, attrs)
         seq = self.seq
         self.seq += 1
         depth = len(self.stack)
@@ -367,8 +392,8 @@ def main_text(pages: DataFrame, exclude=tuple(NON_MAIN_TAGS) + tuple(FURNITURE_S
 class _Renderer(HTMLParser):
     def __init__(self, exclude, target, remove_images, fmt):
         super().__init__(convert_charrefs=True)
-        self.exclude = [_parse_selector(s) for s in exclude]
-        self.target = [_parse_selector(s) for s in target]
+        self.exclude = _Selectors(exclude)
+        self.target = _Selectors(target)
         self.remove_images = remove_images
         self.fmt = fmt
         self.stack = []           # [tag, excluded, targeted, link_index]
@@ -390,8 +415,8 @@ class _Renderer(HTMLParser):
 
     def _start(self, tag, attrs, void):
         a = {k: (v if v is not None else "") for k, v in attrs}
-        exc = any(_matches(p, tag, a) for p in self.exclude)
-        tgt = any(_matches(p, tag, a) for p in self.target)
+        exc = self.exclude.match(tag, a)
+        tgt = self.target.match(tag, a)
         if exc:
             self.excluded += 1
         if tgt:
