@@ -1484,3 +1484,29 @@ def story_csv_from_answers_q(spark, sf):
     path = scratch_path(spark, "stories-k3")
     W.write_stories_csv(st, path, W.STORY_COLUMNS_C)
     return R.read_stories_csv(spark, path, W.STORY_COLUMNS_C)
+
+
+@register("follow_numbered_stepwise", ORACLES["follow_numbered"])
+def follow_numbered_stepwise_q(spark, sf):
+    """I2 one round per page number (the twin the fixpoint walk is checked against)."""
+    site, seeds = _number(spark, sf)
+    return P.follow_numbered_stepwise(site, seeds, NUMBER_IGNORE).select(
+        "category_no", "page_no", "url")
+
+
+@register("requests_from_prompt_file", ORACLES["build_chat_requests"])
+def requests_from_prompt_file_q(spark, sf):
+    """S5 + X1: the system prompt read from a file (one row, bounded), then one
+    request per page with the links tail of its snapshot."""
+    path = scratch_path(spark, "prompt") + ".md"
+    spark.createDataFrame([(CATEGORY_PROMPT,)], "value string").coalesce(1) \
+         .write.mode("overwrite").text(path)
+    prompt = R.read_prompt(spark, path).first()["prompt"].rstrip("\n")
+    snap = H.page_snapshot(read_table(spark, sf, "pages"), exclude=H.FURNITURE_SELECTORS,
+                           links_at_end=True)
+    snap = snap.filter(F.size("links") > 0).withColumn("links_text",
+                                                       H.links_section(F.col("snapshot")))
+    req = X.build_chat_requests(snap, prompt, text="links_text")
+    return req.select("page_id", F.posexplode("messages").alias("msg_no", "m")).select(
+        "page_id", F.col("msg_no").cast("int").alias("msg_no"),
+        F.col("m.role").alias("role"), F.col("m.content").alias("content"))
