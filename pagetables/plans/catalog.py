@@ -410,18 +410,28 @@ NUMBER_IGNORE = ["首页", "Le", "La", "The"]
 _TITLE = Q.lit(S.TITLE_RE)
 
 
-def _label(spark, sf):
-    """The derived label site, written once to the shared checkpoint folder
-    (a walk reads it several times per round)."""
+_SITES: dict = {}
+
+
+def _site(spark, sf, kind, build):
+    """A derived site, written once per application and input folder to the
+    shared checkpoint folder (a materialised view: walks read it several
+    times per round, and several queries use the same site)."""
     from pagetables.session import cut_lineage
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _SITES:
+        _SITES[key] = cut_lineage(build(read_table(spark, sf, "conversations")))
+    return _SITES[key]
+
+
+def _label(spark, sf):
     conv = read_table(spark, sf, "conversations")
-    return cut_lineage(S.label_site(conv)), S.label_categories(conv)
+    return _site(spark, sf, "label", S.label_site), S.label_categories(conv)
 
 
 def _number(spark, sf):
-    from pagetables.session import cut_lineage
     conv = read_table(spark, sf, "conversations")
-    return cut_lineage(S.number_site(conv)), S.number_categories(conv)
+    return _site(spark, sf, "number", S.number_site), S.number_categories(conv)
 
 
 _LINES_SQL = f"""
