@@ -94,7 +94,6 @@ def embed_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str =
 
 
 def _embed_with(df: DataFrame, keys, text, embedder) -> DataFrame:
-    import pandas as pd
     from pyspark.sql import types as T
     schema = T.StructType([df.schema[k] for k in keys]
                           + [T.StructField("vec", T.ArrayType(T.DoubleType()))])

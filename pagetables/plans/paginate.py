@@ -25,8 +25,7 @@ from pagetables.functions.text import (is_digits, py_strip, resolve_href,
                                        url_origin)
 from pagetables.operators.html import extract_anchors
 from pagetables.operators.links import (dedup_first, drop_ignored_titles,
-                                        links_with_prefix, next_page_link,
-                                        take_through_index)
+                                        next_page_link, take_through_index)
 from pagetables.session import cut_lineage, small_side
 
 

@@ -90,3 +90,13 @@ def test_merge_revector_modes_and_custom_embedder():
     assert [t for _, _, t in by_mean] == [t for _, _, t in by_sum]
     assert [t for _, _, t in by_embed] == [t for _, _, t in by_sum]
     assert calls[0] == 4 and all(c == 1 for c in calls[1:])
+
+
+def test_embed_texts_with_a_user_batch_function(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+
+    def embedder(texts):
+        return [[float(len(t)), 1.0] for t in texts]
+
+    got = rows(V.embed_texts(df, embedder=embedder), "doc_id", "vec")
+    assert got == [(1, [3.0, 1.0]), (2, [0.0, 1.0])]
