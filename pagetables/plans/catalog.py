@@ -1520,3 +1520,15 @@ def requests_from_prompt_file_q(spark, sf):
     return req.select("page_id", F.posexplode("messages").alias("msg_no", "m")).select(
         "page_id", F.col("msg_no").cast("int").alias("msg_no"),
         F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@register("element_tag_counts_sql", ORACLES["element_tag_counts"])
+def element_tag_counts_sql_q(spark, sf):
+    """H1 from SQL: the shredder as a LATERAL table function, counted per page and tag."""
+    from pagetables.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    read_table(spark, sf, "pages").createOrReplaceTempView("_pt_pages_sql")
+    return spark.sql("""
+        SELECT p.page_id, e.tag, count(*) AS n
+        FROM _pt_pages_sql p, LATERAL shred_html(p.html, NULL) e
+        GROUP BY p.page_id, e.tag""")
