@@ -30,6 +30,8 @@ def get_spark(master: str | None = None, app: str = "pagetables",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # pages are wide rows: keep Arrow batches small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+        # walk rounds checkpoint every round: drop the files once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
