@@ -52,7 +52,11 @@ def tokenize_truncate(df: DataFrame, key: Sequence[str] | str = "doc_id", text:
                       max_len: int = 512) -> DataFrame:
     """First ``max_len`` words of each text -> (key..., pos, token, mask)."""
     keys = [key] if isinstance(key, str) else list(key)
-    t = df.select(*keys, F.slice(words(text), 1, max_len).alias("_w"))
+    # the split may stop after max_len + 1 separators: at most one empty
+    # piece (leading whitespace) and the unsplit rest come after the words kept
+    parts = F.split(_c(text), PY_SPACE + "+", max_len + 2)
+    first = F.filter(parts, lambda w: w != "")
+    t = df.select(*keys, F.slice(first, 1, max_len).alias("_w"))
     return (t.select(*keys, F.posexplode("_w").alias("pos", "token"))
              .withColumn("pos", F.col("pos").cast("int"))
              .withColumn("mask", F.lit(1)))

@@ -24,13 +24,14 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     cat = seeds.select("category_no", "category", F.col("url").alias("seed_url"))
     cat = cat.withColumn("prefix", F.concat(
         F.lit("/"), category_prefix("seed_url", "category", suffix_overrides), F.lit("/")))
-    cat = cat.withColumn("suffix", category_prefix("seed_url", "category", suffix_overrides))
+    cat = small_side(cat.withColumn("suffix", category_prefix("seed_url", "category",
+                                                              suffix_overrides)))
     base = F.lit(url_base) if url_base else F.concat(url_origin("seed_url"), F.lit("/"))
     listing = pages.select("page_id", "html").join(
         chain.select("page_id", "category_no", "page_no"), "page_id")
     a = H.extract_anchors(listing.withColumn("url", F.lit(None).cast("string")),
                           keep_cols=("category_no", "page_no"))
-    a = a.join(small_side(cat), "category_no")
+    a = a.join(cat, "category_no")
     a = a.filter(F.col("href").startswith(F.col("prefix")))
     a = a.withColumn("title", F.col("text"))
     a = drop_ignored_titles(a, list(ignore))
@@ -44,7 +45,7 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     p1_pages = pages.join(p1, "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
-    rec = rec.join(p1, "page_id").join(small_side(cat), "category_no")
+    rec = rec.join(p1, "page_id").join(cat, "category_no")
     rec = recent_links(rec, F.col("suffix")).withColumn("title", py_strip("text"))
     rec = drop_ignored_titles(rec, list(ignore))
     rec = rec.select("title", F.concat(base, F.substring("href", 2, 1 << 30)).alias("url"),

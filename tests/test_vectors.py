@@ -100,3 +100,13 @@ def test_embed_texts_with_a_user_batch_function(spark):
 
     got = rows(V.embed_texts(df, embedder=embedder), "doc_id", "vec")
     assert got == [(1, [3.0, 1.0]), (2, [0.0, 1.0])]
+
+
+def test_tokenize_truncate_equals_python_split(spark):
+    texts = ["  lead  and trail  ", "a b c d e f", "one", "", "x　y z w"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in V.tokenize_truncate(df, max_len=3).collect():
+        got.setdefault(r.doc_id, []).append((r.pos, r.token))
+    for i, t in enumerate(texts):
+        assert [w for _, w in sorted(got.get(i, []))] == t.split()[:3]
