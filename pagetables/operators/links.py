@@ -200,12 +200,16 @@ def union_recent(page_links: DataFrame, recent: DataFrame) -> DataFrame:
 
 
 def exclude_recent(links: DataFrame, recent: DataFrame, title: str = "title",
-                   from_page: int = 2) -> DataFrame:
-    """On pages >= ``from_page``, drop titles listed in the recent block."""
-    r = recent.select(F.col(title).alias("_rt")).distinct()
+                   from_page: int = 2, by: Sequence[str] = ()) -> DataFrame:
+    """On pages >= ``from_page``, drop titles listed in the recent block
+    (within the same ``by`` group, e.g. per category, when given)."""
+    keys = list(by)
+    r = recent.select(*[F.col(k).alias("_r_" + k) for k in keys],
+                      F.col(title).alias("_rt")).distinct()
     late = links.filter(F.col("page_no") >= from_page)
     early = links.filter(F.col("page_no") < from_page)
-    late = late.join(r, F.col(title) == F.col("_rt"), "left_anti")
+    cond = [F.col(title) == F.col("_rt")] + [F.col(k) == F.col("_r_" + k) for k in keys]
+    late = late.join(r, cond, "left_anti")
     return early.unionByName(late)
 
 

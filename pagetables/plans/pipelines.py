@@ -18,8 +18,16 @@ from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下一页",
                 recent_marker: str = "最新发布", suffix_overrides: dict | None = None,
-                url_base: str | None = None) -> DataFrame:
-    """Q1 up to the de-duplicated title table: (title, url, category, first_ord)."""
+                url_base: str | None = None, recent_from: str = "first") -> DataFrame:
+    """Q1 up to the de-duplicated title table: (title, url, category, first_ord).
+
+    ``recent_from``: 'first' reads the recent block once, on page 1 of the
+    first category, and keeps its titles off every category's later pages
+    (the reference's behaviour); 'each' reads every category's block and
+    applies it to that category only.
+    """
+    if recent_from not in ("first", "each"):
+        raise ValueError("recent_from is 'first' or 'each'")
     chain = cut_lineage(follow_next(pages, seeds, label))
     cat = seeds.select("category_no", "category", F.col("url").alias("seed_url"))
     cat = cat.withColumn("prefix", F.concat(
@@ -38,10 +46,10 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     a = a.withColumn("url", F.concat(base, F.substring("href", 2, 1 << 30)))
     page_links = a.select("title", "url", "category", "category_no", "page_no", "elem_seq")
 
-    # the recent block, read once: page 1 of the first category
-    first_no = seeds.agg(F.min("category_no").alias("category_no"))
-    p1 = (chain.filter(F.col("page_no") == 1).join(first_no, "category_no")
-               .select("page_id", "category_no"))
+    # the recent block: page 1 of the first category (or of each category)
+    p1 = chain.filter(F.col("page_no") == 1).select("page_id", "category_no")
+    if recent_from == "first":
+        p1 = p1.join(seeds.agg(F.min("category_no").alias("category_no")), "category_no")
     p1_pages = pages.join(p1, "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
@@ -51,7 +59,10 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     rec = rec.select("title", F.concat(base, F.substring("href", 2, 1 << 30)).alias("url"),
                      "category", "category_no", F.lit(1).alias("page_no"), "elem_seq")
     links = union_recent(page_links, rec)
-    links = exclude_recent(links, rec.select("title"))
+    if recent_from == "first":
+        links = exclude_recent(links, rec.select("title"))
+    else:
+        links = exclude_recent(links, rec.select("category_no", "title"), by=["category_no"])
     return dedup_last(links, "title", values=("url", "category"))
 
 

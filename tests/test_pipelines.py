@@ -79,3 +79,23 @@ def test_story_table_by_number_from_gbk_pages(spark):
         ("聪明的猴子", "猴子的故事。", "儿童故事", f"{N}/news/gushi/a1.htm"),   # first wins
         ("小猫", "小猫钓鱼。", "儿童故事", f"{N}/news/gushi/a2.htm"),
     ])
+
+
+def test_recent_block_per_category_option(spark):
+    pages = pages_df(spark, [
+        (1, H + "a/", _listing([("/a/1.html", "A1")], recent=[("/a/9.html", "R")],
+                               nxt="list_2.html")),
+        (2, H + "a/list_2.html", _listing([("/a/2.html", "R")])),
+        (3, H + "b/", _listing([("/b/1.html", "B1")], recent=[("/b/9.html", "S")],
+                               nxt="list_2.html")),
+        (4, H + "b/list_2.html", _listing([("/b/2.html", "S"), ("/b/3.html", "R")])),
+    ])
+    seeds = R.category_seeds(spark, {"a": H + "a/", "b": H + "b/"})
+    first = rows(PL.label_links(pages, seeds), "title", "url")
+    each = rows(PL.label_links(pages, seeds, recent_from="each"), "title", "url")
+    # first: only a's block is read, so R stays off b's page 2 while S (b's) does not
+    assert first == [("A1", H + "a/1.html"), ("B1", H + "b/1.html"), ("R", H + "a/9.html"),
+                     ("S", H + "b/2.html")]
+    # each: b's block keeps S off b's page 2; a's R is kept off a's pages only
+    assert each == [("A1", H + "a/1.html"), ("B1", H + "b/1.html"), ("R", H + "b/3.html"),
+                    ("S", H + "b/9.html")]
