@@ -1,9 +1,10 @@
 """Registered queries: each Spark query beside its DuckDB oracle.
 
 Every query reads the driver's tables (or data Spark derives from them)
-whole: no id subsets, no row caps.  A ``None`` oracle means the operator is
-not expressible in SQL (a Python tree parse or an iterative merge); those
-are tested against brute force on fixtures in ``tests/``.
+whole: no id subsets, no row caps.  Every one has an oracle, the Python
+stages included: their rules (tree nesting, snapshot lines, the merge
+loop) are restated in DuckDB SQL, independently of the Spark code.  A
+``None`` oracle would register a rows-only check.
 """
 
 from __future__ import annotations
