@@ -16,6 +16,14 @@ from pagetables.session import cut_lineage, small_side
 from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 
+def _pages_by_id(pages: DataFrame, ids: DataFrame) -> DataFrame:
+    """(page_id, html) of the pages in ``ids``: a semi join, broadcasting the ids
+    when their count is small, so the html is not shuffled to meet them (at
+    scale Spark's runtime bloom filter also trims the scan before a shuffle)."""
+    return pages.select("page_id", "html").join(small_side(ids.distinct()), "page_id",
+                                                "left_semi")
+
+
 def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下一页",
                 recent_marker: str = "最新发布", suffix_overrides: dict | None = None,
                 url_base: str | None = None, recent_from: str = "first") -> DataFrame:
@@ -35,10 +43,10 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     cat = small_side(cat.withColumn("suffix", category_prefix("seed_url", "category",
                                                               suffix_overrides)))
     base = F.lit(url_base) if url_base else F.concat(url_origin("seed_url"), F.lit("/"))
-    listing = pages.select("page_id", "html").join(
-        chain.select("page_id", "category_no", "page_no"), "page_id")
-    a = H.extract_anchors(listing.withColumn("url", F.lit(None).cast("string")),
-                          keep_cols=("category_no", "page_no"))
+    # anchors first (a narrow regex pass), then join the anchor rows - not
+    # the html - to the walked pages
+    anchors = H.extract_anchors(pages.select("page_id", "html"), keep_cols=())
+    a = anchors.join(chain.select("page_id", "category_no", "page_no"), "page_id")
     a = a.join(cat, "category_no")
     a = a.filter(F.col("href").startswith(F.col("prefix")))
     a = a.withColumn("title", F.col("text"))
@@ -50,7 +58,8 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     p1 = chain.filter(F.col("page_no") == 1).select("page_id", "category_no")
     if recent_from == "first":
         p1 = p1.join(seeds.agg(F.min("category_no").alias("category_no")), "category_no")
-    p1_pages = pages.join(p1, "page_id").select("page_id", "html", "category_no")
+    # one page per category at most: broadcast it rather than shuffle the html
+    p1_pages = pages.join(small_side(p1), "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
     rec = rec.join(p1, "page_id").join(cat, "category_no")
@@ -74,8 +83,8 @@ def story_table_by_label(pages: DataFrame, seeds: DataFrame, ignore=(), **kw) ->
     """
     titles = label_links(pages, seeds, ignore, **kw)
     fetched = fetch_pages(titles, pages, "url", cols=("page_id",))
-    story_pages = pages.join(fetched.filter("fetched").select("page_id").distinct(), "page_id")
-    el = H.shred_elements(story_pages.select("page_id", "html"), tags=["div"])
+    story_pages = _pages_by_id(pages, fetched.filter("fetched").select("page_id"))
+    el = H.shred_elements(story_pages, tags=["div"])
     content = H.first_by_class(el, "div", "content")
     out = fetched.join(content, "page_id", "left")
     return out.select(F.col("title").alias(STORY_COLUMNS_A[0]), "url", "category",
@@ -106,8 +115,8 @@ def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pag
     """
     titles = number_links(pages, seeds, ignore, max_pages, site_prefix)
     fetched = fetch_pages(titles, pages, "url", cols=("page_id",)).filter("fetched")
-    story_pages = pages.join(fetched.select("page_id").distinct(), "page_id")
-    paras = H.paragraphs(H.shred_elements(story_pages.select("page_id", "html"), tags=["p"]))
+    story_pages = _pages_by_id(pages, fetched.select("page_id"))
+    paras = H.paragraphs(H.shred_elements(story_pages, tags=["p"]))
     found = paragraph_after_title(fetched.select("title", "url", "category", "page_id"), paras)
     return found.select("title", "text", "category", F.col("url").alias(STORY_COLUMNS_B[3]))
 
