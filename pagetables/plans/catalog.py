@@ -536,7 +536,7 @@ def recent_links_q(spark, sf):
     kept when ``href.split('/')[-2]`` is the category suffix."""
     site, seeds = _label(spark, sf)
     first = seeds.orderBy("category_no").limit(1)
-    p1 = site.join(first.select("url"), "url")
+    p1 = site.join(small_side(first.select("url")), "url")
     el = H.shred_elements(p1, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", S.RECENT_LABEL, ".html")
     rec = rec.join(p1.select("page_id", TX.url_suffix("url").alias("suffix")), "page_id")
@@ -1482,7 +1482,7 @@ WHERE nl.n > {DISCOVER_MIN}
 def discover_categories_q(spark, sf):
     """listing pages that seed pages link to, landed and holding > 3 story links."""
     site, seeds = _label(spark, sf)
-    home = site.join(seeds.select("url"), "url")
+    home = site.join(small_side(seeds.select("url")), "url")
     a = H.extract_anchors(home).filter(~F.col("href").startswith("/"))
     return L.discover_categories(a, site, "/c", DISCOVER_MIN)
 
