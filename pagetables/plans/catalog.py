@@ -713,7 +713,14 @@ CATEGORY_PROMPT = ("List the categories of stories this page links to, as JSON "
 
 
 def _completions(spark, sf, kind=None):
-    c = S.completions(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    """The derived completions table, written once per application and input
+    folder (every answer kind reads it)."""
+    from pagetables.session import cut_lineage
+    key = (spark.sparkContext.applicationId, sf, "completions")
+    if key not in _SITES:
+        _SITES[key] = cut_lineage(S.completions(read_table(spark, sf, "documents"),
+                                                read_table(spark, sf, "labels")))
+    c = _SITES[key]
     return c.filter(F.col("kind") == kind) if kind else c
 
 
