@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 # both Java regex and RE2 read the same way.
 PY_SPACE = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}"
             "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
-# Named character references decoded on the JVM path, in the order they
-# are applied ("&amp;" last so that "&amp;lt;" decodes once, to "&lt;").
+# Character references decoded on the JVM path, as (regex, text), in the
+# order they are applied ("&amp" last so that "&amp;lt;" decodes once, to
+# "&lt;").  As in HTML5 (and Python's html.unescape), these names are also
+# valid without the semicolon; "&apos" is not, and numeric references keep
+# theirs (no lookahead in RE2 to stop "&#39" matching inside "&#390").
 ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "\u00a9"),
-    ("&middot;", "\u00b7"),
-    ("&amp;", "&"),
+    ("&nbsp;?", "\u00a0"),
+    ("&copy;?", "\u00a9"),
+    ("&middot;?", "\u00b7"),
+    ("&amp;?", "&"),
 ]
 # Characters dropped from story content (carriage return, ideographic space).
 CONTENT_DROP = "\r\u3000"
@@ -55,8 +58,8 @@ def collapse_space(c) -> Column:
 
 def unescape_entities(c) -> Column:
     out = _c(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+    for pattern, ch in ENTITIES:
+        out = F.regexp_replace(out, pattern, ch)
     return out
 
 

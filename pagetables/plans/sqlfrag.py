@@ -16,8 +16,8 @@ def lit(s: str) -> str:
 
 def unescape(x: str) -> str:
     out = x
-    for ent, ch in ENTITIES:
-        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
+    for pattern, ch in ENTITIES:
+        out = f"regexp_replace({out}, {lit(pattern)}, {lit(ch)}, 'g')"
     return out
 
 

@@ -75,3 +75,12 @@ def test_exclude_recent_only_from_page_two(spark):
     recent = spark.createDataFrame([("t1",)], ["title"])
     got = rows(L.exclude_recent(df, recent), "url")
     assert got == [("u1",), ("u2",), ("u3",)]
+
+
+def test_entities_decode_like_python(spark):
+    import html
+    texts = ["a&amping &copyright", "&amp;lt; &lt;b&gt;", "x &quot;y&quot z&nbsp;",
+             "&apos; &apos q", "tail &amp", "&#39;ok"]
+    df = spark.createDataFrame([(t,) for t in texts], ["t"])
+    got = [r[0] for r in df.select(TX.unescape_entities("t")).collect()]
+    assert got == [html.unescape(t) for t in texts]
