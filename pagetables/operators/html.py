@@ -34,8 +34,11 @@ from pagetables.functions.text import (collapse_space, py_strip, strip_tags,
 # Removed before any regex extraction: scripts, styles and comments.
 STRIP_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 # An anchor with an href (double-, single- or un-quoted), and its inner html.
-ANCHOR_RE = (r"(?is)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-             r"[^>]*>(.*?)</a\s*>")
+# Other attributes are skipped whole when quoted, so a ">" inside a quoted
+# value does not end the tag.
+ANCHOR_RE = (r"(?is)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\bhref\s*=\s*"
+             r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+             r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)</a\s*>")
 # Elements without an end tag.
 VOID_TAGS = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input",
                        "link", "meta", "param", "source", "track", "wbr"])

@@ -114,3 +114,12 @@ def test_snapshot_record_and_html_format(spark):
     assert (r.record.url, r.record.title, r.record.content) == ("http://h.example/", "T", "a & b")
     h = H.page_snapshot(p, exclude=[".ad"], fmt="html").collect()[0]
     assert "<p>a &amp; <b>b</b></p>" in h.snapshot and "class=\"ad\"" not in h.snapshot
+
+
+def test_quoted_greater_than_inside_attributes(spark):
+    html = ('<p><a title="x>y" href="/z">t</a> <a data-x=\'q\' href=/u class="c>">u</a>'
+            '<a name=n>no</a></p>')
+    p = pages_df(spark, [(1, "u", html)])
+    h2 = rows(H.extract_anchors(p), "href", "text")
+    h1 = rows(H.anchors_from_elements(H.shred_elements(p, tags=["a"])), "href", "text")
+    assert h2 == h1 == [("/u", "u"), ("/z", "t")]
