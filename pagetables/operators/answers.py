@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Answer shapes (JSON schemas of the four questions).
-CATEGORIES_SCHEMA = "struct<categories: map<string,string>, error: string>"
 DECISION_SCHEMA = "struct<decision: boolean>"
 TITLE_ROWS = "array<struct<title: string, url: string>>"
 STORY_STRUCT = "struct<title: string, author: string, content: string>"
@@ -59,6 +58,13 @@ def requests_json(df: DataFrame, messages: str = "messages") -> DataFrame:
     return df.withColumn("request", F.to_json(F.struct(F.col(messages).alias("messages"))))
 
 
+def _last_key_wins(df: DataFrame) -> DataFrame:
+    """Answers are read as ``json.loads`` reads them: of duplicate keys, the
+    last one wins (Spark's VARIANT parser rejects duplicates unless told)."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df
+
+
 def _variant(content: str) -> Column:
     return F.try_parse_json(F.col(content))
 
@@ -76,16 +82,20 @@ def answer_status(content: str = "content") -> Column:
 def split_refusals(completions: DataFrame, content: str = "content") -> DataFrame:
     """Tag each answer ok / refused / bad, with the refusal text."""
     v = _variant(content)
-    return completions.withColumn("status", answer_status(content)).withColumn(
+    return _last_key_wins(completions).withColumn("status", answer_status(content)).withColumn(
         "error", F.try_variant_get(v, "$.error", "string"))
 
 
 def parse_categories(completions: DataFrame, content: str = "content",
                      key: str = "key") -> DataFrame:
-    """``{"categories": {name: url}}`` -> one row (key, category, url) per entry."""
-    parsed = completions.select(key, F.from_json(F.col(content), CATEGORIES_SCHEMA).alias("p"))
-    ok = parsed.filter(F.col("p.error").isNull())
-    return ok.select(key, F.explode(F.col("p.categories")).alias("category", "url"))
+    """``{"categories": {name: url}}`` -> one row (key, category, url) per entry;
+    a refusal (``{"error": …}``) or bad JSON gives no row."""
+    v = _variant(content)
+    cats = F.try_variant_get(v, "$.categories", "map<string,string>")
+    ok = _last_key_wins(completions).select(
+        key, cats.alias("_c"), F.try_variant_get(v, "$.error", "string").alias("_e"))
+    return ok.filter(F.col("_e").isNull()).select(
+        key, F.explode("_c").alias("category", "url"))
 
 
 def parse_decision(completions: DataFrame, content: str = "content",
@@ -95,7 +105,8 @@ def parse_decision(completions: DataFrame, content: str = "content",
     d = F.try_variant_get(v, "$.decision", "boolean")
     is_bool = F.coalesce(F.schema_of_variant(F.try_variant_get(v, "$.decision", "variant"))
                          == F.lit("BOOLEAN"), F.lit(False))
-    return completions.select(key, F.when(is_bool, d).otherwise(F.lit(False)).alias("decision"))
+    return _last_key_wins(completions).select(
+        key, F.when(is_bool, d).otherwise(F.lit(False)).alias("decision"))
 
 
 def parse_titles(completions: DataFrame, content: str = "content", key: str = "key") -> DataFrame:
@@ -107,7 +118,7 @@ def parse_titles(completions: DataFrame, content: str = "content", key: str = "k
     rows = F.coalesce(arr, F.transform(F.map_entries(mp), lambda e: F.struct(
         e["key"].alias("title"), e["value"].alias("url"))))
     nxt = F.coalesce(F.try_variant_get(v, "$.next_page", "string"), F.lit(""))
-    base = completions.select(key, rows.alias("_rows"), nxt.alias("next_page"))
+    base = _last_key_wins(completions).select(key, rows.alias("_rows"), nxt.alias("next_page"))
     e = base.select(key, "next_page", F.posexplode("_rows").alias("pos", "r"))
     return e.select(key, F.col("pos").cast("int").alias("pos"),
                     F.coalesce(F.col("r.title"), F.lit("")).alias("title"),
@@ -122,7 +133,7 @@ def parse_story(completions: DataFrame, content: str = "content", key: str = "ke
     flat_title = F.try_variant_get(v, "$.title", "string")
     flat_author = F.try_variant_get(v, "$.author", "string")
     flat_content = F.when(nested.isNull(), F.try_variant_get(v, "$.content", "string"))
-    out = completions.select(
+    out = _last_key_wins(completions).select(
         key,
         F.coalesce(nested["title"], flat_title, F.lit("")).alias("title"),
         F.coalesce(nested["author"], flat_author, F.lit("")).alias("author"),

@@ -61,3 +61,13 @@ def test_requests_and_messages(spark):
                                   "conv_id long, turn long, role string, text string")
     m = X.collect_messages(turns).collect()[0].messages
     assert [(x.role, x.content) for x in m] == [("user", "a"), ("assistant", "b")]
+
+
+def test_duplicate_keys_last_wins_like_json_loads(spark):
+    c = _c(spark, [("a", "categories", '{"categories": {"x": "1", "x": "2", "y": "3"}}'),
+                   ("b", "titles", '{"titles_and_urls": {"t": "u1", "t": "u2"}, "next_page": ""}'),
+                   ("c", "decision", '{"decision": false, "decision": true}')])
+    assert rows(X.parse_categories(c.filter("kind = 'categories'")), "category", "url") == \
+        [("x", "2"), ("y", "3")]
+    assert rows(X.parse_titles(c.filter("kind = 'titles'")), "title", "url") == [("t", "u2")]
+    assert rows(X.parse_decision(c.filter("kind = 'decision'")), "decision") == [(True,)]
