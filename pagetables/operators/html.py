@@ -18,6 +18,7 @@ Everything after H1/H2 is relational (windows, joins, aggregates).
 
 from __future__ import annotations
 
+import bisect
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -170,6 +171,7 @@ class _Shredder(HTMLParser):
         self.seq = 0
         self.excluded_depth = 0
         self.target_depth = 0
+        self.open_by_tag = {}   # tag -> seqs of its open elements, outermost first
 
     def _parent(self):
         return self.stack[-1][0] if self.stack else -1
@@ -182,12 +184,14 @@ class _Shredder(HTMLParser):
         self.seq += 1
         depth = len(self.stack)
         # outermost open element with the same tag (-1: not nested in one)
-        outer = next((e[0] for e in self.stack if e[1] == tag), -1)
+        same = self.open_by_tag.get(tag)
+        outer = same[0] if same else -1
         if void:
             if not (excluded or self.excluded_depth):
                 self._emit(seq, self._parent(), depth, outer, tag, attrs, "")
             return
         self.stack.append([seq, tag, attrs, len(self.chunks), excluded, depth, targeted, outer])
+        self.open_by_tag.setdefault(tag, []).append(seq)
         if excluded:
             self.excluded_depth += 1
         if targeted:
@@ -199,12 +203,14 @@ class _Shredder(HTMLParser):
 
     def _close_top(self):
         seq, tag, attrs, start, excluded, depth, targeted, outer = self.stack.pop()
+        self.open_by_tag[tag].pop()
         parent = self._parent()
         if excluded:
             self.excluded_depth -= 1
         if targeted:
             self.target_depth -= 1
-        if not (excluded or self.excluded_depth):
+        if not (excluded or self.excluded_depth) and (
+                self.keep_tags is None or tag in self.keep_tags):
             text = "".join(self.chunks[start:]) if self.with_text else None
             self._emit(seq, parent, depth, outer, tag, attrs, text)
 
@@ -215,11 +221,12 @@ class _Shredder(HTMLParser):
         self._open(tag, attrs, True)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][1] == tag:
-                while len(self.stack) > i:
-                    self._close_top()
-                return
+        same = self.open_by_tag.get(tag)
+        if not same:
+            return                      # nothing of that name is open: ignored
+        i = bisect.bisect_left(self.stack, same[-1], key=lambda e: e[0])
+        while len(self.stack) > i:
+            self._close_top()
 
     def handle_data(self, data):
         if self.excluded_depth:
@@ -408,6 +415,7 @@ class _Renderer(HTMLParser):
         self.links = []
         self.images = []
         self.link_stack = []
+        self.open_count = {}
 
     def _visible(self):
         if self.excluded:
@@ -446,6 +454,7 @@ class _Renderer(HTMLParser):
                 self.targeted -= 1
             return
         self.stack.append([tag, exc, tgt])
+        self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
     def handle_starttag(self, tag, attrs):
         self._start(tag, attrs, tag in VOID_TAGS)
@@ -455,6 +464,7 @@ class _Renderer(HTMLParser):
 
     def _end_one(self):
         tag, exc, tgt = self.stack.pop()
+        self.open_count[tag] -= 1
         vis = self._visible()
         if tag == "a" and self.link_stack and vis:
             href, start = self.link_stack.pop()
@@ -474,6 +484,8 @@ class _Renderer(HTMLParser):
             self.out.append("\n")
 
     def handle_endtag(self, tag):
+        if not self.open_count.get(tag):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
