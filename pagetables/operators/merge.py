@@ -104,11 +104,21 @@ def merge_sequence(chunks: list[str], target: int, dim: int = 128, joiner: str =
 
 def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
                           key: str = "doc_id", order: str = "chunk_no", text: str = "chunk",
-                          joiner: str = " ", revector: str = "sum") -> DataFrame:
+                          joiner: str = " ", revector: str = "sum",
+                          embedder=None) -> DataFrame:
     """(doc_id, chunk_no, chunk) -> merged (doc_id, chunk_no, first_chunk,
-    last_chunk, chunk) with at most ``target`` chunks per document."""
+    last_chunk, chunk) with at most ``target`` chunks per document.
+
+    ``embedder`` (a batch function ``list[str] -> vectors``) replaces the
+    built-in hashed counts; with ``revector='embed'`` a merged pair is
+    re-embedded with it, as the reference does with its embedding service.
+    """
     if target < 1:
         raise ValueError("target must be at least 1")
+    if revector not in ("sum", "mean", "embed"):
+        raise ValueError("revector is 'sum', 'mean' or 'embed'")
+    if revector == "embed" and embedder is None:
+        raise ValueError("revector='embed' needs an embedder")
     check_dim(dim)
     c = chunks.select(F.col(key).cast("long").alias("doc_id"),
                       F.col(order).cast("int").alias("chunk_no"), F.col(text).alias("chunk"))
@@ -121,7 +131,7 @@ def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk_no")
         ids = pdf["chunk_no"].tolist()
-        merged = merge_sequence(pdf["chunk"].tolist(), target, dim, joiner, revector)
+        merged = merge_sequence(pdf["chunk"].tolist(), target, dim, joiner, revector, embedder)
         doc = int(pdf["doc_id"].iloc[0])
         return pd.DataFrame({
             "doc_id": [doc] * len(merged),

@@ -110,3 +110,14 @@ def test_tokenize_truncate_equals_python_split(spark):
         got.setdefault(r.doc_id, []).append((r.pos, r.token))
     for i, t in enumerate(texts):
         assert [w for _, w in sorted(got.get(i, []))] == t.split()[:3]
+
+
+def test_merge_adjacent_chunks_with_user_embedder(spark):
+    data = [(1, i, t) for i, t in enumerate(["aa", "ab", "zz", "zy"])]
+    df = spark.createDataFrame(data, "doc_id long, chunk_no int, chunk string")
+
+    def emb(texts):  # first-letter vectors
+        return [[1.0, 0.0] if t.startswith("a") else [0.0, 1.0] for t in texts]
+
+    out = M.merge_adjacent_chunks(df, 2, revector="embed", embedder=emb)
+    assert [r.chunk for r in out.orderBy("chunk_no").collect()] == ["aa ab", "zz zy"]
