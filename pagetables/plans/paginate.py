@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pagetables.functions.text import (is_digits, py_strip, resolve_href,
                                        url_origin)
 from pagetables.operators.html import extract_anchors
-from pagetables.operators.links import (dedup_first, drop_ignored_titles,
-                                        next_page_link, take_through_index)
+from pagetables.operators.links import (drop_ignored_titles, next_page_link,
+                                        take_through_index)
 from pagetables.session import cut_lineage, small_side
 
 
@@ -295,10 +295,10 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
 def page_index(pages: DataFrame, walked: DataFrame, ignore=(),
                site_prefix: str = "/news/") -> DataFrame:
     """A3: the first-wins map number -> url of each category, over the pages walked."""
-    from pagetables.functions.text import url_suffix
+    from pagetables.operators.links import page_index as first_wins_index
     links = numbered_page_links(pages, walked, ignore, site_prefix).filter("is_index")
     w = walked.select("category_no", "url", "page_no")
-    return dedup_first(
-        links.join(w, "url").withColumn("number", F.col("title"))
-             .withColumn("url", F.col("link_url")),
-        key=["category_no", "number"], order=["page_no", "elem_seq"], values=["url"])
+    entries = (links.join(w, "url")
+                    .select("category_no", F.col("title").alias("number"),
+                            F.col("link_url").alias("url"), "page_no", "elem_seq"))
+    return first_wins_index(entries)
