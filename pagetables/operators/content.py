@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import clean_content as _clean
 from pagetables.functions.text import py_strip
-from pagetables.session import small_side
 
 
 def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
@@ -104,7 +103,7 @@ def with_full_page_fallback(df: DataFrame, links_col: str, full_col: str,
     o = F.struct(*[F.col(c) for c in order])
     empty = F.coalesce(F.size(links_col), F.lit(0)) <= 0
     first = df.filter(empty).groupBy(*keys).agg(F.min(o).alias("_first_empty"))
-    j = df.join(small_side(first), keys, "left")
+    j = df.join(first, keys, "left")
     full = F.coalesce(o >= F.col("_first_empty"), F.lit(False))
     return (j.withColumn("full_page", full)
              .withColumn(out, F.when(F.col("full_page"), F.col(full_col))

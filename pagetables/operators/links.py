@@ -232,8 +232,7 @@ def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,
     cand = home_anchors.select(F.col("text").alias("category"),
                                resolve_href("url", "href").alias("cat_url"))
     cand = valid_urls(cand, pages, "cat_url")
-    linked = pages.join(small_side(cand.select(F.col("cat_url").alias("url")).distinct()),
-                        "url", "left_semi")
+    linked = pages.join(cand.select(F.col("cat_url").alias("url")), "url", "left_semi")
     a = extract_anchors(linked.select("page_id", "url", "html"))
     p = F.lit(story_prefix) if isinstance(story_prefix, str) else story_prefix
     n = (a.filter(F.col("href").startswith(p))

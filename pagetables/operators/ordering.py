@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.session import cut_lineage, small_side
+from pagetables.session import cut_lineage
 
 _ROW_BITS = 33   # monotonically_increasing_id: partition index << 33 | row index
 
@@ -39,7 +39,7 @@ def with_positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
     s = s.withColumn("_g", F.col("_off") + F.col("_mid")
                      - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS))
     first = s.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    s = s.join(small_side(first), keys)
+    s = s.join(first, keys)
     return (s.withColumn(out, (F.col("_g") - F.col("_g0") + 1).cast("long"))
              .drop("_pid", "_mid", "_off", "_g0"))
 

@@ -144,8 +144,7 @@ def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
     answers: (url, next_page) - one parsed answer per listing page (X2c).
     """
     asked = pages.select("page_id", "url", "html").join(
-        small_side(answers.select(F.col("url").alias("_au")).distinct()),
-        F.col("url") == F.col("_au"), "left_semi")
+        answers.select(F.col("url").alias("_au")), F.col("url") == F.col("_au"), "left_semi")
     a = extract_anchors(asked)
     held = a.select(F.col("url").alias("_u"), resolve_href("url", "href").alias("_v"))
     cand = answers.select(F.col("url").alias("u"), py_strip("next_page").alias("v")) \

@@ -17,11 +17,12 @@ from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 
 def _pages_by_id(pages: DataFrame, ids: DataFrame) -> DataFrame:
-    """(page_id, html) of the pages in ``ids``: a semi join, broadcasting the ids
-    when their count is small, so the html is not shuffled to meet them (at
-    scale Spark's runtime bloom filter also trims the scan before a shuffle)."""
-    return pages.select("page_id", "html").join(small_side(ids.distinct()), "page_id",
-                                                "left_semi")
+    """(page_id, html) of the pages in ``ids``: a semi join.  The ids come out
+    of the whole crawl, so their size is measured at run time (AQE broadcasts
+    them when small) rather than counted up front, which would run the crawl
+    twice; at scale Spark's runtime bloom filter trims the page scan before
+    a shuffle."""
+    return pages.select("page_id", "html").join(ids, "page_id", "left_semi")
 
 
 def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下一页",

@@ -88,7 +88,11 @@ BROADCAST_MAX_ROWS = 100_000
 def small_side(df, max_rows: int = BROADCAST_MAX_ROWS):
     """Broadcast ``df`` only if it is proven small (at most ``max_rows`` rows,
     counted on at most ``max_rows + 1`` of them); otherwise return it as is,
-    and the join shuffles (or AQE picks a broadcast from the measured size)."""
+    and the join shuffles (or AQE picks a broadcast from the measured size).
+
+    Counting runs ``df``: use this on cheap inputs (seed literals, checkpointed
+    tables).  A side computed by an expensive plan is left to AQE, which
+    measures it at run time instead of running the plan twice."""
     from pyspark.sql import functions as F
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
