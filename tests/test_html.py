@@ -7,7 +7,7 @@ from pagetables.operators import html as H
 
 LISTING = """<html><body><ul>
 <li><a href="/shuiqian/101.html" target="_blank">小猫钓鱼 </a><span>2024-01-02</span></li>
-<li><a href="/shuiqian/102.html" target="_blank">　睡前小故事</a></li>
+<li><a href="/shuiqian/102.html" target="_blank">　晚安小故事</a></li>
 <li><a name="no-href">no link</a></li>
 <li><a href='/shuiqian/103.html'>Tom &amp; Jerry</a></li>
 </ul><script>var s = "<a href='/x'>x</a>";</script><!-- <a href="/c">c</a> -->
@@ -26,7 +26,7 @@ def test_anchors_in_order_with_quotes_entities_and_no_script(spark):
     got = rows(df, "elem_seq", "href", "text")
     assert got == [
         (0, "/shuiqian/101.html", "小猫钓鱼"),
-        (1, "/shuiqian/102.html", "睡前小故事"),
+        (1, "/shuiqian/102.html", "晚安小故事"),
         (2, "/shuiqian/103.html", "Tom & Jerry"),
         (3, "list_1_2.html", "下一页"),
         (4, "list_1_9.html", "末页"),

@@ -29,8 +29,8 @@ def test_gbk_and_utf8_pages(spark):
 
 
 def test_seeds_keep_order(spark):
-    s = R.category_seeds(spark, {"睡前故事": "http://a/shuiqian/", "童话故事": "http://a/tonghua/"})
-    assert rows(s, "category_no", "category") == [(0, "睡前故事"), (1, "童话故事")]
+    s = R.category_seeds(spark, {"晚安故事": "http://a/shuiqian/", "童话合集": "http://a/tonghua/"})
+    assert rows(s, "category_no", "category") == [(0, "晚安故事"), (1, "童话合集")]
 
 
 def test_records_from_map(spark):
