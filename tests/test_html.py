@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from pagetables.operators import html as H
 
 LISTING = """<html><body><ul>
-<li><a href="/shuiqian/101.html" target="_blank">小猫钓鱼 </a><span>2024-01-02</span></li>
-<li><a href="/shuiqian/102.html" target="_blank">　晚安小故事</a></li>
+<li><a href="/bedtime/101.html" target="_blank">小猫钓鱼 </a><span>2024-01-02</span></li>
+<li><a href="/bedtime/102.html" target="_blank">　晚安小故事</a></li>
 <li><a name="no-href">no link</a></li>
-<li><a href='/shuiqian/103.html'>Tom &amp; Jerry</a></li>
+<li><a href='/bedtime/103.html'>Tom &amp; Jerry</a></li>
 </ul><script>var s = "<a href='/x'>x</a>";</script><!-- <a href="/c">c</a> -->
 <div class="pages"><ul><li><a href="list_1_2.html">下一页</a></li><li><a href="list_1_9.html">末页</a></li></ul></div>
 </body></html>"""
@@ -22,19 +22,19 @@ NESTED = ("<html><head><script>var t=\"</p>\";</script></head><body><article><h1
 
 
 def test_anchors_in_order_with_quotes_entities_and_no_script(spark):
-    df = H.extract_anchors(pages_df(spark, [(1, "http://x/shuiqian/", LISTING)]))
+    df = H.extract_anchors(pages_df(spark, [(1, "http://x/bedtime/", LISTING)]))
     got = rows(df, "elem_seq", "href", "text")
     assert got == [
-        (0, "/shuiqian/101.html", "小猫钓鱼"),
-        (1, "/shuiqian/102.html", "晚安小故事"),
-        (2, "/shuiqian/103.html", "Tom & Jerry"),
+        (0, "/bedtime/101.html", "小猫钓鱼"),
+        (1, "/bedtime/102.html", "晚安小故事"),
+        (2, "/bedtime/103.html", "Tom & Jerry"),
         (3, "list_1_2.html", "下一页"),
         (4, "list_1_9.html", "末页"),
     ]
 
 
 def test_tree_parse_anchors_equal_regex_anchors(spark):
-    p = pages_df(spark, [(1, "http://x/shuiqian/", LISTING), (2, "http://y/", NESTED)])
+    p = pages_df(spark, [(1, "http://x/bedtime/", LISTING), (2, "http://y/", NESTED)])
     h1 = H.anchors_from_elements(H.shred_elements(p, tags=["a"]))
     h2 = H.extract_anchors(p).select("page_id", "elem_seq", "href", "text")
     assert h1.exceptAll(h2).count() == 0 and h2.exceptAll(h1).count() == 0
@@ -56,14 +56,14 @@ def test_first_by_class_keeps_raw_text(spark):
 
 
 def test_anchors_after_marker(spark):
-    html = ("<html><body><a href=\"/shuiqian/1.html\">old</a>"
+    html = ("<html><body><a href=\"/bedtime/1.html\">old</a>"
             "<div><span class=\"on\">最新发布</span><ul><li><span>d</span>"
-            "<a href=\"/shuiqian/2.html\">新</a></li><li><a href=\"/tonghua/3.html\">别</a></li>"
+            "<a href=\"/bedtime/2.html\">新</a></li><li><a href=\"/fairy/3.html\">别</a></li>"
             "<li><a href=\"list_1_2.html\">下一页</a></li><li><a href=\"/x/4.htm\">htm</a></li>"
             "</ul></div></body></html>")
     el = H.shred_elements(pages_df(spark, [(1, "u", html)]), tags=["span", "a"])
     got = rows(H.anchors_after_marker(el, "span", "最新发布", ".html"), "href")
-    assert got == [("/shuiqian/2.html",), ("/tonghua/3.html",), ("list_1_2.html",)]
+    assert got == [("/bedtime/2.html",), ("/fairy/3.html",), ("list_1_2.html",)]
 
 
 def test_snapshot_selectors_links_and_images(spark):

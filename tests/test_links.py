@@ -27,10 +27,10 @@ def test_take_through_index(spark):
 
 
 def test_strip_and_suffix_helpers(spark):
-    df = spark.createDataFrame([("　 a b\n\t", "http://stories.example/shuiqian/")], ["s", "u"])
+    df = spark.createDataFrame([("　 a b\n\t", "http://stories.example/bedtime/")], ["s", "u"])
     r = df.select(TX.py_strip("s").alias("a"), TX.py_rstrip("s").alias("b"),
                   TX.url_suffix("u").alias("c")).collect()[0]
-    assert (r.a, r.b, r.c) == ("a b", "　 a b", "shuiqian")
+    assert (r.a, r.b, r.c) == ("a b", "　 a b", "bedtime")
 
 
 def test_resolve_href(spark):

@@ -25,26 +25,26 @@ def _story(text):
 
 def test_story_table_by_label(spark):
     pages = pages_df(spark, [
-        (1, H + "shuiqian/", _listing(
-            [("/shuiqian/1.html", "T1"), ("/shuiqian/2.html", "晚安小故事")],
-            recent=[("/shuiqian/9.html", " R1 "), ("/tonghua/8.html", "X")], nxt="list_1_2.html")),
-        (2, H + "shuiqian/list_1_2.html", _listing(
-            [("/shuiqian/3.html", "T2"), ("/shuiqian/9b.html", "R1")])),
-        (3, H + "gushidaquan/", _listing(
-            [("/a/5.html", "T1"), ("/gushidaquan/6.html", "W")], nxt="list_2.html")),
-        (4, H + "gushidaquan/list_2.html", _listing([("/a/7.html", "R1"), ("/a/10.html", "T3")])),
-        (11, H + "shuiqian/1.html", _story("one")),
-        (13, H + "shuiqian/3.html", _story("two 　")),
+        (1, H + "bedtime/", _listing(
+            [("/bedtime/1.html", "T1"), ("/bedtime/2.html", "晚安小故事")],
+            recent=[("/bedtime/9.html", " R1 "), ("/fairy/8.html", "X")], nxt="list_1_2.html")),
+        (2, H + "bedtime/list_1_2.html", _listing(
+            [("/bedtime/3.html", "T2"), ("/bedtime/9b.html", "R1")])),
+        (3, H + "talesdaquan/", _listing(
+            [("/a/5.html", "T1"), ("/talesdaquan/6.html", "W")], nxt="list_2.html")),
+        (4, H + "talesdaquan/list_2.html", _listing([("/a/7.html", "R1"), ("/a/10.html", "T3")])),
+        (11, H + "bedtime/1.html", _story("one")),
+        (13, H + "bedtime/3.html", _story("two 　")),
         (15, H + "a/5.html", _story("five")),
-        (19, H + "shuiqian/9.html", _story("nine")),
+        (19, H + "bedtime/9.html", _story("nine")),
     ])
-    seeds = R.category_seeds(spark, {"晚安故事": H + "shuiqian/", "故事合集": H + "gushidaquan/"})
+    seeds = R.category_seeds(spark, {"晚安故事": H + "bedtime/", "故事合集": H + "talesdaquan/"})
     out = PL.story_table_by_label(pages, seeds, ignore=["晚安小故事"],
                                   suffix_overrides={"故事合集": "a"})
     assert rows(out, "name", "url", "category", "content") == sorted([
         ("T1", H + "a/5.html", "故事合集", "five"),        # last write wins across categories
-        ("T2", H + "shuiqian/3.html", "晚安故事", "two"),   # cleaned: \r and U+3000 gone
-        ("R1", H + "shuiqian/9.html", "晚安故事", "nine"),  # recent kept off pages >= 2
+        ("T2", H + "bedtime/3.html", "晚安故事", "two"),   # cleaned: \r and U+3000 gone
+        ("R1", H + "bedtime/9.html", "晚安故事", "nine"),  # recent kept off pages >= 2
         ("T3", H + "a/10.html", "故事合集", None),          # story page not landed
     ])
 
@@ -59,25 +59,25 @@ def _a(href, t):
 
 def test_story_table_by_number_from_gbk_pages(spark):
     N = "http://n.example"
-    p1 = _num([f'<p align="left"><img src="/i.gif"/>{_a("/news/gushi/a1.htm", "山里的小熊")}</p>',
-               _a("/news/gushi/", "孩子们的故事"), _a("/news/gushi/", "1"),
-               _a("/news/gushi/list_2.htm", "2"), _a("/news/gushi/a2.htm", "小猫"),
-               _a("/news/gushi/a3.htm", "不读")])
-    p2 = _num([_a("/news/gushi/a9.htm", "山里的小熊"), _a("/news/gushi/a4.htm", "河边的石头"),
-               _a("/news/gushi/", "1"), _a("/news/gushi/list_2.htm", "2")])
+    p1 = _num([f'<p align="left"><img src="/i.gif"/>{_a("/news/tales/a1.htm", "山里的小熊")}</p>',
+               _a("/news/tales/", "孩子们的故事"), _a("/news/tales/", "1"),
+               _a("/news/tales/list_2.htm", "2"), _a("/news/tales/a2.htm", "小猫"),
+               _a("/news/tales/a3.htm", "不读")])
+    p2 = _num([_a("/news/tales/a9.htm", "山里的小熊"), _a("/news/tales/a4.htm", "河边的石头"),
+               _a("/news/tales/", "1"), _a("/news/tales/list_2.htm", "2")])
     story = {"a1": "<p>网站</p><p>山里的小熊</p><p>小熊的故事。</p>",
              "a2": "<p>小猫</p><p> 小猫钓鱼。</p>",
              "a4": "<p>没有标题</p><p>x</p>"}
-    raw = [(1, f"{N}/news/gushi/", p1), (2, f"{N}/news/gushi/list_2.htm", p2)] + \
-          [(10 + i, f"{N}/news/gushi/{k}.htm", _num([v])) for i, (k, v) in enumerate(story.items())]
+    raw = [(1, f"{N}/news/tales/", p1), (2, f"{N}/news/tales/list_2.htm", p2)] + \
+          [(10 + i, f"{N}/news/tales/{k}.htm", _num([v])) for i, (k, v) in enumerate(story.items())]
     df = spark.createDataFrame([(i, u, bytearray(h.encode("gbk")), "gbk") for i, u, h in raw],
                                R.RAW_PAGES_SCHEMA)
     pages = R.decode_pages(df).select("page_id", "url", "html")
-    seeds = R.category_seeds(spark, {"孩子们的故事": f"{N}/news/gushi/"})
+    seeds = R.category_seeds(spark, {"孩子们的故事": f"{N}/news/tales/"})
     out = PL.story_table_by_number(pages, seeds, ignore=["孩子们的故事"])
     assert rows(out, "title", "text", "category", "story_url") == sorted([
-        ("山里的小熊", "小熊的故事。", "孩子们的故事", f"{N}/news/gushi/a1.htm"),   # first wins
-        ("小猫", "小猫钓鱼。", "孩子们的故事", f"{N}/news/gushi/a2.htm"),
+        ("山里的小熊", "小熊的故事。", "孩子们的故事", f"{N}/news/tales/a1.htm"),   # first wins
+        ("小猫", "小猫钓鱼。", "孩子们的故事", f"{N}/news/tales/a2.htm"),
     ])
 
 

@@ -29,7 +29,7 @@ def test_gbk_and_utf8_pages(spark):
 
 
 def test_seeds_keep_order(spark):
-    s = R.category_seeds(spark, {"晚安故事": "http://a/shuiqian/", "童话合集": "http://a/tonghua/"})
+    s = R.category_seeds(spark, {"晚安故事": "http://a/bedtime/", "童话合集": "http://a/fairy/"})
     assert rows(s, "category_no", "category") == [(0, "晚安故事"), (1, "童话合集")]
 
 
