@@ -268,6 +268,20 @@ def _shred_batches(keep_tags, exclude, target, with_text):
     return run
 
 
+# Spark's default Arrow batch size, and ours for rows that are
+# whole pages (500 rows of a few MB each stay within a worker's memory).
+ARROW_DEFAULT_BATCH = "10000"
+ARROW_PAGE_BATCH = "500"
+
+
+def _small_arrow_batches(spark) -> None:
+    """Pages are wide rows: unless the session chose a batch size, send them
+    to Python 500 at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == ARROW_DEFAULT_BATCH:
+        spark.conf.set(key, ARROW_PAGE_BATCH)
+
+
 def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
                    with_text: bool = True) -> DataFrame:
     """H1: ``pages(page_id, html)`` -> ``elements`` (ELEMENT_SCHEMA).
@@ -278,6 +292,7 @@ def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
     ``target`` keeps only text inside matching subtrees.  Narrow: no shuffle.
     """
     keep = None if tags is None else frozenset(t.lower() for t in tags)
+    _small_arrow_batches(pages.sparkSession)
     src = pages.select(F.col("page_id").cast("long"), "html")
     return src.mapInPandas(_shred_batches(keep, tuple(exclude), tuple(target), with_text),
                            ELEMENT_SCHEMA)
@@ -570,6 +585,7 @@ def page_snapshot(pages: DataFrame, exclude=(), target=(), remove_images=False,
             if out["page_id"]:
                 yield pd.DataFrame(out)
 
+    _small_arrow_batches(pages.sparkSession)
     src = pages.select(F.col("page_id").cast("long"), "url", "html")
     snap = src.mapInPandas(run, SNAPSHOT_SCHEMA)
     if as_struct:
