@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagetables.llm import minhash, mixing, packing, quality, secrets
+from pagetables.llm import fingerprint, langid, lattice, minhash, mixing, packing, quality, secrets, toolcalls
 from pagetables.llm.tables import read
 
 
@@ -12,10 +12,46 @@ def _held(mod: int, rest: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod)) == rest
 
 
+def op1_lattice(spark, sf_dir):
+    return lattice.lattice_scores(read(spark, sf_dir, "documents"), _held(7, 2))
+
+
 def op3_quality(spark, sf_dir):
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _held(3, 1))
 
 
+def op4_fingerprint(spark, sf_dir):
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
+#: Tools that the derived calls use: parameter -> (JSON type, required).
+TOOLS = {"search": {"query": ("string", True), "limit": ("integer", True)},
+         "lookup": {"key": ("string", True), "exact": ("boolean", False)},
+         "measure": {"value": ("number", True), "unit": ("string", False)}}
+
+
+def op5_tool_calls(spark, sf_dir):
+    """Calls and results that Spark derives from ``conversations``: an assistant turn calls a
+    tool (some with faulty arguments), after the call of two turns before; the next turn,
+    whoever speaks, is the result (some under an id that no call has)."""
+    c = read(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", "coalesce(text, '') AS text")
+    calls = c.filter("role = 'assistant'").selectExpr(
+        "conv_id", "turn", "concat('call_', conv_id, '_', turn) AS call_id",
+        "IF(turn >= 2, concat('call_', conv_id, '_', turn - 2), NULL) AS parent_id",
+        "elt(turn % 4 + 1, 'search', 'lookup', 'measure', 'browse') AS name",
+        """CASE WHEN (conv_id + turn) % 13 = 5 THEN '{"query": '
+           WHEN turn % 4 = 0 THEN concat('{ "query": "', regexp_replace(substring(text, 1, 20), '[^A-Za-z ]', ''),
+             '", "limit": ', IF(conv_id % 7 = 3, '"12"', CAST(length(text) AS STRING)), '}')
+           WHEN turn % 4 = 1 THEN concat('{"key" : "k', length(text), '"',
+             CASE conv_id % 5 WHEN 0 THEN ', "exact": true' WHEN 1 THEN ', "exact": null' WHEN 2 THEN ', "depth": 3' ELSE '' END, '}')
+           WHEN turn % 4 = 2 THEN concat('{"unit": "m"', IF(conv_id % 3 = 0, '', concat(', "value": ', length(text), '.25')), '}')
+           ELSE '{}' END AS arguments""")
+    results = c.filter("turn >= 1").selectExpr(
+        "conv_id", "turn", "concat('call_', conv_id, '_', IF((conv_id + turn) % 11 = 4, -1, turn - 1)) AS call_id",
+        "text AS content")
+    return toolcalls.link_calls(calls, results, TOOLS)
+
+
 def op6_length_buckets(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -32,7 +68,13 @@ def op9_mixing(spark, sf_dir):
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality, op6_length_buckets, op7_minhash, op8_secrets, op9_mixing)}
+def op10_langid(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"), _held(4, 2))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_lattice, op3_quality, op4_fingerprint, op5_tool_calls, op6_length_buckets, op7_minhash, op8_secrets,
+    op9_mixing, op10_langid)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -118,4 +160,45 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN per USING (doc_id)
 """
 
-ORACLES = {"op6_length_buckets": _OP6, "op7_minhash": _OP7, "op8_secrets": _OP8}
+_OP5 = """
+WITH RECURSIVE c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+calls AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id,
+    CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS parent_id,
+    ['search', 'lookup', 'measure', 'browse'][turn % 4 + 1] AS name,
+    (conv_id + turn) % 13 = 5 AS broken, length(text) AS n, conv_id % 7 = 3 AS worded, conv_id % 5 AS v, conv_id % 3 = 0 AS bare,
+    regexp_replace(substring(text, 1, 20), '[^A-Za-z ]', '', 'g') AS q
+  FROM c WHERE role = 'assistant'
+), results AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || (CASE WHEN (conv_id + turn) % 11 = 4 THEN -1 ELSE turn - 1 END) AS call_id,
+    text AS content FROM c WHERE turn >= 1
+), depth AS (
+  SELECT call_id, 0::BIGINT AS depth FROM calls WHERE parent_id IS NULL OR parent_id NOT IN (SELECT call_id FROM calls)
+  UNION ALL SELECT k.call_id, d.depth + 1 FROM depth d JOIN calls k ON k.parent_id = d.call_id
+), checked AS (
+  SELECT calls.*, CASE WHEN name = 'browse' THEN 'unknown_tool' WHEN broken THEN 'not_an_object'
+    WHEN name = 'search' AND worded THEN 'type:limit'
+    WHEN name = 'lookup' AND v = 2 THEN 'unexpected:depth'
+    WHEN name = 'measure' AND bare THEN 'missing:value' END AS error,
+    CASE WHEN broken THEN NULL WHEN name = 'search' THEN '{"limit":' || CASE WHEN worded THEN '"12"' ELSE n::VARCHAR END || ',"query":"' || q || '"}'
+      WHEN name = 'lookup' THEN '{' || CASE v WHEN 0 THEN '"exact":true,' WHEN 1 THEN '"exact":null,' WHEN 2 THEN '"depth":3,' ELSE '' END || '"key":"k' || n || '"}'
+      WHEN name = 'measure' THEN '{"unit":"m"' || CASE WHEN bare THEN '' ELSE ',"value":' || n || '.25' END || '}'
+      ELSE '{}' END AS args
+  FROM calls
+), first AS (
+  SELECT call_id, min({'turn': turn, 'content': content}) AS r, count(*) AS n FROM results GROUP BY 1
+)
+SELECT k.conv_id, k.turn, k.call_id, d.depth,
+  CASE WHEN k.error IS NOT NULL THEN 'invalid' WHEN f.r IS NULL THEN 'no_result' ELSE 'ok' END AS status, k.error,
+  coalesce(f.n, 0) AS n_results,
+  '{' || CASE WHEN args IS NULL THEN '' ELSE '"arguments":' || args || ',' END || '"call_id":"' || k.call_id || '"'
+    || CASE WHEN f.r IS NULL THEN '' ELSE ',"content":' || to_json(f.r.content)::VARCHAR END || ',"depth":' || d.depth
+    || ',"name":"' || name || '"' || CASE WHEN parent_id IS NULL THEN '' ELSE ',"parent_id":"' || parent_id || '"' END || '}' AS line
+FROM checked k JOIN depth d USING (call_id) LEFT JOIN first f USING (call_id)
+UNION ALL
+SELECT conv_id, turn, call_id, NULL, 'orphan', NULL, 1,
+  '{"call_id":"' || call_id || '","content":' || to_json(content)::VARCHAR || '}'
+FROM results WHERE call_id NOT IN (SELECT call_id FROM calls)
+"""
+
+ORACLES = {"op5_tool_calls": _OP5, "op6_length_buckets": _OP6, "op7_minhash": _OP7, "op8_secrets": _OP8}
