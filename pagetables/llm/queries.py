@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagetables.llm import fingerprint, langid, lattice, minhash, mixing, packing, quality, secrets, toolcalls
+from pagetables.llm import fingerprint, langid, lattice, minhash, mixing, nndescent, packing, quality, secrets, toolcalls
 from pagetables.llm.tables import read
 
 
@@ -16,6 +16,10 @@ def op1_lattice(spark, sf_dir):
     return lattice.lattice_scores(read(spark, sf_dir, "documents"), _held(7, 2))
 
 
+def op2_nndescent(spark, sf_dir):
+    return nndescent.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_quality(spark, sf_dir):
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _held(3, 1))
 
@@ -73,7 +77,7 @@ def op10_langid(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_lattice, op3_quality, op4_fingerprint, op5_tool_calls, op6_length_buckets, op7_minhash, op8_secrets,
+    op1_lattice, op2_nndescent, op3_quality, op4_fingerprint, op5_tool_calls, op6_length_buckets, op7_minhash, op8_secrets,
     op9_mixing, op10_langid)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
