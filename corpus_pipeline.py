@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm import minhash, mixing, packing, quality, secrets
-from pagetables.llm.tables import read, stored
+from pagetables.llm.tables import read, spare, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +16,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each near-duplicate group (operator 7)."""
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone, = spare(docs, "gone")
+    out = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(out, F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,7 +257,7 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
 
     def corpus_weight(c, log10_marginal):
         """``REPEATS`` times a word's probability under the training words and the lattice."""
-        return REPEATS * (c + kinds * 10.0 ** log10_marginal) / (tokens + kinds)
+        return REPEATS * (c + max(1, kinds) * 10.0 ** log10_marginal) / (tokens + max(1, kinds))
 
     def scored(batches):
         for b in batches:

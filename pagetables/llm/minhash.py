@@ -10,8 +10,11 @@ pair always meets under one of the ``SYMBOLS`` keys.  Pairs that meet are
 confirmed on full sets.
 
 Copies are folded first (one class per distinct set).  Inside a bucket no
-all-pairs list is made: star rounds link members to a leader, and only
-members that are still in different components meet afterwards, all of them.
+all-pairs list is made.  Star rounds link members to a leader.  Then a class
+that met a large component without joining it is compared with all of that
+component, block by block, by counting shared shingles in an inverted index;
+only links come out.  Members of small components that are still apart meet
+in pairs whose signatures are near.  Both steps leave no pair out.
 """
 
 from __future__ import annotations
@@ -32,10 +35,13 @@ CHUNKS = 12
 SYMBOLS = WIDTH * CHUNKS
 GUARANTEED = 2 * CHUNKS - 1   # signature distance up to which a pair always meets
 #: Pairs that meet at a larger distance than this are not compared on sets.  At
-#: similarity 0.75 a distance has mean 15 and deviation 3.4: 34 is 5.6 deviations away.
-FARTHEST = 34
+#: similarity 0.75 a distance has mean 15 and deviation 3.4: 30 is 4.5 deviations away.
+FARTHEST = 30
 LEADERS = 3           # pairs that a class tests in a star round
-BLOCK = 1024          # members of a hot bucket compared in one task
+LARGE = 16            # classes from which a component is compared in blocks
+BLOCK = 256           # classes of a large component in one block
+ASKED = 512           # classes compared with a block in one task
+MEMBERS = 2048        # members of a bucket of small components in one task
 STAR_ROUNDS = 2
 
 _ODD = K.mix(np.arange(SYMBOLS, dtype=np.uint64), 11) | np.uint64(1)
@@ -126,24 +132,48 @@ def _distance(a, b) -> np.ndarray:
     return (x != y).sum(axis=1)
 
 
-def _far_pairs(member: dict, num: int, den: int):
-    """Pairs of one bucket that are in different components and may be near: all of
-    those outside the bucket's main component against everything."""
-    comp, n, sig, cid = member["comp"], member["n"], member["sig"], member["cid"]
-    main = member["main"]
-    out = np.flatnonzero(comp != main)
-    for s in range(0, len(out), 64):
-        x = out[s:s + 64]
-        near = np.zeros((len(x), len(cid)), dtype=bool)
-        for t in range(0, len(cid), BLOCK):
-            near[:, t:t + BLOCK] = (sig[x][:, None, :] != sig[None, t:t + BLOCK, :]).sum(axis=2) <= FARTHEST
-        near &= comp[x][:, None] != comp[None, :]
-        a, b = n[x][:, None], n[None, :]
-        near &= den * np.minimum(a, b) >= num * np.maximum(a, b)
-        near &= (cid[x][:, None] < cid[None, :]) | (comp[None, :] == main)
-        p, q = np.nonzero(near)
-        if len(p):
-            yield np.minimum(cid[x[p]], cid[q]), np.maximum(cid[x[p]], cid[q])
+def _near_pairs(member: dict, num: int, den: int):
+    """Pairs of one bucket (or of two blocks of it) in different components that may be near."""
+    comp, n, sig, cid, own = (member[k] for k in ("comp", "n", "sig", "cid", "own"))
+    two = own.min() != own.max()
+    for s in range(0, len(cid), 64):
+        x = slice(s, s + 64)
+        for t in range(s, len(cid), 1024):
+            y = slice(t, t + 1024)
+            near = (sig[x][:, None, :] != sig[None, y, :]).sum(axis=2) <= FARTHEST
+            near &= comp[x][:, None] != comp[None, y]
+            near &= den * np.minimum(n[x][:, None], n[None, y]) >= num * np.maximum(n[x][:, None], n[None, y])
+            if two:
+                near &= own[x][:, None] != own[None, y]
+            p, q = np.nonzero(near)
+            if len(p):
+                yield np.minimum(cid[x][p], cid[y][q]), np.maximum(cid[x][p], cid[y][q])
+
+
+def _block_links(num: int, den: int):
+    """Links between classes that ask and a block of a large component: the first of each."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        u, v = [], []
+        if left.num_rows and right.num_rows:
+            cid = right.column(1).combine_chunks().to_numpy()
+            sets = right.column(2).combine_chunks()
+            size = np.diff(sets.offsets.to_numpy())
+            flat = sets.flatten().to_numpy()
+            o = np.argsort(flat, kind="stable")
+            flat, owner = flat[o], np.repeat(np.arange(len(cid)), size)[o]
+            ask = left.column(2).combine_chunks()
+            for i in range(len(ask)):
+                x = ask[i].values.to_numpy()
+                lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+                many = hi - lo
+                at = np.arange(many.sum()) + np.repeat(lo - (np.cumsum(many) - many), many)
+                common = np.bincount(owner[at], minlength=len(cid))
+                hit = np.flatnonzero(den * common >= num * (len(x) + size - common))
+                if len(hit):
+                    u.append(left.column(1)[i].as_py())
+                    v.append(int(cid[hit[0]]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return run
 
 
 def _bucket_pairs(num: int, den: int):
@@ -157,12 +187,12 @@ def _bucket_pairs(num: int, den: int):
             salt = f["salt"].to_numpy()
             cut = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
             sig = np.frombuffer(b"".join(f["sig"]), dtype=np.uint16).reshape(-1, SYMBOLS)
-            comp, n, cid, main = (f[c].to_numpy() for c in ("comp", "n", "cid", "main"))
+            comp, n, cid, own = (f[c].to_numpy() for c in ("comp", "n", "cid", "own"))
             seen = []
             for s, e in zip(np.r_[0, cut], np.r_[cut, len(key)]):
                 if e - s > 1:
-                    one = {"comp": comp[s:e], "n": n[s:e], "sig": sig[s:e], "cid": cid[s:e], "main": main[s]}
-                    seen += list(_far_pairs(one, num, den))
+                    one = {"comp": comp[s:e], "n": n[s:e], "sig": sig[s:e], "cid": cid[s:e], "own": own[s:e]}
+                    seen += list(_near_pairs(one, num, den))
             if seen:
                 both = np.unique(np.stack([np.concatenate([a for a, _ in seen]),
                                            np.concatenate([b for _, b in seen])]), axis=1)
@@ -265,17 +295,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
         add(confirmed(close(pairs)))
 
-    # what is left in different components of a bucket meets in full: the main
-    # component is dealt over blocks, the others go to every block
-    sized = open_buckets([])
-    per = sized.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("main_size"))
-    rest = sized.join(per, "key").withColumn("blocks", F.ceil(F.col("main_size") / BLOCK).cast("int"))
-    rest = rest.withColumn("salt", F.explode(F.when(
-        F.col("comp") == F.col("main"), F.array(F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")))
-        .otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    rest = rest.join(classes.select("cid", "n", "sig"), "cid") \
-        .select("key", "salt", "cid", "comp", "main", "n", "sig") \
+    # a class that shares a bucket with a large component is compared with all of it
+    large = stored(comp.groupBy("comp").agg(F.count("*").alias("size")).filter(F.col("size") >= LARGE), "large")
+    at = open_buckets([])
+    there = at.join(large.select("comp"), "comp").select("key", F.col("comp").alias("big")).distinct()
+    ask = stored(at.join(there, "key").filter("comp <> big").select("cid", "big").distinct(), "ask")
+    parts = ask.groupBy("big").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("askers")) \
+        .join(large.select(F.col("comp").alias("big"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "big")
+
+    def dealt(df: DataFrame, own: str, other: str, place: str) -> DataFrame:
+        """Rows in their block of ``own``, sent to every block of ``other``."""
+        one = df.join(parts, "big").join(sets, "cid").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int")) \
+            .withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ("mine", "theirs") if own == "askers" else ("theirs", "mine")
+        return one.select(F.xxhash64("big", *pair).alias(place), "cid", "shingles")
+    asked = dealt(ask, "askers", "blocks", "task")
+    in_large = comp.join(large.select("comp"), "comp").select("cid", F.col("comp").alias("big"))
+    held = dealt(in_large, "blocks", "askers", "place").select(
+        "place", F.col("cid").alias("held"), F.col("shingles").alias("held_shingles"))
+    add(asked.groupBy("task").cogroup(held.groupBy("place")).applyInArrow(_block_links(num, den), "u long, v long"))
+
+    # members of small components that are still apart meet in pairs of near signatures
+    sized = open_buckets([]).join(in_large.select("cid"), "cid", "left_anti")
+    per = sized.groupBy("key").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"), F.count("*").alias("c")) \
+        .filter("c > 1")
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    salts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.least(F.col("own"), b) * F.col("blocks")
+                        + F.greatest(F.col("own"), b))      # one task for every two blocks of a hot bucket
+    rest = sized.join(per, "key").withColumn("own", own).withColumn("salt", F.explode(salts)) \
+        .join(classes.select("cid", "n", "sig"), "cid").select("key", "salt", "cid", "comp", "own", "n", "sig") \
         .repartition("key", "salt").sortWithinPartitions("key", "salt")
     pairs = stored(rest.mapInArrow(_bucket_pairs(num, den), "a long, b long").distinct(), "rest")
     add(confirmed(pairs))

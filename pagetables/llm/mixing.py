@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagetables.llm.tables import stored
+from pagetables.llm.tables import spare, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK = 128          # documents that one aggregate rounds
@@ -170,11 +170,10 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def resample(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (0 to ``MOST`` times)."""
+    i, s, z, k, n = spare(docs, "id", "source_of", "size", "copies", "n")
     c = mix(docs, id_col, source_col, text_col).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")
+        F.col("doc_id").alias(i), F.col("source").alias(s), F.col("size").alias(z), F.col("copies").alias(k))
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
-    d = docs.withColumn("_n", size)
-    hit = d.join(c, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
-                 & (F.col("_n") == F.col("_size")) & (F.col("copies") > 0))
-    return hit.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *[hit[x] for x in docs.columns])
+    hit = docs.withColumn(n, size).join(c, F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s))
+                                        & (F.col(n) == F.col(z)) & (F.col(k) > 0))
+    return hit.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(k)))).select(*docs.columns)

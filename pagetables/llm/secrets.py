@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.llm.tables import stored
+from pagetables.llm.tables import spare, stored
 
 # Fixed values: (kind, pattern, group that must be long enough, its least length).
 # The first three are the base kinds; the others are this scanner's own.
@@ -102,24 +102,22 @@ def joined(spans: Column) -> Column:
 def redact(docs: DataFrame, ledger: DataFrame, version: str = VERSION, mark: str = "[SECRET]",
            text_col: str = "text") -> DataFrame:
     """``docs`` with every finding replaced by ``mark`` (overlapping findings by one)."""
+    blob, spans, whole = spare(docs, "blob", "spans", "whole")
     hits = ledger.filter((F.col("version") == version) & (F.size("spans") > 0)).select(
-        F.col("blob").alias("_blob"), "spans")
+        F.col("blob").alias(blob), F.col("spans").alias(spans))
     text = F.coalesce(F.col(text_col), F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
-        gap = F.expr("0")
-        new = s["start"] >= acc["at"]
-        piece = F.substr(F.col("_text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], gap))
-        first = (acc["at"] == 0) | (s["start"] > acc["at"])
+        # a finding that begins inside the last one only moves its end
+        apart = (acc["at"] == 0) | (s["start"] > acc["at"])
+        piece = F.substr(F.col(whole), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         return F.struct(F.greatest(s["stop"], acc["at"]).alias("at"),
-                        F.when(new & first, F.concat(acc["out"], piece, F.lit(mark)))
-                        .otherwise(acc["out"]).alias("out"))
-    done = F.aggregate("spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substr(F.col("_text"), acc["at"] + 1, F.length("_text"))))
-    with_hits = docs.withColumn("_blob", F.sha2(text.cast("binary"), 256)).join(hits, "_blob", "left") \
-        .withColumn("_text", text)
-    out = with_hits.withColumn(text_col, F.when(F.col("spans").isNotNull(), done).otherwise(F.col(text_col)))
+                        F.when(apart, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+    done = F.aggregate(spans, start, step, lambda acc: F.concat(
+        acc["out"], F.substr(F.col(whole), acc["at"] + 1, F.length(whole))))
+    with_hits = docs.withColumn(blob, F.sha2(text.cast("binary"), 256)).join(hits, blob, "left").withColumn(whole, text)
+    out = with_hits.withColumn(text_col, F.when(F.col(spans).isNotNull(), done).otherwise(F.col(text_col)))
     return out.select(*docs.columns)
 
 

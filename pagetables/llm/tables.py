@@ -20,3 +20,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
