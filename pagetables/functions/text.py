@@ -6,6 +6,9 @@ these helpers pin the semantics down so that every operator agrees.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,22 +19,6 @@ from pyspark.sql import functions as F
 # both Java regex and RE2 read the same way.
 PY_SPACE = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}"
             "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
-# Character references decoded on the JVM path, as (regex, text), in the
-# order they are applied ("&amp" last so that "&amp;lt;" decodes once, to
-# "&lt;").  As in HTML5 (and Python's html.unescape), these names are also
-# valid without the semicolon; "&apos" is not, and numeric references keep
-# theirs (no lookahead in RE2 to stop "&#39" matching inside "&#390").
-ENTITIES = [
-    ("&lt;?", "<"),
-    ("&gt;?", ">"),
-    ("&quot;?", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;?", "\u00a0"),
-    ("&copy;?", "\u00a9"),
-    ("&middot;?", "\u00b7"),
-    ("&amp;?", "&"),
-]
 # Characters dropped from story content (carriage return, ideographic space).
 CONTENT_DROP = "\r\u3000"
 # ---------------------------------------------------------------------------
@@ -56,11 +43,43 @@ def collapse_space(c) -> Column:
     return py_strip(F.regexp_replace(_c(c), f"{PY_SPACE}+", " "))
 
 
+def _one_reference(p: Column) -> Column:
+    """Text that followed an ``&``, with the character reference it may start with decoded."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")      # folded to a literal
+    bare = "^(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)) + ")"
+    name = F.regexp_extract(p, "^[^\\t\\n\\f <&#;]{1,32};?", 0)
+    prefix = F.regexp_extract(p, bare, 1)
+    numeric = F.regexp_extract(p, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+    digits = F.regexp_replace(F.regexp_replace(numeric, "^#[xX]?0*|;", ""), "^$", "0")
+    is_hex = numeric.rlike("^#[xX]")
+    n = F.when(F.length(digits) > 7, F.lit(0x110000).cast("long")).when(
+        is_hex, F.conv(digits, 16, 10).cast("long")).otherwise(F.conv(digits, 10, 10).cast("long"))
+    # 80-9F mean windows-1252, as in HTML5
+    low = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0))
+    char = (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
+             .when(n.between(0x80, 0x9F), F.substr(F.lit(low), (n - 0x7F).cast("int"), F.lit(1)))
+             .when(n == 13, "\r")
+             .when(n.between(1, 8) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF) | (n == 0xB)
+                   | (n.bitwiseAND(F.lit(0xFFFE).cast("long")) == 0xFFFE), "")
+             .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+    def rest(taken):
+        return F.substr(p, F.length(taken) + 1, F.length(p))
+    return (F.when(p.startswith("amp;"), F.concat(F.lit("&"), F.substr(p, F.lit(5), F.length(p))))
+             .when(numeric != "", F.concat(char, rest(numeric)))
+             .when(F.element_at(names, name).isNotNull(), F.concat(F.element_at(names, name), rest(name)))
+             .when(prefix != "", F.concat(F.element_at(names, prefix), rest(prefix)))
+             .otherwise(F.concat(F.lit("&"), p)))
+
+
 def unescape_entities(c) -> Column:
-    out = _c(c)
-    for pattern, ch in ENTITIES:
-        out = F.regexp_replace(out, pattern, ch)
-    return out
+    """``html.unescape``: every HTML5 character reference, named (the old names
+    without a semicolon too) and numeric, decoded once, on the JVM."""
+    x = _c(c)
+    parts = F.split(x, "&")
+    done = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(
+        F.slice(parts, F.lit(2), F.size(parts)), _one_reference), ""))
+    return F.when(x.contains("&"), done).otherwise(x)
 
 
 def strip_tags(c) -> Column:
@@ -116,16 +135,34 @@ def resolve_relative(listing_url, href) -> Column:
     return F.concat(_c(listing_url), _c(href))
 
 
+def _no_dots(path) -> Column:
+    """A path without ``.`` and ``..`` segments (a last one leaves its slash)."""
+    segments = F.split(path, "/")
+    last = F.get(segments, F.size(segments) - 1)
+
+    def step(acc, x):
+        up = F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.least(F.size(acc), F.lit(1))))
+        return F.when(x == "..", up).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+    kept = F.array_join(F.aggregate(segments, F.array().cast("array<string>"), step), "/")
+    return F.when(path.rlike("(?:^|/)[.]{1,2}(?:/|$)"),
+                  F.when(last.isin(".", ".."), F.concat(kept, F.lit("/"))).otherwise(kept)).otherwise(path)
+
+
 def resolve_href(base, href) -> Column:
-    """Resolve ``href`` against the page url ``base`` (urljoin for the usual forms):
-    absolute, scheme-relative, root-relative, query-only and path-relative."""
-    b, h = _c(base), _c(href)
-    no_frag = F.regexp_replace(b, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, "[?].*$", "")
+    """Resolve ``href`` against the page url ``base`` as ``urljoin`` does, without the
+    fragment: absolute, scheme-relative, root-relative, query-only and
+    path-relative forms, ``.`` and ``..`` segments, an empty base path."""
+    b, h = F.regexp_replace(_c(base), "#.*$", ""), F.regexp_replace(_c(href), "#.*$", "")
+    no_query = F.regexp_replace(b, "[?].*$", "")
     scheme = F.regexp_extract(b, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    origin = url_origin(b)
+    path = F.regexp_replace(h, "[?].*$", "")
+    query = F.regexp_extract(h, "[?].*$", 0)
+    folder = F.regexp_replace(F.substr(no_query, F.length(origin) + 1, F.length(no_query)), "[^/]*$", "")
+    folder = F.when(folder == "", "/").otherwise(folder)
     return (F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
              .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-             .when(h.startswith("/"), F.concat(url_origin(b), h))
+             .when(h == "", b)
              .when(h.startswith("?"), F.concat(no_query, h))
-             .when(h == "", no_frag)
-             .otherwise(F.concat(F.regexp_replace(no_query, "[^/]*$", ""), h)))
+             .when(h.startswith("/"), F.concat(origin, _no_dots(path), query))
+             .otherwise(F.concat(origin, _no_dots(F.concat(folder, path)), query)))

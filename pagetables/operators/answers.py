@@ -115,8 +115,10 @@ def parse_titles(completions: DataFrame, content: str = "content", key: str = "k
     v = _variant(content)
     arr = F.try_variant_get(v, "$.titles_and_urls", TITLE_ROWS)
     mp = F.try_variant_get(v, "$.titles_and_urls", "map<string,string>")
-    rows = F.coalesce(arr, F.transform(F.map_entries(mp), lambda e: F.struct(
-        e["key"].alias("title"), e["value"].alias("url"))))
+    # a map's entries in the answer's order (a VARIANT sorts its keys)
+    names = F.array_distinct(F.json_object_keys(F.get_json_object(F.col(content), "$.titles_and_urls")))
+    rows = F.coalesce(arr, F.transform(F.coalesce(names, F.map_keys(mp)), lambda k: F.struct(
+        k.alias("title"), F.element_at(mp, k).alias("url"))))
     nxt = F.coalesce(F.try_variant_get(v, "$.next_page", "string"), F.lit(""))
     base = _last_key_wins(completions).select(key, rows.alias("_rows"), nxt.alias("next_page"))
     e = base.select(key, "next_page", F.posexplode("_rows").alias("pos", "r"))
@@ -147,11 +149,12 @@ def assemble_stories(links: DataFrame, stories: DataFrame, url: str = "url") ->
     """Story record = link row + parsed answer; blanks where the answer failed.
 
     links: (title, url, category); stories: parse_story keyed by url.
-    -> (title, author, content, category, url) in the K3 order.
+    -> (title, author, content, category, url) in the K3 order.  Of several good
+    answers for a url the smallest (content, author) counts.
     """
-    s = stories.filter(F.col("status") == "ok").select(
-        F.col("key").alias("_k"), F.col("author").alias("_author"),
-        F.col("content").alias("_content"))
+    one = F.min(F.struct(F.col("content").alias("c"), F.col("author").alias("a")))
+    s = stories.filter(F.col("status") == "ok").groupBy(F.col("key").alias("_k")).agg(one.alias("_s")).select(
+        "_k", F.col("_s.a").alias("_author"), F.col("_s.c").alias("_content"))
     j = links.join(s, F.col(url) == F.col("_k"), "left")
     return j.select("title", F.coalesce("_author", F.lit("")).alias("author"),
                     F.coalesce("_content", F.lit("")).alias("content"),

@@ -17,9 +17,15 @@ def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
 
     Only ``url`` and the requested page columns are read from ``pages``
     (column pruning reaches the scan).  A page that is not landed gives
-    ``fetched = false`` and NULL columns (not an error string).
+    ``fetched = false`` and NULL columns (not an error string); of a url landed
+    several times the smallest page_id counts.
     """
-    p = pages.select(F.col("url").alias("_purl"), *cols)
+    first = pages.groupBy(F.col("url").alias("_purl")).agg(F.min("page_id").alias("_pid"))
+    if list(cols) == ["page_id"]:
+        p = first.withColumnRenamed("_pid", "page_id")
+    else:
+        p = pages.select(F.col("url").alias("_u"), F.col("page_id").alias("_id"), *cols).join(
+            first, (F.col("_u") == F.col("_purl")) & (F.col("_id") == F.col("_pid"))).select("_purl", *cols)
     out = links.join(p, F.col(url) == F.col("_purl"), "left")
     return out.withColumn("fetched", F.col("_purl").isNotNull()).drop("_purl")
 

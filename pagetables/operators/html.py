@@ -34,12 +34,13 @@ from pagetables.functions.text import (collapse_space, py_strip, strip_tags,
 #
 # Removed before any regex extraction: scripts, styles and comments.
 STRIP_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-# An anchor with an href (double-, single- or un-quoted), and its inner html.
-# Other attributes are skipped whole when quoted, so a ">" inside a quoted
-# value does not end the tag.
-ANCHOR_RE = (r"(?is)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\bhref\s*=\s*"
-             r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-             r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)</a\s*>")
+# Start and end tags of anchors; quoted attribute values are skipped whole, so
+# a ">" inside one does not end the tag.  Possessive throughout: linear time,
+# and no recursion however long a tag is.
+ANCHOR_TAG_RE = r"(?is)<a(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</a\s*+>"
+# The href of a start tag, after any other attributes.
+HREF_RE = (r"(?is)^<a(?:[\s/]++(?!href\s*+=)[^\s=>\"'/]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+)*+"
+           r"[\s/]*+href\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
 # Elements without an end tag.
 VOID_TAGS = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input",
                        "link", "meta", "param", "source", "track", "wbr"])
@@ -268,20 +269,6 @@ def _shred_batches(keep_tags, exclude, target, with_text):
     return run
 
 
-# Spark's default Arrow batch size, and ours for rows that are
-# whole pages (500 rows of a few MB each stay within a worker's memory).
-ARROW_DEFAULT_BATCH = "10000"
-ARROW_PAGE_BATCH = "500"
-
-
-def _small_arrow_batches(spark) -> None:
-    """Pages are wide rows: unless the session chose a batch size, send them
-    to Python 500 at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == ARROW_DEFAULT_BATCH:
-        spark.conf.set(key, ARROW_PAGE_BATCH)
-
-
 def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
                    with_text: bool = True) -> DataFrame:
     """H1: ``pages(page_id, html)`` -> ``elements`` (ELEMENT_SCHEMA).
@@ -292,29 +279,69 @@ def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
     ``target`` keeps only text inside matching subtrees.  Narrow: no shuffle.
     """
     keep = None if tags is None else frozenset(t.lower() for t in tags)
-    _small_arrow_batches(pages.sparkSession)
     src = pages.select(F.col("page_id").cast("long"), "html")
     return src.mapInPandas(_shred_batches(keep, tuple(exclude), tuple(target), with_text),
                            ELEMENT_SCHEMA)
 
 
+# Fixed value: marks the tags of a page (a control character that html forbids).
+_MARK = "\x01"
+
+
+def _page_anchors(parts: Column) -> Column:
+    """Anchors ``(href, text)`` of a page cut at its anchor tags: text, tag, text, tag, ..., text.
+
+    An anchor ends at its end tag; anchors that open inside it belong to its
+    text, and one that is never closed runs to the end of the page."""
+    n = ((F.size(parts) - 1) / 2).cast("int")
+
+    def tag(i):
+        return F.get(parts, 2 * i + 1)
+
+    def after(i):
+        return F.get(parts, 2 * i + 2)
+
+    def is_end(i):
+        return tag(i).startswith("</")
+
+    def nested(i):
+        start = F.struct(F.lit(1).alias("depth"), after(i).alias("text"))
+
+        def step(acc, j):
+            depth = acc["depth"] + F.when(is_end(j), -1).otherwise(1)
+            return F.when(acc["depth"] == 0, acc).otherwise(F.struct(
+                depth.alias("depth"),
+                F.when(depth == 0, acc["text"]).otherwise(F.concat(acc["text"], after(j))).alias("text")))
+        return F.aggregate(F.sequence(i + 1, n - 1), start, step, lambda acc: acc["text"])
+
+    def anchor(i):
+        plain = (i + 1 >= n) | is_end(i + 1)
+        href = F.concat(*[F.regexp_extract(tag(i), HREF_RE, g) for g in (1, 2, 3)])
+        return F.struct(F.when(tag(i).rlike(HREF_RE), href).alias("href"),
+                        F.when(plain, after(i)).otherwise(nested(i)).alias("text"))
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~is_end(i))
+    return F.when(n > 0, F.filter(F.transform(starts, anchor), lambda a: a["href"].isNotNull()))
+
+
 def extract_anchors(pages: DataFrame, keep_cols=("url",)) -> DataFrame:
     """H2: every ``<a href>`` in document order -> (page_id, elem_seq, href, text, ...).
 
-    JVM only: scripts/styles/comments removed by regex, then one
-    ``regexp_extract_all`` per group; ``posexplode`` keeps the order.
-    ``elem_seq`` is the 0-based position among the page's anchors.
+    JVM only: scripts/styles/comments removed, then one pass finds the anchor
+    tags and the page is cut there; ``posexplode`` keeps the order.
+    ``elem_seq`` is the 0-based position among the page's anchors.  Unclosed
+    and nested anchors are kept, as in the tree (H1).
     """
     keep = [c for c in keep_cols if c in pages.columns]
-    h = F.regexp_replace(F.col("html"), STRIP_RE, "")
-    groups = [F.regexp_extract_all(h, F.lit(ANCHOR_RE), i) for i in (1, 2, 3, 4)]
-    zipped = F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(groups, 1)])
-    exploded = pages.select("page_id", *keep, F.posexplode(zipped).alias("elem_seq", "m"))
+    h = F.translate(F.regexp_replace(F.col("html"), STRIP_RE, ""), _MARK, "")
+    parts = F.split(F.regexp_replace(h, ANCHOR_TAG_RE, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    # bound once: the parts are named many times
+    anchors = F.transform(F.array(parts), _page_anchors)[0]
+    exploded = pages.select("page_id", *keep, F.posexplode(anchors).alias("elem_seq", "m"))
     return exploded.select(
         "page_id", *keep,
         F.col("elem_seq").cast("int").alias("elem_seq"),
-        unescape_entities(F.concat(F.col("m.g1"), F.col("m.g2"), F.col("m.g3"))).alias("href"),
-        py_strip(strip_tags(F.col("m.g4"))).alias("text"),
+        unescape_entities(F.col("m.href")).alias("href"),
+        py_strip(strip_tags(F.col("m.text"))).alias("text"),
     )
 
 
@@ -585,7 +612,6 @@ def page_snapshot(pages: DataFrame, exclude=(), target=(), remove_images=False,
             if out["page_id"]:
                 yield pd.DataFrame(out)
 
-    _small_arrow_batches(pages.sparkSession)
     src = pages.select(F.col("page_id").cast("long"), "url", "html")
     snap = src.mapInPandas(run, SNAPSHOT_SCHEMA)
     if as_struct:

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.functions.text import is_digits, py_strip
-from pagetables.session import small_side
 
 ORDER_COLS = ["category_no", "page_no", "phase", "elem_seq"]
 
@@ -43,12 +42,13 @@ def drop_ignored_titles(links: DataFrame, ignore, title: str = "title") -> DataF
 
     A Python list is a literal of bounded size: ``NOT IN`` (an InSet on the
     JVM).  A DataFrame stop list is an anti join; AQE turns it into a
-    broadcast join only when its measured size is under the threshold.
+    broadcast join only when its measured size is under the threshold.  A NULL
+    title is on no list and stays.
     """
     if isinstance(ignore, DataFrame):
         ig = ignore.select(F.col(ignore.columns[0]).alias("_ignored")).distinct()
         return links.join(ig, F.col(title) == F.col("_ignored"), "left_anti")
-    return links.filter(~F.col(title).isin(list(ignore)))
+    return links.filter(F.col(title).isNull() | ~F.col(title).isin(list(ignore)))
 
 
 def split_index_links(links: DataFrame, title: str = "title") -> DataFrame:
@@ -116,16 +116,16 @@ def validate_next_page(candidates: DataFrame, anchors: DataFrame,
 def drop_home_links(links: DataFrame, url: str = "url", page_url: str | None = None) -> DataFrame:
     """trim, then drop links that lead back to a home page.
 
-    A home link has an empty or ``/`` path; with ``page_url`` given, links to
-    another host are dropped too.
+    A home link has an empty or ``/`` path (a relative link's path is the link
+    itself); with ``page_url`` given, links to another host are dropped too.
     """
     u = py_strip(url)
-    path = F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    path = F.regexp_extract(u, "^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
     out = links.withColumn(url, u).filter(~path.isin("", "/"))
     if page_url:
         host = F.regexp_extract(F.col(url), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)
         phost = F.regexp_extract(F.col(page_url), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)
-        out = out.filter(host == phost)
+        out = out.filter(~F.col(url).rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | (host == phost))
     return out
 
 
@@ -206,16 +206,15 @@ def exclude_recent(links: DataFrame, recent: DataFrame, title: str = "title",
     keys = list(by)
     r = recent.select(*[F.col(k).alias("_r_" + k) for k in keys],
                       F.col(title).alias("_rt")).distinct()
-    late = links.filter(F.col("page_no") >= from_page)
-    early = links.filter(F.col("page_no") < from_page)
-    cond = [F.col(title) == F.col("_rt")] + [F.col(k) == F.col("_r_" + k) for k in keys]
-    late = late.join(r, cond, "left_anti")
-    return early.unionByName(late)
+    cond = (F.col(title) == F.col("_rt")) & (F.col("page_no") >= from_page)
+    for k in keys:
+        cond = cond & (F.col(k) == F.col("_r_" + k))
+    return links.join(r, cond, "left_anti")
 
 
 def attach_category(df: DataFrame, categories: DataFrame, on: str = "category_no") -> DataFrame:
-    """Page -> category; the seed table is broadcast when its size check passes."""
-    return df.join(small_side(categories.select(on, "category")), on)
+    """Page -> category (the seed table's size in bytes decides the kind of join)."""
+    return df.join(categories.select(on, "category"), on)
 
 
 def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,

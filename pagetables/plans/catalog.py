@@ -18,13 +18,27 @@ from pagetables.functions import text as TX
 from pagetables.operators import html as H
 from pagetables.operators import links as L
 from pagetables.plans import sqlfrag as Q
-from pagetables.session import small_side
-from pagetables.sources.readers import read_table
+from pagetables.session import sized
+from pagetables.sources.readers import read_table as _read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Tables of long texts, and the bytes under which one is dealt over all
+# cores (a small file has one row group, so one task would do all its per-row work).
+WIDE_TABLES = ("pages", "documents", "conversations", "embeddings")
+SMALL_TABLE = 64 << 20
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = _read(spark, sf_dir, name)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if name in WIDE_TABLES and size <= SMALL_TABLE:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
+
+
 def register(name: str, sql: str | None):
     def deco(fn):
         QUERIES[name] = fn
@@ -536,7 +550,7 @@ def recent_links_q(spark, sf):
     kept when ``href.split('/')[-2]`` is the category suffix."""
     site, seeds = _label(spark, sf)
     first = seeds.orderBy("category_no").limit(1)
-    p1 = site.join(small_side(first.select("url")), "url")
+    p1 = site.join(sized(first.select("url")), "url")
     el = H.shred_elements(p1, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", S.RECENT_LABEL, ".html")
     rec = rec.join(p1.select("page_id", TX.url_suffix("url").alias("suffix")), "page_id")
@@ -1120,15 +1134,44 @@ from pagetables.sources import readers as R  # noqa: E402
 from pagetables.sources import writers as W  # noqa: E402
 
 
-@register("decode_pages", "SELECT doc_id, text AS html FROM documents")
+@register("decode_pages", """
+SELECT doc_id, CASE WHEN doc_id % 4 = 2 THEN text || chr(65533) ELSE text END AS html,
+  CASE WHEN doc_id % 4 = 2 THEN 'replaced' WHEN doc_id % 20 = 0 THEN 'unknown_charset' ELSE 'ok' END AS status
+FROM documents
+""")
 def decode_pages_q(spark, sf):
-    """Documents stored as bytes (UTF-8, German ones as UTF-16) decoded back."""
+    """UTF-8, UTF-16, Latin-1, undeclared, unknown and damaged bodies (GBK: tests)."""
     d = read_table(spark, sf, "documents")
-    cs = F.when(F.col("lang") == "de", F.lit("utf-16")).otherwise(F.lit("utf-8"))
-    raw = d.select("doc_id", cs.alias("charset"),
-                   F.when(F.col("lang") == "de", F.encode("text", "UTF-16"))
-                    .otherwise(F.encode("text", "UTF-8")).alias("body"))
-    return R.decode_pages(raw, charsets=("utf-8", "utf-16")).select("doc_id", "html")
+    k = F.col("doc_id") % 4
+    raw = d.select("doc_id", F.when(k == 1, F.encode("text", "UTF-16")).when(
+        k == 3, F.encode(F.regexp_replace("text", "[^\\x00-\\xFF]", "?"), "ISO-8859-1")).when(
+        k == 2, F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode("text", "UTF-8")).alias("body"),
+        F.when(F.col("doc_id") % 20 == 0, "x-none").when(k == 1, "UTF-16").when(k == 3, "latin-1").when(k == 2, "utf-8")
+        .alias("charset"))
+    return R.decode_pages(raw, status="status").select("doc_id", "html", "status")
+
+
+@register("extract_anchors_hard", """
+SELECT doc_id AS page_id, unnest([0, 1, 2, 3, 4])::INTEGER AS elem_seq,
+  unnest(['/x' || doc_id, '/1', '/2?a=1&b=' || n_chars, '/3', '/q>' || doc_id]) AS href,
+  unnest(['T — ' || doc_id || '’s café ' || lang, 'onetwothree-下一页> & <', 'two', 'three', '下一页']) AS text
+FROM documents
+""")
+def extract_anchors_hard_q(spark, sf):
+    """H2 on one page a document with very long tags, nested and unclosed anchors, split
+    labels and named, numeric and unterminated character references."""
+    d = read_table(spark, sf, "documents")
+    i = F.col("doc_id").cast("string")
+    long_tag = F.concat(F.lit("<a href='/x"), i, F.lit("' "), F.repeat(F.lit("data a = "), 3000 + F.pmod("doc_id", F.lit(7)).cast("int")),
+                        F.repeat(F.lit('b="c > d" '), 400), F.lit(">"))
+    html = F.concat(
+        long_tag, F.lit("T &mdash; "), i, F.lit("&#8217;s caf&eacute; "), F.col("lang"),
+        F.lit("</a><script><a href='/no'>no</a></script><A HREF=\"/1\">one<a href='/2?a=1&amp;b="),
+        F.col("n_chars").cast("string"),
+        F.lit("'>two</a><!-- <a href=/no> --><a title=\"href='/no'\" href=/3>three</a><a name=x>-</a>"),
+        F.lit('<abbr href="/no"></abbr><a class=n href="/q&gt;'), i, F.lit('">&#19979;<b>一</b>&#x9875;</a>&gt &amp; &lt;'))
+    return H.extract_anchors(d.select(F.col("doc_id").alias("page_id"), html.alias("html"))).select(
+        "page_id", "elem_seq", "href", "text")
 
 
 _STORY_ROWS_SQL = f"""
@@ -1393,7 +1436,7 @@ def attach_category_q(spark, sf):
     seeds = R.category_seeds(spark, PAGE_CATEGORIES)
     p = read_table(spark, sf, "pages").select(
         "page_id", TX.url_path_segment("url", 1).alias("category"))
-    return p.join(small_side(seeds.select("category", "category_no")), "category") \
+    return p.join(seeds.select("category", "category_no"), "category") \
             .select("page_id", "category_no", "category")
 
 
@@ -1489,7 +1532,7 @@ WHERE nl.n > {DISCOVER_MIN}
 def discover_categories_q(spark, sf):
     """listing pages that seed pages link to, landed and holding > 3 story links."""
     site, seeds = _label(spark, sf)
-    home = site.join(small_side(seeds.select("url")), "url")
+    home = site.join(sized(seeds.select("url")), "url")
     a = H.extract_anchors(home).filter(~F.col("href").startswith("/"))
     return L.discover_categories(a, site, "/c", DISCOVER_MIN)
 

@@ -26,7 +26,11 @@ from pagetables.functions.text import (is_digits, py_strip, resolve_href,
 from pagetables.operators.html import extract_anchors
 from pagetables.operators.links import (drop_ignored_titles, next_page_link,
                                         take_through_index)
-from pagetables.session import cut_lineage, small_side
+from pagetables.session import cut_lineage
+
+
+# Fixed value: the recursion level that stands for none.
+NO_LIMIT = 1_000_000
 
 
 def _landed(df: DataFrame, pages: DataFrame, col: str) -> DataFrame:
@@ -43,13 +47,14 @@ def _with_page_id(df: DataFrame, pages: DataFrame, keys) -> DataFrame:
     return j.groupBy(*keys, "url").agg(F.min("page_id").alias("page_id"))
 
 
-def label_edges(pages: DataFrame, label: str = "下一页") -> DataFrame:
+def label_edges(pages: DataFrame, label: str = "下一页", anchors: DataFrame | None = None) -> DataFrame:
     """I1's edges: the first link labelled ``label`` on each page, resolved
-    against the page url, kept only when it leads to a landed page."""
-    # only a page whose html holds the label can have a next link: a plain
-    # substring test (no regex) drops story pages before the anchor scan
-    listing = pages.select("page_id", "url", "html").filter(F.col("html").contains(label))
-    a = extract_anchors(listing)
+    against the page url, kept only when it leads to a landed page.
+
+    ``anchors``: the pages' anchors (page_id, url, elem_seq, href, text), if
+    they are at hand; the label is sought in the parsed text, so markup or
+    references inside it do not hide it."""
+    a = extract_anchors(pages.select("page_id", "url", "html")) if anchors is None else anchors
     nxt = next_page_link(a, label, part=("page_id", "url"))
     e = nxt.select(F.col("url").alias("u"), resolve_href("url", "next_href").alias("v"),
                    "page_id")
@@ -100,20 +105,21 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
 
 
 def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
-                          max_pages: int = 1000, key: str = "category_no") -> DataFrame:
+                          max_pages: int | None = None, key: str = "category_no") -> DataFrame:
     """The same walk as a recursive CTE (one join per page; for cross-checks)."""
     spark = seeds.sparkSession
+    level = NO_LIMIT if max_pages is None else max_pages
     _landed(seeds.select(key, F.col("url").alias("node")), pages, "node") \
         .createOrReplaceTempView("_pt_seeds")
     _one_edge_per_page(edges).createOrReplaceTempView("_pt_edges")
     pages.select("url", "page_id").createOrReplaceTempView("_pt_pages")
     out = spark.sql(f"""
-      WITH RECURSIVE w({key}, node, d, seen) MAX RECURSION LEVEL {max_pages + 1} AS (
+      WITH RECURSIVE w({key}, node, d, seen) MAX RECURSION LEVEL {level + 1} AS (
         SELECT {key}, node, 0L, array(node) FROM _pt_seeds
         UNION ALL
         SELECT w.{key}, e.v, w.d + 1, concat(w.seen, array(e.v))
         FROM w JOIN _pt_edges e ON w.node = e.u
-        WHERE NOT array_contains(w.seen, e.v) AND w.d + 1 < {max_pages}
+        WHERE NOT array_contains(w.seen, e.v) AND w.d + 1 < {level}
       )
       SELECT w.{key}, CAST(w.d + 1 AS INT) AS page_no, w.node AS url, min(p.page_id) AS page_id
       FROM w JOIN _pt_pages p ON p.url = w.node
@@ -123,18 +129,19 @@ def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
 
 
 def follow_next(pages: DataFrame, seeds: DataFrame, label: str = "下一页",
-                max_pages: int | None = None, method: str = "doubling") -> DataFrame:
+                max_pages: int | None = None, method: str = "doubling",
+                anchors: DataFrame | None = None) -> DataFrame:
     """Follow the labelled next link from each category seed.
 
     seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id).
     """
-    edges = label_edges(pages, label)
+    edges = label_edges(pages, label, anchors)
     s = seeds.select("category_no", "url")
     if method == "recursive":
-        w = walk_chains_recursive(s, edges, pages, max_pages or 1000)
+        w = walk_chains_recursive(s, edges, pages, max_pages)
     else:
         w = walk_chains(s, edges, pages, max_pages)
-    return w.join(small_side(seeds.select("category_no", "category")), "category_no")
+    return w.join(seeds.select("category_no", "category"), "category_no")
 
 
 def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
@@ -153,14 +160,14 @@ def follow_validated(pages: DataFrame, seeds: DataFrame, answers: DataFrame,
                       "left_semi")
     edges = _landed(valid, pages, "v")
     w = walk_chains(seeds.select("category_no", "url"), edges, pages, max_pages)
-    return w.join(small_side(seeds.select("category_no", "category")), "category_no")
+    return w.join(seeds.select("category_no", "category"), "category_no")
 
 
 # ---------------------------------------------------------------------------
 # Numbered pages with a growing first-wins index
 
 def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
-                        site_prefix: str = "/news/") -> DataFrame:
+                        site_prefix: str = "/news/", anchors: DataFrame | None = None) -> DataFrame:
     """Links of every landed page, read the way the numbered crawl reads them.
 
     Per category: links under ``{site_prefix}{suffix}/``, stop list applied,
@@ -169,9 +176,7 @@ def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
     the href prefix, so this is computed once for all pages, before any walk.
     -> (url, suffix, elem_seq, title, link_url, is_index)
     """
-    # pages without the site prefix in their html have no such links
-    listing = pages.select("page_id", "url", "html").filter(F.col("html").contains(site_prefix))
-    a = extract_anchors(listing)
+    a = extract_anchors(pages.select("page_id", "url", "html")) if anchors is None else anchors
     a = a.withColumn("title", F.col("text"))
     seg = F.regexp_extract(F.col("href"), "^" + site_prefix + "([^/]+)/", 1)
     a = a.withColumn("suffix", seg).filter(F.col("suffix") != "")
@@ -182,7 +187,7 @@ def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
                     is_digits("title").alias("is_index"))
 
 
-def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
+def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int | None = None,
                              site_prefix: str = "/news/", checkpoint_every: int = 8
                              ) -> DataFrame:
     """I2 the plain way: page n+1 is the url first listed under number n+1 on a
@@ -190,8 +195,7 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
 
     All categories advance together, one round per page number.  The
     per-page link table is built once (JVM regex) and checkpointed; a round
-    joins the current frontier (one row per live category, broadcast when
-    its size check passes) to it.
+    joins the current frontier (one row per live category) to it.
     seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id)
     """
     from pagetables.functions.text import url_suffix
@@ -203,13 +207,12 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
     front = cats.join(live, F.col("url") == F.col("_live"), "left_semi") \
                 .select("category_no", "suffix", "url", F.lit(1).alias("page_no"))
     visited = cut_lineage(front)
-    cats_b = small_side(cats.select("category_no", "suffix"))
+    cats_b = cats.select("category_no", "suffix")
     index = None
     n = 1
-    while n < max_pages:
+    while max_pages is None or n < max_pages:
         # index entries listed on the pages reached in this round
-        got = (links.join(small_side(front.select("url", "suffix", "page_no",
-                                                   "category_no")), ["url", "suffix"])
+        got = (links.join(front.select("url", "suffix", "page_no", "category_no"), ["url", "suffix"])
                     .select("category_no", F.col("title").alias("number"),
                             "link_url", F.col("page_no").alias("listed_on"), "elem_seq"))
         index = got if index is None else index.unionByName(got)
@@ -232,7 +235,7 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
         n = want
     return (_with_page_id(visited.select("category_no", "page_no", "url"), pages,
                           ["category_no", "page_no"])
-                   .join(small_side(seeds.select("category_no", "category")), "category_no")
+                   .join(seeds.select("category_no", "category"), "category_no")
                    .select("category_no", "category", "page_no", "url", "page_id"))
 
 
@@ -245,10 +248,11 @@ def _walk_prefix(cands: DataFrame, live: DataFrame) -> DataFrame:
              .filter(F.col("page_no") == F.col("_rn")).drop("_rn"))
 
 
-def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
-                    site_prefix: str = "/news/", max_rounds: int | None = None) -> DataFrame:
+def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int | None = None,
+                    site_prefix: str = "/news/", max_rounds: int | None = None,
+                    links: DataFrame | None = None) -> DataFrame:
     """Page n+1 is the url first listed under number n+1 on a page already read;
-    the walk ends at the first number not listed, or after ``max_pages`` pages.
+    the walk ends at the first number not listed, or after ``max_pages`` pages if given.
 
     Solved as a fixpoint over whole walks instead of one round per page:
     start from a guess (any url a page of the category lists for each
@@ -259,24 +263,29 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
     repeat is the exact walk; each round fixes at least one more page, and
     when a site's numbering is consistent the guess is already right: two
     rounds whatever the length.  Each round is a few joins and one window
-    per category (at most ``max_pages`` rows), checkpointed.
+    per category (a row a page), checkpointed.  ``links``: the result of
+    ``numbered_page_links``, if it is at hand.
     seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id)
     """
     from pagetables.functions.text import url_suffix
-    links = numbered_page_links(pages, seeds, ignore, site_prefix).filter("is_index")
+    if links is None:
+        links = numbered_page_links(pages, seeds, ignore, site_prefix)
+    links = links.filter("is_index")
     num = F.col("title").try_cast("int")
     links = cut_lineage(
         links.filter(num.isNotNull() & (num.cast("string") == F.col("title")))
              .select("url", "suffix", "elem_seq", num.alias("m"), "link_url"))
-    cats = small_side(seeds.select("category_no", url_suffix("url").alias("suffix")))
+    cats = seeds.select("category_no", url_suffix("url").alias("suffix"))
     live = pages.select(F.col("url").alias("_live"))
     seed_rows = seeds.select("category_no", F.lit(1).alias("page_no"), "url")
-    bounded = (F.col("m") >= 2) & (F.col("m") <= max_pages)
+    bounded = (F.col("m") >= 2) & (F.lit(True) if max_pages is None else F.col("m") <= max_pages)
     guess = (links.filter(bounded).join(cats, "suffix")
                   .groupBy("category_no", F.col("m").alias("page_no"))
                   .agg(F.min("link_url").alias("url")))
     cur = cut_lineage(_walk_prefix(seed_rows.unionByName(guess), live))
-    for _ in range(max_rounds or max_pages + 1):
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         ent = (cur.join(cats, "category_no")
                   .join(links, ["url", "suffix"])
                   .filter(bounded & (F.col("page_no") < F.col("m"))))
@@ -287,15 +296,17 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
             break
         cur = new
     return (_with_page_id(cur, pages, ["category_no", "page_no"])
-               .join(small_side(seeds.select("category_no", "category")), "category_no")
+               .join(seeds.select("category_no", "category"), "category_no")
                .select("category_no", "category", "page_no", "url", "page_id"))
 
 
 def page_index(pages: DataFrame, walked: DataFrame, ignore=(),
-               site_prefix: str = "/news/") -> DataFrame:
+               site_prefix: str = "/news/", links: DataFrame | None = None) -> DataFrame:
     """A3: the first-wins map number -> url of each category, over the pages walked."""
     from pagetables.operators.links import page_index as first_wins_index
-    links = numbered_page_links(pages, walked, ignore, site_prefix).filter("is_index")
+    if links is None:
+        links = numbered_page_links(pages, walked, ignore, site_prefix)
+    links = links.filter("is_index")
     w = walked.select("category_no", "url", "page_no")
     entries = (links.join(w, "url")
                     .select("category_no", F.col("title").alias("number"),

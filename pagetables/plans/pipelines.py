@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import (category_prefix, clean_content, py_strip,
+from pagetables.functions.text import (category_prefix, clean_content, py_strip, resolve_href,
                                        url_origin, url_suffix)
 from pagetables.operators import html as H
 from pagetables.operators.content import fetch_pages, paragraph_after_title
 from pagetables.operators.links import (dedup_first, dedup_last, drop_ignored_titles,
                                         exclude_recent, recent_links, union_recent)
-from pagetables.plans.paginate import follow_next, follow_numbered, numbered_page_links
-from pagetables.session import cut_lineage, small_side
+from pagetables.plans.paginate import follow_next, follow_numbered, numbered_page_links, walk_chains
+from pagetables.session import cut_lineage, sized
 from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 
@@ -37,17 +37,15 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     """
     if recent_from not in ("first", "each"):
         raise ValueError("recent_from is 'first' or 'each'")
-    chain = cut_lineage(follow_next(pages, seeds, label))
+    # one extraction serves the walk and the titles; anchor rows, not html, meet the walk
+    anchors = sized(H.extract_anchors(pages.select("page_id", "url", "html")))
+    chain = sized(follow_next(pages, seeds, label, anchors=anchors))
     cat = seeds.select("category_no", "category", F.col("url").alias("seed_url"))
     cat = cat.withColumn("prefix", F.concat(
         F.lit("/"), category_prefix("seed_url", "category", suffix_overrides), F.lit("/")))
-    cat = small_side(cat.withColumn("suffix", category_prefix("seed_url", "category",
-                                                              suffix_overrides)))
+    cat = cat.withColumn("suffix", category_prefix("seed_url", "category", suffix_overrides))
     base = F.lit(url_base) if url_base else F.concat(url_origin("seed_url"), F.lit("/"))
-    # anchors first (a narrow regex pass), then join the anchor rows - not
-    # the html - to the walked pages
-    anchors = H.extract_anchors(pages.select("page_id", "html"), keep_cols=())
-    a = anchors.join(chain.select("page_id", "category_no", "page_no"), "page_id")
+    a = anchors.drop("url").join(chain.select("page_id", "category_no", "page_no"), "page_id")
     a = a.join(cat, "category_no")
     a = a.filter(F.col("href").startswith(F.col("prefix")))
     a = a.withColumn("title", F.col("text"))
@@ -59,8 +57,8 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     p1 = chain.filter(F.col("page_no") == 1).select("page_id", "category_no")
     if recent_from == "first":
         p1 = p1.join(seeds.agg(F.min("category_no").alias("category_no")), "category_no")
-    # one page per category at most: broadcast it rather than shuffle the html
-    p1_pages = pages.join(small_side(p1), "page_id").select("page_id", "html", "category_no")
+    # one page per category at most, of a size known in bytes
+    p1_pages = pages.join(sized(p1), "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
     rec = rec.join(p1, "page_id").join(cat, "category_no")
@@ -92,22 +90,23 @@ def story_table_by_label(pages: DataFrame, seeds: DataFrame, ignore=(), **kw) ->
                       clean_content("text").alias("content"))
 
 
-def number_links(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
+def number_links(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int | None = None,
                  site_prefix: str = "/news/") -> DataFrame:
     """Q2 up to the first-wins title table: (title, url, category, first_ord)."""
-    walked = cut_lineage(follow_numbered(pages, seeds, ignore, max_pages, site_prefix))
-    links = numbered_page_links(pages, seeds, ignore, site_prefix).filter(~F.col("is_index"))
+    every = cut_lineage(numbered_page_links(pages, seeds, ignore, site_prefix))
+    walked = cut_lineage(follow_numbered(pages, seeds, ignore, max_pages, site_prefix, links=every))
+    links = every.filter(~F.col("is_index"))
     w = walked.select("url", "category_no", "category", "page_no",
                       url_suffix(F.col("url")).alias("_s"))
     sfx = seeds.select("category_no", url_suffix("url").alias("suffix"))
-    got = (links.join(w.drop("_s"), "url").join(small_side(sfx), ["category_no", "suffix"])
+    got = (links.join(w.drop("_s"), "url").join(sfx, ["category_no", "suffix"])
                 .select("title", F.col("link_url").alias("url"), "category", "category_no",
                         "page_no", "elem_seq"))
     return dedup_first(got, "title", order=("category_no", "page_no", "elem_seq"),
                        values=("url", "category"))
 
 
-def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int = 1000,
+def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int | None = None,
                           site_prefix: str = "/news/") -> DataFrame:
     """Q2: S3 -> I2 -> H2 -> F4, F6, F5 -> A1 -> J1 -> J4 -> K2 columns.
 
@@ -122,11 +121,14 @@ def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pag
     return found.select("title", "text", "category", F.col("url").alias(STORY_COLUMNS_B[3]))
 
 
-def story_table_from_answers(completions: DataFrame) -> DataFrame:
-    """Q3: F15/X2a -> F14/X2b -> X2c -> A2 -> X2d -> X4 -> K3 columns.
+def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Q3: F15/X2a -> F14/X2b -> X2c -> I3 -> A2 -> X2d -> X4 -> K3 columns.
 
     completions: (key, kind, content), kinds categories / decision / titles / story.
-    Category order is the category url; within a listing, the answer's order.
+    Listings are followed along the ``next_page`` that their answers name, to
+    pages that have an answer; with ``pages`` (page_id, url, html) given, only
+    where the page really links there (F17).  Order: category url, page, then
+    the answer's order.
     """
     from pagetables.operators import answers as X
     c = completions
@@ -134,8 +136,18 @@ def story_table_from_answers(completions: DataFrame) -> DataFrame:
     dec = X.parse_decision(c.filter(F.col("kind") == "decision")).filter("decision")
     ok = cats.join(dec.select(F.col("key").alias("url")), "url", "left_semi")
     titles = X.parse_titles(c.filter(F.col("kind") == "titles"))
-    links = titles.join(ok.select(F.col("url").alias("key"), "category"), "key")
+    # listing pages: from each category url along the next pages that answers name
+    seeds = ok.groupBy("url").agg(F.min("category").alias("category"))
+    edges = titles.select(F.col("key").alias("u"), py_strip("next_page").alias("v")).filter("v <> ''").distinct()
+    if pages is not None:
+        held = H.extract_anchors(pages).select(F.col("url").alias("_u"), resolve_href("url", "href").alias("_v"))
+        edges = edges.join(held, (F.col("u") == F.col("_u")) & (F.col("v") == F.col("_v")), "left_semi")
+    asked = titles.select(F.col("key").alias("url"), F.lit(0).cast("long").alias("page_id")).distinct()
+    walked = walk_chains(seeds.select(F.col("url").alias("seed"), "url"), edges, asked, key="seed")
+    listing = walked.select("seed", "page_no", F.col("url").alias("key")).join(
+        ok.select(F.col("url").alias("seed"), "category"), "seed")
+    links = titles.join(listing, "key")
     links = links.withColumn("url", py_strip("url")).withColumn("title", py_strip("title"))
-    deduped = dedup_last(links, "title", order=("key", "pos"), values=("url", "category"))
+    deduped = dedup_last(links, "title", order=("seed", "page_no", "pos"), values=("url", "category"))
     stories = X.parse_story(c.filter(F.col("kind") == "story"))
     return X.assemble_stories(deduped.select("title", "url", "category"), stories)

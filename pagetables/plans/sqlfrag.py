@@ -1,13 +1,21 @@
 """DuckDB SQL fragments for the oracle queries.
 
-They restate, in DuckDB's dialect, the same fixed patterns the Spark
-operators use (imported, not copied), so both engines apply one rule.
+They restate the rules in DuckDB's dialect with patterns of their own: the
+operators' patterns are not imported, so a wrong one shows as a difference.
 """
 
 from __future__ import annotations
 
-from pagetables.functions.text import ENTITIES, PY_SPACE
-from pagetables.operators.html import ANCHOR_RE, STRIP_RE
+# Python's white space as an RE2 class.
+PY_SPACE = ("[\\t-\\r\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+            "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+# References that occur in the driver's pages and the derived sites, "&amp" last.
+ENTITIES = [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;", "'"), ("&nbsp;?", "\u00a0"),
+            ("&copy;?", "\u00a9"), ("&middot;?", "\u00b7"), ("&amp;?", "&")]
+STRIP_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# A closed anchor with an href: the pages that oracles read have no others.
+ANCHOR_RE = (r"(?is)<a\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+             r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)</a\s*>")
 
 
 def lit(s: str) -> str:

@@ -80,19 +80,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-# Fixed value: rows a side may have to be broadcast by name (seed tables are
-# literals of a few rows; a derived seed table may be large).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def small_side(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast ``df`` only if it is proven small (at most ``max_rows`` rows,
-    counted on at most ``max_rows + 1`` of them); otherwise return it as is,
-    and the join shuffles (or AQE picks a broadcast from the measured size).
-
-    Counting runs ``df``: use this on cheap inputs (seed literals, checkpointed
-    tables).  A side computed by an expensive plan is left to AQE, which
-    measures it at run time instead of running the plan twice."""
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def sized(df):
+    """``df`` written to the shared folder and read back: its size in bytes is then
+    known to the optimizer, which broadcasts it only under its own threshold.
+
+    For the small side of a join whose other side carries html: without a
+    known size Spark would shuffle the html before it can tell."""
+    path = scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ Schemas are explicit everywhere: nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,24 +32,8 @@ COMPLETIONS_SCHEMA = T.StructType([
 ])
 
 
-# The driver tables whose rows are long texts (per-row work is heavy).
-WIDE_TABLES = ("pages", "documents", "conversations", "embeddings")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan has fewer splits than cores.
-
-    A small file with one row group is read by one task, and every
-    per-row stage after it (regex over html, the Python parse) would run
-    in that task.  At scale a table has many files and this is a no-op.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in WIDE_TABLES else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -57,28 +41,55 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(PAGES_SCHEMA).format(fmt).load(path)
 
 
-# Charsets that need Spark's legacy Java charset switch.
-LEGACY_CHARSETS = ("gbk", "gb2312", "gb18030", "big5", "shift_jis", "euc-kr", "euc-jp")
+def _decoded(bodies, charsets):
+    """Texts and how they were decoded: ``ok``, ``replaced`` (bad bytes became U+FFFD)
+    or ``unknown_charset`` (read as UTF-8)."""
+    import codecs
+
+    import pandas as pd
+    texts, states = [], []
+    for body, name in zip(bodies, charsets):
+        if body is None:
+            texts.append(None)
+            states.append(None)
+            continue
+        try:
+            codec, state = codecs.lookup(name or "utf-8"), "ok"
+            if not getattr(codec, "_is_text_encoding", True):
+                raise LookupError(name)
+        except LookupError:
+            codec, state = codecs.lookup("utf-8"), "unknown_charset"
+        try:
+            text = codec.decode(bytes(body))[0]
+        except UnicodeDecodeError:
+            text = codec.decode(bytes(body), "replace")[0]
+            state = "replaced" if state == "ok" else state
+        texts.append(text)
+        states.append(state)
+    return pd.DataFrame({"text": texts, "state": states})
 
 
 def decode_pages(df: DataFrame, body: str = "body", charset: str = "charset",
-                 charsets=("utf-8", "gbk"), out: str = "html") -> DataFrame:
+                 out: str = "html", status: str | None = None) -> DataFrame:
     """Bytes + declared charset -> text (``response.encoding = ...``).
 
-    Each charset is a literal branch of one CASE expression (JVM decoders).
-    GBK and other legacy charsets need ``spark.sql.legacy.javaCharsets=true``,
-    set here on the session that decodes.
+    UTF-8 (also where no charset is declared) is decoded on the JVM; every other
+    charset that Python knows in an Arrow-batched stage, which UTF-8 rows pass
+    as nulls.  A bad byte becomes U+FFFD and never fails the job; an unknown
+    charset is read as UTF-8.  ``status`` names a column that tells ``ok``,
+    ``replaced`` and ``unknown_charset`` apart.  No session setting is touched.
     """
-    spark = df.sparkSession
-    if any(c.lower() in LEGACY_CHARSETS for c in charsets):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    cs = F.lower(F.col(charset))
-    expr: Column | None = None
-    for c in charsets:
-        branch = F.decode(F.col(body), c.upper())
-        expr = F.when(cs == c.lower(), branch) if expr is None else expr.when(cs == c.lower(), branch)
-    expr = expr.otherwise(F.decode(F.col(body), "UTF-8"))
-    return df.withColumn(out, expr)
+    cs = F.lower(F.trim(F.col(charset)))
+    utf8 = F.coalesce(cs.isin("utf-8", "utf8", ""), F.lit(True))
+    raw = F.col(body).cast("string")
+    udf = F.pandas_udf(_decoded, "text string, state string")
+    other, = [n for n in ("_decoded",) if n not in df.columns]
+    d = df.withColumn(other, udf(F.when(~utf8, F.col(body)), cs))
+    d = d.withColumn(out, F.when(utf8, F.make_valid_utf8(raw)).otherwise(F.col(other)["text"]))
+    if status:
+        d = d.withColumn(status, F.when(utf8 & F.col(body).isNotNull(), F.when(F.is_valid_utf8(raw), "ok").otherwise(
+            "replaced")).otherwise(F.col(other)["state"]))
+    return d.drop(other)
 
 
 def category_seeds(spark: SparkSession, mapping) -> DataFrame:
