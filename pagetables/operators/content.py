@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import clean_content as _clean
 from pagetables.functions.text import py_strip
+from pagetables.operators.html import texts_of
 
 
 def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
@@ -34,24 +35,29 @@ def paragraph_after_title(links: DataFrame, paras: DataFrame, title: str = "titl
                           page: str = "page_id") -> DataFrame:
     """The paragraph after the first paragraph containing the title.
 
-    ``paras`` is H5's (page_id, p_no, text).  A page's paragraphs become one
-    ordered array (bounded by the page), each link row is joined to its
-    page's array, and the first paragraph holding the title is found with a
-    higher-order function: one row per link, no (link, paragraph) pairs.
-    Links whose title is on no paragraph (or on the last one) give no row.
+    ``paras`` is ``page_elements`` (one row per page, with its ``p`` elements),
+    or H5's (page_id, p_no, text), which is regrouped by page.  Each link row is
+    joined to its page's array, and the first paragraph holding the title is
+    found with a higher-order function: one row per link, no (link, paragraph)
+    pairs.  Links whose title is on no paragraph (or on the last one) give no row.
     """
-    per_page = paras.groupBy(F.col("page_id").alias("_ppid")).agg(
-        F.array_sort(F.collect_list(F.struct("p_no", "text"))).alias("_ps"))
+    if "elems" in paras.columns:
+        per_page = paras.select(F.col("page_id").alias("_ppid"), texts_of("elems", "p").alias("_ps"))
+    else:
+        per_page = paras.groupBy(F.col("page_id").alias("_ppid")).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("p_no", "text"))), lambda p: p["text"]).alias("_ps"))
     j = links.join(per_page, F.col(page) == F.col("_ppid")).drop("_ppid")
-    hit = F.array_position(F.transform("_ps", lambda p: p["text"].contains(F.col(title))),
-                           F.lit(True))
-    nxt = F.when((hit > 0) & (hit < F.size("_ps")),
-                 F.element_at(F.col("_ps"), (hit + 1).cast("int"))["text"])
-    return (j.withColumn("_next", nxt).drop("_ps")
+    return (j.withColumn("_next", next_paragraph(F.col("_ps"), F.col(title))).drop("_ps")
              .filter(F.col("_next").isNotNull())
              .withColumn("text", py_strip("_next")).drop("_next"))
 
 
+def next_paragraph(paragraphs: Column, title: Column) -> Column:
+    """The paragraph after the first one that holds ``title``; null if there is none."""
+    hit = F.array_position(F.transform(paragraphs, lambda p: p.contains(title)), F.lit(True))
+    return F.when((hit > 0) & (hit < F.size(paragraphs)), F.element_at(paragraphs, (hit + 1).cast("int")))
+
+
 def missing_stories(links: DataFrame, found: DataFrame, key: str = "title") -> DataFrame:
     """links whose story text was not found (reported, not silently lost)."""
     return links.join(found.select(key).distinct(), key, "left_anti")

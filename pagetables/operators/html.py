@@ -160,9 +160,10 @@ class _Selectors:
 class _Shredder(HTMLParser):
     """Tree builder over stdlib html.parser, for one page."""
 
-    def __init__(self, keep_tags=None, exclude=(), target=(), with_text=True):
+    def __init__(self, keep_tags=None, exclude=(), target=(), with_text=True, only=()):
         super().__init__(convert_charrefs=True)
         self.keep_tags = keep_tags
+        self.only = _Selectors(only)
         self.exclude = _Selectors(exclude)
         self.target = _Selectors(target)
         self.with_text = with_text
@@ -198,8 +199,12 @@ class _Shredder(HTMLParser):
         if targeted:
             self.target_depth += 1
 
+    def _wanted(self, tag, attrs):
+        return (self.keep_tags is None or tag in self.keep_tags) and (
+            not self.only or self.only.match(tag, attrs))
+
     def _emit(self, seq, parent, depth, outer, tag, attrs, text):
-        if self.keep_tags is None or tag in self.keep_tags:
+        if self._wanted(tag, attrs):
             self.rows.append((seq, parent, depth, outer, tag, attrs, text))
 
     def _close_top(self):
@@ -210,8 +215,7 @@ class _Shredder(HTMLParser):
             self.excluded_depth -= 1
         if targeted:
             self.target_depth -= 1
-        if not (excluded or self.excluded_depth) and (
-                self.keep_tags is None or tag in self.keep_tags):
+        if not (excluded or self.excluded_depth) and self._wanted(tag, attrs):
             text = "".join(self.chunks[start:]) if self.with_text else None
             self._emit(seq, parent, depth, outer, tag, attrs, text)
 
@@ -284,6 +288,39 @@ def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
                            ELEMENT_SCHEMA)
 
 
+ELEMS = ("array<struct<elem_seq:int,outer_seq:int,tag:string,attrs:map<string,string>,text:string>>")
+
+
+def page_elements(pages: DataFrame, tags=None, exclude=(), target=(), only=()) -> DataFrame:
+    """H1, one row per page: ``(page_id, elems)``, the elements in document order.
+
+    What follows on one page (first heading, numbered paragraphs, joined text)
+    is then array work in the row: nothing is regrouped by page.  ``only``
+    keeps elements that match one of these simple selectors, so no other
+    element's text is built.  A page without such elements has an empty array."""
+    keep = None if tags is None else frozenset(t.lower() for t in tags)
+    exclude, target, only = tuple(exclude), tuple(target), tuple(only)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for html in pdf["html"]:
+                elems = []
+                if html is not None:
+                    p = _Shredder(keep, exclude, target, True, only)
+                    p.feed(html)
+                    elems = [{"elem_seq": seq, "outer_seq": outer, "tag": tag, "attrs": attrs, "text": text}
+                             for seq, _parent, _depth, outer, tag, attrs, text in p.finish()]
+                rows.append(elems)
+            yield pd.DataFrame({"page_id": pdf["page_id"], "elems": rows})
+    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(run, f"page_id long, elems {ELEMS}")
+
+
+def texts_of(elems, tag: str) -> Column:
+    """The texts of a page's elements of one tag, in document order."""
+    return F.transform(F.filter(elems, lambda e: e["tag"] == tag), lambda e: e["text"])
+
+
 # Fixed value: marks the tags of a page (a control character that html forbids).
 _MARK = "\x01"
 
@@ -360,7 +397,14 @@ def has_class(cls: str) -> Column:
 
 
 def first_by_class(elements: DataFrame, tag: str, cls: str | None = None) -> DataFrame:
-    """H4: ``soup.find(tag, class_=cls).text`` per page -> (page_id, text)."""
+    """H4: ``soup.find(tag, class_=cls).text`` per page -> (page_id, text).
+
+    ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
+    if "elems" in elements.columns:
+        hit = F.filter("elems", lambda x: (x["tag"] == tag) & (F.lit(True) if not cls else F.array_contains(
+            F.split(F.coalesce(x["attrs"].getItem("class"), F.lit("")), "\\s+"), cls)))
+        return elements.select("page_id", F.get(hit, F.lit(0)).alias("e")).filter("e is not null") \
+            .select("page_id", "e.text")
     e = elements.filter(F.col("tag") == tag)
     if cls:
         e = e.filter(has_class(cls))
@@ -369,7 +413,13 @@ def first_by_class(elements: DataFrame, tag: str, cls: str | None = None) -> Dat
 
 
 def paragraphs(elements: DataFrame) -> DataFrame:
-    """H5: all ``<p>`` in document order -> (page_id, p_no, text), p_no 0-based."""
+    """H5: all ``<p>`` in document order -> (page_id, p_no, text), p_no 0-based.
+
+    ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
+    if "elems" in elements.columns:
+        p = F.filter("elems", lambda e: e["tag"] == "p")
+        return elements.select("page_id", F.posexplode(p).alias("p_no", "e")).select(
+            "page_id", "p_no", "e.elem_seq", "e.text")
     w = Window.partitionBy("page_id").orderBy("elem_seq")
     return (elements.filter(F.col("tag") == "p")
                     .select("page_id", (F.row_number().over(w) - 1).cast("int").alias("p_no"),
@@ -395,28 +445,42 @@ def anchors_after_marker(elements: DataFrame, marker_tag: str, marker_text: str,
 
 
 def heading_title(elements: DataFrame) -> DataFrame:
-    """Text of the first ``<h1>`` per page -> (page_id, title)."""
+    """Text of the first ``<h1>`` per page -> (page_id, title).
+
+    ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
+    if "elems" in elements.columns:
+        return elements.select("page_id", py_strip(F.get(texts_of("elems", "h1"), F.lit(0))).alias("title")) \
+            .filter("title is not null")
     return (elements.filter(F.col("tag") == "h1")
                     .groupBy("page_id")
                     .agg(py_strip(F.min_by("text", "elem_seq")).alias("title")))
 
 
-# Fixed value: a byline ("By Jane Doe", "By: Jane Doe").
-BYLINE_RE = r"^By:?\s+(.+)$"
+# A byline ("By Jane Doe", "By: Jane van Doe"): one to six name words,
+# each capitalised but for the usual particles; and where page metadata names the author.
+_NAME = r"\p{Lu}[\p{L}\p{M}'’.-]*"
+_NAME_WORD = rf"(?:{_NAME}|de|da|di|du|del|van|von|der|den|la|le|bin|al|y)"
+BYLINE_RE = rf"^By:?\s+({_NAME}(?:\s+{_NAME_WORD}){{0,5}})$"
 BYLINE_TAGS = ["p", "span", "div", "address", "small", "em", "i", "b", "strong"]
+AUTHOR_META = ["author", "article:author"]
 
 
 def byline_author(elements: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Author from the first element whose whole text is a byline; '' if none.
+    """Author from the page's metadata, else from the first element whose whole
+    text is a byline (``BYLINE_RE``: a name, not running prose); '' if none.
 
-    Returns one row per page of ``pages`` when given (blank author kept),
+    ``elements`` holds ``BYLINE_TAGS`` and, for metadata, ``meta``.  Returns one row per page of ``pages`` when given (blank author kept),
     else per page that has elements.
     """
     t = collapse_space("text")
-    cand = (elements.filter(F.col("tag").isin(BYLINE_TAGS))
-                    .select("page_id", "elem_seq", F.regexp_extract(t, BYLINE_RE, 1).alias("a"))
+    attrs = F.col("attrs")
+    named = F.lower(F.coalesce(attrs.getItem("name"), attrs.getItem("property"), F.lit(""))).isin(AUTHOR_META)
+    meta = F.when((F.col("tag") == "meta") & named, collapse_space(F.coalesce(attrs.getItem("content"), F.lit(""))))
+    line = F.when(F.col("tag").isin(BYLINE_TAGS), F.regexp_extract(t, BYLINE_RE, 1))
+    cand = (elements.select("page_id", F.struct(F.when(F.col("tag") == "meta", 0).otherwise(1).alias("k"), "elem_seq").alias("o"),
+                            F.coalesce(meta, line).alias("a"))
                     .filter(F.col("a") != "")
-                    .groupBy("page_id").agg(F.min_by("a", "elem_seq").alias("author")))
+                    .groupBy("page_id").agg(F.min_by("a", "o").alias("author")))
     base = (pages.select("page_id") if pages is not None
             else elements.select("page_id").distinct())
     return (base.join(cand, "page_id", "left")
@@ -429,13 +493,11 @@ def main_text(pages: DataFrame, exclude=tuple(NON_MAIN_TAGS) + tuple(FURNITURE_S
 
     Texts of the outermost ``<p>`` elements (a paragraph inside another one,
     at any depth, is already part of its text), whitespace collapsed, joined
-    in document order with a newline.  One group per page.
+    in document order with a newline.  No shuffle: a page is one row.
     """
-    el = shred_elements(pages, tags=["p"], exclude=exclude).filter(F.col("outer_seq") == -1)
-    return (el.groupBy("page_id")
-              .agg(F.array_join(F.transform(
-                  F.array_sort(F.collect_list(F.struct("elem_seq", "text"))),
-                  lambda s: collapse_space(s["text"])), "\n").alias("text")))
+    outer = F.filter("elems", lambda e: e["outer_seq"] == -1)
+    el = page_elements(pages, tags=["p"], exclude=exclude).filter(F.size(outer) > 0)
+    return el.select("page_id", F.array_join(F.transform(outer, lambda e: collapse_space(e["text"])), "\n").alias("text"))
 
 
 # ---------------------------------------------------------------------------

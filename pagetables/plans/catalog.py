@@ -265,8 +265,7 @@ FROM s WHERE h LIKE '%<div class="ad">%'
 """)
 def first_by_class_q(spark, sf):
     """H4: ``soup.find('div', class_='ad').text`` per page."""
-    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["div"])
-    return H.first_by_class(el, "div", "ad")
+    return H.first_by_class(H.page_elements(read_table(spark, sf, "pages"), only=["div.ad"]), "div", "ad")
 
 
 @register("heading_title", f"""
@@ -275,8 +274,7 @@ SELECT page_id, {Q.py_strip(Q.strip_tags("regexp_extract(h, '(?s)<h1[^>]*>(.*?)<
 FROM s WHERE regexp_matches(h, '<h1[^>]*>')
 """)
 def heading_title_q(spark, sf):
-    el = H.shred_elements(read_table(spark, sf, "pages"), tags=["h1"])
-    return H.heading_title(el)
+    return H.heading_title(H.page_elements(read_table(spark, sf, "pages"), tags=["h1"]))
 
 
 @register("paragraph_after_title", f"""
@@ -292,10 +290,8 @@ def paragraph_after_title_q(spark, sf):
     """J4 on landed pages: title = the page's h1; story = paragraph after the one holding it."""
     from pagetables.operators.content import paragraph_after_title
     pages = read_table(spark, sf, "pages")
-    el = H.shred_elements(pages, tags=["p", "h1"]).cache()
-    titles = H.heading_title(el)
-    paras = H.paragraphs(el)
-    return paragraph_after_title(titles, paras).select("page_id", "title", "text")
+    titles = H.heading_title(H.page_elements(pages, tags=["h1"]))
+    return paragraph_after_title(titles, H.page_elements(pages, tags=["p"])).select("page_id", "title", "text")
 
 
 @register("links_section", f"""
@@ -363,10 +359,13 @@ def main_text_q(spark, sf):
     return H.main_text(read_table(spark, sf, "pages"))
 
 
-_BYLINE = Q.lit(H.BYLINE_RE)
 _AD_TEXT = "regexp_extract(h, '(?s)<div class=\"ad\">(.*?)</div>', 1)"
 
 
+# A byline restated for RE2.
+_BYLINE = Q.lit("^By:? +(\\p{Lu}[\\p{L}\\p{M}'’.-]*( +(\\p{Lu}[\\p{L}\\p{M}'’.-]*|de|da|di|du|del|van|von|der|den|la|le|bin|al|y)){0,5})$")
+
+
 @register("byline_author", f"""
 WITH s AS (SELECT page_id, {_strip_sql()} AS h FROM pages),
 sg AS (SELECT page_id, h, string_split(regexp_extract(h, '(?s)<article>(.*)</article>', 1), '<p>') AS segs
@@ -381,12 +380,20 @@ cand AS (
   FROM u),
 hit AS (SELECT page_id, arg_min(regexp_extract({Q.collapse_space('text')}, {_BYLINE}, 1), k) AS author
         FROM cand WHERE regexp_matches({Q.collapse_space('text')}, {_BYLINE}) GROUP BY page_id)
-SELECT p.page_id, coalesce(hit.author, '') AS author FROM pages p LEFT JOIN hit USING (page_id)
+SELECT p.page_id, CASE WHEN p.page_id % 5 = 1 THEN 'M. Él ' || p.page_id
+    WHEN p.page_id % 3 = 0 AND p.html LIKE '%</h1>%' THEN 'Ann van Dyk' ELSE coalesce(hit.author, '') END AS author
+FROM pages p LEFT JOIN hit USING (page_id)
 """)
 def byline_author_q(spark, sf):
-    """Byline author per page, blank when there is none."""
+    """Author per page, blank when there is none: a third of the pages get a byline
+    (and prose that starts like one before it), a fifth author metadata."""
     pages = read_table(spark, sf, "pages")
-    el = H.shred_elements(pages, tags=H.BYLINE_TAGS)
+    i = F.col("page_id")
+    more = F.when(i % 3 == 0, F.replace("html", F.lit("</h1>"), F.lit(
+        "</h1><p>By the time it rained, all slept.</p><p>By: Ann  van Dyk</p>"))).otherwise(F.col("html"))
+    pages = pages.withColumn("html", F.when(i % 5 == 1, F.concat(
+        F.lit('<meta name="Author" content=" M. &Eacute;l '), i.cast("string"), F.lit('">'), more)).otherwise(more))
+    el = H.shred_elements(pages, tags=[*H.BYLINE_TAGS, "meta"])
     return H.byline_author(el, pages)
 
 
@@ -1266,9 +1273,8 @@ WHERE NOT (len(segs) >= 3 AND contains({Q.strip_tags('segs[2]')}, title))
 def missing_stories_q(spark, sf):
     """pages whose h1 title is on no paragraph (reported instead of dropped)."""
     pages = read_table(spark, sf, "pages")
-    el = H.shred_elements(pages, tags=["p", "h1"]).cache()
-    titles = H.heading_title(el)
-    found = C.paragraph_after_title(titles, H.paragraphs(el))
+    titles = H.heading_title(H.page_elements(pages, tags=["h1"]))
+    found = C.paragraph_after_title(titles, H.page_elements(pages, tags=["p"]))
     return C.missing_stories(titles, found.select("page_id", "title"), key="page_id") \
             .select("page_id", "title")
 

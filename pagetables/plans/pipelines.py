@@ -83,8 +83,7 @@ def story_table_by_label(pages: DataFrame, seeds: DataFrame, ignore=(), **kw) ->
     titles = label_links(pages, seeds, ignore, **kw)
     fetched = fetch_pages(titles, pages, "url", cols=("page_id",))
     story_pages = _pages_by_id(pages, fetched.filter("fetched").select("page_id"))
-    el = H.shred_elements(story_pages, tags=["div"])
-    content = H.first_by_class(el, "div", "content")
+    content = H.first_by_class(H.page_elements(story_pages, only=["div.content"]), "div", "content")
     out = fetched.join(content, "page_id", "left")
     return out.select(F.col("title").alias(STORY_COLUMNS_A[0]), "url", "category",
                       clean_content("text").alias("content"))
@@ -116,7 +115,7 @@ def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pag
     titles = number_links(pages, seeds, ignore, max_pages, site_prefix)
     fetched = fetch_pages(titles, pages, "url", cols=("page_id",)).filter("fetched")
     story_pages = _pages_by_id(pages, fetched.select("page_id"))
-    paras = H.paragraphs(H.shred_elements(story_pages, tags=["p"]))
+    paras = H.page_elements(story_pages, tags=["p"])
     found = paragraph_after_title(fetched.select("title", "url", "category", "page_id"), paras)
     return found.select("title", "text", "category", F.col("url").alias(STORY_COLUMNS_B[3]))
 
