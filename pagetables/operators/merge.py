@@ -51,6 +51,11 @@ def _cos(a: np.ndarray, b: np.ndarray) -> float:
     return round(float(np.dot(a, b)) / (na * nb), 12)
 
 
+def hashed_embedder(dim: int = 128):
+    """The built-in embedder as a batch function ``list[str] -> vectors``."""
+    return lambda texts: [hashed_vector(t, dim) for t in texts]
+
+
 def merge_sequence(chunks: list[str], target: int, dim: int = 128, joiner: str = " ",
                    revector: str = "sum", embedder=None):
     """Merge adjacent chunks until ``target`` remain.
@@ -104,15 +109,17 @@ def merge_sequence(chunks: list[str], target: int, dim: int = 128, joiner: str =
 
 def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
                           key: str = "doc_id", order: str = "chunk_no", text: str = "chunk",
-                          joiner: str = " ", revector: str = "sum",
+                          joiner: str = " ", revector: str | None = None,
                           embedder=None) -> DataFrame:
-    """(doc_id, chunk_no, chunk) -> merged (doc_id, chunk_no, first_chunk,
-    last_chunk, chunk) with at most ``target`` chunks per document.
+    """(key, chunk_no, chunk) -> merged (key, chunk_no, first_chunk,
+    last_chunk, chunk) with at most ``target`` chunks per document; the key
+    keeps its name and type.
 
     ``embedder`` (a batch function ``list[str] -> vectors``) replaces the
-    built-in hashed counts; with ``revector='embed'`` a merged pair is
-    re-embedded with it, as the reference does with its embedding service.
+    built-in hashed counts; a merged pair is then re-embedded with it
+    (``revector='embed'``, the default with an embedder; 'sum' without one).
     """
+    revector = revector or ("embed" if embedder else "sum")
     if target < 1:
         raise ValueError("target must be at least 1")
     if revector not in ("sum", "mean", "embed"):
@@ -120,8 +127,7 @@ def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
     if revector == "embed" and embedder is None:
         raise ValueError("revector='embed' needs an embedder")
     check_dim(dim)
-    c = chunks.select(F.col(key).cast("long").alias("doc_id"),
-                      F.col(order).cast("int").alias("chunk_no"), F.col(text).alias("chunk"))
+    c = chunks.select(F.col(key).alias("doc_id"), F.col(order).cast("int").alias("chunk_no"), F.col(text).alias("chunk"))
     n = c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     c = c.join(n, "doc_id")
     small = c.filter(F.col("_n") <= target).select(
@@ -132,7 +138,7 @@ def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
         pdf = pdf.sort_values("chunk_no")
         ids = pdf["chunk_no"].tolist()
         merged = merge_sequence(pdf["chunk"].tolist(), target, dim, joiner, revector, embedder)
-        doc = int(pdf["doc_id"].iloc[0])
+        doc = pdf["doc_id"].iloc[0]
         return pd.DataFrame({
             "doc_id": [doc] * len(merged),
             "chunk_no": list(range(len(merged))),
@@ -142,5 +148,6 @@ def merge_adjacent_chunks(chunks: DataFrame, target: int, dim: int = 128,
         })
 
     big = (c.filter(F.col("_n") > target).drop("_n")
-            .groupBy("doc_id").applyInPandas(run, MERGED_SCHEMA))
-    return small.unionByName(big)
+            .groupBy("doc_id").applyInPandas(run, T.StructType(
+                [T.StructField("doc_id", chunks.schema[key].dataType), *MERGED_SCHEMA.fields[1:]])))
+    return small.unionByName(big).withColumnRenamed("doc_id", key)

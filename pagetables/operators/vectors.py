@@ -104,7 +104,10 @@ def _embed_with(df: DataFrame, keys, text, embedder) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            vecs = embedder([("" if t is None else t) for t in pdf[text]])
+            # newlines cost an embedding service quality: blanks instead
+            vecs = embedder([("" if t is None else t.replace("\n", " ")) for t in pdf[text]])
+            for v in vecs:
+                check_dim(len(v))
             out = pdf[keys].copy()
             out["vec"] = [list(map(float, v)) for v in vecs]
             yield out
@@ -189,13 +192,14 @@ def adjacent_similarity(df: DataFrame, group: Sequence[str] | str = "doc_id",
 
 
 def segment_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
-                  max_chars: int = 8194) -> DataFrame:
+                  max_chars: int = 8194, total: str | None = None) -> DataFrame:
     """E5: split each text into chunks of at most ``max_chars`` characters.
 
     Units are lines; a line longer than the cap is cut into pieces of the
     cap.  Units are packed greedily in order, joined by a newline, with the
     ``aggregate`` higher-order function (one pass per row, no shuffle).
-    -> (key..., chunk_no, chunk, n_chars)
+    -> (key..., chunk_no, chunk, n_chars), and in ``total``, if named, the
+    characters of all chunks of the text.
     """
     if max_chars < 1:
         raise ValueError("max_chars must be positive")
@@ -219,22 +223,33 @@ def segment_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str
 
     chunks = F.aggregate(units, init, step,
                          lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
-    out = df.select(*keys, F.posexplode(chunks).alias("chunk_no", "chunk"))
+    if total:
+        one = df.select(*keys, chunks.alias("_chunks"))
+        chars = F.aggregate(F.transform("_chunks", F.length), F.lit(0).cast("long"), lambda a, n: a + n)
+        out = one.withColumn(total, chars).select(*keys, total, F.posexplode("_chunks").alias("chunk_no", "chunk"))
+    else:
+        out = df.select(*keys, F.posexplode(chunks).alias("chunk_no", "chunk"))
     return out.select(*keys, F.col("chunk_no").cast("int").alias("chunk_no"), "chunk",
-                      F.length("chunk").alias("n_chars"))
+                      F.length("chunk").alias("n_chars"), *([total] if total else []))
 
 
 def embed_long_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
-                     max_chars: int = 8194, dim: int = 128) -> DataFrame:
+                     max_chars: int = 8194, dim: int = 128, embedder=None) -> DataFrame:
     """Segment, embed each chunk (normalised), then the mean weighted by
-    chunk length in characters -> long (key..., dim, value)."""
+    chunk length in characters -> long (key..., dim, value).
+
+    Texts are segmented once; a chunk carries its length and its text's, so
+    nothing is joined back.  ``embedder``: as for ``embed_texts`` (its vectors
+    are normalised here); zero components give no row.
+    """
+    check_dim(dim)
     keys = [key] if isinstance(key, str) else list(key)
-    ch = segment_texts(df, keys, text, max_chars)
-    v = embed_texts(ch, keys + ["chunk_no"], "chunk", dim)
-    lens = ch.select(*keys, "chunk_no", F.col("n_chars").cast("double").alias("w"))
-    # chunks with no words have a zero vector but still weigh in the mean
-    total = lens.groupBy(*keys).agg(F.sum("w").alias("tw"))
-    s = (v.join(lens, keys + ["chunk_no"])
-          .groupBy(*keys, "dim").agg(F.sum(F.col("w") * F.col("value")).alias("sv")))
-    return (s.join(total, keys)
-             .select(*keys, "dim", (F.col("sv") / F.col("tw")).alias("value")))
+    ch = segment_texts(df, keys, text, max_chars, total="_all_chars").withColumnRenamed("n_chars", "_chars")
+    carried = [*keys, "chunk_no", "_chars", "_all_chars"]
+    if embedder is None:
+        v = normalize_long(hashed_counts(ch, carried, "chunk", dim), [*keys, "chunk_no"])
+    else:
+        dense = _embed_with(ch, carried, "chunk", embedder)
+        v = to_long(dense.withColumn("vec", l2_normalize_expr(F.col("vec"))), carried).filter(F.col("value") != 0)
+    return v.groupBy(*keys, "dim").agg(
+        (F.sum(F.col("_chars") * F.col("value")) / F.first("_all_chars")).alias("value"))

@@ -1067,6 +1067,22 @@ def semantic_chunks_q(spark, sf):
     return M.merge_adjacent_chunks(ch, MERGE_TARGET, EMBED_DIM)
 
 
+@register("semantic_chunks_embedder", ORACLES["semantic_chunks"])
+def semantic_chunks_embedder_q(spark, sf):
+    """E11 with a batch embedder: merged pairs are re-embedded (word counts add up, so the
+    result is that of the built-in sums)."""
+    ch = V.segment_texts(read_table(spark, sf, "documents"), "doc_id", "text", CHUNK_CHARS)
+    return M.merge_adjacent_chunks(ch, MERGE_TARGET, EMBED_DIM, embedder=M.hashed_embedder(EMBED_DIM))
+
+
+@register("embed_long_texts_embedder", ORACLES["embed_long_texts"])
+def embed_long_texts_embedder_q(spark, sf):
+    """E4 / Q5 with a batch embedder: the same hashed counts, made in Python."""
+    v = V.embed_long_texts(read_table(spark, sf, "documents"), "doc_id", "text",
+                           CHUNK_CHARS, TRIAL_DIM, embedder=M.hashed_embedder(TRIAL_DIM))
+    return v.select("doc_id", "dim", F.round("value", 6).alias("value"))
+
+
 def _emb(spark, sf):
     return read_table(spark, sf, "embeddings")
 
