@@ -45,8 +45,10 @@ def argument_error(name: Column, arguments: Column, schemas: dict[str, dict[str,
     """The first fault of a call's arguments, null if none: ``unknown_tool``, ``not_an_object``
     (no JSON, a repeated key, no object), ``missing:<p>``, ``type:<p>``, then ``unexpected:<p>``."""
     v = F.try_parse_json(arguments)
+    keys = F.json_object_keys(arguments)
+    repeated = F.size(keys) != F.size(F.array_distinct(keys))      # whatever the session lets parse
     faults = F.when(name.isNull() | ~name.isin(*schemas), F.lit("unknown_tool")).when(
-        F.coalesce(~F.schema_of_variant(v).startswith("OBJECT"), F.lit(True)), F.lit("not_an_object"))
+        F.coalesce(repeated | ~F.schema_of_variant(v).startswith("OBJECT"), F.lit(True)), F.lit("not_an_object"))
     for tool, params in schemas.items():
         at = name == tool
         for p, (kind, required) in sorted(params.items()):
@@ -55,7 +57,7 @@ def argument_error(name: Column, arguments: Column, schemas: dict[str, dict[str,
             if required:
                 faults = faults.when(at & absent, F.lit(f"missing:{p}"))
             faults = faults.when(at & ~absent & ~got.rlike(TYPES[kind]), F.lit(f"type:{p}"))
-        extra = F.array_sort(F.array_except(F.json_object_keys(arguments), F.array(*[F.lit(p) for p in params])))
+        extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(p) for p in params])))
         faults = faults.when(at & (F.size(extra) > 0), F.concat(F.lit("unexpected:"), F.get(extra, F.lit(0))))
     return faults
 
@@ -81,7 +83,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str
     out = linked.withColumn("depth", depth).withColumn("error", error)
     status = F.when(F.col("depth").isNull(), "cycle").when(F.col("error").isNotNull(), "invalid") \
         .when(F.col("r").isNull(), "no_result").otherwise("ok")
-    args = F.when(F.coalesce(F.col("error"), F.lit("")) != "not_an_object", F.try_parse_json("arguments"))
+    whole = F.coalesce(F.size(F.json_object_keys("arguments")) == F.size(F.array_distinct(F.json_object_keys("arguments"))), F.lit(False))
+    args = F.when(whole, F.try_parse_json("arguments"))
     line = F.to_json(F.struct(args.alias("arguments"), "call_id", F.col("r.content").alias("content"), "depth",
                               "name", "parent_id"))
     done = out.select("conv_id", "turn", "call_id", "depth", status.alias("status"), "error",

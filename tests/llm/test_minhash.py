@@ -1,6 +1,6 @@
 import random
 
-from llm_helpers import SF, shingle_set
+from llm_helpers import docs_of, no_docs, odd, SF, shingle_set  # noqa: F401
 
 from pagetables.llm import minhash
 

@@ -5,7 +5,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
-from llm_helpers import SF, shingle_set, words
+from llm_helpers import docs_of, no_docs, odd, SF, shingle_set, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from pagetables.llm import langid, lattice, nndescent, quality, queries

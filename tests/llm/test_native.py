@@ -7,7 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
-from llm_helpers import SF, shingle_set, words
+from llm_helpers import docs_of, no_docs, odd, SF, shingle_set, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from pagetables.llm import fingerprint, mixing, packing, queries, secrets, toolcalls
