@@ -8,6 +8,8 @@ refusal or malformed answer becomes a status, never an exception.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +55,35 @@ def collect_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn"
     return g.select(key, msgs.alias("messages"))
 
 
-def requests_json(df: DataFrame, messages: str = "messages") -> DataFrame:
-    """X1 output form: the request body as JSON text (for a batch job's input file)."""
-    return df.withColumn("request", F.to_json(F.struct(F.col(messages).alias("messages"))))
+# What each question's answer must look like, as JSON schemas.
+_TEXT = {"type": "string"}
+ANSWER_SCHEMAS = {
+    "categories": {"type": "object", "properties": {
+        "categories": {"type": "object", "additionalProperties": _TEXT}, "error": _TEXT}},
+    "decision": {"type": "object", "properties": {"decision": {"type": "boolean"}}, "required": ["decision"]},
+    "titles": {"type": "object", "properties": {
+        "titles_and_urls": {"type": "object", "additionalProperties": _TEXT}, "next_page": _TEXT, "error": _TEXT}},
+    "story": {"type": "object", "properties": {
+        "content": {"type": "object", "properties": {"title": _TEXT, "author": _TEXT, "content": _TEXT}},
+        "next_page": _TEXT, "error": _TEXT}},
+}
+
+
+def requests_json(df: DataFrame, messages: str = "messages", kind: str | None = None,
+                  model: str | None = None, temperature: float | None = None) -> DataFrame:
+    """X1 output form: the request body as JSON text (for a batch job's input file).
+
+    ``kind`` adds the answer's schema (``ANSWER_SCHEMAS``) as the response
+    format; ``model`` and ``temperature`` are written if given."""
+    fields = [F.col(messages).alias("messages")]
+    if model is not None:
+        fields.append(F.lit(model).alias("model"))
+    if kind is not None:
+        body = {"type": "json_schema", "json_schema": {"name": kind, "schema": ANSWER_SCHEMAS[kind]}}
+        fields.append(F.parse_json(F.lit(json.dumps(body))).alias("response_format"))
+    if temperature is not None:
+        fields.append(F.lit(float(temperature)).alias("temperature"))
+    return df.withColumn("request", F.to_json(F.struct(*fields)))
 
 
 def _last_key_wins(df: DataFrame) -> DataFrame:

@@ -884,6 +884,24 @@ def build_chat_requests_q(spark, sf):
         F.col("m.role").alias("role"), F.col("m.content").alias("content"))
 
 
+QUESTION = "Is this a page of stories? Answer with a decision."
+_DECISION_FORMAT = ('{"json_schema":{"name":"decision","schema":{"properties":{"decision":{"type":"boolean"}},'
+                    '"required":["decision"],"type":"object"}},"type":"json_schema"}')
+
+
+@register("chat_request_bodies", f"""
+SELECT page_id, '{{"messages":[{{"role":"system","content":' || to_json({Q.lit(CATEGORY_PROMPT)})::VARCHAR
+  || '}},{{"role":"user","content":' || to_json(url)::VARCHAR || '}},{{"role":"user","content":' || to_json({Q.lit(QUESTION)})::VARCHAR
+  || '}}],"model":"local-model","response_format":{_DECISION_FORMAT},"temperature":0.0}}' AS request
+FROM pages
+""")
+def chat_request_bodies_q(spark, sf):
+    """Whole request bodies: messages with a question, model, temperature, answer schema."""
+    df = read_table(spark, sf, "pages").select("page_id", "url")
+    req = X.build_chat_requests(df, CATEGORY_PROMPT, text="url", question=QUESTION)
+    return X.requests_json(req, kind="decision", model="local-model", temperature=0).select("page_id", "request")
+
+
 # ---------------------------------------------------------------------------
 # Vectors: E1, E2, E4, E5, E7, E8, A7, A8, Q4, Q5 over documents / embeddings
 
