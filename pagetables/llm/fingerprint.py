@@ -8,6 +8,8 @@ documents are comparable and merge by union.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,15 +75,15 @@ def as_text(s: Column) -> Column:
 
 def _blocks(docs: DataFrame) -> tuple[Column, int]:
     """The block of consecutive ids that holds ``doc_id`` (null: the lowest), and how many blocks there are."""
-    rows = docs.count()
+    want = min(MOST_BLOCKS, max(1, math.ceil(docs.count() / PER_BLOCK)))
+    ids = docs.select("doc_id").filter("doc_id is not null")
+    low = ids.repartitionByRange(want, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min("doc_id").alias("low")).collect()                 # a number a block
+    found = sorted(r["low"] for r in low)
     n = 1
-    while n * PER_BLOCK < rows and n < MOST_BLOCKS:
+    while n < len(found):       # a session may deal out more partitions than asked for
         n *= 2
-    ids = docs.select("doc_id").filter("doc_id is not null")
-    low = ids.repartitionByRange(n, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(
-        F.min("doc_id").alias("low")).collect()                 # at most MOST_BLOCKS numbers
     starts = np.full(n, np.iinfo(np.int64).max, dtype=np.int64)
-    found = sorted(r["low"] for r in low)
     starts[:len(found)] = found
     starts[0] = np.iinfo(np.int64).min
     steps, s = [], n // 2
