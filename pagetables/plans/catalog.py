@@ -189,10 +189,10 @@ def count_titles_q(spark, sf):
 @register("categories_with_min_links", f"""
 WITH {Q.anchors_cte()}, {_LINKS_SQL}
 SELECT category, count(DISTINCT story_url) AS n_links FROM links
-GROUP BY category HAVING count(DISTINCT story_url) > 10
+GROUP BY category HAVING count(DISTINCT story_url) > 200
 """)
 def categories_with_min_links_q(spark, sf):
-    return L.categories_with_min_links(_page_links(spark, sf), 10, key="story_url")
+    return L.categories_with_min_links(_page_links(spark, sf), 200, key="story_url")
 
 
 # Fixed value: the F8 override (one category reads another suffix).
@@ -214,13 +214,17 @@ def category_prefix_q(spark, sf):
 
 @register("drop_home_links", f"""
 WITH {Q.anchors_cte()}, {_LINKS_SQL}
-SELECT page_id, elem_seq, story_url FROM links
-WHERE regexp_extract(story_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) NOT IN ('', '/')
-  AND regexp_extract(story_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)
-    = regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)
+SELECT page_id, elem_seq, CASE WHEN elem_seq % 5 = 1 THEN regexp_extract(story_url, '^[a-z]+://[^/]*(.*)$', 1)
+  ELSE story_url END AS story_url
+FROM links WHERE elem_seq % 5 IN (0, 1, 4)
 """)
 def drop_home_links_q(spark, sf):
+    """F25 on story links of which a fifth each is made relative, a home link, another host's."""
     l = _page_links(spark, sf)
+    k = F.col("elem_seq") % 5
+    path = F.regexp_extract("story_url", "^[a-z]+://[^/]*(.*)$", 1)
+    l = l.withColumn("story_url", F.when(k == 1, path).when(k == 2, F.concat(TX.url_origin("url"), F.lit("/ "))).when(
+        k == 3, F.concat(F.lit("http://elsewhere.example"), path)).otherwise(F.col("story_url")))
     return L.drop_home_links(l, "story_url", page_url="url").select(
         "page_id", "elem_seq", "story_url")
 
@@ -1260,8 +1264,7 @@ def records_from_map_q(spark, sf):
         F.concat(s["title"], F.lit(" ("), s["i"].cast("string"), F.lit(")")),
         F.struct(S.story_url(did, s["i"]).alias("url"), F.col("lang").alias("category")))))
     recs = d.select(S.cat_url(F.col("lang"), did).alias("key"), m.alias("stories"))
-    rows = recs.select("key", F.explode("stories").alias("title", "r"))
-    return rows.select("key", "title", "r.url", "r.category")
+    return W.records_from_map(recs, "stories", "title", keep=["key"])
 
 
 # ---------------------------------------------------------------------------

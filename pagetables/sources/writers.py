@@ -26,7 +26,7 @@ def write_stories_csv(df: DataFrame, path: str, columns, mode: str = "overwrite"
        .csv(path))
 
 
-def records_from_map(df: DataFrame, map_col: str, key_name: str = "key") -> DataFrame:
-    """K4: a map of records (``pd.DataFrame(d).T``) to one row per key."""
-    e = df.select(F.explode(map_col).alias(key_name, "_v"))
-    return e.select(key_name, "_v.*")
+def records_from_map(df: DataFrame, map_col: str, key_name: str = "key", keep=()) -> DataFrame:
+    """K4: a map of records (``pd.DataFrame(d).T``) to one row per key, beside the ``keep`` columns."""
+    e = df.select(*keep, F.explode(map_col).alias(key_name, "_v"))
+    return e.select(*keep, key_name, "_v.*")
