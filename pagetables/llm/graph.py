@@ -25,6 +25,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Every node points to one other, which points nowhere: nothing is left to do."""
+    out = edges.groupBy(F.col("u").alias("n")).agg(F.count("*").alias("c"), F.lit(0).alias("t"))
+    into = edges.groupBy(F.col("v").alias("n")).agg(F.lit(0).cast("long").alias("c"), F.lit(1).alias("t"))
+    both = out.unionByName(into).groupBy("n").agg(F.max("c").alias("c"), F.max("t").alias("t"))
+    return not both.filter("c > 1 or (c > 0 and t > 0)").take(1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node with an edge in ``edges(u, v)``.
 
@@ -34,12 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     cur = stored(edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
-    while True:
-        now = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(now) == mark:
-            break
-        mark = tuple(now)
+    while not _is_forest_of_stars(cur):
         cur = stored(_star(_star(cur, True), False), "stars")
     return (cur.select(F.col("u").alias("node"), F.col("v").alias("label"))
             .union(cur.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()))

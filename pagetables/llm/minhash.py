@@ -10,11 +10,12 @@ pair always meets under one of the ``SYMBOLS`` keys.  Pairs that meet are
 confirmed on full sets.
 
 Copies are folded first (one class per distinct set).  Inside a bucket no
-all-pairs list is made.  Star rounds link members to a leader.  Then a class
+all-pairs list is made.  Members are first compared with a few leaders of theirs.  Then a class
 that met a large component without joining it is compared with all of that
 component, block by block, by counting shared shingles in an inverted index;
 only links come out.  Members of small components that are still apart meet
-in pairs whose signatures are near.  Both steps leave no pair out.
+likewise in large buckets, and in pairs of near signatures in small ones.
+No step leaves a pair out.
 """
 
 from __future__ import annotations
@@ -37,12 +38,12 @@ GUARANTEED = 2 * CHUNKS - 1   # signature distance up to which a pair always mee
 #: Pairs that meet at a larger distance than this are not compared on sets.  At
 #: similarity 0.75 a distance has mean 15 and deviation 3.4: 30 is 4.5 deviations away.
 FARTHEST = 30
-LEADERS = 3           # pairs that a class tests in a star round
+LEADERS = 4           # leaders that a class is compared with first
 LARGE = 16            # classes from which a component is compared in blocks
 BLOCK = 256           # classes of a large component in one block
 ASKED = 512           # classes compared with a block in one task
-MEMBERS = 2048        # members of a bucket of small components in one task
-STAR_ROUNDS = 2
+SMALL_BUCKET = 32     # members of small components up to which a bucket lists its near pairs
+MEMBERS = 512         # members of a block of a larger bucket; two blocks meet in a task
 
 _ODD = K.mix(np.arange(SYMBOLS, dtype=np.uint64), 11) | np.uint64(1)
 _XOR = K.mix(np.arange(SYMBOLS, dtype=np.uint64), 12)
@@ -132,22 +133,47 @@ def _distance(a, b) -> np.ndarray:
     return (x != y).sum(axis=1)
 
 
-def _near_pairs(member: dict, num: int, den: int):
-    """Pairs of one bucket (or of two blocks of it) in different components that may be near."""
-    comp, n, sig, cid, own = (member[k] for k in ("comp", "n", "sig", "cid", "own"))
-    two = own.min() != own.max()
-    for s in range(0, len(cid), 64):
-        x = slice(s, s + 64)
-        for t in range(s, len(cid), 1024):
-            y = slice(t, t + 1024)
-            near = (sig[x][:, None, :] != sig[None, y, :]).sum(axis=2) <= FARTHEST
-            near &= comp[x][:, None] != comp[None, y]
-            near &= den * np.minimum(n[x][:, None], n[None, y]) >= num * np.maximum(n[x][:, None], n[None, y])
+def _near_pairs(comp, n, sig, cid, num: int, den: int):
+    """Pairs of one small bucket in different components that may be near."""
+    near = (sig[:, None, :] != sig[None, :, :]).sum(axis=2) <= FARTHEST
+    near &= comp[:, None] != comp[None, :]
+    near &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
+    p, q = np.nonzero(near)
+    return np.minimum(cid[p], cid[q]), np.maximum(cid[p], cid[q])
+
+
+def _common(sets, size):
+    """``f(x)``: how many elements of x each of the sets holds."""
+    flat = sets.flatten().to_numpy()
+    o = np.argsort(flat, kind="stable")
+    flat, owner = flat[o], np.repeat(np.arange(len(size)), size)[o]
+
+    def count(x):
+        lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+        many = hi - lo
+        at = np.arange(many.sum()) + np.repeat(lo - (np.cumsum(many) - many), many)
+        return np.bincount(owner[at], minlength=len(size))
+    return count
+
+
+def _bucket_links(num: int, den: int):
+    """Links in a large bucket (or two blocks of it) between different components."""
+    def run(t: pa.Table) -> pa.Table:
+        cid, comp, own = (t.column(i).combine_chunks().to_numpy() for i in (1, 2, 3))
+        sets = t.column(4).combine_chunks()
+        size = np.diff(sets.offsets.to_numpy())
+        count, two = _common(sets, size), own.min() != own.max()
+        u, v = [], []
+        for i in range(len(cid)):
+            common = count(sets[i].values.to_numpy())
+            hit = (den * common >= num * (size[i] + size - common)) & (comp != comp[i])
             if two:
-                near &= own[x][:, None] != own[None, y]
-            p, q = np.nonzero(near)
-            if len(p):
-                yield np.minimum(cid[x][p], cid[y][q]), np.maximum(cid[x][p], cid[y][q])
+                hit &= own != own[i]
+            hit = np.flatnonzero(hit)
+            u += [int(cid[i])] * len(hit)
+            v += cid[hit].tolist()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return run
 
 
 def _block_links(num: int, den: int):
@@ -158,16 +184,11 @@ def _block_links(num: int, den: int):
             cid = right.column(1).combine_chunks().to_numpy()
             sets = right.column(2).combine_chunks()
             size = np.diff(sets.offsets.to_numpy())
-            flat = sets.flatten().to_numpy()
-            o = np.argsort(flat, kind="stable")
-            flat, owner = flat[o], np.repeat(np.arange(len(cid)), size)[o]
+            count = _common(sets, size)
             ask = left.column(2).combine_chunks()
             for i in range(len(ask)):
                 x = ask[i].values.to_numpy()
-                lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
-                many = hi - lo
-                at = np.arange(many.sum()) + np.repeat(lo - (np.cumsum(many) - many), many)
-                common = np.bincount(owner[at], minlength=len(cid))
+                common = count(x)
                 hit = np.flatnonzero(den * common >= num * (len(x) + size - common))
                 if len(hit):
                     u.append(left.column(1)[i].as_py())
@@ -183,29 +204,25 @@ def _bucket_pairs(num: int, den: int):
 
         def pairs(part):
             f = pd.concat(part, ignore_index=True) if len(part) > 1 else part[0]
-            key = f["key"].to_numpy() * 1
-            salt = f["salt"].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
+            key = f["key"].to_numpy()
+            cut = np.flatnonzero(key[1:] != key[:-1]) + 1
             sig = np.frombuffer(b"".join(f["sig"]), dtype=np.uint16).reshape(-1, SYMBOLS)
-            comp, n, cid, own = (f[c].to_numpy() for c in ("comp", "n", "cid", "own"))
-            seen = []
-            for s, e in zip(np.r_[0, cut], np.r_[cut, len(key)]):
-                if e - s > 1:
-                    one = {"comp": comp[s:e], "n": n[s:e], "sig": sig[s:e], "cid": cid[s:e], "own": own[s:e]}
-                    seen += list(_near_pairs(one, num, den))
+            comp, n, cid = (f[c].to_numpy() for c in ("comp", "n", "cid"))
+            seen = [_near_pairs(comp[s:e], n[s:e], sig[s:e], cid[s:e], num, den)
+                    for s, e in zip(np.r_[0, cut], np.r_[cut, len(key)]) if e - s > 1]
             if seen:
                 both = np.unique(np.stack([np.concatenate([a for a, _ in seen]),
                                            np.concatenate([b for _, b in seen])]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
-        for b in batches:   # sorted by (key, salt): the last bucket may go on in the next batch
+        for b in batches:   # sorted by key: the last bucket may go on in the next batch
             f = b.to_pandas()
             if not len(f):
                 continue
-            k, s = f["key"].to_numpy(), f["salt"].to_numpy()
-            last = np.flatnonzero((k != k[-1]) | (s != s[-1]))
+            k = f["key"].to_numpy()
+            last = np.flatnonzero(k != k[-1])
             at = int(last[-1]) + 1 if len(last) else 0
-            if at or (held and (held[-1]["key"].iloc[-1] != k[0] or held[-1]["salt"].iloc[-1] != s[0])):
+            if at or (held and held[-1]["key"].iloc[-1] != k[0]):
                 yield from pairs([*held, f.iloc[:at]])
                 held = []
             held.append(f.iloc[at:])
@@ -277,27 +294,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = links if found is None else found.union(links)
         comp = stored(components(found).select(F.col("node").alias("cid"), F.col("label").alias("comp")), "comps")
 
-    def open_buckets(columns: list) -> DataFrame:
+    def open_buckets() -> DataFrame:
         """Members of buckets in which more than one component is left."""
         at = placed(members)
-        state = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *columns) \
-            .filter("lo < hi").drop("lo", "hi")
-        return at.join(state, "key")
-
-    for r in range(STAR_ROUNDS):
-        # first the same leader under many keys, then other leaders
-        rank = F.xxhash64("cid") if r == 0 else F.xxhash64("cid", "key")
-        at = open_buckets([F.min_by(F.struct("cid", "comp"), rank).alias("lead")])
-        pairs = at.filter("comp <> lead.comp").groupBy("cid", F.col("lead.cid").alias("leader")) \
-            .agg(F.count("*").alias("shared"))
-        best = W.partitionBy("cid").orderBy(F.desc("shared"), "leader")
-        pairs = pairs.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= LEADERS) \
-            .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
-        add(confirmed(close(pairs)))
+        state = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        return at.join(state, "key", "left_semi")
+
+    # each bucket's leader twice over: the same one under many keys, and another a key
+    ranks = [F.xxhash64("cid"), F.xxhash64("cid", "key")]
+    lead = members.groupBy("key").agg(*[F.min_by("cid", rank).alias(f"lead{i}") for i, rank in enumerate(ranks)])
+    met = members.join(lead, "key").select("cid", F.explode(F.array("lead0", "lead1")).alias("leader")) \
+        .filter("cid <> leader").groupBy("cid", "leader").agg(F.count("*").alias("shared"))
+    best = W.partitionBy("cid").orderBy(F.desc("shared"), "leader")
+    pairs = met.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= LEADERS) \
+        .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
+    add(confirmed(close(pairs)))
 
     # a class that shares a bucket with a large component is compared with all of it
     large = stored(comp.groupBy("comp").agg(F.count("*").alias("size")).filter(F.col("size") >= LARGE), "large")
-    at = open_buckets([])
+    at = stored(open_buckets(), "open")
     there = at.join(large.select("comp"), "comp").select("key", F.col("comp").alias("big")).distinct()
     ask = stored(at.join(there, "key").filter("comp <> big").select("cid", "big").distinct(), "ask")
     parts = ask.groupBy("big").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("askers")) \
@@ -313,20 +328,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_large = comp.join(large.select("comp"), "comp").select("cid", F.col("comp").alias("big"))
     held = dealt(in_large, "blocks", "askers", "place").select(
         "place", F.col("cid").alias("held"), F.col("shingles").alias("held_shingles"))
-    add(asked.groupBy("task").cogroup(held.groupBy("place")).applyInArrow(_block_links(num, den), "u long, v long"))
-
-    # members of small components that are still apart meet in pairs of near signatures
-    sized = open_buckets([]).join(in_large.select("cid"), "cid", "left_anti")
-    per = sized.groupBy("key").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"), F.count("*").alias("c")) \
-        .filter("c > 1")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    salts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.least(F.col("own"), b) * F.col("blocks")
-                        + F.greatest(F.col("own"), b))      # one task for every two blocks of a hot bucket
-    rest = sized.join(per, "key").withColumn("own", own).withColumn("salt", F.explode(salts)) \
-        .join(classes.select("cid", "n", "sig"), "cid").select("key", "salt", "cid", "comp", "own", "n", "sig") \
-        .repartition("key", "salt").sortWithinPartitions("key", "salt")
-    pairs = stored(rest.mapInArrow(_bucket_pairs(num, den), "a long, b long").distinct(), "rest")
-    add(confirmed(pairs))
+    links = asked.groupBy("task").cogroup(held.groupBy("place")).applyInArrow(_block_links(num, den), "u long, v long")
+
+    # members of small components that are still apart: in a small bucket in pairs of near
+    # signatures, in a large one by shared shingles, where only links come out
+    sized = at.join(in_large.select("cid"), "cid", "left_anti")
+    per = sized.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    sized = stored(sized.join(per, "key"), "apart")
+    few = sized.filter(F.col("c") <= SMALL_BUCKET).join(classes.select("cid", "n", "sig"), "cid") \
+        .select("key", "cid", "comp", "n", "sig").repartition("key").sortWithinPartitions("key")
+    pairs = few.mapInArrow(_bucket_pairs(num, den), "a long, b long").distinct()
+    blocks = F.ceil(F.col("c") / MEMBERS).cast("int")
+    salts = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.least(F.col("own"), b) * blocks
+                        + F.greatest(F.col("own"), b))      # one task for every two blocks of a bucket
+    many = sized.filter(F.col("c") > SMALL_BUCKET).withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")) \
+        .withColumn("salt", F.explode(salts)).join(sets, "cid") \
+        .select(F.xxhash64("key", "salt").alias("task"), "cid", "comp", "own", "shingles")
+    links = links.unionByName(many.groupBy("task").applyInArrow(_bucket_links(num, den), "u long, v long"))
+    add(links.unionByName(confirmed(pairs)))
 
     node = sk.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     first = node.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("first_id"))

@@ -45,7 +45,7 @@ def test_against_brute_force(spark):
 
 
 def test_hot_group_in_blocks(spark, docs_of, monkeypatch):
-    for name, value in (("BLOCK", 8), ("ASKED", 4), ("MEMBERS", 8), ("LEADERS", 1), ("LARGE", 6)):
+    for name, value in (("BLOCK", 8), ("ASKED", 4), ("MEMBERS", 8), ("LEADERS", 1), ("LARGE", 6), ("SMALL_BUCKET", 5)):
         monkeypatch.setattr(minhash, name, value)
     rng = random.Random(3)
     rows = [(i, t) for i, t in enumerate([*near_group(60, rng), *near_group(30, rng), "a b", "a b", "c"])]
