@@ -173,7 +173,7 @@ def fit(train: DataFrame) -> Model:
 
     def moments(batches):
         s = np.zeros((2, D))
-        n = y = 0
+        n, y = 0, 0.0
         for b in batches:
             x = _matrix(b.column(0))
             s += [x.sum(axis=0), (x * x).sum(axis=0)]
