@@ -255,15 +255,18 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
             logp, end = log_probabilities(expectations(hot_words, logp))
         logp, end = log_probabilities(expectations(words, logp))
 
-    def corpus_weight(c, log10_marginal):
-        """``REPEATS`` times a word's probability under the training words and the lattice."""
-        return REPEATS * (c + max(1, kinds) * 10.0 ** log10_marginal) / (tokens + max(1, kinds))
+    def corpus_weight(c, log_marginal):
+        """Log of ``REPEATS`` times a word's probability under the training words and the lattice.
+        The marginal of a long word has no double, its log has."""
+        with np.errstate(divide="ignore"):
+            both = np.logaddexp(np.log(c), math.log(max(1, kinds)) + log_marginal)
+        return both + math.log(REPEATS) - math.log(tokens + max(1, kinds))
 
     def scored(batches):
         for b in batches:
             h, word, c = (b.column(i) for i in range(3))
             p = lat.log10(word.to_pylist(), logp) if b.num_rows else np.zeros(0)
-            x = np.maximum(corpus_weight(c.to_numpy(), p), 1e-300)
+            x = corpus_weight(c.to_numpy().astype(np.float64), p * math.log(10))
             yield pa.RecordBatch.from_arrays([h, c, pa.array(p), pa.array(x)], names=["h", "c", "p", "x"])
     score_schema = "h long, c long, p double, x double"
     hot = hot_words.select("h", "word", "c").mapInArrow(scored, score_schema).toPandas()    # at most HOT rows
@@ -304,7 +307,7 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, n_docs), pa.array(tag), pa.nulls(n_docs, pa.int64()), pa.array(w.per_doc + 1),
                      pa.array(total(hot_known[a] * t).astype(np.int64)), pa.array(total(hot_base[a] * t)),
-                     pa.array(total(hot_p[a] * t)), pa.array(total(_log10_rising(hot_x[a], t)))], names=names)
+                     pa.array(total(hot_p[a] * t)), pa.array(total(_log10_rising(np.exp(hot_x[a]), t, hot_x[a])))], names=names)
                 if not is_hot.all():
                     who, word, times = who[~is_hot], word[~is_hot], times[~is_hot]
                     zero = pa.nulls(len(who), pa.float64())
@@ -329,15 +332,14 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
     out = one.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     log_all = math.log10(tokens + 1.0 * (kinds + 1))
     # the end is a token too, once a document; n counts it
-    end_lattice = 10.0 ** (end / math.log(10))
-    end_x = max(corpus_weight(ends, math.log10(end_lattice)), 1e-300)
+    end_x = float(corpus_weight(float(ends), end))
     return out.select(
         "doc_id", held.alias("held_out"), F.col("n").cast("long").alias("n_tokens"),
         (F.col("known") + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + math.log10(ends + 1.0) - F.col("n") * log_all).alias("base_score"),
-        (F.col("s") + math.log10(end_x) - _rising_column(F.lit(REPEATS), F.col("n"))).alias("score"),
-        (F.col("p") + math.log10(end_lattice)).alias("lattice_score"))
+        (F.col("s") + end_x / math.log(10) - _rising_column(F.lit(math.log(REPEATS)), F.col("n"))).alias("score"),
+        (F.col("p") + end / math.log(10)).alias("lattice_score"))
 
 
 def _log_gamma(z, log):
@@ -348,15 +350,16 @@ def _log_gamma(z, log):
         + 1.0 / (y * y * y * y * y * 1260.0) - shift
 
 
-def _log10_rising(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log10 of x (x + 1) ... (x + n - 1)."""
+def _log10_rising(x: np.ndarray, n: np.ndarray, log_x: np.ndarray | None = None) -> np.ndarray:
+    """log10 of x (x + 1) ... (x + n - 1); ``log_x`` where x itself may be too small for a double."""
     more = np.flatnonzero(n > 1)
-    out = np.log(x)
+    out = np.log(x) if log_x is None else log_x.copy()
     out[more] += _log_gamma(x[more] + n[more], np.log) - _log_gamma(x[more] + 1.0, np.log)
     return out / math.log(10)
 
 
-def _rising_column(x: Column, n: Column) -> Column:
-    """The same on Columns."""
+def _rising_column(log_x: Column, n: Column) -> Column:
+    """The same on Columns, from the log of x."""
+    x = F.exp(log_x)
     more = _log_gamma(x + n, F.log) - _log_gamma(x + F.lit(1.0), F.log)
-    return (F.log(x) + F.when(n > 1, more).otherwise(0.0)) / math.log(10)
+    return (log_x + F.when(n > 1, more).otherwise(0.0)) / math.log(10)
