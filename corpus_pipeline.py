@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm import minhash, mixing, packing, quality, secrets
-from pagetables.llm.tables import read, spare, stored
+from pagetables.llm.tables import read, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,10 +15,11 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each near-duplicate group (operator 7)."""
-    gone, = spare(docs, "gone")
-    out = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(out, F.col("doc_id") == F.col(gone), "left_anti")
+    """One row, that of the smallest id, of each near-duplicate group (operator 7).
+
+    Rows are judged by their own text: a repeated row and a near copy under a null
+    id go, another text under the id of a copy stays."""
+    return minhash.one_of_each(docs)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

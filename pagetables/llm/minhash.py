@@ -28,7 +28,7 @@ from pyspark.sql.window import Window as W
 
 from pagetables.llm import kernels as K
 from pagetables.llm.graph import components
-from pagetables.llm.tables import stored
+from pagetables.llm.tables import row_hash, spare, stored
 
 BITS = 16             # b: bits kept of each MinHash value
 WIDTH = 5             # values in a chunk
@@ -80,6 +80,7 @@ def _class_ids(u: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 def _sketch(batches):
     for b in batches:
+        at = b.schema.get_field_index("text_hash")
         for i, j, u, count in _sets(b):
             has = count > 0
             cid = np.zeros(j - i, dtype=np.int64)
@@ -90,8 +91,8 @@ def _sketch(batches):
                 pa.binary(2 * SYMBOLS), j - i, [None, pa.py_buffer(sig.tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index("doc_id")).slice(i, j - i), pa.array(count),
-                 pa.array(cid, mask=~has), packed.cast(pa.binary())],
-                names=["doc_id", "n_shingles", "cid", "sig"])
+                 pa.array(cid, mask=~has), packed.cast(pa.binary()), b.column(at).slice(i, j - i)],
+                names=["doc_id", "n_shingles", "cid", "sig", "text_hash"])
 
 
 def _set_rows(batches):
@@ -243,10 +244,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if nothing else is in it).  Extra columns are ignored; an empty table gives
     no rows.  Texts are read whole.
     """
-    spark = docs.sparkSession
+    node = _placed(docs, id_col, text_col, num, den)
+    first = node.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("first_id"))
+    return (node.join(first, "comp", "left")
+            .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("first_id")).otherwise(F.col("doc_id")))
+            .select("doc_id", "n_shingles", "component_id",
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                num: int = 75, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: exactly one row of each component.
+
+    That is the row of the smallest id (a null id is the last), of an id's several
+    texts the one of the smallest hash, of rows equal in both the one whose other
+    columns hash smallest.  A text without a word is linked with nothing: all such
+    rows stay.  Rows are told apart by id and a 64-bit hash of the text.
+    """
+    node = stored(_placed(docs, id_col, text_col, num, den).filter("n_shingles > 0")
+                  .groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "texts")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    first = node.groupBy("comp").agg(F.min(rank).alias("first"))
+    told = stored(node.join(first, "comp").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
+        .filter("not kept or rows > 1").select("doc_id", "text_hash", "kept"), "told")
+    i, h, t = spare(docs, "id", "hash", "text_hash")
+    told = told.withColumnsRenamed({"doc_id": i, "text_hash": h})
+    at = docs.withColumn(t, F.xxhash64(F.col(text_col).cast("string")))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(t) == F.col(h))
+    out = at.join(told, same, "left_anti").select(*docs.columns)
+    again = told.filter("kept")
+    if again.take(1):
+        k, r = spare(at, "key", "row")
+        rows = at.join(again, same, "left_semi").select(F.col(id_col).cast("long").alias(k), t, F.struct(*docs.columns).alias(r),
+                                                        row_hash(docs).alias(h))
+        one = rows.groupBy(k, t).agg(F.min_by(r, h).alias(r))
+        out = out.unionByName(one.select(f"{r}.*"))
+    return out
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
+    """Per input row ``doc_id, n_shingles, cid, text_hash, comp``; rows of one ``comp`` are one component."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.col(text_col).cast("string").alias("text"))
-    sk = stored(src.mapInArrow(_sketch, "doc_id long, n_shingles long, cid long, sig binary"), "sketches")
+    sk = stored(src.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sketch, "doc_id long, n_shingles long, cid long, sig binary, text_hash long"), "sketches")
 
     # one class per distinct set; its text is read from one of its documents
     classes = stored(sk.filter("n_shingles > 0").groupBy("cid").agg(
@@ -347,9 +389,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(many.groupBy("task").applyInArrow(_bucket_links(num, den), "u long, v long"))
     add(links.unionByName(confirmed(pairs)))
 
-    node = sk.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    first = node.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("first_id"))
-    return (node.join(first, "comp", "left")
-            .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("first_id")).otherwise(F.col("doc_id")))
-            .select("doc_id", "n_shingles", "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    return sk.drop("sig").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagetables.session import scratch_path
 
@@ -32,3 +33,11 @@ def spare(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of a row's columns, maps (which Spark does not hash) by their JSON.
+    A null leaves xxhash64 as it is, so which columns are null counts as well."""
+    cols = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+    return F.xxhash64(*cols, F.concat(F.lit(""), *[c.isNull().cast("string") for c in cols]))
