@@ -3,7 +3,8 @@
 A document of source s should be taken ``target / size`` times.  The whole
 part is taken outright; the fractional parts are rounded together.  Two
 documents trade expected words until one of them is a whole copy or none;
-the other carries on.  So a source's words stay at their target but for one
+the other carries on.  Of m rows of one id and size, as many as m fractions make
+whole are taken once more outright, and one row's fraction is left to trade.  So a source's words stay at their target but for one
 last document, and every document keeps its expected number of copies.
 Blocks of documents are rounded in one task each; what each block carries
 over meets in the next level of a reduction tree, until a source has one.
@@ -15,15 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagetables.llm.tables import spare, stored
+from pagetables.llm.tables import row_hash, spare, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK = 128          # documents that one aggregate rounds
 MOST = 3             # a source's target, and a document's copies, stop at this many times
 CYCLE = 3            # weights 1, 2, 3, 1, 2, 3, ... over the sources in order
 FLIPS = 2            # documents of a source that may be rounded anew at the end
-UNIT = "struct<doc_id:bigint,size:bigint,m:bigint,whole:int,p:double>"
-DONE = "array<struct<doc_id:bigint,size:bigint,m:bigint,copies:int>>"
+PART = 1024          # rows of one id and size, about, that are numbered in one task
+#: ``whole``: copies that the m rows have together; ``p``: the chance of one more.
+UNIT = "struct<doc_id:bigint,size:bigint,m:bigint,whole:bigint,p:double>"
+DONE = "array<struct<doc_id:bigint,size:bigint,m:bigint,copies:bigint>>"
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -60,15 +63,15 @@ def _pivot(units: Column, level: int) -> Column:
 
     def unit(x, p):
         return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["m"].alias("m"),
-                        x["whole"].alias("whole"), p.alias("p"))
+                        x["whole"].cast("long").alias("whole"), p.alias("p"))
 
     def done(x, take):
         return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["m"].alias("m"),
-                        (x["whole"] + take).alias("copies"))
+                        (x["whole"] + take).cast("long").alias("copies"))
 
     def trade(acc, x):
         c = acc["carry"]
-        cs, xs = c["size"] * c["m"], x["size"] * x["m"]
+        cs, xs = c["size"], x["size"]
         up = F.least((1 - c["p"]) * cs, x["p"] * xs)       # words that may move to the carried one
         down = F.least(c["p"] * cs, (1 - x["p"]) * xs)     # or from it
         rise = _chance(c["doc_id"], x["doc_id"], level) * (up + down) < down
@@ -89,14 +92,26 @@ def _pivot(units: Column, level: int) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``(doc_id, source, size, m, source_size, target, copies)``, one row per
-    distinct (id, source, size); ``m`` input rows have it and each is taken ``copies`` times.
+    """``(doc_id, source, size, m, source_size, target, copies)``: ``m`` input rows of this
+    id, source and size are taken ``copies`` times each.  The rows of one id, source and
+    size are one row here, or two whose copies differ by one.
 
     A null text has size 0; a null source is a source of its own, last in order;
     rows of size 0 are taken as often as whole copies go.  Ids may be null or
     repeat.  Extra columns are ignored; an empty table gives no rows.  The random
     choices are hashes of ids, so a rerun, or other partitions, give the same mix.
     """
+    each = F.floor(F.col("copies") / F.col("m")).cast("int")
+    more = F.pmod("copies", "m")
+    parts = F.array(F.struct((F.col("m") - more).alias("m"), each.alias("copies")),
+                    F.struct(more.alias("m"), (each + 1).alias("copies")))
+    return _rounded(docs, id_col, source_col, text_col).select(
+        "doc_id", "source", "size", "source_size", "target", F.inline(parts)).filter("m > 0") \
+        .select("doc_id", "source", "size", "m", "source_size", "target", "copies")
+
+
+def _rounded(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """One row per distinct (id, source, size); ``copies`` of its ``m`` rows together."""
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
     units = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
                                size.alias("size")).groupBy("doc_id", "source", "size")
@@ -109,6 +124,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     per = per.withColumn("whole", F.when(near, F.round(times)).otherwise(F.floor(times)).cast("int"))
     per = stored(per.withColumn("p", F.when(near, 0.0).otherwise(times - F.col("whole"))), "targets")
     all_units = units.join(per.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    # rows of size 0 have no words to trade; of the others the rows' fractions make whole copies first
+    part = F.when(F.col("size") > 0, F.col("m") * F.col("p")).otherwise(0.0)
+    near = F.abs(part - F.round(part)) < 1e-9
+    sure = F.when(near, F.round(part)).otherwise(F.floor(part)).cast("long")
+    all_units = all_units.withColumn("whole", F.col("m") * F.col("whole") + sure) \
+        .withColumn("p", F.when(near, 0.0).otherwise(part - sure))
     settled = [all_units.filter("p = 0 or size = 0").select("doc_id", "source", "size", "m", F.col("whole").alias("copies"))]
     open_ = all_units.filter("p > 0 and size > 0").select("doc_id", "source", "size", "m", "whole", "p")
 
@@ -130,7 +151,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         if not most or most <= 1:
             last = _chance(F.col("doc_id"), F.col("doc_id"), -1) < F.col("p")
             settled.append(carried.select("doc_id", "source", "size", "m",
-                                          (F.col("whole") + last.cast("int")).alias("copies")))
+                                          (F.col("whole") + last.cast("long")).alias("copies")))
             break
         open_, level = carried.select("doc_id", "source", "size", "m", "whole", "p"), level + 1
 
@@ -148,17 +169,18 @@ def _settle(rows: DataFrame) -> DataFrame:
     """The last carried document of a source is rounded whole, so its words may miss
     the target by up to a document.  One other document whose words are nearest
     to the miss, if that lessens it, is rounded the other way."""
-    words = F.col("size") * F.col("m")
+    words = F.col("size")
     miss = rows.groupBy("source").agg((F.sum(F.col("copies") * words) - F.first("target")).alias("miss"))
     at = rows.join(miss.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     may = (F.col("p") > 0) & (words < 2 * F.abs("miss")) & F.when(
-        F.col("miss") > 0, F.col("copies") > F.col("whole")).otherwise(F.col("copies") == F.col("whole"))
+        F.col("miss") > 0, F.col("copies") > F.col("m") * F.col("whole")) \
+        .otherwise(F.col("copies") < F.col("m") * (F.col("whole") + 1))
     rank = F.struct(F.abs(F.abs("miss") - words).alias("left"), F.xxhash64("doc_id", "size").alias("h"), "doc_id", "size")
     best = at.filter(may).groupBy("source").agg(F.min(rank).alias("b"), F.first(F.signum("miss")).alias("sign")) \
         .select(F.col("source").alias("s"), F.col("b.doc_id").alias("bd"), F.col("b.size").alias("bs"), "sign")
     hit = F.col("source").eqNullSafe(F.col("s")) & F.col("doc_id").eqNullSafe(F.col("bd")) & (F.col("size") == F.col("bs"))
     out = rows.join(best, hit, "left")
-    return out.withColumn("copies", (F.col("copies") - F.coalesce(F.col("sign"), F.lit(0.0))).cast("int")) \
+    return out.withColumn("copies", (F.col("copies") - F.coalesce(F.col("sign"), F.lit(0.0))).cast("long")) \
         .drop("s", "bd", "bs", "sign")
 
 
@@ -169,11 +191,46 @@ def taken(docs: DataFrame) -> DataFrame:
 
 
 def resample(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it (0 to ``MOST`` times)."""
-    i, s, z, k, n = spare(docs, "id", "source_of", "size", "copies", "n")
-    c = mix(docs, id_col, source_col, text_col).select(
-        F.col("doc_id").alias(i), F.col("source").alias(s), F.col("size").alias(z), F.col("copies").alias(k))
-    size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
-    hit = docs.withColumn(n, size).join(c, F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s))
-                                        & (F.col(n) == F.col(z)) & (F.col(k) > 0))
-    return hit.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(k)))).select(*docs.columns)
+    """``docs`` with every row repeated as often as the mix takes it (0 to ``MOST`` times).
+
+    Where the rows of one id, source and size can't all be taken equally often, those
+    of the smallest row hashes have the copy more: other partitions give the same rows."""
+    i, s, z, c, m, n, h, e, r = spare(docs, "id", "source_of", "size", "copies", "m", "n", "hash", "extra", "row")
+    units = stored(_rounded(docs, id_col, source_col, text_col).select(
+        F.col("doc_id").alias(i), F.col("source").alias(s), F.col("size").alias(z), F.col("m").alias(m),
+        F.col("copies").alias(c)).filter(F.col(c) > 0), "copies")
+    sized = docs.withColumn(n, F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s)) & (F.col(n) == F.col(z))
+    even = F.pmod(F.col(c), F.col(m)) == 0
+
+    def repeated(df: DataFrame, times: Column) -> DataFrame:
+        return df.withColumn(n, times.cast("int")).filter(F.col(n) > 0) \
+            .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+    out = repeated(sized.join(units.filter(even), same), F.col(c) / F.col(m))
+    uneven = units.filter(~even)
+    if not uneven.take(1):
+        return out
+    # equal rows are counted as one; a key's rows are numbered by hash, in parts of the hash's range
+    hit = sized.join(uneven, same).withColumn(h, row_hash(docs))
+    key = [i, s, z]
+    kinds = stored(hit.groupBy(*key, h).agg(F.count("*").alias(e), F.first(m).alias(m), F.first(c).alias(c))
+                   .withColumn("part", F.pmod(F.shiftrightunsigned(h, 1), F.ceil(F.col(m) / PART))), "kinds")
+    parts = kinds.groupBy(*key, "part").agg(F.sum(e).alias("rows"))
+    upto = W.rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("ahead", F.coalesce(F.sum("rows").over(
+        upto.partitionBy(*key).orderBy("part")), F.lit(0))).drop("rows").withColumnsRenamed({k: k + "_p" for k in key})
+    met = kinds.join(parts.withColumnRenamed("part", "part_p"), F.col("part").eqNullSafe(F.col("part_p")) & F.col(z).eqNullSafe(
+        F.col(z + "_p")) & F.col(i).eqNullSafe(F.col(i + "_p")) & F.col(s).eqNullSafe(F.col(s + "_p")))
+    before = F.col("ahead") + F.coalesce(F.sum(e).over(upto.partitionBy(*key, "part").orderBy(h)), F.lit(0))
+    extra = F.least(F.greatest(F.pmod(F.col(c), F.col(m)) - before, F.lit(0)), F.col(e))
+    # copies of this kind's equal rows together
+    chosen = stored(met.select(i, s, z, h, F.col(e).alias(m), (F.floor(F.col(c) / F.col(m)) * F.col(e) + extra).alias(c))
+                    .filter(F.col(c) > 0), "chosen").withColumnRenamed(h, e)
+    hashed = sized.withColumn(h, row_hash(docs))
+    same &= F.col(h) == F.col(e)
+    out = out.unionByName(repeated(hashed.join(chosen.filter(even), same), F.col(c) / F.col(m)))
+    # at most one kind of a key is left: equal rows, so one of them stands for all
+    one = hashed.join(chosen.filter(~even), same).select(*key, h, c, F.struct(*docs.columns).alias(r)) \
+        .groupBy(*key, h, c).agg(F.first(r).alias(r))
+    copies = one.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(c))))
+    return out.unionByName(copies.select(f"{r}.*"))
