@@ -144,3 +144,17 @@ def unique_per_doc(h: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndar
             out.append(u)
             count[d] = len(u)
     return np.concatenate(out), count
+
+
+def cut(data: bytes, size: int = CHUNK_BYTES):
+    """``data`` in pieces of about ``size`` bytes that end where a blank stands (or at the end)."""
+    at = 0
+    while len(data) - at > size:
+        end = data.rfind(b" ", at, at + size)
+        if end < 0:
+            end = data.find(b" ", at + size)
+            if end < 0:
+                break
+        yield data[at:end + 1]
+        at = end + 1
+    yield data[at:] if at else data

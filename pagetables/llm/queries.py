@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagetables.llm import fingerprint, langid, lattice, minhash, mixing, nndescent, packing, quality, secrets, toolcalls
+from pagetables.llm import (
+    divergence, fingerprint, langid, lattice, merkle, minhash, mixing, nndescent, packing, quality, secrets, simhash, toolcalls)
 from pagetables.llm.tables import read
 
 
@@ -76,9 +77,21 @@ def op10_langid(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"), _held(4, 2))
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark, sf_dir):
+    return merkle.audited(read(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lattice, op2_nndescent, op3_quality, op4_fingerprint, op5_tool_calls, op6_length_buckets, op7_minhash, op8_secrets,
-    op9_mixing, op10_langid)}
+    op9_mixing, op10_langid, op11_simhash, op12_merkle, op13_divergence)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -205,4 +218,81 @@ SELECT conv_id, turn, call_id, NULL, 'orphan', NULL, 1,
 FROM results WHERE call_id NOT IN (SELECT call_id FROM calls)
 """
 
-ORACLES = {"op5_tool_calls": _OP5, "op6_length_buckets": _OP6, "op7_minhash": _OP7, "op8_secrets": _OP8}
+
+def _leaf_sql(n_chars):
+    fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in fields) + ")"
+
+
+_OP12 = f"""
+WITH RECURSIVE crc AS (   -- CRC-32 byte by byte, bit by bit
+  SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))),
+    4294967295::UBIGINT) AS crc FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM (
+    SELECT doc_id, coalesce('+' || lang, '') AS grp, {_leaf_sql('n_chars')} AS leaf,
+      CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf_sql('n_chars::HUGEINT + 1')} END AS tampered FROM crc)
+), tree AS (
+  SELECT grp, 0 AS lvl, pos, leaf AS node, n FROM placed
+  UNION ALL SELECT grp, lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY grp, lvl, pos // 2
+), tops AS (
+  SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, pos, subroot AS node, n FROM tops
+  UNION ALL SELECT lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM top WHERE n > 1 GROUP BY lvl, pos // 2
+), low AS (
+  SELECT p.grp, p.pos, list(CASE WHEN s.pos IS NULL THEN '-' WHEN s.pos < (p.pos >> l.lvl) THEN 'L' || s.node ELSE 'R' || s.node END ORDER BY l.lvl) AS path
+  FROM placed p JOIN (SELECT DISTINCT grp, lvl FROM tree WHERE n > 1) l USING (grp)
+  LEFT JOIN tree s ON s.grp = p.grp AND s.lvl = l.lvl AND s.pos = xor(p.pos >> l.lvl, 1) GROUP BY 1, 2
+), high AS (
+  SELECT p.grp, list(CASE WHEN s.pos IS NULL THEN '-' WHEN s.pos < (p.pos >> l.lvl) THEN 'L' || s.node ELSE 'R' || s.node END ORDER BY l.lvl) AS path
+  FROM tops p CROSS JOIN (SELECT DISTINCT lvl FROM top WHERE n > 1) l
+  LEFT JOIN top s ON s.lvl = l.lvl AND s.pos = xor(p.pos >> l.lvl, 1) GROUP BY 1
+), whole AS (
+  SELECT p.doc_id, p.leaf, p.tampered, t.subroot, (SELECT node FROM top WHERE n = 1) AS root,
+    list_concat(coalesce(low.path, []::VARCHAR[]), coalesce(high.path, []::VARCHAR[])) AS path
+  FROM placed p JOIN tops t USING (grp) LEFT JOIN low ON low.grp = p.grp AND low.pos = p.pos LEFT JOIN high ON high.grp = p.grp
+), folded AS (
+  SELECT *, list_reduce(list_prepend(coalesce(tampered, leaf), path), lambda a, s:
+    CASE s[1] WHEN 'L' THEN sha256(s[2:] || a) WHEN 'R' THEN sha256(a || s[2:]) ELSE sha256(a) END) AS folded_root FROM whole
+)
+SELECT doc_id, leaf, subroot, root,
+  sha256(array_to_string(list_transform(list_filter(path, lambda s: s <> '-'), lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM folded
+"""
+
+_OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), t AS (
+  SELECT i, lang, source, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY 1, 2 HAVING count(DISTINCT i) >= {divergence.LEAST_DOCS}
+), langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY 1
+), c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3
+), g AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c USING (lang, source) GROUP BY 1, 2
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.n + 2 * v) AS p,
+    1 + 1000000000::HUGEINT * (total + 2) // (langs.n + 2 * v) AS q
+  FROM g JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+ORACLES = {"op5_tool_calls": _OP5, "op6_length_buckets": _OP6, "op7_minhash": _OP7, "op8_secrets": _OP8,
+           "op12_merkle": _OP12, "op13_divergence": _OP13}
