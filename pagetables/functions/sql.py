@@ -26,10 +26,9 @@ class ShredHtml:
         if html is None:
             return
         keep = None if not tags else frozenset(t.strip().lower() for t in tags.split(","))
-        p = _Shredder(keep)
-        p.feed(html)
-        for seq, parent, depth, outer, tag, attrs, text in p.finish():
-            yield seq, parent, depth, outer, tag, attrs, text
+        rows, text = _Shredder(keep).read(html)
+        for seq, parent, depth, outer, _last, tag, attrs, start, stop in rows:
+            yield seq, parent, depth, outer, tag, attrs, text[start:stop].decode()
 
 
 def register_sql_functions(spark: SparkSession) -> None:

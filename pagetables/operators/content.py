@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import clean_content as _clean
 from pagetables.functions.text import py_strip
-from pagetables.operators.html import texts_of
+from pagetables.operators.html import cut, of_tag
 
 
 def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
@@ -37,15 +37,19 @@ def paragraph_after_title(links: DataFrame, paras: DataFrame, title: str = "titl
 
     ``paras`` is ``page_elements`` (one row per page, with its ``p`` elements),
     or H5's (page_id, p_no, text), which is regrouped by page.  Each link row is
-    joined to its page's array, and the first paragraph holding the title is
+    joined to its page's row, and the first paragraph holding the title is
     found with a higher-order function: one row per link, no (link, paragraph)
     pairs.  Links whose title is on no paragraph (or on the last one) give no row.
     """
     if "elems" in paras.columns:
-        per_page = paras.select(F.col("page_id").alias("_ppid"), texts_of("elems", "p").alias("_ps"))
-    else:
-        per_page = paras.groupBy(F.col("page_id").alias("_ppid")).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("p_no", "text"))), lambda p: p["text"]).alias("_ps"))
+        per_page = paras.select(F.col("page_id").alias("_ppid"), F.col("buffer").alias("_buf"), of_tag("elems", "p").alias("_es"))
+        j = links.join(per_page, F.col(page) == F.col("_ppid"))
+        hit = F.array_position(F.transform("_es", lambda e: cut("_buf", e).contains(F.col(title))), F.lit(True))
+        after = F.when(hit > 0, F.get("_es", hit.cast("int")))      # the one that follows, 0-based
+        return (j.withColumn("_next", after).filter(F.col("_next").isNotNull())
+                 .withColumn("text", py_strip(cut("_buf", F.col("_next")))).drop("_ppid", "_buf", "_es", "_next"))
+    per_page = paras.groupBy(F.col("page_id").alias("_ppid")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("p_no", "text"))), lambda p: p["text"]).alias("_ps"))
     j = links.join(per_page, F.col(page) == F.col("_ppid")).drop("_ppid")
     return (j.withColumn("_next", next_paragraph(F.col("_ps"), F.col(title))).drop("_ps")
              .filter(F.col("_next").isNotNull())

@@ -4,16 +4,20 @@ Two ways in:
 
 * ``extract_anchors`` (H2) is pure JVM: one regex pass per page, no Python,
   no shuffle.  It is the fast path whenever only links are needed.
-* ``shred_elements`` (H1) runs the stdlib ``html.parser`` inside
-  ``mapInPandas`` and emits an ordered element table.  It is tolerant of bad
-  markup (unclosed ``<p>``, ``</p>`` inside scripts, truncated pages) the way
-  a tree builder is: a start tag opens an element, an end tag closes the
-  most recent open element of that name (and everything opened after it),
-  unmatched end tags are ignored, and whatever is open at the end of input
-  is closed there.  Text of an element is the text of all its descendants,
-  script/style/template contents and comments excluded.
-
-Everything after H1/H2 is relational (windows, joins, aggregates).
+* ``page_spans`` (H1) runs the stdlib ``html.parser`` inside ``mapInArrow``
+  and emits one row per page: the page's text once, and its elements in
+  document order, each with its range of that text.  So a page leaves the
+  worker about as long as it came, however its elements nest; the text of an
+  element is cut on the JVM, for the elements that are asked for.  The parse
+  is tolerant of bad markup (unclosed ``<p>``, ``</p>`` inside scripts,
+  truncated pages) the way a tree builder is: a start tag opens an element,
+  an end tag closes the most recent open element of that name (and everything
+  opened after it), unmatched end tags are ignored, and whatever is open at
+  the end of input is closed there.  Text of an element is the text of all its
+  descendants, script/style/template contents and comments excluded.
+
+Everything after H1/H2 (titles, paragraphs, main text, snapshots) is Spark
+expressions over these rows.
 """
 
 from __future__ import annotations
@@ -21,13 +25,12 @@ from __future__ import annotations
 import bisect
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pagetables.functions.text import (collapse_space, py_strip, strip_tags,
-                                       unescape_entities)
+from pagetables.functions.text import (collapse_space, py_strip, resolve_href,
+                                       strip_tags, unescape_entities)
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -71,30 +74,7 @@ LINKS_HEADER = "Links/Buttons:"
 IMAGES_HEADER = "Images:"
 # ---------------------------------------------------------------------------
 
-ELEMENT_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("elem_seq", T.IntegerType()),
-    T.StructField("parent_seq", T.IntegerType()),
-    T.StructField("depth", T.IntegerType()),
-    T.StructField("outer_seq", T.IntegerType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("text", T.StringType()),
-])
-
-_LINK = T.StructType([T.StructField("text", T.StringType()),
-                      T.StructField("href", T.StringType())])
-_IMG = T.StructType([T.StructField("alt", T.StringType()),
-                     T.StructField("src", T.StringType())])
-SNAPSHOT_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("body_text", T.StringType()),
-    T.StructField("links", T.ArrayType(_LINK)),
-    T.StructField("images", T.ArrayType(_IMG)),
-    T.StructField("snapshot", T.StringType()),
-])
+_MAP = pa.map_(pa.string(), pa.string())
 
 
 # ---------------------------------------------------------------------------
@@ -160,64 +140,48 @@ class _Selectors:
 class _Shredder(HTMLParser):
     """Tree builder over stdlib html.parser, for one page."""
 
-    def __init__(self, keep_tags=None, exclude=(), target=(), with_text=True, only=()):
+    def __init__(self, keep_tags=None, exclude=(), target=(), only=(), title_apart=False):
         super().__init__(convert_charrefs=True)
         self.keep_tags = keep_tags
         self.only = _Selectors(only)
         self.exclude = _Selectors(exclude)
         self.target = _Selectors(target)
-        self.with_text = with_text
-        self.rows = []          # (seq, parent, depth, outer, tag, attrs, text)
-        self.stack = []         # [seq, tag, attrs, chunk_start, excluded, depth, targeted]
-        self.chunks = []
+        self.title_apart = title_apart
+        self.rows = []          # (seq, parent, depth, outer, last, tag, attrs, start, stop)
+        self.stack = []         # [seq, tag, attrs, start, excluded, targeted, outer]
+        self.chunks = []        # the page's text, in UTF-8
+        self.size = 0
+        self.title = []
         self.seq = 0
         self.excluded_depth = 0
         self.target_depth = 0
         self.open_by_tag = {}   # tag -> seqs of its open elements, outermost first
 
-    def _parent(self):
-        return self.stack[-1][0] if self.stack else -1
-
     def _open(self, tag, attrs, void):
         attrs = {k: (v if v is not None else "") for k, v in attrs}
         excluded = self.exclude.match(tag, attrs)
         targeted = self.target.match(tag, attrs)
         seq = self.seq
         self.seq += 1
-        depth = len(self.stack)
         # outermost open element with the same tag (-1: not nested in one)
         same = self.open_by_tag.get(tag)
         outer = same[0] if same else -1
-        if void:
-            if not (excluded or self.excluded_depth):
-                self._emit(seq, self._parent(), depth, outer, tag, attrs, "")
-            return
-        self.stack.append([seq, tag, attrs, len(self.chunks), excluded, depth, targeted, outer])
+        self.excluded_depth += excluded
+        self.target_depth += targeted
+        self.stack.append([seq, tag, attrs, self.size, excluded, targeted, outer])
         self.open_by_tag.setdefault(tag, []).append(seq)
-        if excluded:
-            self.excluded_depth += 1
-        if targeted:
-            self.target_depth += 1
-
-    def _wanted(self, tag, attrs):
-        return (self.keep_tags is None or tag in self.keep_tags) and (
-            not self.only or self.only.match(tag, attrs))
-
-    def _emit(self, seq, parent, depth, outer, tag, attrs, text):
-        if self._wanted(tag, attrs):
-            self.rows.append((seq, parent, depth, outer, tag, attrs, text))
+        if void:
+            self._close_top()
 
     def _close_top(self):
-        seq, tag, attrs, start, excluded, depth, targeted, outer = self.stack.pop()
+        seq, tag, attrs, start, excluded, targeted, outer = self.stack.pop()
         self.open_by_tag[tag].pop()
-        parent = self._parent()
-        if excluded:
-            self.excluded_depth -= 1
-        if targeted:
-            self.target_depth -= 1
-        if not (excluded or self.excluded_depth) and self._wanted(tag, attrs):
-            text = "".join(self.chunks[start:]) if self.with_text else None
-            self._emit(seq, parent, depth, outer, tag, attrs, text)
+        parent = self.stack[-1][0] if self.stack else -1
+        shown = not self.excluded_depth and (not self.title_apart or not self.target or self.target_depth)
+        if shown and (self.keep_tags is None or tag in self.keep_tags) and (not self.only or self.only.match(tag, attrs)):
+            self.rows.append((seq, parent, len(self.stack), outer, self.seq - 1, tag, attrs, start, self.size))
+        self.excluded_depth -= excluded
+        self.target_depth -= targeted
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, tag in VOID_TAGS)
@@ -236,89 +200,109 @@ class _Shredder(HTMLParser):
     def handle_data(self, data):
         if self.excluded_depth:
             return
+        if self.title_apart and self.open_by_tag.get("title"):
+            self.title.append(data)
+            return
         if self.stack and self.stack[-1][1] in NON_TEXT_TAGS:
             return
         if self.target and not self.target_depth:
             return
-        self.chunks.append(data)
-
-    def finish(self):
+        utf8 = data.encode("utf-8", "replace")
+        self.chunks.append(utf8)
+        self.size += len(utf8)
+
+    def read(self, html):
+        """Elements in document order, and the text that their ranges count bytes of."""
+        if html is not None:
+            self.feed(html)
         self.close()
         while self.stack:
             self._close_top()
         self.rows.sort(key=lambda r: r[0])
-        return self.rows
-
+        return self.rows, b"".join(self.chunks)
+
+
+_FIELDS = ("elem_seq", "parent_seq", "depth", "outer_seq", "last_seq")
+ELEMS = ("array<struct<" + ",".join(f"{f}:int" for f in _FIELDS)
+         + ",tag:string,attrs:map<string,string>,start:int,stop:int>>")
+
+
+def _elems_array(pages: list[list]) -> pa.ListArray:
+    """The elements of a batch of pages as one column."""
+    rows = [r for p in pages for r in p]
+    ints = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1, 2, 3, 4, 7, 8)]
+    attrs = pa.array([list(r[6].items()) for r in rows], _MAP)
+    cols = [*ints[:5], pa.array([r[5] for r in rows], pa.string()), attrs, *ints[5:]]
+    offsets = [0]
+    for p in pages:
+        offsets.append(offsets[-1] + len(p))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                    pa.StructArray.from_arrays(cols, [*_FIELDS, "tag", "attrs", "start", "stop"]))
+
+
+def page_spans(pages: DataFrame, tags=None, exclude=(), target=(), only=(), title_apart: bool = False,
+               keep_cols=()) -> DataFrame:
+    """H1: ``pages(page_id, html)`` -> one row per page ``(page_id, ..., buffer, title, elems)``.
+
+    ``buffer`` is the page's text in UTF-8, once; ``elems`` are its elements in
+    document order, ``start`` and ``stop`` their byte ranges of the buffer (see
+    ``cut``), ``last_seq`` the last element inside.  ``tags`` and ``only`` (simple
+    selectors) limit which elements are emitted, while parsing; ``exclude`` drops
+    whole matching subtrees, also from ancestors' text; ``target`` keeps only
+    text inside matching subtrees.  ``title_apart`` takes ``<title>`` text out of the
+    buffer (column ``title``) and emits no element outside the targets.  A null or
+    empty page has an empty buffer and no elements.  Narrow: no shuffle."""
+    keep = None if tags is None else frozenset(t.lower() for t in tags)
+    exclude, target, only = tuple(exclude), tuple(target), tuple(only)
+    schema = pages.select(F.col("page_id").cast("long"), *keep_cols).schema
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
-def _shred_batches(keep_tags, exclude, target, with_text):
     def run(batches):
-        for pdf in batches:
-            out = {k: [] for k in ELEMENT_SCHEMA.fieldNames()}
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                if html is None:
-                    continue
-                p = _Shredder(keep_tags, exclude, target, with_text)
-                p.feed(html)
-                for seq, parent, depth, outer, tag, attrs, text in p.finish():
-                    out["page_id"].append(pid)
-                    out["elem_seq"].append(seq)
-                    out["parent_seq"].append(parent)
-                    out["depth"].append(depth)
-                    out["outer_seq"].append(outer)
-                    out["tag"].append(tag)
-                    out["attrs"].append(attrs)
-                    out["text"].append(text)
-            if out["page_id"]:
-                yield pd.DataFrame(out)
-    return run
+        for b in batches:
+            elems, texts, titles = [], [], []
+            for html in b.column(b.num_columns - 1).to_pylist():
+                p = _Shredder(keep, exclude, target, only, title_apart)
+                rows, text = p.read(html)
+                elems.append(rows)
+                texts.append(text)
+                titles.append("".join(p.title))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(texts, pa.binary()), pa.array(titles, pa.string()), _elems_array(elems)],
+                names=[*b.schema.names[:-1], "buffer", "title", "elems"])
+    return pages.select(F.col("page_id").cast("long"), *keep_cols, "html").mapInArrow(
+        run, f"{fields}, buffer binary, title string, elems {ELEMS}")
+
+
+def cut(buffer, elem) -> Column:
+    """The text of an element of ``page_spans``."""
+    return F.substr(F.col(buffer) if isinstance(buffer, str) else buffer,
+                    elem["start"] + 1, elem["stop"] - elem["start"]).cast("string")
 
 
 def shred_elements(pages: DataFrame, tags=None, exclude=(), target=(),
                    with_text: bool = True) -> DataFrame:
-    """H1: ``pages(page_id, html)`` -> ``elements`` (ELEMENT_SCHEMA).
+    """H1 as a table, one row per element: ``(page_id, elem_seq, parent_seq, depth, outer_seq,
+    tag, attrs, text)``; options as in ``page_spans``.
 
-    ``tags`` limits which elements are emitted (the filter is applied while
-    parsing, so unwanted rows are never built); ``exclude`` drops whole
-    subtrees matching simple selectors, also from ancestors' text;
-    ``target`` keeps only text inside matching subtrees.  Narrow: no shuffle.
-    """
-    keep = None if tags is None else frozenset(t.lower() for t in tags)
-    src = pages.select(F.col("page_id").cast("long"), "html")
-    return src.mapInPandas(_shred_batches(keep, tuple(exclude), tuple(target), with_text),
-                           ELEMENT_SCHEMA)
-
-
-ELEMS = ("array<struct<elem_seq:int,outer_seq:int,tag:string,attrs:map<string,string>,text:string>>")
+    An element's text is cut where the row is made, and only if it is used."""
+    e = page_spans(pages, tags, exclude, target).select("page_id", "buffer", F.explode("elems").alias("e"))
+    text = cut("buffer", F.col("e")) if with_text else F.lit(None).cast("string")
+    return e.select("page_id", *[f"e.{f}" for f in _FIELDS if f != "last_seq"], "e.tag", "e.attrs", text.alias("text"))
 
 
 def page_elements(pages: DataFrame, tags=None, exclude=(), target=(), only=()) -> DataFrame:
-    """H1, one row per page: ``(page_id, elems)``, the elements in document order.
+    """H1, one row per page: ``(page_id, buffer, elems)``, the elements in document order.
 
     What follows on one page (first heading, numbered paragraphs, joined text)
-    is then array work in the row: nothing is regrouped by page.  ``only``
-    keeps elements that match one of these simple selectors, so no other
-    element's text is built.  A page without such elements has an empty array."""
-    keep = None if tags is None else frozenset(t.lower() for t in tags)
-    exclude, target, only = tuple(exclude), tuple(target), tuple(only)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for html in pdf["html"]:
-                elems = []
-                if html is not None:
-                    p = _Shredder(keep, exclude, target, True, only)
-                    p.feed(html)
-                    elems = [{"elem_seq": seq, "outer_seq": outer, "tag": tag, "attrs": attrs, "text": text}
-                             for seq, _parent, _depth, outer, tag, attrs, text in p.finish()]
-                rows.append(elems)
-            yield pd.DataFrame({"page_id": pdf["page_id"], "elems": rows})
-    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(run, f"page_id long, elems {ELEMS}")
+    is then array work in the row: nothing is regrouped by page, and text is
+    cut for the elements that are kept."""
+    return page_spans(pages, tags, exclude, target, only).drop("title")
 
 
-def texts_of(elems, tag: str) -> Column:
-    """The texts of a page's elements of one tag, in document order."""
-    return F.transform(F.filter(elems, lambda e: e["tag"] == tag), lambda e: e["text"])
+def of_tag(elems, tag: str, cls: str | None = None) -> Column:
+    """A page's elements of one tag (and class), in document order."""
+    return F.filter(elems, lambda e: (e["tag"] == tag) & (F.lit(True) if not cls else F.array_contains(
+        F.split(F.coalesce(e["attrs"].getItem("class"), F.lit("")), "\\s+"), cls)))
 
 
 # Fixed value: marks the tags of a page (a control character that html forbids).
@@ -401,10 +385,9 @@ def first_by_class(elements: DataFrame, tag: str, cls: str | None = None) -> Dat
 
     ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
     if "elems" in elements.columns:
-        hit = F.filter("elems", lambda x: (x["tag"] == tag) & (F.lit(True) if not cls else F.array_contains(
-            F.split(F.coalesce(x["attrs"].getItem("class"), F.lit("")), "\\s+"), cls)))
-        return elements.select("page_id", F.get(hit, F.lit(0)).alias("e")).filter("e is not null") \
-            .select("page_id", "e.text")
+        first = F.get(of_tag("elems", tag, cls), F.lit(0))
+        return elements.select("page_id", "buffer", first.alias("e")).filter("e is not null") \
+            .select("page_id", cut("buffer", F.col("e")).alias("text"))
     e = elements.filter(F.col("tag") == tag)
     if cls:
         e = e.filter(has_class(cls))
@@ -417,9 +400,8 @@ def paragraphs(elements: DataFrame) -> DataFrame:
 
     ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
     if "elems" in elements.columns:
-        p = F.filter("elems", lambda e: e["tag"] == "p")
-        return elements.select("page_id", F.posexplode(p).alias("p_no", "e")).select(
-            "page_id", "p_no", "e.elem_seq", "e.text")
+        return elements.select("page_id", "buffer", F.posexplode(of_tag("elems", "p")).alias("p_no", "e")).select(
+            "page_id", "p_no", "e.elem_seq", cut("buffer", F.col("e")).alias("text"))
     w = Window.partitionBy("page_id").orderBy("elem_seq")
     return (elements.filter(F.col("tag") == "p")
                     .select("page_id", (F.row_number().over(w) - 1).cast("int").alias("p_no"),
@@ -449,8 +431,7 @@ def heading_title(elements: DataFrame) -> DataFrame:
 
     ``elements``: H1's table, or ``page_elements`` (then nothing is shuffled)."""
     if "elems" in elements.columns:
-        return elements.select("page_id", py_strip(F.get(texts_of("elems", "h1"), F.lit(0))).alias("title")) \
-            .filter("title is not null")
+        return first_by_class(elements, "h1").select("page_id", py_strip("text").alias("title"))
     return (elements.filter(F.col("tag") == "h1")
                     .groupBy("page_id")
                     .agg(py_strip(F.min_by("text", "elem_seq")).alias("title")))
@@ -497,185 +478,171 @@ def main_text(pages: DataFrame, exclude=tuple(NON_MAIN_TAGS) + tuple(FURNITURE_S
     """
     outer = F.filter("elems", lambda e: e["outer_seq"] == -1)
     el = page_elements(pages, tags=["p"], exclude=exclude).filter(F.size(outer) > 0)
-    return el.select("page_id", F.array_join(F.transform(outer, lambda e: collapse_space(e["text"])), "\n").alias("text"))
+    return el.select("page_id", F.array_join(F.transform(outer, lambda e: collapse_space(cut("buffer", e))), "\n").alias("text"))
 
 
 # ---------------------------------------------------------------------------
-# Snapshots (H7–H14): rendered in the same Python job as the parse
-
-class _Renderer(HTMLParser):
-    def __init__(self, exclude, target, remove_images, fmt):
-        super().__init__(convert_charrefs=True)
-        self.exclude = _Selectors(exclude)
-        self.target = _Selectors(target)
-        self.remove_images = remove_images
-        self.fmt = fmt
-        self.stack = []           # [tag, excluded, targeted, link_index]
-        self.excluded = 0
-        self.targeted = 0
-        self.out = []
-        self.title_parts = []
-        self.in_title = 0
-        self.links = []
-        self.images = []
-        self.link_stack = []
-        self.open_count = {}
-
-    def _visible(self):
-        if self.excluded:
-            return False
-        if self.stack and self.stack[-1][0] in NON_TEXT_TAGS:
-            return False
-        return not self.target or self.targeted > 0
-
-    def _start(self, tag, attrs, void):
-        a = {k: (v if v is not None else "") for k, v in attrs}
-        exc = self.exclude.match(tag, a)
-        tgt = self.target.match(tag, a)
-        if exc:
-            self.excluded += 1
-        if tgt:
-            self.targeted += 1
-        vis = self._visible()
-        if vis and tag in BLOCK_TAGS:
-            self.out.append("\n")
-        if vis and self.fmt == "markdown" and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            self.out.append("#" * int(tag[1]) + " ")
-        if vis and self.fmt == "html":
-            self.out.append(self.get_starttag_text() or f"<{tag}>")
-        if tag == "img" and vis and not self.remove_images:
-            self.images.append((a.get("alt", ""), a.get("src", "")))
-            if self.fmt == "markdown":
-                self.out.append(f"![{a.get('alt', '')}]({a.get('src', '')})")
-        if tag == "a" and "href" in a and vis and not void:
-            self.link_stack.append((a["href"], len(self.out)))
-        if tag == "title":
-            self.in_title += 1
-        if void:
-            if exc:
-                self.excluded -= 1
-            if tgt:
-                self.targeted -= 1
-            return
-        self.stack.append([tag, exc, tgt])
-        self.open_count[tag] = self.open_count.get(tag, 0) + 1
-
-    def handle_starttag(self, tag, attrs):
-        self._start(tag, attrs, tag in VOID_TAGS)
-
-    def handle_startendtag(self, tag, attrs):
-        self._start(tag, attrs, True)
-
-    def _end_one(self):
-        tag, exc, tgt = self.stack.pop()
-        self.open_count[tag] -= 1
-        vis = self._visible()
-        if tag == "a" and self.link_stack and vis:
-            href, start = self.link_stack.pop()
-            text = " ".join("".join(self.out[start:]).split())
-            self.links.append((text, href))
-            if self.fmt == "markdown":
-                self.out[start:] = [f"[{text}]({href})"]
-        if vis and self.fmt == "html":
-            self.out.append(f"</{tag}>")
-        if tag == "title":
-            self.in_title -= 1
-        if exc:
-            self.excluded -= 1
-        if tgt:
-            self.targeted -= 1
-        if vis and tag in BLOCK_TAGS:
-            self.out.append("\n")
-
-    def handle_endtag(self, tag):
-        if not self.open_count.get(tag):
-            return
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                while len(self.stack) > i:
-                    self._end_one()
-                return
-
-    def handle_data(self, data):
-        if self.in_title and not self.excluded:
-            self.title_parts.append(data)
-            return
-        if self._visible():
-            if self.fmt == "html":
-                from html import escape
-                self.out.append(escape(data, quote=False))
-            else:
-                self.out.append(data)
-
-    def finish(self):
-        self.close()
-        while self.stack:
-            self._end_one()
-
-
-def _render_text(parts, fmt):
-    raw = "".join(parts)
+# Snapshots (H7–H14): expressions over a page's buffer and elements.
+#
+# What a format adds to the text is a list of insertions, each at a place of the
+# buffer: before an element's first byte or after its last.
+
+# Stand for the ends of a link until lines are put together
+# (control characters that html forbids).
+_LINK_START, _LINK_STOP = "\x01", "\x02"
+FORMATS = ("default", "markdown", "text", "html")
+
+
+def _insertions(elems: Column, opening, closing) -> Column:
+    """``opening(e)`` and ``closing(e)`` of all elements, in document order, empty ones left out.
+
+    An element closes after the last one inside it opened, inner ones first."""
+    both = F.flatten(F.transform(elems, lambda e: F.array(
+        F.struct(e["elem_seq"].alias("k"), F.lit(0).alias("closes"), F.lit(0).alias("inner"),
+                 e["start"].alias("at"), opening(e).alias("add")),
+        F.struct(e["last_seq"].alias("k"), F.lit(1).alias("closes"), (-e["elem_seq"]).alias("inner"),
+                 e["stop"].alias("at"), closing(e).alias("add")))))
+    return F.array_sort(F.filter(both, lambda x: x["add"] != ""))
+
+
+def _woven(buffer, insertions: Column, start: Column, stop: Column, piece=lambda text, at, to: text) -> Column:
+    """Bytes ``start`` to ``stop`` of the buffer with the insertions between them."""
+    marks = F.concat(F.array(F.struct(start.alias("at"), F.lit("").alias("add"))),
+                     F.transform(insertions, lambda x: F.struct(x["at"].alias("at"), x["add"].alias("add"))))
+
+    def put(marks):
+        def one(x, i):
+            to = F.coalesce(F.get(marks, i + 1)["at"], stop)
+            text = F.substr(F.col(buffer), x["at"] + 1, to - x["at"]).cast("string")
+            return F.concat(x["add"], piece(text, x["at"], to))
+        return F.array_join(F.transform(marks, one), "")
+    return F.transform(F.array(marks), put)[0]      # bound once: the marks are named for each piece
+
+
+def _escape(text: Column, quote: bool = False) -> Column:
+    for ch, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *([('"', "&quot;")] if quote else [])):
+        text = F.replace(text, F.lit(ch), F.lit(ref))
+    return text
+
+
+def _is_block(e) -> Column:
+    return e["tag"].isin(sorted(BLOCK_TAGS))
+
+
+def _has_href(e) -> Column:
+    return (e["tag"] == "a") & e["attrs"].getItem("href").isNotNull()
+
+
+def _attr(e, name: str) -> Column:
+    return F.coalesce(e["attrs"].getItem(name), F.lit(""))
+
+
+def _link_text(e, breaks: Column) -> Column:
+    """A link's text; block elements inside it part words."""
+    inner = F.filter(breaks, lambda x: (x["at"] >= e["start"]) & (x["at"] <= e["stop"]) & F.when(
+        x["closes"] == 0, x["k"] > e["elem_seq"]).otherwise((x["inner"] < -e["elem_seq"]) & (x["k"] <= e["last_seq"])))
+    return collapse_space(F.when(e["last_seq"] == e["elem_seq"], cut("buffer", e))
+                           .otherwise(_woven("buffer", inner, e["start"], e["stop"])))
+
+
+def _body(fmt: str, remove_images: bool) -> Column:
+    """The page's text in a format, from the columns ``buffer``, ``elems`` and ``wide`` (links
+    that hold text of their own lines or elements)."""
+    nothing = F.lit("")
+
+    def opening(e):
+        parts = [F.when(_is_block(e), "\n").otherwise(nothing)]
+        if fmt == "markdown":
+            level = F.regexp_extract(e["tag"], "^h([1-6])$", 1)
+            parts.append(F.when(level != "", F.concat(F.repeat(F.lit("#"), F.coalesce(level.try_cast("int"), F.lit(0))), F.lit(" ")))
+                          .otherwise(nothing))
+            parts.append(F.when(_has_href(e), _LINK_START).otherwise(nothing))
+            if not remove_images:
+                image = F.concat(F.lit("!["), _attr(e, "alt"), F.lit("]("), _attr(e, "src"), F.lit(")"))
+                parts.append(F.when(e["tag"] == "img", image).otherwise(nothing))
+        if fmt == "html":
+            attrs = F.transform(F.map_entries(e["attrs"]), lambda a: F.concat(
+                F.lit(" "), a["key"], F.lit('="'), _escape(a["value"], quote=True), F.lit('"')))
+            parts.append(F.concat(F.lit("<"), e["tag"], F.array_join(attrs, ""), F.lit(">")))
+        return F.concat(*parts)
+
+    def closing(e):
+        parts = []
+        if fmt == "markdown":
+            parts.append(F.when(_has_href(e), F.concat(F.lit(_LINK_STOP + "]("), _attr(e, "href"), F.lit(")"))).otherwise(nothing))
+        if fmt == "html":
+            parts.append(F.concat(F.lit("</"), e["tag"], F.lit(">")))
+        parts.append(F.when(_is_block(e), "\n").otherwise(nothing))
+        return F.when(e["tag"].isin(sorted(VOID_TAGS)), nothing).otherwise(F.concat(*parts))
+
+    def in_link(at, to):
+        return F.exists("wide", lambda a: (a["start"] <= at) & (to <= a["stop"]))
+
+    def piece(text, at, to):
+        if fmt == "html":
+            return _escape(text)
+        if fmt == "markdown":       # a link stays on one line
+            return F.when(text.contains("\n") & in_link(at, to), F.translate(text, "\n", " ")).otherwise(text)
+        return text
+
+    added = _insertions(F.col("elems"), opening, closing)
+    if fmt == "markdown":
+        added = F.transform(added, lambda x: F.when(
+            x["add"].contains("\n") & in_link(x["at"], x["at"]),
+            x.withField("add", F.translate(x["add"], "\n", " "))).otherwise(x))
+    raw = _woven("buffer", added, F.lit(0), F.octet_length("buffer"), piece)
     if fmt == "html":
-        return raw.strip()
-    lines = [" ".join(line.split()) for line in raw.split("\n")]
-    return "\n".join(line for line in lines if line)
-
-
-def render_snapshot(url, html, exclude=(), target=(), remove_images=False,
-                    links_at_end=False, images_at_end=False, fmt="default"):
-    """One page to its snapshot fields (plain Python; used inside the Spark job)."""
-    from urllib.parse import urljoin
-    r = _Renderer(exclude, target, remove_images, fmt)
-    r.feed(html or "")
-    r.finish()
-    body = _render_text(r.out, fmt)
-    title = " ".join("".join(r.title_parts).split())
-    links = [(t, urljoin(url, h) if url else h) for t, h in r.links]
-    images = [(a, urljoin(url, s) if url else s) for a, s in r.images]
-    if fmt == "text" or fmt == "html":
-        snap = body
-    else:
-        snap = f"Title: {title}\n\nURL Source: {url}\n\nMarkdown Content:\n{body}"
-    if links_at_end:
-        snap += "\n\n" + LINKS_HEADER + "\n" + "\n".join(f"- [{t}]({h})" for t, h in links)
-    if images_at_end:
-        snap += "\n\n" + IMAGES_HEADER + "\n" + "\n".join(f"- ![{a}]({s})" for a, s in images)
-    return title, body, links, images, snap
+        return py_strip(raw)
+    if fmt == "markdown":
+        raw = F.regexp_replace(raw, f"{_LINK_START}\\s+", _LINK_START)
+        raw = F.translate(F.regexp_replace(raw, f"\\s+{_LINK_STOP}", _LINK_STOP), _LINK_START + _LINK_STOP, "[")
+    lines = F.transform(F.split(raw, "\n"), collapse_space)
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 def page_snapshot(pages: DataFrame, exclude=(), target=(), remove_images=False,
                   links_at_end=False, images_at_end=False, fmt="default",
                   as_struct=False) -> DataFrame:
-    """Page -> snapshot text (+ links, images as arrays).
+    """Page -> ``(page_id, url, title, body_text, links, images, snapshot)``.
 
     ``exclude``/``target`` are simple selectors applied while parsing (the
     dropped subtrees never leave the Python worker).  ``fmt`` is
-    default / markdown / text / html.  ``as_struct`` adds H13's record
-    ``struct(url, title, content)``.
+    default / markdown / text / html; all that a format adds, the lists of links
+    and images and their resolved urls are Spark expressions over the page's
+    text and elements (H1).  Block elements break lines, runs of white space are one blank, empty
+    lines are dropped; html is written anew from tags and attributes.
+    ``as_struct`` adds H13's record ``struct(url, title, content)``.  A null or
+    empty page has an empty body and no links; a null url stays null in links.
     """
-    if fmt not in ("default", "markdown", "text", "html"):
+    if fmt not in FORMATS:
         raise ValueError(f"unsupported snapshot format: {fmt}")
-    exclude, target = tuple(exclude), tuple(target)
-
-    def run(batches):
-        for pdf in batches:
-            out = {k: [] for k in SNAPSHOT_SCHEMA.fieldNames()}
-            for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-                title, body, links, images, snap = render_snapshot(
-                    url, html, exclude, target, remove_images, links_at_end,
-                    images_at_end, fmt)
-                out["page_id"].append(pid)
-                out["url"].append(url)
-                out["title"].append(title)
-                out["body_text"].append(body)
-                out["links"].append([{"text": t, "href": h} for t, h in links])
-                out["images"].append([{"alt": a, "src": s} for a, s in images])
-                out["snapshot"].append(snap)
-            if out["page_id"]:
-                yield pd.DataFrame(out)
-
-    src = pages.select(F.col("page_id").cast("long"), "url", "html")
-    snap = src.mapInPandas(run, SNAPSHOT_SCHEMA)
+    p = page_spans(pages, exclude=exclude, target=target, title_apart=True, keep_cols=("url",))
+    breaks = _insertions(F.filter("elems", _is_block), lambda e: F.lit("\n"),
+                         lambda e: F.when(e["tag"].isin(sorted(VOID_TAGS)), "").otherwise("\n"))
+    p = p.withColumn("anchors", F.filter("elems", _has_href)) \
+        .withColumn("wide", F.filter("anchors", lambda a: (a["last_seq"] > a["elem_seq"]) | cut("buffer", a).contains("\n"))) \
+        .withColumn("breaks", F.when(F.exists("anchors", lambda a: a["last_seq"] > a["elem_seq"]), breaks)
+                    .otherwise(F.slice(breaks, F.lit(1), F.lit(0))))
+    links = F.transform("anchors", lambda a: F.struct(
+        _link_text(a, F.col("breaks")).alias("text"), resolve_href("url", _attr(a, "href")).alias("href")))
+    found = F.transform(F.filter("elems", lambda e: (e["tag"] == "img") & F.lit(not remove_images)), lambda e: F.struct(
+        _attr(e, "alt").alias("alt"), resolve_href("url", _attr(e, "src")).alias("src")))
+    p = p.select("page_id", "url", collapse_space("title").alias("title"), _body(fmt, remove_images).alias("body_text"),
+                 links.alias("links"), found.alias("images"))
+
+    parts = [F.col("body_text")]
+    if fmt not in ("text", "html"):
+        parts = [F.lit("Title: "), F.col("title"), F.lit("\n\nURL Source: "), F.coalesce("url", F.lit("")),
+                 F.lit("\n\nMarkdown Content:\n"), F.col("body_text")]
+
+    def listed(rows, mark, text, url):
+        return F.array_join(F.transform(rows, lambda x: F.concat(
+            F.lit(mark), x[text], F.lit("]("), F.coalesce(x[url], F.lit("")), F.lit(")"))), "\n")
+    if links_at_end:
+        parts += [F.lit("\n\n" + LINKS_HEADER + "\n"), listed("links", "- [", "text", "href")]
+    if images_at_end:
+        parts += [F.lit("\n\n" + IMAGES_HEADER + "\n"), listed("images", "- ![", "alt", "src")]
+    snap = p.withColumn("snapshot", F.concat(*parts))
     if as_struct:
         snap = snap.withColumn("record", F.struct(F.col("url"), F.col("title"),
                                                   F.col("body_text").alias("content")))
@@ -694,7 +661,6 @@ def links_summary(anchors: DataFrame, base_url: str = "url") -> DataFrame:
     anchors: H2 output with the page url.  One row per page; a page's
     anchors are one group (bounded by the page).
     """
-    from pagetables.functions.text import resolve_href
     a = anchors.select("page_id", "elem_seq", collapse_space("text").alias("t"),
                        resolve_href(base_url, "href").alias("h"))
     g = a.groupBy("page_id").agg(F.array_sort(F.collect_list(
