@@ -537,10 +537,15 @@ def _attr(e, name: str) -> Column:
     return F.coalesce(e["attrs"].getItem(name), F.lit(""))
 
 
+def _inside(x, e) -> Column:
+    """Does the insertion ``x`` stand inside the element, its own ends left out?"""
+    opener = F.when(x["closes"] == 1, -x["inner"]).otherwise(x["k"])
+    return (opener > e["elem_seq"]) & (opener <= e["last_seq"])
+
+
 def _link_text(e, breaks: Column) -> Column:
     """A link's text; block elements inside it part words."""
-    inner = F.filter(breaks, lambda x: (x["at"] >= e["start"]) & (x["at"] <= e["stop"]) & F.when(
-        x["closes"] == 0, x["k"] > e["elem_seq"]).otherwise((x["inner"] < -e["elem_seq"]) & (x["k"] <= e["last_seq"])))
+    inner = F.filter(breaks, lambda x: _inside(x, e))
     return collapse_space(F.when(e["last_seq"] == e["elem_seq"], cut("buffer", e))
                            .otherwise(_woven("buffer", inner, e["start"], e["stop"])))
 
@@ -575,20 +580,18 @@ def _body(fmt: str, remove_images: bool) -> Column:
         parts.append(F.when(_is_block(e), "\n").otherwise(nothing))
         return F.when(e["tag"].isin(sorted(VOID_TAGS)), nothing).otherwise(F.concat(*parts))
 
-    def in_link(at, to):
-        return F.exists("wide", lambda a: (a["start"] <= at) & (to <= a["stop"]))
-
     def piece(text, at, to):
         if fmt == "html":
             return _escape(text)
         if fmt == "markdown":       # a link stays on one line
-            return F.when(text.contains("\n") & in_link(at, to), F.translate(text, "\n", " ")).otherwise(text)
+            linked = F.exists("wide", lambda a: (a["start"] <= at) & (to <= a["stop"]))
+            return F.when(text.contains("\n") & linked, F.translate(text, "\n", " ")).otherwise(text)
         return text
 
     added = _insertions(F.col("elems"), opening, closing)
     if fmt == "markdown":
         added = F.transform(added, lambda x: F.when(
-            x["add"].contains("\n") & in_link(x["at"], x["at"]),
+            x["add"].contains("\n") & F.exists("wide", lambda a: _inside(x, a)),
             x.withField("add", F.translate(x["add"], "\n", " "))).otherwise(x))
     raw = _woven("buffer", added, F.lit(0), F.octet_length("buffer"), piece)
     if fmt == "html":

@@ -1626,3 +1626,6 @@ def element_tag_counts_sql_q(spark, sf):
         SELECT p.page_id, e.tag, count(*) AS n
         FROM _pt_pages_sql p, LATERAL shred_html(p.html, NULL) e
         GROUP BY p.page_id, e.tag""")
+
+
+from pagetables.plans import catalog_pages  # noqa: E402,F401

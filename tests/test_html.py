@@ -123,3 +123,56 @@ def test_quoted_greater_than_inside_attributes(spark):
     h2 = rows(H.extract_anchors(p), "href", "text")
     h1 = rows(H.anchors_from_elements(H.shred_elements(p, tags=["a"])), "href", "text")
     assert h2 == h1 == [("/u", "u"), ("/z", "t")]
+
+
+def test_a_page_leaves_the_parse_about_as_long_as_it_came(spark):
+    html = "".join(f"<p>w{i:03}" for i in range(4000))
+    p = pages_df(spark, [(1, "u", html)])
+    r = H.page_spans(p).select("buffer", F.to_json("elems").alias("elems"), "elems.start", "elems.stop", "elems.outer_seq").first()
+    assert bytes(r.buffer).decode() == html.replace("<p>", "") and len(r.start) == 4000
+    assert r.start == sorted(r.start) and set(r.stop) == {len(r.buffer)} and r.outer_seq == [-1] + [0] * 3999
+    assert rows(H.main_text(p), "text") == [(html.replace("<p>", ""),)]
+    assert H.paragraphs(H.page_elements(p)).filter("p_no = 3999").first().text == "w3999"
+    assert H.page_snapshot(p, fmt="text").first().snapshot.split("\n") == [f"w{i:03}" for i in range(4000)]
+
+
+def test_ranges_count_bytes_and_tell_what_lies_inside(spark):
+    html = "é<div class='x'>漢<b>𝒳</b><br>z</div><script>no</script><i/>&amp;"
+    e = H.page_spans(pages_df(spark, [(1, "u", html)])).select("buffer", "elems").first()
+    text = bytes(e.buffer)
+    got = {x.tag: (text[x.start:x.stop].decode(), x.elem_seq, x.last_seq, x.parent_seq, x.depth) for x in e.elems}
+    assert text.decode() == "é漢𝒳z&"
+    assert got == {"div": ("漢𝒳z", 0, 2, -1, 0), "b": ("𝒳", 1, 1, 0, 1), "br": ("", 2, 2, 0, 1), "script": ("", 3, 3, -1, 0),
+                   "i": ("", 4, 4, -1, 0)}
+
+
+def test_spans_of_null_and_empty_pages_and_kept_columns(spark):
+    p = pages_df(spark, [(1, "u", None), (2, "v", ""), (None, "w", "<p>x")])
+    got = H.page_spans(p, keep_cols=("url",)).collect()
+    assert sorted((r.url, bytes(r.buffer), len(r.elems)) for r in got) == [("u", b"", 0), ("v", b"", 0), ("w", b"x", 1)]
+    s = {r.url: r.snapshot for r in H.page_snapshot(p.withColumn("url", F.expr("if(url = 'w', null, url)")), links_at_end=True).collect()}
+    assert s["u"] == "Title: \n\nURL Source: u\n\nMarkdown Content:\n\n\nLinks/Buttons:\n" and "URL Source: \n" in s[None]
+
+
+def test_links_in_snapshots(spark):
+    html = ('<a href="1">one<div>two</div>three <b>x\n y</b></a> <a href="2"> out <a href="../3?q#f">in</a></a>'
+            '<a name="n">no</a><ul><li><a href="">self</a><li><a href="//o.example/z"><img src="i.png" alt="I"></a></ul>')
+    p = pages_df(spark, [(1, "http://h.example/a/b/c.html", html)])
+    r = H.page_snapshot(p).first()
+    assert [(x.text, x.href) for x in r.links] == [
+        ("one two three x y", "http://h.example/a/b/1"), ("out in", "http://h.example/a/b/2"), ("in", "http://h.example/a/3?q"),
+        ("self", "http://h.example/a/b/c.html"), ("", "http://o.example/z")]
+    assert r.body_text == "one\ntwo\nthree x\ny out inno\nself"
+    md = H.page_snapshot(p, fmt="markdown").first()
+    assert md.body_text.split("\n") == ["[one two three x y](1) [out [in](../3?q#f)](2)no", "[self]()", "[![I](i.png)](//o.example/z)"]
+    assert [(x.alt, x.src) for x in md.images] == [("I", "http://h.example/a/b/i.png")]
+    bare = H.page_snapshot(p, fmt="markdown", remove_images=True).first()
+    assert "I]" not in bare.body_text and bare.images == []
+
+
+def test_html_is_written_anew(spark):
+    html = '<p class="a&quot;b" id=x>1 &lt; 2<br><img alt="&amp;">&quot;q&quot;<i>open'
+    r = H.page_snapshot(pages_df(spark, [(1, "u", html)]), fmt="html").first()
+    assert r.snapshot == '<p class="a&quot;b" id="x">1 &lt; 2\n<br><img alt="&amp;">"q"<i>open</i></p>'
+    t = H.page_snapshot(pages_df(spark, [(1, "u", "<title>A\n B</title><h3>H</h3><p>x")]), fmt="markdown", target=["h3"]).first()
+    assert (t.title, t.body_text) == ("A B", "### H")
