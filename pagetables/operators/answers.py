@@ -140,6 +140,14 @@ def parse_decision(completions: DataFrame, content: str = "content",
 def parse_titles(completions: DataFrame, content: str = "content", key: str = "key") -> DataFrame:
     """``titles_and_urls`` as an array of {title, url} or as a map title -> url,
     plus ``next_page`` -> (key, pos, title, url, next_page); missing fields are ''."""
+    base = parse_listing(completions, content, key)
+    return base.select(key, "next_page", F.posexplode("rows").alias("pos", "r")).select(
+        key, F.col("pos").cast("int").alias("pos"), "r.title", "r.url", "next_page")
+
+
+def parse_listing(completions: DataFrame, content: str = "content", key: str = "key") -> DataFrame:
+    """X2c, one row an answer: (key, rows, next_page), ``rows`` an array of (title, url) in the
+    answer's order; a refusal, a bad answer and one without titles have an empty array."""
     v = _variant(content)
     arr = F.try_variant_get(v, "$.titles_and_urls", TITLE_ROWS)
     mp = F.try_variant_get(v, "$.titles_and_urls", "map<string,string>")
@@ -148,11 +156,9 @@ def parse_titles(completions: DataFrame, content: str = "content", key: str = "k
     rows = F.coalesce(arr, F.transform(F.coalesce(names, F.map_keys(mp)), lambda k: F.struct(
         k.alias("title"), F.element_at(mp, k).alias("url"))))
     nxt = F.coalesce(F.try_variant_get(v, "$.next_page", "string"), F.lit(""))
-    base = _last_key_wins(completions).select(key, rows.alias("_rows"), nxt.alias("next_page"))
-    e = base.select(key, "next_page", F.posexplode("_rows").alias("pos", "r"))
-    return e.select(key, F.col("pos").cast("int").alias("pos"),
-                    F.coalesce(F.col("r.title"), F.lit("")).alias("title"),
-                    F.coalesce(F.col("r.url"), F.lit("")).alias("url"), "next_page")
+    rows = F.transform(F.coalesce(rows, F.array().cast(TITLE_ROWS)), lambda r: F.struct(
+        F.coalesce(r["title"], F.lit("")).alias("title"), F.coalesce(r["url"], F.lit("")).alias("url")))
+    return _last_key_wins(completions).select(key, rows.alias("rows"), nxt.alias("next_page"))
 
 
 def parse_story(completions: DataFrame, content: str = "content", key: str = "key") -> DataFrame:

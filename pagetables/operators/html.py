@@ -344,6 +344,23 @@ def _page_anchors(parts: Column) -> Column:
     return F.when(n > 0, F.filter(F.transform(starts, anchor), lambda a: a["href"].isNotNull()))
 
 
+def _raw_anchors() -> Column:
+    """H2's anchors of a page before references are decoded: array of (href, text)."""
+    h = F.translate(F.regexp_replace(F.col("html"), STRIP_RE, ""), _MARK, "")
+    parts = F.split(F.regexp_replace(h, ANCHOR_TAG_RE, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    # bound once: the parts are named many times
+    return F.transform(F.array(parts), _page_anchors)[0]
+
+
+def page_anchors(pages: DataFrame, keep_cols=("url",)) -> DataFrame:
+    """H2, one row per page: ``(page_id, ..., anchors)``, an array of ``(elem_seq, href, text)`` in
+    document order; what reads a page's links in order is then array work in the row."""
+    keep = [c for c in keep_cols if c in pages.columns]
+    one = F.transform(_raw_anchors(), lambda a, i: F.struct(
+        i.alias("elem_seq"), unescape_entities(a["href"]).alias("href"), py_strip(strip_tags(a["text"])).alias("text")))
+    return pages.select("page_id", *keep, one.alias("anchors"))
+
+
 def extract_anchors(pages: DataFrame, keep_cols=("url",)) -> DataFrame:
     """H2: every ``<a href>`` in document order -> (page_id, elem_seq, href, text, ...).
 
@@ -353,11 +370,7 @@ def extract_anchors(pages: DataFrame, keep_cols=("url",)) -> DataFrame:
     and nested anchors are kept, as in the tree (H1).
     """
     keep = [c for c in keep_cols if c in pages.columns]
-    h = F.translate(F.regexp_replace(F.col("html"), STRIP_RE, ""), _MARK, "")
-    parts = F.split(F.regexp_replace(h, ANCHOR_TAG_RE, f"{_MARK}$0{_MARK}"), _MARK, -1)
-    # bound once: the parts are named many times
-    anchors = F.transform(F.array(parts), _page_anchors)[0]
-    exploded = pages.select("page_id", *keep, F.posexplode(anchors).alias("elem_seq", "m"))
+    exploded = pages.select("page_id", *keep, F.posexplode(_raw_anchors()).alias("elem_seq", "m"))
     return exploded.select(
         "page_id", *keep,
         F.col("elem_seq").cast("int").alias("elem_seq"),

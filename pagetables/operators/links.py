@@ -56,13 +56,25 @@ def split_index_links(links: DataFrame, title: str = "title") -> DataFrame:
     return links.withColumn("is_index", is_digits(title))
 
 
+def through_index(links: Column, title: str = "title") -> Column:
+    """F6 / N5 on a page's links as an array in document order: those up to the first story
+    that follows the index run, that story included; all, if there is none.
+
+    Run the stop list (F4) first: ignored titles never stop the scan."""
+    digit = F.transform(links, lambda x: is_digits(x[title]))
+
+    def upto(d):
+        run = F.array_position(d, F.lit(True))                          # 1-based; 0: no index
+        rest = F.slice(d, F.greatest(run, F.lit(1)).cast("int"), F.size(d))
+        stop = F.array_position(rest, F.lit(False))
+        return F.when((run > 0) & (stop > 0), run + stop - 1).otherwise(F.size(d)).cast("int")
+    return F.slice(links, F.lit(1), F.transform(F.array(digit), upto)[0])
+
+
 def take_through_index(links: DataFrame, part=("page_id",), order: str = "elem_seq",
                        title: str = "title") -> DataFrame:
-    """per page, read links until the first story that follows the index run.
-
-    That story is kept; everything after it is dropped.  Run the stop list
-    (F4) first: ignored titles never stop the scan.  Two running windows,
-    one sort per page.
+    """``through_index`` for links that are rows already: two running windows, one sort per
+    ``part`` (which has to be bounded, such as a page).
     """
     w = Window.partitionBy(*part).orderBy(order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -199,16 +211,27 @@ def union_recent(page_links: DataFrame, recent: DataFrame) -> DataFrame:
                        recent.withColumn("phase", F.lit(1)))
 
 
+def first_block(recent: DataFrame, category: str = "category_no") -> DataFrame:
+    """The links of the first category, in category order, whose recent block has any.
+
+    The block is read again with the next category while none was found.  The category is an
+    aggregate of one row, joined back by its number."""
+    return recent.join(recent.agg(F.min(category).alias(category)), category)
+
+
 def exclude_recent(links: DataFrame, recent: DataFrame, title: str = "title",
-                   from_page: int = 2, by: Sequence[str] = ()) -> DataFrame:
+                   from_page: int = 2, by: Sequence[str] = (), since: str | None = None) -> DataFrame:
     """On pages >= ``from_page``, drop titles listed in the recent block
-    (within the same ``by`` group, e.g. per category, when given)."""
+    (within the same ``by`` group, e.g. per category, when given; with ``since``, only in
+    rows whose ``since`` column is not before the block's: the categories read after it)."""
     keys = list(by)
-    r = recent.select(*[F.col(k).alias("_r_" + k) for k in keys],
+    r = recent.select(*[F.col(k).alias("_r_" + k) for k in [*keys, *([since] if since else [])]],
                       F.col(title).alias("_rt")).distinct()
     cond = (F.col(title) == F.col("_rt")) & (F.col("page_no") >= from_page)
     for k in keys:
         cond = cond & (F.col(k) == F.col("_r_" + k))
+    if since:
+        cond = cond & (F.col(since) >= F.col("_r_" + since))
     return links.join(r, cond, "left_anti")
 
 
@@ -217,6 +240,27 @@ def attach_category(df: DataFrame, categories: DataFrame, on: str = "category_no
     return df.join(categories.select(on, "category"), on)
 
 
+def linked_pairs(pages: DataFrame) -> DataFrame:
+    """``(u, v)``: which url links to which, for every landed page.  Narrow: pages are parsed
+    where they are, and only url pairs travel on."""
+    from pagetables.functions.text import resolve_href
+    from pagetables.operators.html import extract_anchors
+    a = extract_anchors(pages.select("page_id", "url", "html"))
+    return a.select(F.col("url").alias("u"), resolve_href("url", "href").alias("v"))
+
+
+def leading_to_stories(categories: DataFrame, pairs: DataFrame, stories: DataFrame,
+                       home: str = "key", url: str = "url") -> DataFrame:
+    """the categories that their home page really links to and that link to a story page.
+
+    ``pairs``: ``linked_pairs``; ``stories``: (url) of pages that are stories.  Two hops, each
+    a semi join on url pairs; a category that leads to no story page is dropped."""
+    hop = pairs.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
+    out = categories.join(hop, (F.col(home) == F.col("_u")) & (F.col(url) == F.col("_v")), "left_semi")
+    told = hop.join(stories.select(F.col("url").alias("_s")), F.col("_v") == F.col("_s"), "left_semi")
+    return out.join(told, F.col(url) == F.col("_u"), "left_semi")
+
+
 def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,
                         min_links: int = 10) -> DataFrame:
     """F15 (+ F16, F14): categories a home page really links to and that lead to
@@ -224,15 +268,15 @@ def discover_categories(home_anchors: DataFrame, pages: DataFrame, story_prefix,
 
     home_anchors: (page_id, url, elem_seq, href, text) of the home page(s);
     story_prefix: a str or Column (over the candidate page's url) that story
-    hrefs start with.  -> (category, url, n_links)
+    hrefs start with.  Pages are parsed where they are; anchors meet the candidates,
+    html does not.  -> (category, url, n_links)
     """
     from pagetables.functions.text import resolve_href
     from pagetables.operators.html import extract_anchors
     cand = home_anchors.select(F.col("text").alias("category"),
                                resolve_href("url", "href").alias("cat_url"))
     cand = valid_urls(cand, pages, "cat_url")
-    linked = pages.join(cand.select(F.col("cat_url").alias("url")), "url", "left_semi")
-    a = extract_anchors(linked.select("page_id", "url", "html"))
+    a = extract_anchors(pages.select("page_id", "url", "html"))
     p = F.lit(story_prefix) if isinstance(story_prefix, str) else story_prefix
     n = (a.filter(F.col("href").startswith(p))
           .groupBy(F.col("url").alias("cat_url"))

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import (is_digits, py_strip, resolve_href,
                                        url_origin)
-from pagetables.operators.html import extract_anchors
-from pagetables.operators.links import (drop_ignored_titles, next_page_link,
-                                        take_through_index)
+from pagetables.operators.html import extract_anchors, page_anchors
+from pagetables.operators.links import next_page_link, through_index
 from pagetables.session import cut_lineage
 
 
@@ -77,9 +76,11 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
     """
     r = _landed(seeds.select(key, F.col("url").alias("node")), pages, "node") \
         .withColumn("d", F.lit(0).cast("long"))
-    j = _one_edge_per_page(edges)
     r = cut_lineage(r)
-    j = cut_lineage(j)
+    # a walk stands only on seeds and on pages that some page leads to
+    j = _one_edge_per_page(edges)
+    stood = r.select(F.col("node").alias("_n")).union(j.select(F.col("v").alias("_n")))
+    j = cut_lineage(j.join(stood, F.col("u") == F.col("_n"), "left_semi"))
     step = 1
     while True:
         cand = (r.join(j, F.col("node") == F.col("u"))
@@ -88,17 +89,26 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
             cand = cand.filter(F.col("d") < max_pages)
         cand = cand.groupBy(key, "node").agg(F.min("d").alias("d"))
         new = cand.join(r.select(key, "node"), [key, "node"], "left_anti")
-        new = cut_lineage(new)
+        if max_pages is not None and 2 * step >= max_pages:
+            new = cut_lineage(new)
+            r = r.unionByName(new)
+            break
+        # J_{k+1}(u) = J_k(J_k(u)), written in one job with the pages reached; a page further on
+        # than this round reaches is 2**k pages after another, so other jumps are not needed again
+        hop = j.alias("a").join(j.alias("b"), F.col("a.v") == F.col("b.u")) \
+               .select(F.col("a.u").alias("u"), F.col("b.v").alias("v"))
+        wanted = r.select(F.col("node").alias("_n")).union(j.select(F.col("v").alias("_n")))
+        hop = hop.join(wanted, F.col("u") == F.col("_n"), "left_semi")
+        kind = seeds.schema[key].dataType
+        both = cut_lineage(new.select(key, "node", "d", F.lit(None).cast("string").alias("to")).unionByName(
+            hop.select(F.lit(None).cast(kind).alias(key), F.col("u").alias("node"), F.lit(None).cast("long").alias("d"),
+                       F.col("v").alias("to"))))
+        new = both.filter("d is not null").drop("to")
         if new.isEmpty():
             break
         # r stays a union of checkpointed pieces: its plan grows by one leaf per round
         r = r.unionByName(new)
-        if max_pages is not None and 2 * step >= max_pages:
-            break
-        # J_{k+1}(u) = J_k(J_k(u))
-        j2 = j.alias("a").join(j.alias("b"), F.col("a.v") == F.col("b.u")) \
-              .select(F.col("a.u").alias("u"), F.col("b.v").alias("v"))
-        j = cut_lineage(j2)
+        j = both.filter("d is null").select(F.col("node").alias("u"), F.col("to").alias("v"))
         step *= 2
     out = _with_page_id(r.withColumnRenamed("node", "url"), pages, [key, "d"])
     return out.select(key, (F.col("d") + 1).cast("int").alias("page_no"), "url", "page_id")
@@ -173,15 +183,22 @@ def numbered_page_links(pages: DataFrame, seeds: DataFrame, ignore=(),
     Per category: links under ``{site_prefix}{suffix}/``, stop list applied,
     reading stops after the first story that follows the index run (F6),
     page numbers split from stories (F5).  The page-to-category relation is
-    the href prefix, so this is computed once for all pages, before any walk.
+    the href prefix, so this is computed once for all pages, before any walk;
+    a page's links stay one array until they are read: no shuffle.
+    ``anchors``: ``page_anchors`` of the pages, if at hand.
     -> (url, suffix, elem_seq, title, link_url, is_index)
     """
-    a = extract_anchors(pages.select("page_id", "url", "html")) if anchors is None else anchors
-    a = a.withColumn("title", F.col("text"))
-    seg = F.regexp_extract(F.col("href"), "^" + site_prefix + "([^/]+)/", 1)
-    a = a.withColumn("suffix", seg).filter(F.col("suffix") != "")
-    a = drop_ignored_titles(a, list(ignore))
-    a = take_through_index(a, part=("page_id", "suffix"))
+    a = page_anchors(pages.select("page_id", "url", "html")) if anchors is None else anchors
+    pattern = "^" + site_prefix + "([^/]+)/"
+    stop = list(ignore)
+    links = F.filter(F.transform("anchors", lambda x: F.struct(
+        x["elem_seq"].alias("elem_seq"), x["href"].alias("href"), x["text"].alias("title"),
+        F.regexp_extract(x["href"], pattern, 1).alias("suffix"))),
+        lambda x: (x["suffix"] != "") & (x["title"].isNull() | ~x["title"].isin(stop)))
+    a = a.select("url", links.alias("links"))
+    a = a.select("url", "links", F.explode(F.array_distinct(F.transform("links", lambda x: x["suffix"]))).alias("suffix"))
+    read = through_index(F.filter("links", lambda x: x["suffix"] == F.col("suffix")))
+    a = a.select("url", F.inline(read))
     return a.select("url", "suffix", "elem_seq", "title",
                     F.concat(url_origin("url"), F.col("href")).alias("link_url"),
                     is_digits("title").alias("is_index"))
@@ -239,13 +256,32 @@ def follow_numbered_stepwise(pages: DataFrame, seeds: DataFrame, ignore=(), max_
                    .select("category_no", "category", "page_no", "url", "page_id"))
 
 
+# Page numbers in a block of a walk (see _walk_prefix).
+PAGE_BLOCK = 256
+
+
 def _walk_prefix(cands: DataFrame, live: DataFrame) -> DataFrame:
-    """Keep landed pages 1..K of each walk, K + 1 being its first missing number."""
-    from pyspark.sql import Window
+    """Keep landed pages 1..K of each walk, K + 1 being its first missing number.
+
+    No task holds a category: page numbers lie in blocks of ``PAGE_BLOCK``, a block is one row
+    (its pages, at most one a number, up to its first missing number), and a complete block
+    tells the next that it may go on.  A walk's first block that is not complete is an
+    aggregate over blocks; later blocks are dropped."""
     c = cands.join(live, F.col("url") == F.col("_live"), "left_semi")
-    w = Window.partitionBy("category_no").orderBy("page_no")
-    return (c.withColumn("_rn", F.row_number().over(w))
-             .filter(F.col("page_no") == F.col("_rn")).drop("_rn"))
+    b = c.groupBy("category_no", F.floor((F.col("page_no") - 1) / PAGE_BLOCK).alias("_b")).agg(
+        F.array_sort(F.collect_list(F.struct("page_no", "url"))).alias("_ps"))
+    # in a block without a gap the page in place i has number first + i
+    b = b.withColumn("_ps", F.filter("_ps", lambda p, i: p["page_no"] == F.col("_b") * PAGE_BLOCK + 1 + i)) \
+         .filter(F.size("_ps") > 0)
+    b = cut_lineage(b)
+    full = b.filter(F.size("_ps") == PAGE_BLOCK).select("category_no", (F.col("_b") + 1).alias("_b"))
+    # the first block that a complete one promises and that is not complete itself, 0 if the first is not
+    ends = full.join(full.select("category_no", (F.col("_b") - 1).alias("_b")), ["category_no", "_b"], "left_anti")
+    last = ends.groupBy("category_no").agg(F.min("_b").alias("_end"))
+    first_full = full.filter("_b = 1").select("category_no", F.lit(True).alias("_on"))
+    last = last.join(first_full, "category_no", "left_semi")
+    kept = b.join(last, "category_no", "left").filter(F.col("_b") <= F.coalesce("_end", F.lit(0)))
+    return kept.select("category_no", F.inline("_ps")).select("category_no", "page_no", "url")
 
 
 def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: int | None = None,
@@ -262,8 +298,8 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
     have one solution (page n depends only on pages < n), so the first
     repeat is the exact walk; each round fixes at least one more page, and
     when a site's numbering is consistent the guess is already right: two
-    rounds whatever the length.  Each round is a few joins and one window
-    per category (a row a page), checkpointed.  ``links``: the result of
+    rounds whatever the length.  Each round is a few joins, checkpointed, and
+    one count of the rows that changed.  ``links``: the result of
     ``numbered_page_links``, if it is at hand.
     seeds: (category_no, category, url).  -> (category_no, category, page_no, url, page_id)
     """
@@ -292,7 +328,8 @@ def follow_numbered(pages: DataFrame, seeds: DataFrame, ignore=(), max_pages: in
         nxt = (ent.groupBy("category_no", F.col("m").alias("page_no"))
                   .agg(F.min_by("link_url", F.struct("page_no", "elem_seq")).alias("url")))
         new = cut_lineage(_walk_prefix(seed_rows.unionByName(nxt), live))
-        if new.exceptAll(cur).union(cur.exceptAll(new)).isEmpty():
+        both = new.unionByName(cur).groupBy("category_no", "page_no", "url").count()
+        if both.filter("count = 1").isEmpty():
             break
         cur = new
     return (_with_page_id(cur, pages, ["category_no", "page_no"])

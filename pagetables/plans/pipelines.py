@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import (category_prefix, clean_content, py_strip, resolve_href,
-                                       url_origin, url_suffix)
+from pagetables.functions.text import category_prefix, clean_content, py_strip, url_origin, url_suffix
 from pagetables.operators import html as H
 from pagetables.operators.content import fetch_pages, paragraph_after_title
 from pagetables.operators.links import (dedup_first, dedup_last, drop_ignored_titles,
-                                        exclude_recent, recent_links, union_recent)
+                                        exclude_recent, first_block, leading_to_stories, linked_pairs,
+                                        recent_links, union_recent)
 from pagetables.plans.paginate import follow_next, follow_numbered, numbered_page_links, walk_chains
 from pagetables.session import cut_lineage, sized
 from pagetables.sources.writers import STORY_COLUMNS_A, STORY_COLUMNS_B
 
 
 def _pages_by_id(pages: DataFrame, ids: DataFrame) -> DataFrame:
-    """(page_id, html) of the pages in ``ids``: a semi join.  The ids come out
-    of the whole crawl, so their size is measured at run time (AQE broadcasts
-    them when small) rather than counted up front, which would run the crawl
-    twice; at scale Spark's runtime bloom filter trims the page scan before
-    a shuffle."""
-    return pages.select("page_id", "html").join(ids, "page_id", "left_semi")
+    """(page_id, html) of the pages in ``ids``: a semi join.  The ids are written
+    first, so their size in bytes is known: html stays where it is unless they
+    are beyond Spark's own broadcast threshold."""
+    return pages.select("page_id", "html").join(sized(ids), "page_id", "left_semi")
 
 
 def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下一页",
@@ -30,15 +28,17 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
                 url_base: str | None = None, recent_from: str = "first") -> DataFrame:
     """Q1 up to the de-duplicated title table: (title, url, category, first_ord).
 
-    ``recent_from``: 'first' reads the recent block once, on page 1 of the
-    first category, and keeps its titles off every category's later pages
-    (the reference's behaviour); 'each' reads every category's block and
-    applies it to that category only.
+    ``recent_from``: 'first' reads the recent block on page 1 of the categories
+    in turn until one has links, and keeps its titles off the later pages of
+    that category and of those after it (the reference's behaviour); 'each'
+    reads every category's block and applies it to that category only.
     """
     if recent_from not in ("first", "each"):
         raise ValueError("recent_from is 'first' or 'each'")
-    # one extraction serves the walk and the titles; anchor rows, not html, meet the walk
-    anchors = sized(H.extract_anchors(pages.select("page_id", "url", "html")))
+    # one extraction serves the walk and the titles; anchor rows, not html, meet the walk, and only
+    # those that either reads: next links and links from the site's root
+    anchors = H.extract_anchors(pages.select("page_id", "url", "html"))
+    anchors = sized(anchors.filter((py_strip("text") == label) | F.col("href").startswith("/")))
     chain = sized(follow_next(pages, seeds, label, anchors=anchors))
     cat = seeds.select("category_no", "category", F.col("url").alias("seed_url"))
     cat = cat.withColumn("prefix", F.concat(
@@ -53,11 +53,8 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     a = a.withColumn("url", F.concat(base, F.substring("href", 2, 1 << 30)))
     page_links = a.select("title", "url", "category", "category_no", "page_no", "elem_seq")
 
-    # the recent block: page 1 of the first category (or of each category)
+    # the recent block on page 1 of each category: one page per category at most, of a size known in bytes
     p1 = chain.filter(F.col("page_no") == 1).select("page_id", "category_no")
-    if recent_from == "first":
-        p1 = p1.join(seeds.agg(F.min("category_no").alias("category_no")), "category_no")
-    # one page per category at most, of a size known in bytes
     p1_pages = pages.join(sized(p1), "page_id").select("page_id", "html", "category_no")
     el = H.shred_elements(p1_pages, tags=["span", "a"])
     rec = H.anchors_after_marker(el, "span", recent_marker, ".html")
@@ -66,10 +63,11 @@ def label_links(pages: DataFrame, seeds: DataFrame, ignore=(), label: str = "下
     rec = drop_ignored_titles(rec, list(ignore))
     rec = rec.select("title", F.concat(base, F.substring("href", 2, 1 << 30)).alias("url"),
                      "category", "category_no", F.lit(1).alias("page_no"), "elem_seq")
-    links = union_recent(page_links, rec)
     if recent_from == "first":
-        links = exclude_recent(links, rec.select("title"))
+        rec = first_block(sized(rec))
+        links = exclude_recent(union_recent(page_links, rec), rec.select("category_no", "title"), since="category_no")
     else:
+        links = union_recent(page_links, rec)
         links = exclude_recent(links, rec.select("category_no", "title"), by=["category_no"])
     return dedup_last(links, "title", values=("url", "category"))
 
@@ -80,7 +78,7 @@ def story_table_by_label(pages: DataFrame, seeds: DataFrame, ignore=(), **kw) ->
     -> (name, url, category, content); content is NULL for a story page
     that is not landed or has no ``div.content``.
     """
-    titles = label_links(pages, seeds, ignore, **kw)
+    titles = sized(label_links(pages, seeds, ignore, **kw))
     fetched = fetch_pages(titles, pages, "url", cols=("page_id",))
     story_pages = _pages_by_id(pages, fetched.filter("fetched").select("page_id"))
     content = H.first_by_class(H.page_elements(story_pages, only=["div.content"]), "div", "content")
@@ -113,40 +111,73 @@ def story_table_by_number(pages: DataFrame, seeds: DataFrame, ignore=(), max_pag
     paragraph give no row (F24 reports them).
     """
     titles = number_links(pages, seeds, ignore, max_pages, site_prefix)
-    fetched = fetch_pages(titles, pages, "url", cols=("page_id",)).filter("fetched")
+    fetched = sized(fetch_pages(titles, pages, "url", cols=("page_id",)).filter("fetched"))
     story_pages = _pages_by_id(pages, fetched.select("page_id"))
     paras = H.page_elements(story_pages, tags=["p"])
     found = paragraph_after_title(fetched.select("title", "url", "category", "page_id"), paras)
     return found.select("title", "text", "category", F.col("url").alias(STORY_COLUMNS_B[3]))
 
 
-def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Q3: F15/X2a -> F14/X2b -> X2c -> I3 -> A2 -> X2d -> X4 -> K3 columns.
+def listing_walk(titles: DataFrame, full: DataFrame, seeds: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """F18 + N6 + I3: which answers a crawl reads, category by category.
 
-    completions: (key, kind, content), kinds categories / decision / titles / story.
-    Listings are followed along the ``next_page`` that their answers name, to
-    pages that have an answer; with ``pages`` (page_id, url, html) given, only
-    where the page really links there (F17).  Order: category url, page, then
-    the answer's order.
+    titles, full: (key, rows, next_page), the answers about a listing page's links and about
+    its whole text; seeds: (url).  A walk stands on (page, mode).  An answer about links
+    without any title sends it to the same page's whole text, and from there on it asks for
+    whole texts only (the switch is per category, so categories are walked side by side).
+    It follows the next page its answer names, if that has an answer; with ``pairs`` (u, v),
+    only where the page really links there (F17).  Pointer doubling over the product of
+    pages and modes.  -> (seed, page_no, mode, key)
+    """
+    def node(mode, url):
+        return F.concat(F.lit(mode + " "), url)
+    both = titles.withColumn("mode", F.lit("links")).unionByName(full.withColumn("mode", F.lit("full")))
+    empty = (F.col("mode") == "links") & (F.size("rows") == 0)
+    step = both.filter(~empty).select("mode", F.col("key").alias("a"), py_strip("next_page").alias("b")).filter("b <> ''").distinct()
+    if pairs is not None:
+        step = step.join(pairs, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_semi")
+    again = both.filter(empty).select(node("links", F.col("key")).alias("u"), node("full", F.col("key")).alias("v")).distinct()
+    edges = step.select(F.concat_ws(" ", "mode", "a").alias("u"), F.concat_ws(" ", "mode", "b").alias("v")).unionByName(again)
+    asked = both.select(F.concat_ws(" ", "mode", "key").alias("url"), F.lit(0).cast("long").alias("page_id")).distinct()
+    starts = seeds.select(F.col("url").alias("seed"), node("links", F.col("url")).alias("url"))
+    on = asked.select(F.col("url").alias("_on"))
+    edges = edges.join(on, F.col("v") == F.col("_on"), "left_semi")
+    walked = walk_chains(starts, edges, asked, key="seed")
+    return walked.select("seed", "page_no", F.substring_index("url", " ", 1).alias("mode"),
+                         F.expr("substr(url, instr(url, ' ') + 1)").alias("key"))
+
+
+def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = None,
+                             checked_categories: bool = False) -> DataFrame:
+    """Q3: F15/X2a -> F14/X2b -> X2c, F18 -> I3 -> A2 -> X2d -> X4 -> K3 columns.
+
+    completions: (key, kind, content), kinds categories / decision / titles / titles_full /
+    story; ``titles`` answers a listing page's links, ``titles_full`` its whole text, which is
+    read where the former names no title, and on all pages after (``listing_walk``).
+    Listings are followed along the ``next_page`` that their answers name, to pages that have
+    an answer.  With ``pages`` (page_id, url, html) given, a next page counts only where the
+    page really links there (F17), and with ``checked_categories`` a category only if its home
+    page links to it and it links to a page with a good story answer (F15).  Of several answers of one kind for a url
+    the smallest content counts.  Order: category url, page, then the answer's order.
     """
     from pagetables.operators import answers as X
-    c = completions
+    c = completions.groupBy("key", "kind").agg(F.min("content").alias("content"))
     cats = X.parse_categories(c.filter(F.col("kind") == "categories"))
     dec = X.parse_decision(c.filter(F.col("kind") == "decision")).filter("decision")
     ok = cats.join(dec.select(F.col("key").alias("url")), "url", "left_semi")
-    titles = X.parse_titles(c.filter(F.col("kind") == "titles"))
-    # listing pages: from each category url along the next pages that answers name
-    seeds = ok.groupBy("url").agg(F.min("category").alias("category"))
-    edges = titles.select(F.col("key").alias("u"), py_strip("next_page").alias("v")).filter("v <> ''").distinct()
+    stories = X.parse_story(c.filter(F.col("kind") == "story"))
+    pairs = None
     if pages is not None:
-        held = H.extract_anchors(pages).select(F.col("url").alias("_u"), resolve_href("url", "href").alias("_v"))
-        edges = edges.join(held, (F.col("u") == F.col("_u")) & (F.col("v") == F.col("_v")), "left_semi")
-    asked = titles.select(F.col("key").alias("url"), F.lit(0).cast("long").alias("page_id")).distinct()
-    walked = walk_chains(seeds.select(F.col("url").alias("seed"), "url"), edges, asked, key="seed")
-    listing = walked.select("seed", "page_no", F.col("url").alias("key")).join(
-        ok.select(F.col("url").alias("seed"), "category"), "seed")
-    links = titles.join(listing, "key")
-    links = links.withColumn("url", py_strip("url")).withColumn("title", py_strip("title"))
+        pairs = sized(linked_pairs(pages))
+    if checked_categories:
+        ok = leading_to_stories(ok, pairs, stories.filter("status = 'ok'").select(F.col("key").alias("url")))
+    ok = sized(ok)
+    titles = X.parse_listing(c.filter(F.col("kind") == "titles"))
+    full = X.parse_listing(c.filter(F.col("kind") == "titles_full"))
+    walked = listing_walk(titles, full, ok.select("url").distinct(), pairs)
+    listing = walked.join(ok.select(F.col("url").alias("seed"), "category"), "seed")
+    answers = titles.withColumn("mode", F.lit("links")).unionByName(full.withColumn("mode", F.lit("full")))
+    links = answers.join(listing, ["key", "mode"]).select("seed", "page_no", "category", F.posexplode("rows").alias("pos", "r"))
+    links = links.select("seed", "page_no", "category", "pos", py_strip("r.url").alias("url"), py_strip("r.title").alias("title"))
     deduped = dedup_last(links, "title", order=("seed", "page_no", "pos"), values=("url", "category"))
-    stories = X.parse_story(c.filter(F.col("kind") == "story"))
     return X.assemble_stories(deduped.select("title", "url", "category"), stories)

@@ -84,3 +84,31 @@ def test_entities_decode_like_python(spark):
     df = spark.createDataFrame([(t,) for t in texts], ["t"])
     got = [r[0] for r in df.select(TX.unescape_entities("t")).collect()]
     assert got == [html.unescape(t) for t in texts]
+
+
+def test_through_index_equals_the_window_form(spark):
+    import random
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    pages = [(p, [(i, rng.choice(["1", "２", "a", "b", None, "9x"])) for i in range(rng.randrange(12))]) for p in range(60)]
+    arrays = spark.createDataFrame(pages, "page_id int, links array<struct<elem_seq int, title string>>")
+    flat = arrays.select("page_id", F.inline("links")).filter("title is not null")
+    got = rows(arrays.withColumn("links", F.filter("links", lambda x: x["title"].isNotNull()))
+               .select("page_id", F.inline(L.through_index(F.col("links")))), "page_id", "elem_seq", "title")
+    assert got == rows(L.take_through_index(flat), "page_id", "elem_seq", "title")
+
+
+def test_recent_block_of_the_first_category_that_has_one(spark):
+    rec = spark.createDataFrame([(2, "t2"), (2, "t1"), (5, "t3")], "category_no int, title string")
+    assert rows(L.first_block(rec), "category_no", "title") == [(2, "t1"), (2, "t2")]
+    assert L.first_block(rec.filter("category_no > 9")).collect() == []
+    links = spark.createDataFrame([(c, p, "t1") for c in (1, 2, 3) for p in (1, 2)], "category_no int, page_no int, title string")
+    kept = L.exclude_recent(links, L.first_block(rec), since="category_no")
+    assert rows(kept, "category_no", "page_no") == [(1, 1), (1, 2), (2, 1), (3, 1)]
+
+
+def test_categories_that_lead_to_stories(spark):
+    cats = spark.createDataFrame([("h", "a", "ca"), ("h", "b", "cb"), ("h", "c", "cc")], "key string, category string, url string")
+    pairs = spark.createDataFrame([("h", "ca"), ("h", "cb"), ("ca", "s1"), ("ca", "s1"), ("cb", "x"), ("cc", "s1")], "u string, v string")
+    stories = spark.createDataFrame([("s1",), ("s2",)], "url string")
+    assert rows(L.leading_to_stories(cats, pairs, stories), "category") == [("a",)]

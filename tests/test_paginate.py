@@ -107,3 +107,45 @@ def test_numbered_fixpoint_equals_stepwise_with_inconsistent_numbers(spark):
     b = rows(P.follow_numbered_stepwise(pages, seeds), "page_no", "url")
     assert a == b
     assert a[2] == (3, f"{NB}/news/g/list_3b.htm") and [r[0] for r in a] == [1, 2, 3, 4, 5]
+
+
+def _walk(spark, pages, live):
+    c = spark.createDataFrame(pages, "category_no int, page_no int, url string").repartition(3)
+    from pyspark.sql import functions as F
+    return rows(P._walk_prefix(c, spark.createDataFrame([(u,) for u in live], "url string").select(F.col("url").alias("_live"))),
+                "category_no", "page_no")
+
+
+def test_walk_prefix_in_blocks(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(P, "PAGE_BLOCK", 4)
+    rng = random.Random(5)
+    pages, want = [], []
+    for cat in range(40):
+        n = rng.randrange(1, 30)
+        gone = {rng.randrange(1, 30) for _ in range(rng.randrange(3))}
+        have = [k for k in range(1, n + 1) if k not in gone]
+        pages += [(cat, k, f"u{cat}_{k}") for k in have]
+        want += [(cat, k) for i, k in enumerate(have) if k == i + 1]
+    pages.append((99, 1, "not landed"))
+    assert _walk(spark, pages, [u for *_, u in pages[:-1]]) == sorted(want)
+
+
+def test_walk_prefix_of_a_long_category_and_its_plan(spark):
+    n = 10_000
+    pages = [(0, k, f"u{k}") for k in range(1, n + 1) if k != 7_001]
+    assert _walk(spark, pages, [u for *_, u in pages]) == [(0, k) for k in range(1, 7_001)]
+
+
+def test_numbered_links_need_no_shuffle(spark):
+    plan = P.numbered_page_links(pages_df(spark, [(1, "u", "")]), None)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_unreached_edges_leave_the_jumps(spark):
+    """Chains that no seed leads to do not change a walk, whatever their length."""
+    pages = _chain(spark, 9)
+    other = pages_df(spark, [(100 + k, f"http://o.example/{k}", _page([], f"{k + 1}")) for k in range(1, 30)])
+    seeds = category_seeds(spark, {"cat": BASE})
+    a, b = P.follow_next(pages, seeds), P.follow_next(pages.union(other), seeds)
+    assert rows(a, "page_no", "url") == rows(b, "page_no", "url") and a.count() == 9

@@ -99,3 +99,25 @@ def test_recent_block_per_category_option(spark):
     # each: b's block keeps S off b's page 2; a's R is kept off a's pages only
     assert each == [("A1", H + "a/1.html"), ("B1", H + "b/1.html"), ("R", H + "b/3.html"),
                     ("S", H + "b/9.html")]
+
+
+def test_empty_answers_send_the_walk_to_whole_pages(spark):
+    """The switch comes with the first empty answer of a category and stays for its later pages."""
+    import json
+    from pagetables.plans.pipelines import story_table_from_answers
+
+    def listing(rows, nxt=""):
+        return json.dumps({"titles_and_urls": [{"title": t, "url": u} for t, u in rows], "next_page": nxt})
+    home = json.dumps({"categories": {"one": "c1", "two": "d1", "no": "n1"}})
+    a = [("home", "categories", home), ("c1", "decision", '{"decision": true}'), ("d1", "decision", '{"decision": true}'),
+         ("c1", "titles", listing([("A", "s1")], "c2")),
+         ("c2", "titles", listing([], "lost")), ("c2", "titles_full", listing([("B", "s2")], "c3")),
+         ("c3", "titles", listing([("links only", "x")], "")), ("c3", "titles_full", listing([("C", "s3"), ("A", "s9")], "c1")),
+         ("c1", "titles_full", listing([("again", "s4")], "c2")),
+         ("d1", "titles", listing([("D", "s5")], "c3")), ("n1", "titles", listing([("N", "s6")]))]
+    c = spark.createDataFrame(a, "key string, kind string, content string")
+    got = rows(story_table_from_answers(c), "title", "url", "category")
+    assert got == [("A", "s9", "one"), ("B", "s2", "one"), ("C", "s3", "one"), ("D", "s5", "two"), ("again", "s4", "one"),
+                   ("links only", "x", "two")]
+    bad = c.filter("key <> 'c2' or kind <> 'titles'").union(spark.createDataFrame([("c2", "titles", "oops")], c.schema))
+    assert rows(story_table_from_answers(bad), "title", "url", "category") == got
