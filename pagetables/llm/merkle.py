@@ -145,7 +145,7 @@ def placed(rows: DataFrame, order: list[str]) -> DataFrame:
     parts = s.groupBy("grp", "part").agg(F.min("at").alias("lo"), F.count("*").alias("n")) \
         .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))) \
         .withColumn("total", F.sum("n").over(W.partitionBy("grp")))
-    return s.join(stored(parts, "parts"), ["grp", "part"]) \
+    return s.join(parts, ["grp", "part"]) \
         .withColumn("pos", F.col("before") + F.col("at") - F.col("lo")).drop("part", "at", "lo", "n", "before")
 
 
@@ -180,9 +180,9 @@ def manifest(docs: DataFrame, columns=COLUMNS, id_col: str = "doc_id", group_col
     rows = stored(docs.select(grp.alias("grp"), F.col(id_col).cast("long").alias("doc_id"), leaf.alias("node"),
                               *[c.alias(f"more_{n}") for n, c in keep.items()])
                   .withColumn("row", F.monotonically_increasing_id()), "leaves")
-    leaves = stored(placed(rows, ["doc_id", "node", "row"]).drop("row"), "placed")
+    leaves = placed(rows, ["doc_id", "node", "row"]).drop("row")
     steps, roots = _tree(leaves, levels)
-    tops = stored(placed(roots.select(F.lit("").alias("grp"), F.col("grp").alias("of"), "node"), ["of"]), "tops")
+    tops = placed(roots.select(F.lit("").alias("grp"), F.col("grp").alias("of"), "node"), ["of"])
     above, root = _tree(tops, levels)
     top = root.first()
 
