@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetables.operators.content import story_columns, with_defaults
+
 # Answer shapes (JSON schemas of the four questions).
 DECISION_SCHEMA = "struct<decision: boolean>"
 TITLE_ROWS = "array<struct<title: string, url: string>>"
@@ -69,17 +71,35 @@ ANSWER_SCHEMAS = {
 }
 
 
+# The fields that each answer must have.
+REQUIRED = {"categories": {}, "decision": {"": ["decision"]}, "titles": {"": ["titles_and_urls", "next_page"]},
+            "story": {"": ["content", "next_page"], "content": ["title", "author", "content"]}}
+
+
+def strict_schema(kind: str) -> dict:
+    """An answer's schema in which nothing is left open: objects of named fields allow no others
+    (refusals, ``error``, only where no field is required) and name those that must be there."""
+    def closed(s, path):
+        if s.get("type") != "object" or "properties" not in s:
+            return s
+        must = REQUIRED[kind].get(path, [])
+        fields = {k: closed(v, f"{path}.{k}".strip(".")) for k, v in s["properties"].items() if not (must and k == "error")}
+        return {"type": "object", "properties": fields, **({"required": must} if must else {}), "additionalProperties": False}
+    return closed(ANSWER_SCHEMAS[kind], "")
+
+
 def requests_json(df: DataFrame, messages: str = "messages", kind: str | None = None,
-                  model: str | None = None, temperature: float | None = None) -> DataFrame:
+                  model: str | None = None, temperature: float | None = None, strict: bool = False) -> DataFrame:
     """X1 output form: the request body as JSON text (for a batch job's input file).
 
-    ``kind`` adds the answer's schema (``ANSWER_SCHEMAS``) as the response
-    format; ``model`` and ``temperature`` are written if given."""
+    ``kind`` adds the answer's schema (``ANSWER_SCHEMAS``; ``strict``: ``strict_schema``) as the
+    response format; ``model`` and ``temperature`` are written if given."""
     fields = [F.col(messages).alias("messages")]
     if model is not None:
         fields.append(F.lit(model).alias("model"))
     if kind is not None:
-        body = {"type": "json_schema", "json_schema": {"name": kind, "schema": ANSWER_SCHEMAS[kind]}}
+        schema = strict_schema(kind) if strict else ANSWER_SCHEMAS[kind]
+        body = {"type": "json_schema", "json_schema": {"name": kind, "schema": schema}}
         fields.append(F.parse_json(F.lit(json.dumps(body))).alias("response_format"))
     if temperature is not None:
         fields.append(F.lit(float(temperature)).alias("temperature"))
@@ -107,10 +127,60 @@ def answer_status(content: str = "content") -> Column:
              .otherwise(F.lit("ok")))
 
 
-def split_refusals(completions: DataFrame, content: str = "content") -> DataFrame:
-    """Tag each answer ok / refused / bad, with the refusal text."""
+# How a VARIANT's type is written, by JSON type.
+_VARIANT_TYPES = {"object": "^OBJECT<", "array": "^ARRAY<", "string": "^STRING$", "boolean": "^BOOLEAN$",
+                  "number": "^(BIGINT|DOUBLE|DECIMAL.*)$"}
+
+
+def schema_fault(value: Column, schema: dict, path: str | Column = "") -> Column:
+    """The path of the first place where a VARIANT does not meet a JSON schema; null if it does.
+
+    Looked at in this order: the type, required fields that are missing, fields that are not
+    allowed (by name), then the fields one by one, an open object's values by name and an
+    array's items in order.  A path is field names joined by dots, items as ``[i]``; the
+    whole answer is ``$``."""
+    here = F.lit(path) if isinstance(path, str) else path
+    name = F.when(here == "", "$").otherwise(here)
+
+    def at(key: Column) -> Column:
+        return F.concat(here, F.when(here == "", "").otherwise("."), key)
+    is_type = F.coalesce(F.schema_of_variant(value).rlike(_VARIANT_TYPES[schema["type"]]), F.lit(False))
+    faults = []
+    if schema["type"] == "object":
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
+        keys = F.array_sort(F.map_keys(fields))
+        props, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        for k in schema.get("required", []):
+            faults.append(F.when(~F.array_contains(keys, k), at(F.lit(k))))
+        others = F.filter(keys, lambda k: ~k.isin(list(props))) if props else keys
+        if more is False:
+            faults.append(F.get(F.transform(others, at), F.lit(0)))
+        for k, s in props.items():
+            inner = F.element_at(fields, F.lit(k))
+            faults.append(F.when(F.array_contains(keys, k), schema_fault(inner, s, at(F.lit(k)))))
+        if isinstance(more, dict):
+            each = F.transform(others, lambda k: schema_fault(F.element_at(fields, k), more, at(k)))
+            faults.append(F.get(F.filter(each, lambda x: x.isNotNull()), F.lit(0)))
+    if schema["type"] == "array" and "items" in schema:
+        items = F.try_variant_get(value, "$", "array<variant>")
+        each = F.transform(items, lambda x, i: schema_fault(x, schema["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]"))))
+        faults.append(F.get(F.filter(each, lambda x: x.isNotNull()), F.lit(0)))
+    return F.when(~is_type, name).otherwise(F.coalesce(*faults) if faults else F.lit(None).cast("string"))
+
+
+def split_refusals(completions: DataFrame, content: str = "content", kind: str | None = None) -> DataFrame:
+    """Tag each answer ok / refused / bad, with the refusal text.
+
+    With ``kind`` (the column that names the question), an answer that is neither refused nor
+    bad is held against its ``strict_schema``: ``schema:<path>`` names its first fault."""
     v = _variant(content)
-    return _last_key_wins(completions).withColumn("status", answer_status(content)).withColumn(
+    status = answer_status(content)
+    if kind is not None:
+        fault = F.lit(None).cast("string")
+        for k in ANSWER_SCHEMAS:
+            fault = F.when(F.col(kind) == k, schema_fault(v, strict_schema(k))).otherwise(fault)
+        status = F.when((status == "ok") & fault.isNotNull(), F.concat(F.lit("schema:"), fault)).otherwise(status)
+    return _last_key_wins(completions).withColumn("status", status).withColumn(
         "error", F.try_variant_get(v, "$.error", "string"))
 
 
@@ -190,7 +260,5 @@ def assemble_stories(links: DataFrame, stories: DataFrame, url: str = "url") ->
     s = stories.filter(F.col("status") == "ok").groupBy(F.col("key").alias("_k")).agg(one.alias("_s")).select(
         "_k", F.col("_s.a").alias("_author"), F.col("_s.c").alias("_content"))
     j = links.join(s, F.col(url) == F.col("_k"), "left")
-    return j.select("title", F.coalesce("_author", F.lit("")).alias("author"),
-                    F.coalesce("_content", F.lit("")).alias("content"),
-                    F.coalesce(F.col("category"), F.lit("")).alias("category"),
-                    F.coalesce(F.col(url), F.lit("")).alias("url"))
+    j = with_defaults(j, ["_author", "_content", "category", url])
+    return story_columns(j, {"title": "title", "author": "_author", "content": "_content", "category": "category", "url": url})

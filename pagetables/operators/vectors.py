@@ -8,7 +8,9 @@ counts, which Spark computes without Python:
 * a text's vector is its bucket counts (``normalize=True``: divided by
   their L2 norm).
 
-Counts of two texts joined by a blank add up, so re-embedding a merged
+A text's counts are made inside its row (its words' buckets, sorted, and the
+lengths of their runs), so embedding needs no shuffle.  Counts of two texts
+joined by a blank add up, so re-embedding a merged
 pair is the sum of the two count vectors (E11).  Vectors travel either
 long ``(key, dim, value)`` - aggregations then group by (key, dim), which
 splits a hot key into ``dim`` groups and combines map-side - or dense
@@ -62,14 +64,94 @@ def tokenize_truncate(df: DataFrame, key: Sequence[str] | str = "doc_id", text:
              .withColumn("mask", F.lit(1)))
 
 
+def sparse_counts(text, dim: int = 128) -> Column:
+    """E2 (raw) in the row: array of (dim, cnt), the text's non-zero buckets in order."""
+    check_dim(dim)
+    ordered = F.array_sort(F.transform(words(text), lambda w: bucket(w, dim)))
+
+    def runs(b):
+        starts = F.filter(F.sequence(F.lit(0), F.size(b) - 1), lambda i: (i == 0) | (F.get(b, i) != F.get(b, i - 1)))
+
+        def counted(s):
+            return F.transform(s, lambda i, k: F.struct(
+                F.get(b, i).alias("dim"), (F.coalesce(F.get(s, k + 1), F.size(b)) - i).cast("double").alias("cnt")))
+        empty = F.array().cast("array<struct<dim:int,cnt:double>>")
+        return F.when(F.size(b) > 0, F.transform(F.array(starts), counted)[0]).otherwise(empty)
+    return F.transform(F.array(ordered), runs)[0]       # bound once: named for every bucket
+
+
+def sparse_normalize(vec) -> Column:
+    """E7 on ``sparse_counts``: array of (dim, value), cnt / ||cnt||."""
+    def scaled(v):
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x["cnt"] * x["cnt"]))
+        return F.transform(F.array(F.greatest(norm, F.lit(1e-12))), lambda n: F.transform(
+            v, lambda x: F.struct(x["dim"].alias("dim"), (x["cnt"] / n).alias("value"))))[0]
+    return F.transform(F.array(_c(vec)), scaled)[0]
+
+
+def subword_tokens(df: DataFrame, vocab: dict[str, int], key: Sequence[str] | str = "doc_id", text: str = "text",
+                   max_len: int = 512, unk: str = "[UNK]", pad: str = "[PAD]", inner: str = "##",
+                   first: str | None = None, last: str | None = None) -> DataFrame:
+    """E1 with subwords: ``max_len`` rows a text -> (key..., pos, token_id, mask).
+
+    Words are those of ``words``.  A word is read from its start, each time the longest piece of
+    ``vocab`` that fits; after the first piece, pieces stand under ``inner`` + piece.  A character
+    that begins no piece is one ``unk``.  ``first`` and ``last`` name special tokens put around the
+    text; what is over ``max_len`` is cut, what is short of it filled with ``pad``, mask 0.  A null
+    or empty text is padding only (and the special tokens).  ``vocab`` is a parameter of the
+    program: it travels with the tasks and is bounded by what names it.  Arrow batches, one
+    lookup a distinct word of a batch; no shuffle."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+    missing = [t for t in (unk, pad, first, last) if t is not None and t not in vocab]
+    if missing:
+        raise ValueError(f"not in the vocabulary: {missing}")
+    keys = [key] if isinstance(key, str) else list(key)
+    begin, end = [vocab[first]] if first else [], [vocab[last]] if last else []
+    room = max_len - len(begin) - len(end)
+    if room < 0:
+        raise ValueError("max_len leaves no room for the special tokens")
+    longest = max(len(t.removeprefix(inner)) for t in vocab)
+
+    def pieces(word: str) -> list[int]:
+        out, at = [], 0
+        while at < len(word):
+            for n in range(min(longest, len(word) - at), 0, -1):
+                t = vocab.get((inner if at else "") + word[at:at + n])
+                if t is not None:
+                    break
+            else:
+                t, n = vocab[unk], 1
+            out.append(t)
+            at += n
+        return out
+
+    def run(batches):
+        for b in batches:
+            lists = b.column(b.num_columns - 1)
+            flat = lists.flatten().dictionary_encode()
+            known = [pieces(w) for w in flat.dictionary.to_pylist()]
+            word, ids = iter(flat.indices.to_pylist()), []
+            for n in pa.compute.list_value_length(lists).to_pylist():
+                one = []
+                for k in [next(word) for _ in range(n)]:
+                    one += known[k]
+                ids.append([*begin, *one[:room], *end])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], names=b.schema.names)
+    src = df.select(*keys, F.slice(F.coalesce(words(text), F.array().cast("array<string>")), 1, max(room, 1)).alias("_ids"))
+    fields = ", ".join(f"`{k}` {src.schema[k].dataType.simpleString()}" for k in keys)
+    got = src.mapInArrow(run, f"{fields}, _ids array<int>")
+    each = got.select(*keys, "_ids", F.explode(F.sequence(F.lit(0), F.lit(max_len - 1))).alias("pos"))
+    return each.select(*keys, "pos", F.coalesce(F.get("_ids", F.col("pos")), F.lit(vocab[pad])).alias("token_id"),
+                       (F.col("pos") < F.size("_ids")).cast("int").alias("mask"))
+
+
 def hashed_counts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
                   dim: int = 128) -> DataFrame:
-    """E2 (long, raw): (key..., dim, cnt) for non-zero buckets."""
-    check_dim(dim)
+    """E2 (long, raw): (key..., dim, cnt) for a text's non-zero buckets.  No shuffle: a row
+    is a text, and rows of one key stay apart; a text without words gives no rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    w = df.select(*keys, F.explode(words(text)).alias("_w"))
-    return (w.groupBy(*keys, bucket("_w", dim).alias("dim"))
-             .agg(F.count(F.lit(1)).cast("double").alias("cnt")))
+    return df.select(*keys, F.inline(sparse_counts(text, dim)))
 
 
 def normalize_long(v: DataFrame, key: Sequence[str], value: str = "cnt",
@@ -82,7 +164,7 @@ def normalize_long(v: DataFrame, key: Sequence[str], value: str = "cnt",
 
 def embed_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
                 dim: int = 128, normalize: bool = True, embedder=None) -> DataFrame:
-    """One vector per text -> long (key..., dim, value).
+    """One vector per text -> long (key..., dim, value), without a shuffle.
 
     ``embedder``, if given, is a batch function ``list[str] -> 2-D array``
     run with ``mapInPandas`` (one call per Arrow batch); its output is
@@ -91,10 +173,9 @@ def embed_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str =
     keys = [key] if isinstance(key, str) else list(key)
     if embedder is not None:
         return _embed_with(df, keys, text, embedder)
-    c = hashed_counts(df, keys, text, dim)
     if not normalize:
-        return c.withColumnRenamed("cnt", "value")
-    return normalize_long(c, keys).drop("cnt")
+        return hashed_counts(df, keys, text, dim).withColumnRenamed("cnt", "value")
+    return df.select(*keys, F.inline(sparse_normalize(sparse_counts(text, dim))))
 
 
 def _embed_with(df: DataFrame, keys, text, embedder) -> DataFrame:
@@ -239,7 +320,7 @@ def embed_long_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: s
     chunk length in characters -> long (key..., dim, value).
 
     Texts are segmented once; a chunk carries its length and its text's, so
-    nothing is joined back.  ``embedder``: as for ``embed_texts`` (its vectors
+    nothing is joined back, and the only shuffle is the sum by (key, dim).  ``embedder``: as for ``embed_texts`` (its vectors
     are normalised here); zero components give no row.
     """
     check_dim(dim)
@@ -247,7 +328,7 @@ def embed_long_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: s
     ch = segment_texts(df, keys, text, max_chars, total="_all_chars").withColumnRenamed("n_chars", "_chars")
     carried = [*keys, "chunk_no", "_chars", "_all_chars"]
     if embedder is None:
-        v = normalize_long(hashed_counts(ch, carried, "chunk", dim), [*keys, "chunk_no"])
+        v = embed_texts(ch, carried, "chunk", dim)
     else:
         dense = _embed_with(ch, carried, "chunk", embedder)
         v = to_long(dense.withColumn("vec", l2_normalize_expr(F.col("vec"))), carried).filter(F.col("value") != 0)

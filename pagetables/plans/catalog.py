@@ -1628,4 +1628,4 @@ def element_tag_counts_sql_q(spark, sf):
         GROUP BY p.page_id, e.tag""")
 
 
-from pagetables.plans import catalog_crawls, catalog_pages  # noqa: E402,F401
+from pagetables.plans import catalog_crawls, catalog_pages, catalog_values  # noqa: E402,F401

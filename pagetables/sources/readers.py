@@ -69,22 +69,53 @@ def _decoded(bodies, charsets):
     return pd.DataFrame({"text": texts, "state": states})
 
 
+# Byte-order marks, and what two charset labels mean on web pages.
+BOMS = [("EFBBBF", "utf-8"), ("FFFE", "utf-16le"), ("FEFF", "utf-16be")]
+META_CHARSETS = {"gb2312": "gbk", "iso-8859-1": "cp1252", "utf-16": "utf-8"}
+# How far a charset is looked for.
+PRESCAN_BYTES = 1024
+META_RE = r"(?i)<meta\s[^>]*?charset\s*=\s*[\"']?\s*([a-z0-9_:.-]+)"
+
+
+def sniff_charset(body: str, charset: str | None = None):
+    """The charset of a page's bytes: its byte-order mark, else the declared one, else that of a
+    ``<meta charset>`` or ``<meta http-equiv content>`` in its first bytes, else utf-8."""
+    head = F.substring(F.col(body), 1, PRESCAN_BYTES)
+    start = F.hex(F.substring(F.col(body), 1, 3))
+    mark = F.lit(None).cast("string")
+    for bom, name in reversed(BOMS):
+        mark = F.when(start.startswith(bom), name).otherwise(mark)
+    told = F.lower(F.regexp_extract(F.decode(head, "ISO-8859-1"), META_RE, 1))
+    known = told
+    for label, name in META_CHARSETS.items():
+        known = F.when(told == label, name).otherwise(known)
+    declared = F.lower(F.trim(F.col(charset))) if charset else F.lit(None).cast("string")
+    return F.coalesce(mark, F.when(declared != "", declared), F.when(known != "", known), F.lit("utf-8"))
+
+
 def decode_pages(df: DataFrame, body: str = "body", charset: str = "charset",
                  out: str = "html", status: str | None = None) -> DataFrame:
     """Bytes + declared charset -> text (``response.encoding = ...``).
 
-    UTF-8 (also where no charset is declared) is decoded on the JVM; every other
+    Where no charset is declared the page's own is found (``sniff_charset``); a byte-order
+    mark comes before any declaration and does not show in the text.
+    UTF-8 is decoded on the JVM; every other
     charset that Python knows in an Arrow-batched stage, which UTF-8 rows pass
     as nulls.  A bad byte becomes U+FFFD and never fails the job; an unknown
     charset is read as UTF-8.  ``status`` names a column that tells ``ok``,
     ``replaced`` and ``unknown_charset`` apart.  No session setting is touched.
     """
-    cs = F.lower(F.trim(F.col(charset)))
-    utf8 = F.coalesce(cs.isin("utf-8", "utf8", ""), F.lit(True))
-    raw = F.col(body).cast("string")
+    cs = sniff_charset(body, charset if charset in df.columns else None)
+    utf8 = cs.isin("utf-8", "utf8")
+    start = F.hex(F.substring(F.col(body), 1, 3))
+    skip = F.lit(1)
+    for bom, _ in reversed(BOMS):
+        skip = F.when(start.startswith(bom), 1 + len(bom) // 2).otherwise(skip)
+    rest = F.substr(F.col(body), skip, F.octet_length(F.col(body)))
+    raw = rest.cast("string")
     udf = F.pandas_udf(_decoded, "text string, state string")
     other, = [n for n in ("_decoded",) if n not in df.columns]
-    d = df.withColumn(other, udf(F.when(~utf8, F.col(body)), cs))
+    d = df.withColumn(other, udf(F.when(~utf8, rest), cs))
     d = d.withColumn(out, F.when(utf8, F.make_valid_utf8(raw)).otherwise(F.col(other)["text"]))
     if status:
         d = d.withColumn(status, F.when(utf8 & F.col(body).isNotNull(), F.when(F.is_valid_utf8(raw), "ok").otherwise(

@@ -26,6 +26,13 @@ def write_stories_csv(df: DataFrame, path: str, columns, mode: str = "overwrite"
        .csv(path))
 
 
+def write_records_csv(df: DataFrame, map_col: str, path: str, key_name: str = "key", mode: str = "overwrite") -> None:
+    """K4: a map of records written as CSV, one row a key, the key as the first column (the index
+    of ``pd.DataFrame(d).T.to_csv()``).  A field that a record lacks is written empty."""
+    r = records_from_map(df, map_col, key_name)
+    write_stories_csv(r.na.fill("", [f.name for f in r.schema if f.dataType.simpleString() == "string"]), path, r.columns, mode)
+
+
 def records_from_map(df: DataFrame, map_col: str, key_name: str = "key", keep=()) -> DataFrame:
     """K4: a map of records (``pd.DataFrame(d).T``) to one row per key, beside the ``keep`` columns."""
     e = df.select(*keep, F.explode(map_col).alias(key_name, "_v"))

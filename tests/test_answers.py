@@ -1,6 +1,7 @@
 """Structured answers: both shapes, refusals, bad JSON."""
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from pagetables.operators import answers as X
 
@@ -71,3 +72,31 @@ def test_duplicate_keys_last_wins_like_json_loads(spark):
         [("x", "2"), ("y", "3")]
     assert rows(X.parse_titles(c.filter("kind = 'titles'")), "title", "url") == [("t", "u2")]
     assert rows(X.parse_decision(c.filter("kind = 'decision'")), "decision") == [(True,)]
+
+
+def test_first_fault_of_an_answer(spark):
+    import json
+
+    def check(kind, answer):
+        c = spark.createDataFrame([(kind, answer if isinstance(answer, str) else json.dumps(answer))], "kind string, content string")
+        return X.split_refusals(c, kind="kind").first().status
+    story = {"content": {"title": "t", "author": "", "content": "c"}, "next_page": ""}
+    assert check("story", story) == "ok"
+    assert check("story", {**story, "z": 1, "more": 2}) == "schema:more"
+    assert check("story", {"content": story["content"]}) == "schema:next_page"
+    assert check("story", {**story, "next_page": None}) == "schema:next_page"
+    assert check("story", {**story, "content": {"title": "t", "content": 3}}) == "schema:content.author"
+    assert check("story", {**story, "content": {**story["content"], "content": 3}}) == "schema:content.content"
+    assert check("story", {**story, "content": []}) == "schema:content"
+    assert check("titles", {"titles_and_urls": {"b": [], "a": 1, "c": "u"}, "next_page": ""}) == "schema:titles_and_urls.a"
+    assert check("titles", {"titles_and_urls": {}, "next_page": "x"}) == "ok"
+    assert check("decision", {"decision": "yes"}) == "schema:decision" and check("decision", {}) == "schema:decision"
+    assert check("decision", [1]) == check("decision", "oops") == "bad"
+    assert check("categories", {"error": "none"}) == "refused" and check("categories", {"categories": {"a": "u"}}) == "ok"
+
+
+def test_faults_in_arrays_and_at_the_top(spark):
+    schema = {"type": "array", "items": {"type": "object", "properties": {"n": {"type": "number"}}, "required": ["n"]}}
+    df = spark.createDataFrame([("[{\"n\": 1}, {\"n\": 2.5}]",), ("[{\"n\": 1}, {\"m\": 1}, 3]",), ("[1]",), ("{}",), ("[]",)], "t string")
+    got = [r[0] for r in df.select(X.schema_fault(F.try_parse_json("t"), schema)).collect()]
+    assert got == [None, "[1].n", "[0]", "$", None]

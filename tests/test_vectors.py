@@ -121,3 +121,53 @@ def test_merge_adjacent_chunks_with_user_embedder(spark):
 
     out = M.merge_adjacent_chunks(df, 2, revector="embed", embedder=emb)
     assert [r.chunk for r in out.orderBy("chunk_no").collect()] == ["aa ab", "zz zy"]
+
+
+VOCAB = {t: i for i, t in enumerate(["[PAD]", "[UNK]", "[CLS]", "[SEP]", "th", "the", "t", "##e", "c", "##a", "##t", "##at", "a", "é"])}
+
+
+def pieces(word):
+    out, at = [], 0
+    while at < len(word):
+        n = next((n for n in range(len(word) - at, 0, -1) if ("##" if at else "") + word[at:at + n] in VOCAB), 0)
+        out.append(VOCAB[("##" if at else "") + word[at:at + n]] if n else VOCAB["[UNK]"])
+        at += n or 1
+    return out
+
+
+def test_subwords_cut_and_padded(spark):
+    import pytest
+    texts = ["the cat  at　th x", "", None, "é漢a the", "t " * 50, "thecat\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for first, last in ((None, None), ("[CLS]", "[SEP]")):
+        got = V.subword_tokens(df, VOCAB, max_len=7, first=first, last=last).collect()
+        around = [[VOCAB[t]] if t else [] for t in (first, last)]
+        for i, t in enumerate(texts):
+            ids = around[0] + [p for w in (t or "").split() for p in pieces(w)][:7 - 2 * bool(first)] + around[1]
+            mine = sorted((r.pos, r.token_id, r.mask) for r in got if r.doc_id == i)
+            assert mine == [(k, (ids + [0] * 7)[k], int(k < len(ids))) for k in range(7)]
+    with pytest.raises(ValueError):
+        V.subword_tokens(df, {"a": 1})
+
+
+def test_counts_in_the_row_equal_python(spark):
+    from pagetables.operators.merge import hashed_vector
+    texts = ["a b a c a", "", None, " \n", "x" * 1000 + " x", " ".join(f"w{i % 37}" for i in range(3000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    raw, unit = V.hashed_counts(df, dim=16).collect(), V.embed_texts(df, dim=16).collect()
+    for i, t in enumerate(texts):
+        want = hashed_vector(t, 16)
+        assert {r.dim: r.cnt for r in raw if r.doc_id == i} == {d: c for d, c in enumerate(want) if c}
+        n = sum(c * c for c in want) ** 0.5 or 1
+        assert all(abs(r.value - want[r.dim] / n) < 1e-12 for r in unit if r.doc_id == i)
+
+
+def exchanges(df):
+    import re
+    return len(re.findall(r"Exchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_embedding_plans_shuffle_as_little_as_said(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert exchanges(V.embed_texts(df)) == exchanges(V.subword_tokens(df, VOCAB)) == 0
+    assert exchanges(V.embed_long_texts(df)) == 1
