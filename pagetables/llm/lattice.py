@@ -5,18 +5,18 @@ every segmentation counts with the product of its pieces' unigram
 probabilities, and a log-space forward recursion sums them.  No piece crosses
 a word boundary (a word starts with U+2581), so a document's marginal
 lattice likelihood is the product of its words' marginals and of one end
-symbol (``lattice_score``), and each distinct word is scored once.
+symbol (``score``), and each distinct word is scored once.
 
 The vocabulary is never trained.  Its own scores give the first piece
 probabilities; expected counts over the training documents' words
 (forward-backward) re-estimate them.  A character that no piece covers costs
 the bytes of its UTF-8 form.
 
-Independent pieces spell frequent words too dearly, so ``score`` gives each
-word two more arcs beside its segmentations: the word as a whole, as often as
+Independent pieces spell frequent words too dearly, so a further column, ``mixed_score``,
+gives each word two more arcs beside its segmentations: the word as a whole, as often as
 training documents hold it, and the word as seen earlier in the document.
 Both are Dirichlet priors around the lattice marginal (weights ``kinds`` of
-the training words and ``REPEATS``), so ``score`` is again the log of a
+the training words and ``REPEATS``), so ``mixed_score`` is again the log of a
 normalised probability, with the document's own word distribution summed out.
 """
 
@@ -200,8 +200,11 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    ``score`` is the model's log10 probability of the whole text (words, one
-    end); ``base_score`` that of an add-one unigram over words.  Both learn from
+    ``score`` is the log10 of the lattice's marginal probability of the whole text: of all
+    segmentations of all its words and one end (``lattice_score`` is the same number).
+    ``mixed_score`` is that of a wider model in which a word may also come whole, as training
+    documents hold it or as seen earlier in the text, the lattice being the prior of both;
+    ``base_score`` that of an add-one unigram over words.  All learn from
     rows for which ``held_out`` (a Column of ``doc_id``) does not hold.  A null
     text is empty and has the end only.  Ids may be null or repeat: equal rows
     get equal scores.  Extra columns are ignored; an empty table gives no rows;
@@ -338,8 +341,8 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
         (F.col("known") + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + math.log10(ends + 1.0) - F.col("n") * log_all).alias("base_score"),
-        (F.col("s") + end_x / math.log(10) - _rising_column(F.lit(math.log(REPEATS)), F.col("n"))).alias("score"),
-        (F.col("p") + end / math.log(10)).alias("lattice_score"))
+        (F.col("p") + end / math.log(10)).alias("score"), (F.col("p") + end / math.log(10)).alias("lattice_score"),
+        (F.col("s") + end_x / math.log(10) - _rising_column(F.lit(math.log(REPEATS)), F.col("n"))).alias("mixed_score"))
 
 
 def _log_gamma(z, log):

@@ -23,7 +23,7 @@ def test_long_held_out_words(docs_of, monkeypatch, hot):  # noqa: F811
         r = got[100 + n]
         word = r.lattice_score - empty.lattice_score
         assert word < n * 3 * math.log10(lattice.BYTE_MASS / 256) + 1
-        assert math.isclose(r.score - empty.score, prior + word - math.log10(lattice.REPEATS + 1), rel_tol=1e-9)
+        assert math.isclose(r.mixed_score - empty.mixed_score, prior + word - math.log10(lattice.REPEATS + 1), rel_tol=1e-9)
     # a second time the word costs its repetition only: the factor x + 1
-    twice = got[9000].score - got[5100].score
+    twice = got[9000].mixed_score - got[5100].mixed_score
     assert math.isclose(twice, -math.log10(lattice.REPEATS + 2), abs_tol=1e-6)
