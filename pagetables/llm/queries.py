@@ -30,23 +30,25 @@ def op4_fingerprint(spark, sf_dir):
 
 
 #: Tools that the derived calls use: parameter -> (JSON type, required).
-TOOLS = {"search": {"query": ("string", True), "limit": ("integer", True)},
+TOOLS = {"search": {"query": ("string", True), "limit": ("integer", True), "filter": ("object", False), "tags": ("array", False)},
          "lookup": {"key": ("string", True), "exact": ("boolean", False)},
          "measure": {"value": ("number", True), "unit": ("string", False)}}
 
 
 def op5_tool_calls(spark, sf_dir):
     """Calls and results that Spark derives from ``conversations``: an assistant turn calls a
-    tool (some with faulty arguments), after the call of two turns before; the next turn,
-    whoever speaks, is the result (some under an id that no call has)."""
+    tool (some with faulty arguments, a search with the whole turn as its query and nested
+    arguments), after the call of two turns before; the next turn, whoever speaks, is the
+    result (some under an id that no call has)."""
     c = read(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", "coalesce(text, '') AS text")
     calls = c.filter("role = 'assistant'").selectExpr(
         "conv_id", "turn", "concat('call_', conv_id, '_', turn) AS call_id",
         "IF(turn >= 2, concat('call_', conv_id, '_', turn - 2), NULL) AS parent_id",
         "elt(turn % 4 + 1, 'search', 'lookup', 'measure', 'browse') AS name",
         """CASE WHEN (conv_id + turn) % 13 = 5 THEN '{"query": '
-           WHEN turn % 4 = 0 THEN concat('{ "query": "', regexp_replace(substring(text, 1, 20), '[^A-Za-z ]', ''),
-             '", "limit": ', IF(conv_id % 7 = 3, '"12"', CAST(length(text) AS STRING)), '}')
+           WHEN turn % 4 = 0 THEN concat('{ "query": ', substring(to_json(array(text)), 2, length(to_json(array(text))) - 2),
+             ' , "tags":["\\\\u00e9 \\\\"x\\\\"", ', turn, '], "limit": ', IF(conv_id % 7 = 3, '"12"', CAST(length(text) AS STRING)),
+             ', "filter": ', IF(conv_id % 11 = 5, '[]', concat('{"turns": [', turn, ', ', turn + 1, '], "role": "', role, '"}')), '}')
            WHEN turn % 4 = 1 THEN concat('{"key" : "k', length(text), '"',
              CASE conv_id % 5 WHEN 0 THEN ', "exact": true' WHEN 1 THEN ', "exact": null' WHEN 2 THEN ', "depth": 3' ELSE '' END, '}')
            WHEN turn % 4 = 2 THEN concat('{"unit": "m"', IF(conv_id % 3 = 0, '', concat(', "value": ', length(text), '.25')), '}')
@@ -152,9 +154,19 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT u, min(v) AS c FRO
 """
 
 
+#: The scanner's rules restated for RE2: kind, pattern, group, least length of the group.
+_SECRET_SQL = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=:,\x20\t\r\n-]*?-----END [A-Z ]{0,30}PRIVATE KEY-----"
+            r"|(?:[\x20\t\r\n]+[A-Za-z0-9+/=]{16,})*)", 0, 20),
+    ("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 35)]
+
+
 def _rule_sql(name, pattern, group, least):
     return f"""
-  SELECT doc_id, '{name}' AS kind, {[r[0] for r in secrets.RULES].index(name)} AS k, s.start, s.stop FROM (
+  SELECT doc_id, '{name}' AS kind, {[r[0] for r in _SECRET_SQL].index(name)} AS k, s.start, s.stop FROM (
     SELECT doc_id, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
       'start': list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
       'stop': list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))),
@@ -165,7 +177,7 @@ def _rule_sql(name, pattern, group, least):
 
 
 _OP8 = "WITH f AS (" + " UNION ALL ".join(
-    _rule_sql(n, p.replace("'", "''"), g, least) for n, p, g, least in secrets.RULES) + """
+    _rule_sql(n, p.replace("'", "''"), g, least) for n, p, g, least in _SECRET_SQL) + """
 ), per AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex,
@@ -184,7 +196,7 @@ calls AS (
     CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS parent_id,
     ['search', 'lookup', 'measure', 'browse'][turn % 4 + 1] AS name,
     (conv_id + turn) % 13 = 5 AS broken, length(text) AS n, conv_id % 7 = 3 AS worded, conv_id % 5 AS v, conv_id % 3 = 0 AS bare,
-    regexp_replace(substring(text, 1, 20), '[^A-Za-z ]', '', 'g') AS q
+    conv_id % 11 = 5 AS listed, to_json(text)::VARCHAR AS q, role
   FROM c WHERE role = 'assistant'
 ), results AS (
   SELECT conv_id, turn, 'call_' || conv_id || '_' || (CASE WHEN (conv_id + turn) % 11 = 4 THEN -1 ELSE turn - 1 END) AS call_id,
@@ -194,10 +206,12 @@ calls AS (
   UNION ALL SELECT k.call_id, d.depth + 1 FROM depth d JOIN calls k ON k.parent_id = d.call_id
 ), checked AS (
   SELECT calls.*, CASE WHEN name = 'browse' THEN 'unknown_tool' WHEN broken THEN 'not_an_object'
+    WHEN name = 'search' AND listed THEN 'type:filter'
     WHEN name = 'search' AND worded THEN 'type:limit'
     WHEN name = 'lookup' AND v = 2 THEN 'unexpected:depth'
     WHEN name = 'measure' AND bare THEN 'missing:value' END AS error,
-    CASE WHEN broken THEN NULL WHEN name = 'search' THEN '{"limit":' || CASE WHEN worded THEN '"12"' ELSE n::VARCHAR END || ',"query":"' || q || '"}'
+    CASE WHEN broken THEN NULL WHEN name = 'search' THEN '{"filter":' || CASE WHEN listed THEN '[]' ELSE '{"role":"' || role || '","turns":[' || turn || ',' || (turn + 1) || ']}' END
+        || ',"limit":' || CASE WHEN worded THEN '"12"' ELSE n::VARCHAR END || ',"query":' || q || ',"tags":["é \\"x\\"",' || turn || ']}'
       WHEN name = 'lookup' THEN '{' || CASE v WHEN 0 THEN '"exact":true,' WHEN 1 THEN '"exact":null,' WHEN 2 THEN '"depth":3,' ELSE '' END || '"key":"k' || n || '"}'
       WHEN name = 'measure' THEN '{"unit":"m"' || CASE WHEN bare THEN '' ELSE ',"value":' || n || '.25' END || '}'
       ELSE '{}' END AS args

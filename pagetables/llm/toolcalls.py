@@ -27,16 +27,20 @@ def depths(calls: DataFrame) -> DataFrame:
     smallest parent counts; a parent that is no call is none."""
     own = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("parent_id").alias("parent"))
     known = own.select(F.col("call_id").alias("parent"))
-    cur = own.join(known.withColumn("hit", F.lit(True)), "parent", "left").select(
+    # calls without a parent, and chains that have ended, take no part in the joins: they
+    # have no key, and would all meet in one task
+    roots = own.filter("parent is null").select("call_id", F.col("parent").alias("up"), F.lit(0).cast("long").alias("depth"))
+    led = own.filter("parent is not null").join(known.withColumn("hit", F.lit(True)), "parent", "left").select(
         "call_id", F.when(F.col("hit"), F.col("parent")).alias("up"),
         F.when(F.col("hit"), 1).otherwise(0).cast("long").alias("depth"))
-    cur = stored(cur, "depth")
+    cur = stored(led.unionByName(roots), "depth")
     n = cur.count()
     reach = 1
     while reach <= n and cur.filter("up is not null").take(1):
         far = cur.select(F.col("call_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        cur = stored(cur.join(far, "up", "left").select(
-            "call_id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depth")
+        on = cur.filter("up is not null").join(far, "up", "left").select(
+            "call_id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+        cur = stored(on.unionByName(cur.filter("up is null")), "depth")
         reach *= 2
     return cur.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
@@ -77,7 +81,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str
     first = results.filter("call_id is not null").groupBy("call_id").agg(
         F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
     at = calls.select("conv_id", "turn", "call_id", "parent_id", "name", "arguments")
-    linked = at.join(first.hint("shuffle_hash"), "call_id", "left").join(depths(at), "call_id", "left")
+    linked = at.filter("call_id is not null").join(first.hint("shuffle_hash"), "call_id", "left").join(depths(at), "call_id", "left")
+    linked = linked.unionByName(at.filter("call_id is null"), allowMissingColumns=True)
     depth = F.when(F.col("call_id").isNull(), F.lit(0).cast("long")).otherwise(F.col("depth"))
     error = argument_error(F.col("name"), F.col("arguments"), schemas)
     out = linked.withColumn("depth", depth).withColumn("error", error)
@@ -90,7 +95,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str
     done = out.select("conv_id", "turn", "call_id", "depth", status.alias("status"), "error",
                       F.coalesce("n_results", F.lit(0)).alias("n_results"), line.alias("line"))
     ids = at.filter("call_id is not null").select("call_id").distinct()
-    orphan = results.select("conv_id", "turn", "call_id", "content").join(ids, "call_id", "left_anti")
+    told = results.select("conv_id", "turn", "call_id", "content")
+    orphan = told.filter("call_id is not null").join(ids, "call_id", "left_anti").unionByName(told.filter("call_id is null"))
     return done.unionByName(orphan.select(
         "conv_id", "turn", "call_id", F.lit(None).cast("long").alias("depth"), F.lit("orphan").alias("status"),
         F.lit(None).cast("string").alias("error"), F.lit(1).cast("long").alias("n_results"),
