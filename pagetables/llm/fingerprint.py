@@ -73,58 +73,64 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
+_LOW = np.iinfo(np.int64).min
+
+
 def _blocks(docs: DataFrame) -> tuple[Column, int]:
-    """The block of consecutive ids that holds ``doc_id`` (null: the lowest), and how many blocks there are."""
+    """The block of consecutive (``_id``, ``_h``) that holds a row, and how many blocks there are."""
     want = min(MOST_BLOCKS, max(1, math.ceil(docs.count() / PER_BLOCK)))
-    ids = docs.select("doc_id").filter("doc_id is not null")
-    low = ids.repartitionByRange(want, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(
-        F.min("doc_id").alias("low")).collect()                 # a number a block
-    found = sorted(r["low"] for r in low)
+    low = docs.select("_id", "_h").repartitionByRange(want, "_id", "_h").groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min(F.struct("_id", "_h")).alias("low")).collect()                 # two numbers a block
+    found = sorted(tuple(r["low"]) for r in low)
     n = 1
     while n < len(found):       # a session may deal out more partitions than asked for
         n *= 2
-    starts = np.full(n, np.iinfo(np.int64).max, dtype=np.int64)
-    starts[:len(found)] = found
-    starts[0] = np.iinfo(np.int64).min
+    starts = np.full((2, n), np.iinfo(np.int64).max, dtype=np.int64)
+    starts[:, :len(found)] = np.array(found, dtype=np.int64).T
+    starts[:, 0] = _LOW
     steps, s = [], n // 2
     while s:
         steps.append(s)
         s //= 2
-    table = F.lit(starts)
+    ids, hashes = F.lit(starts[0]), F.lit(starts[1])
+
+    def begun(k: Column) -> Column:
+        at = F.get(ids, k)
+        return (at < F.col("_id")) | ((at == F.col("_id")) & (F.get(hashes, k) <= F.col("_h")))
     block = F.aggregate(F.array(*[F.lit(x) for x in steps]).cast("array<int>"), F.lit(0), lambda acc, st: F.when(
-        F.get(table, acc + st) <= F.col("doc_id"), acc + st).otherwise(acc)) if steps else F.lit(0)
-    return F.coalesce(block, F.lit(0)), n
+        begun(acc + st), acc + st).otherwise(acc)) if steps else F.lit(0)
+    return block, n
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs(doc_id, text, ...)`` with ``next_<c>`` of the document that follows in
     descending id order (after the last: the first), for each of ``columns``.
 
-    Equal ids follow the order of their texts, null ids come last.  Documents
-    meet in blocks of consecutive ids; the first row of a block is also the
-    context at the end of the block above.  No block holds more than its share
-    of ids, and texts are shuffled once.
+    Equal ids follow the order of a hash of their texts, null ids come last.  Documents
+    meet in blocks of consecutive ids and hashes, so rows of one id are spread over blocks
+    as well (equal rows are not); the first row of a block is also the context at the
+    end of the block above.  Texts are shuffled once.  There are at most ``MOST_BLOCKS``
+    blocks: beyond ``MOST_BLOCKS * PER_BLOCK`` rows a block, which is sorted and read with
+    spilling, grows with the table.
     """
+    docs = docs.withColumn("_id", F.coalesce("doc_id", F.lit(_LOW))).withColumn("_h", F.xxhash64("text"))
     block, n = _blocks(docs)
     dealt = docs.withColumn("block", block)
-    tops = dealt.groupBy("block").agg(F.max("doc_id").alias("top")).collect()     # at most MOST_BLOCKS rows
+    tops = dealt.groupBy("block").agg(F.max(F.struct("_id", "_h")).alias("top")).collect()     # at most n rows
     there = sorted(r["block"] for r in tops)
     above = {b: there[(i + 1) % len(there)] for i, b in enumerate(there)}
-    top, target = np.zeros(n, np.int64), np.zeros(n, np.int32)
-    some = np.zeros(n, bool)
+    top, target = np.zeros((2, n), np.int64), np.zeros(n, np.int32)
     for r in tops:
         target[r["block"]] = above[r["block"]]
-        if r["top"] is not None:
-            top[r["block"]], some[r["block"]] = r["top"], True
+        top[:, r["block"]] = tuple(r["top"])
     b = F.col("block")
-    first = F.when(F.get(F.lit(some), b), F.col("doc_id").eqNullSafe(F.get(F.lit(top), b))).otherwise(F.lit(True))
+    first = (F.get(F.lit(top[0]), b) == F.col("_id")) & (F.get(F.lit(top[1]), b) == F.col("_h"))
     here = F.struct(b.alias("at"), F.lit(False).alias("context"))
     there_too = F.struct(F.get(F.lit(target), b).alias("at"), F.lit(True).alias("context"))
     rows = dealt.withColumn("_p", F.explode(F.when(first, F.array(here, there_too)).otherwise(F.array(here))))
-    order = W.partitionBy("_p.at").orderBy(F.col("_p.context"), F.col("doc_id").desc_nulls_last(),
-                                           F.col("text").asc_nulls_first())
+    order = W.partitionBy("_p.at").orderBy(F.col("_p.context"), F.col("_id").desc(), F.col("_h").desc())
     out = rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-    return out.filter("not _p.context").drop("_p", "block")
+    return out.filter("not _p.context").drop("_p", "block", "_id", "_h")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
