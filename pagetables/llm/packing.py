@@ -20,6 +20,7 @@ from pagetables.llm.tables import stored
 BUCKETS = 12
 BUDGET = 16_384        # padded tokens of a batch (a longer document has a batch of its own)
 FINE = 256             # lengths up to here have cells of their own
+PART = 1 << 16        # rows of a unit that are dealt out together
 PER_BLOCK = 50_000     # documents that one task numbers
 
 
@@ -86,14 +87,21 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET,
     at = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
     place = F.size(F.filter(at, lambda b: b < F.col("n_tokens")))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    one = sized.withColumn("bucket", place).withColumn("key", key).withColumn(
-        "block", F.substring("key", 1, digits) if digits else F.lit(""))
-    # positions: inside a (bucket, block) by a window, before it by the blocks' counts
-    before = W.partitionBy("bucket").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    offset = one.groupBy("bucket", "block").agg(F.count("*").alias("c")).withColumn(
-        "before", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
-    inside = W.partitionBy("bucket", "block").orderBy("key", "doc_id", "n_tokens")
-    pos = one.withColumn("i", F.row_number().over(inside) - 1).join(offset, ["bucket", "block"])
+    # rows of one id and length are interchangeable: one unit, however many they are
+    units = sized.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("m"))
+    one = stored(units.withColumn("bucket", place).withColumn("key", key).withColumn(
+        "block", F.substring("key", 1, digits) if digits else F.lit("")), "units")
+    # positions: inside a (bucket, block) by a window over units, before it by the blocks' counts
+    first = W.rowsBetween(W.unboundedPreceding, -1)
+    offset = one.groupBy("bucket", "block").agg(F.sum("m").alias("c")).withColumn(
+        "before", F.coalesce(F.sum("c").over(first.partitionBy("bucket").orderBy("block")), F.lit(0))).drop("c")
+    inside = first.partitionBy("bucket", "block").orderBy("key", "doc_id", "n_tokens")
+    pos = one.withColumn("i", F.coalesce(F.sum("m").over(inside), F.lit(0))).join(offset, ["bucket", "block"])
+    # a unit's rows again, in parts: no array grows with a unit
+    pos = pos.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / PART))))
+    last = F.least(F.col("m") - F.col("part") * PART, F.lit(PART)) - 1
+    pos = pos.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), last))) \
+        .withColumn("i", F.col("i") + F.col("part") * PART + F.col("at"))
     size = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("bucket_len")))).cast("long")
     pos = pos.join(F.broadcast(table), "bucket").withColumn("pos", F.col("i") + F.col("before"))  # <= `buckets` rows
     return pos.select("doc_id", "n_tokens", "bucket", "bucket_len",
