@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.functions.text import clean_content as _clean
 from pagetables.functions.text import py_strip
 from pagetables.operators.html import cut, of_tag
+from pagetables.session import sized
 
 
 def fetch_pages(links: DataFrame, pages: DataFrame, url: str = "url",
@@ -108,8 +109,10 @@ def with_full_page_fallback(df: DataFrame, links_col: str, full_col: str,
     full page was needed, keep using it for every later page (sticky switch).
 
     The switch holds from the first empty page of a chain on: that page is
-    found by an aggregate per chain (combined map-side) and joined back, so
-    no chain is sorted in one task, however long it is.  The reference keeps
+    found by an aggregate per chain (combined map-side), written, and joined back
+    at a size that is known (one row a chain: page texts stay where they are unless
+    chains are beyond Spark's broadcast threshold), so no chain is sorted in one
+    task, however long it is.  The reference keeps
     the switch across categories; here it is per chain (``part``), since one
     global order would need a global sort.
     """
@@ -118,7 +121,7 @@ def with_full_page_fallback(df: DataFrame, links_col: str, full_col: str,
     keys = list(part)
     o = F.struct(*[F.col(c) for c in order])
     empty = F.coalesce(F.size(links_col), F.lit(0)) <= 0
-    first = df.filter(empty).groupBy(*keys).agg(F.min(o).alias("_first_empty"))
+    first = sized(df.filter(empty).groupBy(*keys).agg(F.min(o).alias("_first_empty")))
     j = df.join(first, keys, "left")
     full = F.coalesce(o >= F.col("_first_empty"), F.lit(False))
     return (j.withColumn("full_page", full)

@@ -423,11 +423,11 @@ def paragraphs_q(spark, sf):
 
 # ---------------------------------------------------------------------------
 # Listing sites derived from `conversations`: I1, I2, F2, F5, F6, F12, A3, H6,
-# F11, J2, U2, Q1, Q2 (rules in pagetables/plans/site.py)
+# F11, J2, U2, Q1, Q2 (rules in pagetables/plans/catalog_site.py)
 
 from pagetables.plans import paginate as P  # noqa: E402
 from pagetables.plans import pipelines as PL  # noqa: E402
-from pagetables.plans import site as S  # noqa: E402
+from pagetables.plans import catalog_site as S  # noqa: E402
 
 # Stop lists of the two crawls over the derived sites.
 LABEL_IGNORE = ["Le", "La", "The", "Der", "El", "Et"]
@@ -727,7 +727,7 @@ def dedup_last_by_label_q(spark, sf):
 
 # ---------------------------------------------------------------------------
 # Structured answers: X1, A9, X2a–d, X3, X4, Q3 over a completions table
-# derived from documents + labels (rules in pagetables/plans/site.py)
+# derived from documents + labels (rules in pagetables/plans/catalog_site.py)
 
 from pagetables.operators import answers as X  # noqa: E402
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagetables.plans import pipelines as PL
-from pagetables.plans import site as S
+from pagetables.plans import catalog_site as S
 from pagetables.plans import sqlfrag as Q
 from pagetables.plans.catalog import (_LABEL_WALK_SQL, _LINES_SQL, _TITLE, LABEL_IGNORE, SH, _label,
                                       read_table, register)

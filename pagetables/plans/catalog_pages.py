@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagetables.operators import html as H
 from pagetables.plans import sqlfrag as Q
-from pagetables.plans import site as S
+from pagetables.plans import catalog_site as S
 from pagetables.plans.catalog import read_table, register
 
 _STRIP = Q.lit(Q.STRIP_RE)

@@ -11,7 +11,7 @@ from pagetables.operators import links as L
 from pagetables.operators import merge as M
 from pagetables.operators import vectors as V
 from pagetables.plans import pipelines as PL
-from pagetables.plans import site as S
+from pagetables.plans import catalog_site as S
 from pagetables.plans import sqlfrag as Q
 from pagetables.plans.catalog import (_DOCS_SQL, _LABEL_WALK_SQL, _LINES_SQL, _TITLE_ROWS_SQL, CATEGORY_PROMPT, CHUNK_CHARS, EMBED_DIM,
                                       LABEL_IGNORE, MERGE_TARGET, ORACLES, QUESTION, SH, _completions, _label,
