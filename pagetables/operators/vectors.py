@@ -154,14 +154,6 @@ def hashed_counts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str
     return df.select(*keys, F.inline(sparse_counts(text, dim)))
 
 
-def normalize_long(v: DataFrame, key: Sequence[str], value: str = "cnt",
-                   out: str = "value") -> DataFrame:
-    """E7 on long vectors: value / ||v|| per key."""
-    w = Window.partitionBy(*key)
-    n = F.sqrt(F.sum(F.col(value) * F.col(value)).over(w))
-    return v.withColumn(out, F.col(value) / F.greatest(n, F.lit(1e-12)))
-
-
 def embed_texts(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
                 dim: int = 128, normalize: bool = True, embedder=None) -> DataFrame:
     """One vector per text -> long (key..., dim, value), without a shuffle.
