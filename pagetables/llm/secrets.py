@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.llm.tables import spare, stored
+from pagetables.llm.tables import spare, split, stored
 
 # Fixed values: (kind, pattern, group that must be long enough, its least length).
 # The first three are the base kinds; the others are this scanner's own.
@@ -20,7 +20,9 @@ RULES = [
     ("assign", ASSIGN, 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),          # = runs of [0-9a-f]+ of 24 and more
-    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 20),
+    # a key block up to its END line; without one, its header and the lines of base64 after it
+    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=:,\x20\t\r\n-]*?-----END [A-Z ]{0,30}PRIVATE KEY-----"
+            r"|(?:[\x20\t\r\n]+[A-Za-z0-9+/=]{16,})*+)", 0, 20),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
     ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 35),
 ]
@@ -72,12 +74,18 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, version: str = VERSIO
     """
     src = docs.select(F.col(id_col).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     src = src.withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
-    unseen = src.groupBy("blob").agg(F.min("path").alias("path"))
+    held = src.groupBy("blob").agg(F.min("path").alias("path"), F.count("*").alias("rows"))
+    unseen, known = held, held.filter("rows > 1").select("blob")
     if ledger is not None:
-        unseen = unseen.join(ledger.filter(F.col("version") == version).select("blob"), "blob", "left_anti")
-    # on (blob, path): a text held by a third of all paths is spread over tasks
-    u = unseen.select(F.col("blob").alias("b"), F.col("path").alias("p"))
-    texts = src.join(u, (src["blob"] == u["b"]) & src["path"].eqNullSafe(u["p"]), "left_semi")
+        seen = ledger.filter(F.col("version") == version).select("blob")
+        unseen, known = unseen.join(seen, "blob", "left_anti"), known.unionByName(seen)
+    # a text of its own that no ledger knows is scanned where it lies; of texts that several paths
+    # hold, one row is picked by (blob, path), so that a text held by a third of all is spread over tasks
+    known = stored(known, "known")
+    shared, alone = split(src, F.col("blob"), known)
+    u, _ = split(unseen.select("blob", "path"), F.col("blob"), known)
+    u = u.select(F.col("blob").alias("b"), F.col("path").alias("p"))
+    texts = alone.unionByName(shared.join(u, (F.col("blob") == F.col("b")) & F.col("path").eqNullSafe(F.col("p")), "left_semi"))
     each = [_spans(F.col("text"), k) for k in range(len(RULES))]
     found = texts.select("blob", F.array_sort(F.concat(*each)).alias("spans"))
     return found.groupBy("blob").agg(F.max("spans").alias("spans")).select(
@@ -101,7 +109,12 @@ def joined(spans: Column) -> Column:
 
 def redact(docs: DataFrame, ledger: DataFrame, version: str = VERSION, mark: str = "[SECRET]",
            text_col: str = "text") -> DataFrame:
-    """``docs`` with every finding replaced by ``mark`` (overlapping findings by one)."""
+    """``docs`` with every finding replaced by ``mark`` (findings that touch or overlap by one).
+
+    Rows without a finding stay as they are, null texts too, and are not shuffled; repeated
+    rows and null ids are told apart by their text alone; other columns are kept, whatever
+    their names; no rows give no rows.  Long texts are rewritten whole.
+    """
     blob, spans, whole = spare(docs, "blob", "spans", "whole")
     hits = ledger.filter((F.col("version") == version) & (F.size("spans") > 0)).select(
         F.col("blob").alias(blob), F.col("spans").alias(spans))
@@ -116,9 +129,11 @@ def redact(docs: DataFrame, ledger: DataFrame, version: str = VERSION, mark: str
                         F.when(apart, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
     done = F.aggregate(spans, start, step, lambda acc: F.concat(
         acc["out"], F.substr(F.col(whole), acc["at"] + 1, F.length(whole))))
-    with_hits = docs.withColumn(blob, F.sha2(text.cast("binary"), 256)).join(hits, blob, "left").withColumn(whole, text)
-    out = with_hits.withColumn(text_col, F.when(F.col(spans).isNotNull(), done).otherwise(F.col(text_col)))
-    return out.select(*docs.columns)
+    hits = stored(hits, "hits")
+    some, clean = split(docs.withColumn(blob, F.sha2(text.cast("binary"), 256)), F.col(blob), hits.select(blob))
+    some = some.join(hits, blob, "left").withColumn(whole, text)
+    out = some.withColumn(text_col, F.when(F.col(spans).isNotNull(), done).otherwise(F.col(text_col)))
+    return out.select(*docs.columns).unionByName(clean.select(*docs.columns))
 
 
 def secret_scan(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:

@@ -2,23 +2,74 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.session import scratch_path
 
+_SCOPES: list[list[str]] = []      # of open scratch scopes, the tables written in each
+FILTER_BITS = 1 << 22              # of the bit map of split()
+
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back.
 
     A lost executor costs the tasks that were running, never an earlier step;
-    later readers prune columns.
+    later readers prune columns.  In a ``scratch`` scope the table goes with the
+    scope unless ``keep`` is set.
     """
     path = scratch_path(df.sparkSession, name)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables ``stored`` inside are removed at the end, but for those kept: what leaves the scope
+    may be built on kept tables only."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Removes a table that ``stored`` gave and nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
+
+
+def split(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose ``key`` may be among ``keys`` (one column), and rows whose key surely is not.
+
+    For a join of wide rows with keys that few of them have: only the first part has to
+    be shuffled.  A bit map of ``FILTER_BITS`` bits (half a megabyte, whatever the input) is sent
+    to every task, a piece a hash range; with more keys than bits all rows are in the first part."""
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    at = place(F.col(keys.columns[0]))
+    bits = keys.select(F.bitmap_bucket_number(at).alias("_range"), F.bitmap_bit_position(at).alias("_bit")) \
+        .groupBy("_range").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    bits = stored(bits, "bits")
+    p, = spare(df, "place")
+    dealt = df.withColumn(p, place(key)).join(F.broadcast(bits), F.bitmap_bucket_number(F.col(p)) == F.col("_range"), "left")
+    bit = F.bitmap_bit_position(F.col(p))
+    octet = F.conv(F.hex(F.substr(F.col("_bits"), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.pmod(F.floor(octet / F.pow(F.lit(2.0), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1, F.lit(False))
+    return dealt.filter(hit).select(*df.columns), dealt.filter(~hit).select(*df.columns)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -56,6 +56,35 @@ def test_ledger_scans_unseen_pairs_only(docs_of):
     assert red[4].text == "clean" and red[3].text == "𝒳𝒳 token: abc [SECRET]'!" and red[3].spans == 1
 
 
+def test_key_blocks_are_found_whole(docs_of, no_docs):
+    body = "\n".join("MIIEow" + "Ab1+/" * 11 for _ in range(12))
+    whole = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    cut = f"-----BEGIN PRIVATE KEY-----\n{body}"
+    texts = [f"x {whole} y", f"x {cut} and so on", f"{whole}{whole}", "-----BEGIN EC PRIVATE KEY----- none", None, ""]
+    docs = docs_of([(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (0, texts[0])])
+    red = secrets.redact(docs, stored(secrets.scan(docs), "ledger"))
+    assert red.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in red.collect()), key=str)
+    want = [(0, "x [SECRET] y"), (0, "x [SECRET] y"), (1, "x [SECRET] and so on"), (2, "[SECRET]"), (3, "[SECRET] none"),
+            (4, None), (5, ""), (None, "x [SECRET] y")]
+    assert got == sorted(want, key=str)
+    assert secrets.redact(no_docs, secrets.scan(no_docs)).collect() == []
+
+
+def test_ledger_over_versions_with_hot_blobs(docs_of, monkeypatch):
+    """Scans in steps give what one scan gives, whatever is shared, seen or new."""
+    from pagetables.llm import tables
+    first = docs_of([(i, HARD[i % 3] if i % 2 else f"own {i} {HARD[3]}") for i in range(40)])
+    second = docs_of([(i, HARD[i % 5] if i % 2 else f"own {i} {HARD[3]}") for i in range(20, 80)])
+    for bits in (8, 1 << 22):
+        monkeypatch.setattr(tables, "FILTER_BITS", bits)
+        a = stored(secrets.scan(first), "a")
+        b = stored(secrets.scan(second, a), "b")
+        every = secrets.scan(first.unionByName(second))
+        assert sorted(map(str, a.unionByName(b).collect())) == sorted(map(str, every.collect()))
+        assert a.select("blob").intersect(b.select("blob")).count() == 0
+
+
 def test_fingerprints(spark, docs_of, odd, no_docs, monkeypatch):
     monkeypatch.setattr(fingerprint, "PER_BLOCK", 16)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -83,6 +112,23 @@ def test_fingerprints(spark, docs_of, odd, no_docs, monkeypatch):
     assert fingerprint.fingerprints(no_docs).collect() == []
 
 
+def test_next_of_hot_ids(docs_of, monkeypatch):
+    """A third of the rows under one id, another without: each row but one of a cycle follows each other."""
+    monkeypatch.setattr(fingerprint, "PER_BLOCK", 8)
+    rows = [(7, f"hot {i}") for i in range(60)] + [(None, f"none {i}") for i in range(60)] + [(i, f"own {i}") for i in range(100, 160)]
+    docs = docs_of(rows).select("doc_id", "text")
+    got = fingerprint.with_next(docs, ["text", "doc_id"]).collect()
+    after = {r.text: r.next_text for r in got}
+    assert len(got) == len(after) == len(set(after.values())) == 180
+    seen, t = [], "own 159"
+    while t not in seen:
+        seen.append(t)
+        t = after[t]
+    assert len(seen) == 180 and t == "own 159"
+    assert seen[:60] == [f"own {i}" for i in range(159, 99, -1)]
+    assert all(x.startswith("hot") for x in seen[60:120]) and all(x.startswith("none") for x in seen[120:])
+
+
 def test_sketches_merge(docs_of):
     a, b = " ".join(f"a{i}" for i in range(300)), "one two"
     r = docs_of([(1, a)]).select(
@@ -192,6 +238,23 @@ def test_best_boundaries_against_all_cuts():
         assert padding(got) == best and len(got) <= k and got[-1] == lengths[-1]
 
 
+def test_packing_with_a_hot_id(docs_of, monkeypatch):
+    """A third of all rows under one id, another third without one: positions stay gapless, in key order."""
+    monkeypatch.setattr(packing, "PART", 7)
+    monkeypatch.setattr(packing, "PER_BLOCK", 16)
+    rows = [(5, "w " * (i % 9)) for i in range(60)] + [(None, "w " * (i % 3)) for i in range(60)] + [(i, "w " * (i % 20)) for i in range(100, 160)]
+    got = packing.pack(docs_of(rows), buckets=3, budget=40).collect()
+    assert len(got) == len(rows) and sorted(str((r.doc_id, r.n_tokens)) for r in got) == sorted(str((i, len(words(t)))) for i, t in rows)
+    per = defaultdict(list)
+    for r in got:
+        per[r.bucket].append((r.batch * max(1, 40 // max(1, r.bucket_len)) + r.slot, r.doc_id, r.n_tokens))
+    for v in per.values():
+        v.sort()
+        assert [p for p, *_ in v] == list(range(len(v)))
+        order = [(hashlib.md5(str(i if i is not None else "").encode()).hexdigest(), i or 0, n) for _, i, n in v]
+        assert order == sorted(order)
+
+
 def test_packing_odd_rows(odd, no_docs):
     rows = packing.pack(odd, buckets=3, budget=20).collect()
     assert len(rows) == 12 and sorted(r.n_tokens for r in rows)[-1] == 30_000
