@@ -15,7 +15,10 @@ that met a large component without joining it is compared with all of that
 component, block by block, by counting shared shingles in an inverted index;
 only links come out.  Members of small components that are still apart meet
 likewise in large buckets, and in pairs of near signatures in small ones.
-No step leaves a pair out.
+
+What can be missed: a pair at a similarity of exactly 0.75 shares no key with
+odds of 6e-6, and pairs that met are compared on full sets only up to a signature
+distance of ``FARTHEST``, which such a pair exceeds with odds of 2e-9.
 """
 
 from __future__ import annotations
@@ -28,16 +31,16 @@ from pyspark.sql.window import Window as W
 
 from pagetables.llm import kernels as K
 from pagetables.llm.graph import components
-from pagetables.llm.tables import row_hash, spare, stored
+from pagetables.llm.tables import forget, row_hash, scratch, spare, split, stored
 
 BITS = 16             # b: bits kept of each MinHash value
 WIDTH = 5             # values in a chunk
 CHUNKS = 12
 SYMBOLS = WIDTH * CHUNKS
 GUARANTEED = 2 * CHUNKS - 1   # signature distance up to which a pair always meets
-#: Pairs that meet at a larger distance than this are not compared on sets.  At
-#: similarity 0.75 a distance has mean 15 and deviation 3.4: 30 is 4.5 deviations away.
-FARTHEST = 30
+#: Pairs that meet at a larger distance than this are not compared on sets.  At similarity
+#: 0.75 the distance is binomial(60, 1/4): over 36 with odds of 2e-9 (larger similarities: less).
+FARTHEST = 36
 LEADERS = 4           # leaders that a class is compared with first
 LARGE = 16            # classes from which a component is compared in blocks
 BLOCK = 256           # classes of a large component in one block
@@ -272,7 +275,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     told = told.withColumnsRenamed({"doc_id": i, "text_hash": h})
     at = docs.withColumn(t, F.xxhash64(F.col(text_col).cast("string")))
     same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(t) == F.col(h))
-    out = at.join(told, same, "left_anti").select(*docs.columns)
+    # few rows go: the others need not be shuffled to learn that they stay
+    gone, stays = split(at, F.struct(F.col(id_col).cast("long"), F.col(t)), told.select(F.struct(i, h)))
+    out = stays.unionByName(gone.join(told, same, "left_anti")).select(*docs.columns)
     again = told.filter("kept")
     if again.take(1):
         k, r = spare(at, "key", "row")
@@ -284,20 +289,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
-    """Per input row ``doc_id, n_shingles, cid, text_hash, comp``; rows of one ``comp`` are one component."""
+    """Per input row ``doc_id, n_shingles, cid, text_hash, comp``; rows of one ``comp`` are one component.
+
+    It is built on two tables, sketches and components; all others are removed."""
+    with scratch(docs.sparkSession):
+        return _joined(docs, id_col, text_col, num, den)
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.col(text_col).cast("string").alias("text"))
     sk = stored(src.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, cid long, sig binary, text_hash long"), "sketches")
+        _sketch, "doc_id long, n_shingles long, cid long, sig binary, text_hash long"), "sketches", keep=True)
 
     # one class per distinct set; its text is read from one of its documents
     classes = stored(sk.filter("n_shingles > 0").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("sig").alias("sig")), "classes")
-    keys = classes.select("cid", "sig").mapInArrow(_keys, "key long, cid long")
-    keys = stored(keys, "keys")
-    many = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("cid").alias("low"),
-                                   F.max("cid").alias("high")).filter("low < high")
-    members = stored(keys.join(many.select("key", "size"), "key"), "buckets")
+    with scratch(docs.sparkSession):
+        keys = stored(classes.select("cid", "sig").mapInArrow(_keys, "key long, cid long"), "keys")
+        many = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")     # a class has a key once
+        members = stored(keys.join(many, "key"), "buckets", keep=True)
     live = members.select("cid").distinct()
     from_docs = src.join(classes.join(live, "cid").select(F.col("rep").alias("id")).distinct(),
                          F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
@@ -322,7 +333,6 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
         return both.filter(den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))) \
             .select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    found = None        # links confirmed so far
     comp = None         # (cid, comp) of classes with a link
 
     def placed(df: DataFrame) -> DataFrame:
@@ -330,11 +340,15 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
             return df.withColumn("comp", F.col("cid"))
         return df.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
-    def add(links: DataFrame):
-        nonlocal found, comp
-        links = stored(links, "links")
-        found = links if found is None else found.union(links)
-        comp = stored(components(found).select(F.col("node").alias("cid"), F.col("label").alias("comp")), "comps")
+    def contracted(links: DataFrame) -> DataFrame:
+        """Components of the links between components known: far fewer nodes than classes."""
+        ends = links.join(comp.select(F.col("cid").alias("u"), F.col("comp").alias("a")), "u", "left") \
+            .join(comp.select(F.col("cid").alias("v"), F.col("comp").alias("b")), "v", "left")
+        wider = stored(components(ends.select(F.coalesce("a", "u").alias("u"), F.coalesce("b", "v").alias("v"))), "wider")
+        wider = wider.select(F.col("node").alias("comp"), "label")
+        old = comp.join(wider, "comp", "left").select("cid", F.coalesce("label", "comp").alias("comp"))
+        new = wider.join(comp.select("comp"), "comp", "left_anti").select(F.col("comp").alias("cid"), F.col("label").alias("comp"))
+        return old.unionByName(new)
 
     def open_buckets() -> DataFrame:
         """Members of buckets in which more than one component is left."""
@@ -350,7 +364,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
     best = W.partitionBy("cid").orderBy(F.desc("shared"), "leader")
     pairs = met.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= LEADERS) \
         .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
-    add(confirmed(close(pairs)))
+    links = stored(confirmed(close(pairs)), "links")
+    comp = stored(components(links).select(F.col("node").alias("cid"), F.col("label").alias("comp")), "comps")
 
     # a class that shares a bucket with a large component is compared with all of it
     large = stored(comp.groupBy("comp").agg(F.count("*").alias("size")).filter(F.col("size") >= LARGE), "large")
@@ -387,6 +402,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
         .withColumn("salt", F.explode(salts)).join(sets, "cid") \
         .select(F.xxhash64("key", "salt").alias("task"), "cid", "comp", "own", "shingles")
     links = links.unionByName(many.groupBy("task").applyInArrow(_bucket_links(num, den), "u long, v long"))
-    add(links.unionByName(confirmed(pairs)))
-
+    links = stored(links.unionByName(confirmed(pairs)), "links")
+    comp = stored(contracted(links), "comps", keep=True)
+    forget(members)
     return sk.drop("sig").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
