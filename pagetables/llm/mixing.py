@@ -160,8 +160,10 @@ def _rounded(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> Da
         rows = rows.unionByName(s)
     info = per.select(F.col("source").alias("s"), "source_size", "target", "whole", "p")
     rows = rows.join(info, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    # written each time: a settling reads its rows several times over
+    rows = stored(rows, "rounded")
     for _ in range(FLIPS):
-        rows = _settle(rows)
+        rows = stored(_settle(rows), "settled")
     return rows.drop("whole", "p")
 
 

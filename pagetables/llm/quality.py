@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.llm import kernels as K
-from pagetables.llm.tables import stored
+from pagetables.llm.tables import scratch, stored
 
 FEATURES = 256        # random Fourier features
 WIDTH = 0.25          # 1 / bandwidth of the kernel, per standardised statistic
@@ -263,8 +263,12 @@ def keep(docs: DataFrame, labels: DataFrame, at_least: float = 0.5, train_rows:
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose score is ``at_least`` that.
 
-    The filter reads the texts where they are: nothing but statistics is shuffled."""
-    _x, model = train(docs, labels, None, train_rows, id_col, text_col)
+    The filter reads the texts where they are: nothing but statistics is shuffled.
+    A null text is an empty one, scored like any other; null ids and repeated rows are
+    judged by their texts, long ones whole; an empty table gives no rows.  Without labels
+    every score is 0.5, so all rows stay at the default."""
+    with scratch(docs.sparkSession):        # the model outlives its tables
+        _x, model = train(docs, labels, None, train_rows, id_col, text_col)
 
     def good(batches):
         for b in batches:
@@ -272,4 +276,5 @@ def keep(docs: DataFrame, labels: DataFrame, at_least: float = 0.5, train_rows:
             ok = [model.score(statistics(data, off)) >= at_least for _i, _j, data, off in K.chunks(texts)]
             if ok:
                 yield b.filter(pa.array(np.concatenate(ok)))
+    # the row's own columns go through the filter, whatever their names
     return docs.mapInArrow(good, docs.schema)
