@@ -26,6 +26,7 @@ import bisect
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +73,8 @@ NON_MAIN_TAGS = ["nav", "header", "footer", "aside", "form"]
 # Snapshot layout.
 LINKS_HEADER = "Links/Buttons:"
 IMAGES_HEADER = "Images:"
+# Bytes of html that a worker parses before it hands on what it made.
+SLICE_BYTES = 1 << 18
 # ---------------------------------------------------------------------------
 
 _MAP = pa.map_(pa.string(), pa.string())
@@ -240,6 +243,22 @@ def _elems_array(pages: list[list]) -> pa.ListArray:
                                     pa.StructArray.from_arrays(cols, [*_FIELDS, "tag", "attrs", "start", "stop"]))
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in runs of pages of ``SLICE_BYTES`` of html (a longer page alone), without a copy.
+
+    A page's elements take many times its bytes while they are Python objects, and how many
+    pages an Arrow batch holds is the session's to say."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+    first = held = 0
+    for i, n in enumerate(sizes):
+        if i > first and held + n > SLICE_BYTES:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if first < len(sizes):
+        yield batch.slice(first)
+
+
 def page_spans(pages: DataFrame, tags=None, exclude=(), target=(), only=(), title_apart: bool = False,
                keep_cols=()) -> DataFrame:
     """H1: ``pages(page_id, html)`` -> one row per page ``(page_id, ..., buffer, title, elems)``.
@@ -258,7 +277,7 @@ def page_spans(pages: DataFrame, tags=None, exclude=(), target=(), only=(), titl
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch)):
             elems, texts, titles = [], [], []
             for html in b.column(b.num_columns - 1).to_pylist():
                 p = _Shredder(keep, exclude, target, only, title_apart)
