@@ -35,6 +35,8 @@ def cosine(a, b) -> Column:
 
 
 def l2_normalize_expr(a) -> Column:
-    """F.normalize(p=2): x / max(||x||, eps)."""
-    n = norm(a)
-    return F.transform(_dbl(a), lambda x: x / F.greatest(n, F.lit(1e-12)))
+    """F.normalize(p=2): x / max(||x||, eps).  The vector and its norm are bound once: a norm
+    named inside the division would be summed anew for every component."""
+    def scaled(v):
+        return F.transform(F.array(F.greatest(norm(v), F.lit(1e-12))), lambda n: F.transform(v, lambda x: x / n))[0]
+    return F.transform(F.array(_dbl(a)), scaled)[0]

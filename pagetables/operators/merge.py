@@ -36,12 +36,18 @@ MERGED_SCHEMA = T.StructType([
 ])
 
 
-def hashed_vector(text: str, dim: int) -> np.ndarray:
-    """The E2 rule in Python (same words, same buckets as the JVM side)."""
-    v = np.zeros(dim, dtype=np.float64)
+def hashed_vector(text: str, dim: int, known: dict | None = None) -> np.ndarray:
+    """The E2 rule in Python (same words, same buckets as the JVM side).
+
+    ``known``: buckets of words met before, filled here."""
+    known = {} if known is None else known
+    at = []
     for w in (text or "").split():
-        v[int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % dim] += 1.0
-    return v
+        b = known.get(w)
+        if b is None:
+            b = known[w] = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % dim
+        at.append(b)
+    return np.bincount(np.asarray(at, dtype=np.intp), minlength=dim).astype(np.float64)
 
 
 def _cos(a: np.ndarray, b: np.ndarray) -> float:
@@ -52,8 +58,12 @@ def _cos(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def hashed_embedder(dim: int = 128):
-    """The built-in embedder as a batch function ``list[str] -> vectors``."""
-    return lambda texts: [hashed_vector(t, dim) for t in texts]
+    """The built-in embedder as a batch function ``list[str] -> vectors``; a batch hashes each
+    of its words once."""
+    def embed(texts):
+        known: dict = {}
+        return [hashed_vector(t, dim, known) for t in texts]
+    return embed
 
 
 def merge_sequence(chunks: list[str], target: int, dim: int = 128, joiner: str = " ",
