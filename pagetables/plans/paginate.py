@@ -25,7 +25,7 @@ from pagetables.functions.text import (is_digits, py_strip, resolve_href,
                                        url_origin)
 from pagetables.operators.html import extract_anchors, page_anchors
 from pagetables.operators.links import next_page_link, through_index
-from pagetables.session import cut_lineage
+from pagetables.session import cut_lineage, sized
 
 
 # Fixed value: the recursion level that stands for none.
@@ -116,12 +116,17 @@ def walk_chains(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
 
 def walk_chains_recursive(seeds: DataFrame, edges: DataFrame, pages: DataFrame,
                           max_pages: int | None = None, key: str = "category_no") -> DataFrame:
-    """The same walk as a recursive CTE (one join per page; for cross-checks)."""
+    """The same walk as a recursive CTE (one join per page; for cross-checks).
+
+    Seeds and edges are written first: each level of the recursion runs its join anew, and
+    would read every page for its links again."""
     spark = seeds.sparkSession
     level = NO_LIMIT if max_pages is None else max_pages
-    _landed(seeds.select(key, F.col("url").alias("node")), pages, "node") \
+    # Spark refuses a recursion of more rows than this in all; a walk has a row for each page
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    sized(_landed(seeds.select(key, F.col("url").alias("node")), pages, "node")) \
         .createOrReplaceTempView("_pt_seeds")
-    _one_edge_per_page(edges).createOrReplaceTempView("_pt_edges")
+    sized(_one_edge_per_page(edges)).createOrReplaceTempView("_pt_edges")
     pages.select("url", "page_id").createOrReplaceTempView("_pt_pages")
     out = spark.sql(f"""
       WITH RECURSIVE w({key}, node, d, seen) MAX RECURSION LEVEL {level + 1} AS (
