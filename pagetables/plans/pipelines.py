@@ -161,7 +161,8 @@ def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = N
     the smallest content counts.  Order: category url, page, then the answer's order.
     """
     from pagetables.operators import answers as X
-    c = completions.groupBy("key", "kind").agg(F.min("content").alias("content"))
+    # written once: each kind is read on its own, listings by every step of the walk
+    c = sized(completions.groupBy("key", "kind").agg(F.min("content").alias("content")))
     cats = X.parse_categories(c.filter(F.col("kind") == "categories"))
     dec = X.parse_decision(c.filter(F.col("kind") == "decision")).filter("decision")
     ok = cats.join(dec.select(F.col("key").alias("url")), "url", "left_semi")
