@@ -38,10 +38,12 @@ from pagetables.functions.text import (collapse_space, py_strip, resolve_href,
 #
 # Removed before any regex extraction: scripts, styles and comments.
 STRIP_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# The same with the "<" before the choice: only there are the three tried.
+STRIP_FROM_RE = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 # Start and end tags of anchors; quoted attribute values are skipped whole, so
 # a ">" inside one does not end the tag.  Possessive throughout: linear time,
 # and no recursion however long a tag is.
-ANCHOR_TAG_RE = r"(?is)<a(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</a\s*+>"
+ANCHOR_TAG_RE = r"(?is)<(?:a(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|/a\s*+>)"
 # The href of a start tag, after any other attributes.
 HREF_RE = (r"(?is)^<a(?:[\s/]++(?!href\s*+=)[^\s=>\"'/]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+)*+"
            r"[\s/]*+href\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
@@ -365,7 +367,7 @@ def _page_anchors(parts: Column) -> Column:
 
 def _raw_anchors() -> Column:
     """H2's anchors of a page before references are decoded: array of (href, text)."""
-    h = F.translate(F.regexp_replace(F.col("html"), STRIP_RE, ""), _MARK, "")
+    h = F.replace(F.regexp_replace(F.col("html"), STRIP_FROM_RE, ""), F.lit(_MARK), F.lit(""))
     parts = F.split(F.regexp_replace(h, ANCHOR_TAG_RE, f"{_MARK}$0{_MARK}"), _MARK, -1)
     # bound once: the parts are named many times
     return F.transform(F.array(parts), _page_anchors)[0]
