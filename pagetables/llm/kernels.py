@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20   # bytes of text that a kernel holds at a time (one text may be longer)
+CHUNK_BYTES = 1 << 19   # bytes of text that a kernel holds at a time (one text may be longer): arrays of some 85 times that
 SHINGLE = 5             # words in a shingle
 
 _BYTES = np.arange(256, dtype=np.uint8)
