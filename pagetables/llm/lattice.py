@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pagetables.llm import kernels as K
 from pagetables.llm.tables import stored
 
+CHUNK = 2 << 20       # bytes of text whose words are counted together before they are shuffled
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 START = "▁"
 LONGEST = 16           # code points of a piece
@@ -184,7 +185,7 @@ def _word_rows(batches):
     for b in batches:
         texts = K.text_column(b, "text")
         train = b.column(b.schema.get_field_index("train")).to_numpy(zero_copy_only=False)
-        for i, j, data, off in K.chunks(texts):
+        for i, j, data, off in K.chunks(texts, CHUNK):
             w = K.Words(data, off)
             if not len(w.start):
                 continue
@@ -283,7 +284,7 @@ def lattice_scores(docs: DataFrame, held_out: Column | None = None, vocabulary:
         for b in batches:
             texts = K.text_column(b, "text")
             ids = b.column(b.schema.get_field_index("doc_id"))
-            for i, j, data, off in K.chunks(texts):
+            for i, j, data, off in K.chunks(texts, CHUNK):
                 n_docs = j - i
                 w = K.Words(data, off)
                 h, doc = w.hashes(), w.doc()
