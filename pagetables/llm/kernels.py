@@ -146,7 +146,7 @@ def unique_per_doc(h: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndar
     return np.concatenate(out), count
 
 
-def cut(data: bytes, size: int = CHUNK_BYTES):
+def cut(data: bytes, size: int = 2 << 20):
     """``data`` in pieces of about ``size`` bytes that end where a blank stands (or at the end)."""
     at = 0
     while len(data) - at > size:
