@@ -310,8 +310,10 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
         many = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")     # a class has a key once
         members = stored(keys.join(many, "key"), "buckets", keep=True)
     live = members.select("cid").distinct()
-    from_docs = src.join(classes.join(live, "cid").select(F.col("rep").alias("id")).distinct(),
-                         F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    reps = stored(classes.join(live, "cid").select(F.col("rep").alias("id")).distinct(), "reps")
+    # few classes meet another: the texts of the others need not be shuffled to learn that
+    asked, _rest = split(src, F.col("doc_id"), reps)
+    from_docs = asked.join(reps, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     sets = stored(from_docs.mapInArrow(_set_rows, "cid long, shingles array<long>")
                   .dropDuplicates(["cid"]), "sets")
 

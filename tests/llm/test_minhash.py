@@ -2,7 +2,7 @@ import random
 
 from llm_helpers import docs_of, no_docs, odd, SF, shingle_set  # noqa: F401
 
-from pagetables.llm import minhash
+from pagetables.llm import minhash, tables
 
 
 def components(sets):
@@ -77,3 +77,20 @@ def test_odd_rows(odd, no_docs):
     assert sorted((r.n_shingles, r.component_id) for r in by[None]) == [(0, None), (3, 1)]
     assert by[8][0].n_shingles == 1
     assert minhash.near_duplicates(no_docs).collect() == []
+
+
+def test_texts_that_meet_no_other_stay_where_they_are(spark, docs_of, monkeypatch):  # noqa: F811
+    """Shingles are shuffled only of classes that share a key with another, found under null ids too."""
+    dealt = []
+
+    def spy(df, key, keys):
+        asked, rest = tables.split(df, key, keys)
+        dealt.append((sorted((r.doc_id for r in asked.collect()), key=str), rest.count()))
+        return asked, rest
+    monkeypatch.setattr(minhash, "split", spy)
+    apart = [(i, " ".join(f"t{i}x{j}" for j in range(30))) for i in range(40)]
+    base = [f"w{j}" for j in range(60)]
+    near = [(100, " ".join(base)), (101, " ".join(base[:-1])), (None, " ".join(base[:-2])), (102, " ".join(base))]
+    got = sorted(((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs_of([*apart, *near, (200, None)])).collect()), key=str)
+    assert got == sorted([*((i, i) for i in range(40)), (100, 100), (101, 100), (None, 100), (102, 100), (200, 200)], key=str)
+    assert dealt == [([100, 101, None], 42)]
