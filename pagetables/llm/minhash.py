@@ -31,7 +31,7 @@ from pyspark.sql.window import Window as W
 
 from pagetables.llm import kernels as K
 from pagetables.llm.graph import components
-from pagetables.llm.tables import forget, row_hash, scratch, spare, split, stored
+from pagetables.llm.tables import among, forget, row_hash, scratch, spare, split, stored
 
 BITS = 16             # b: bits kept of each MinHash value
 WIDTH = 5             # values in a chunk
@@ -327,7 +327,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
                 .filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
                 .filter(distance("sa", "sb") <= FARTHEST).select("a", "b"))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
         two = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(one, "a").join(two, "b").withColumn(
@@ -366,7 +366,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
     best = W.partitionBy("cid").orderBy(F.desc("shared"), "leader")
     pairs = met.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= LEADERS) \
         .select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
-    links = stored(confirmed(close(pairs)), "links")
+    links = stored(confirmed(close(pairs), sets), "links")
     comp = stored(components(links).select(F.col("node").alias("cid"), F.col("label").alias("comp")), "comps")
 
     # a class that shares a bucket with a large component is compared with all of it
@@ -377,23 +377,28 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
     parts = ask.groupBy("big").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("askers")) \
         .join(large.select(F.col("comp").alias("big"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "big")
 
+    # members of small components that are still apart
+    in_large = comp.join(large.select("comp"), "comp").select("cid", F.col("comp").alias("big"))
+    sized = at.join(in_large.select("cid"), "cid", "left_anti")
+    per = sized.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    sized = stored(sized.join(per, "key"), "apart")
+    # few classes are left: the sets of the others need not be shuffled to learn that
+    asked_of = in_large.join(parts, "big").select("cid")
+    left = among(sets, F.col("cid"), ask.select("cid").union(asked_of).union(sized.select("cid")))
+
     def dealt(df: DataFrame, own: str, other: str, place: str) -> DataFrame:
         """Rows in their block of ``own``, sent to every block of ``other``."""
-        one = df.join(parts, "big").join(sets, "cid").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int")) \
+        one = df.join(parts, "big").join(left, "cid").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int")) \
             .withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         pair = ("mine", "theirs") if own == "askers" else ("theirs", "mine")
         return one.select(F.xxhash64("big", *pair).alias(place), "cid", "shingles")
     asked = dealt(ask, "askers", "blocks", "task")
-    in_large = comp.join(large.select("comp"), "comp").select("cid", F.col("comp").alias("big"))
     held = dealt(in_large, "blocks", "askers", "place").select(
         "place", F.col("cid").alias("held"), F.col("shingles").alias("held_shingles"))
     links = asked.groupBy("task").cogroup(held.groupBy("place")).applyInArrow(_block_links(num, den), "u long, v long")
 
-    # members of small components that are still apart: in a small bucket in pairs of near
-    # signatures, in a large one by shared shingles, where only links come out
-    sized = at.join(in_large.select("cid"), "cid", "left_anti")
-    per = sized.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    sized = stored(sized.join(per, "key"), "apart")
+    # those still apart meet in a small bucket in pairs of near signatures, in a large one
+    # by shared shingles, where only links come out
     few = sized.filter(F.col("c") <= SMALL_BUCKET).join(classes.select("cid", "n", "sig"), "cid") \
         .select("key", "cid", "comp", "n", "sig").repartition("key").sortWithinPartitions("key")
     pairs = few.mapInArrow(_bucket_pairs(num, den), "a long, b long").distinct()
@@ -401,10 +406,10 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
     salts = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.least(F.col("own"), b) * blocks
                         + F.greatest(F.col("own"), b))      # one task for every two blocks of a bucket
     many = sized.filter(F.col("c") > SMALL_BUCKET).withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")) \
-        .withColumn("salt", F.explode(salts)).join(sets, "cid") \
+        .withColumn("salt", F.explode(salts)).join(left, "cid") \
         .select(F.xxhash64("key", "salt").alias("task"), "cid", "comp", "own", "shingles")
     links = links.unionByName(many.groupBy("task").applyInArrow(_bucket_links(num, den), "u long, v long"))
-    links = stored(links.unionByName(confirmed(pairs)), "links")
+    links = stored(links.unionByName(confirmed(pairs, left)), "links")
     comp = stored(contracted(links), "comps", keep=True)
     forget(members)
     return sk.drop("sig").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagetables.llm.tables import row_hash, spare, stored
+from pagetables.llm.tables import row_hash, spare, stored, told
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK = 128          # documents that one aggregate rounds
@@ -198,17 +198,23 @@ def resample(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     Where the rows of one id, source and size can't all be taken equally often, those
     of the smallest row hashes have the copy more: other partitions give the same rows."""
     i, s, z, c, m, n, h, e, r = spare(docs, "id", "source_of", "size", "copies", "m", "n", "hash", "extra", "row")
-    units = stored(_rounded(docs, id_col, source_col, text_col).select(
+    every = stored(_rounded(docs, id_col, source_col, text_col).select(
         F.col("doc_id").alias(i), F.col("source").alias(s), F.col("size").alias(z), F.col("m").alias(m),
-        F.col("copies").alias(c)).filter(F.col(c) > 0), "copies")
-    sized = docs.withColumn(n, F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long"))
+        F.col("copies").alias(c)), "copies")
+    units = every.filter(F.col(c) > 0)
+    # a document alone under its id, source and size mostly learns its copies where it lies; others are shuffled to their unit
+    kind = F.when(F.col(m) == 1, F.least(F.col(c), F.lit(MOST + 1))).otherwise(MOST + 1).cast("int")
+    alone, others = told(docs, F.struct(F.col(id_col).cast("long"), F.col(source_col)),
+                         every.select(F.struct(i, s).alias("key"), kind.alias("kind")), MOST + 1, n)
+    sized = others.withColumn(n, F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long"))
     same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s)) & (F.col(n) == F.col(z))
     even = F.pmod(F.col(c), F.col(m)) == 0
 
     def repeated(df: DataFrame, times: Column) -> DataFrame:
         return df.withColumn(n, times.cast("int")).filter(F.col(n) > 0) \
             .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
-    out = repeated(sized.join(units.filter(even), same), F.col(c) / F.col(m))
+    out = repeated(alone, F.col(n)).unionByName(
+        repeated(sized.join(units.filter(even), same), F.col(c) / F.col(m)))
     uneven = units.filter(~even)
     if not uneven.take(1):
         return out

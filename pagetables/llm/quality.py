@@ -168,8 +168,9 @@ def fit(train: DataFrame) -> Model:
     A quarter of the rows (by a hash of the id) calibrates, the others fit.
     Without rows, or with one class only, every score is the share of ones
     (0.5 without rows)."""
-    train = train.withColumn("cal", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0) \
-        .repartition(FIT_PARTITIONS, "doc_id")
+    # written once, as it is read three times
+    train = stored(train.withColumn("cal", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0)
+                   .repartition(FIT_PARTITIONS, "doc_id"), "train")
 
     def moments(batches):
         s = np.zeros((2, D))

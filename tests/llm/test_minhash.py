@@ -94,3 +94,19 @@ def test_texts_that_meet_no_other_stay_where_they_are(spark, docs_of, monkeypatc
     got = sorted(((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs_of([*apart, *near, (200, None)])).collect()), key=str)
     assert got == sorted([*((i, i) for i in range(40)), (100, 100), (101, 100), (None, 100), (102, 100), (200, 200)], key=str)
     assert dealt == [([100, 101, None], 42)]
+
+
+def test_sets_of_classes_that_are_settled_stay_where_they_are(spark, docs_of, monkeypatch):  # noqa: F811
+    read = []
+
+    def spy(df, key, keys):
+        left = tables.among(df, key, keys)
+        read.append((df.count(), left.count()))
+        return left
+    monkeypatch.setattr(minhash, "among", spy)
+    base = [[f"g{g}w{j}" for j in range(80)] for g in range(12)]
+    docs = [(10 * g + c, " ".join(b[c:])) for g, b in enumerate(base) for c in range(4)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(docs)).collect()}
+    assert got == {10 * g + c: 10 * g for g in range(12) for c in range(4)}
+    (all_sets, left), = read
+    assert all_sets == 48 and left < 12     # all are linked to a leader first
