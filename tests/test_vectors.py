@@ -49,6 +49,13 @@ def test_position_weighted_pool(spark):
     assert got == [(3.0,)]  # weights 1, 2, 0
 
 
+def test_padding_only_has_no_mean(spark):
+    t = V.subword_tokens(spark.createDataFrame([(1, "a a"), (2, ""), (3, " \n\t"), (4, None)], "doc_id long, text string"),
+                         {"[PAD]": 0, "[UNK]": 1, "a": 2}, max_len=3)
+    t = t.withColumn("hidden", F.array(F.col("token_id").cast("double")))
+    assert rows(V.position_weighted_pool(t), "doc_id", "dim", "value") == [(1, 0, 2.0), (2, 0, None), (3, 0, None), (4, 0, None)]
+
+
 def test_merge_cross_checks():
     chunks = ["the cat sat", "the cat ran", "dogs bark loud", "dogs bark more"]
     one = M.merge_sequence(chunks, 1)
