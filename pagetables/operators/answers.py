@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetables.operators.content import story_columns, with_defaults
+from pagetables.session import sized
 
 # Answer shapes (JSON schemas of the four questions).
 DECISION_SCHEMA = "struct<decision: boolean>"
@@ -117,6 +118,21 @@ def _variant(content: str) -> Column:
     return F.try_parse_json(F.col(content))
 
 
+def one_answer_each(completions: DataFrame) -> DataFrame:
+    """(key, kind, content), written: of several answers of one kind for a key the smallest content.
+
+    Answers are written where they are made.  Their keys alone are shuffled to learn which were
+    answered several times; only contents of these are gathered, and all are written anew then."""
+    c = sized(completions.select("key", "kind", "content"))
+    again = c.groupBy("key", "kind").count().filter("count > 1")
+    again = sized(again.select(F.col("key").alias("_key"), F.col("kind").alias("_kind")))
+    if again.isEmpty():
+        return c
+    same = F.col("key").eqNullSafe(F.col("_key")) & F.col("kind").eqNullSafe(F.col("_kind"))
+    least = c.join(again, same, "left_semi").groupBy("key", "kind").agg(F.min("content").alias("content"))
+    return sized(c.join(again, same, "left_anti").unionByName(least))
+
+
 def answer_status(content: str = "content") -> Column:
     """X3: 'refused' for ``{"error": …}``, 'bad' for text that is not a JSON object."""
     v = _variant(content)

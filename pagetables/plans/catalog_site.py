@@ -226,11 +226,12 @@ def completions(documents: DataFrame, labels: DataFrame) -> DataFrame:
     did = F.col("doc_id")
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
     refusal = F.to_json(F.struct(F.lit(REFUSAL).alias("error")))
-    lines = _lines(F.col("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = _lines(text)
 
-    cats = F.to_json(F.struct(F.create_map(
-        F.col("lang"), cat_url(F.col("lang"), did),
-        F.col("source"), cat_url(F.col("source"), did)).alias("categories")))
+    # a category has a name, and one name is one entry
+    named = F.array_distinct(F.filter(F.array(F.col("lang"), F.col("source")), lambda n: n.isNotNull()))
+    cats = F.to_json(F.struct(F.map_from_entries(F.transform(named, lambda n: F.struct(n, cat_url(n, did)))).alias("categories")))
     c_cat = F.when(toxic, refusal).otherwise(cats)
 
     c_dec = (F.when(F.col("quality") == 1, F.lit('{"decision": true}'))
@@ -250,9 +251,8 @@ def completions(documents: DataFrame, labels: DataFrame) -> DataFrame:
                  .otherwise(map_form))
 
     author = F.when(F.col("lang") == "de", F.lit("")).otherwise(F.col("source"))
-    first_title = F.element_at(lines, 1)["title"]
-    story = F.struct(first_title.alias("title"), author.alias("author"),
-                     F.col("text").alias("content"))
+    first_title = F.coalesce(F.get(lines, F.lit(0))["title"], F.lit(""))      # a text may have no titles
+    story = F.struct(first_title.alias("title"), author.alias("author"), text.alias("content"))
     nested = F.to_json(F.struct(story.alias("content"), F.lit("").alias("next_page")))
     flat = F.to_json(story)
     c_story = F.when(toxic, refusal).when(F.col("lang") == "es", flat).otherwise(nested)

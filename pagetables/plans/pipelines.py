@@ -161,8 +161,7 @@ def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = N
     the smallest content counts.  Order: category url, page, then the answer's order.
     """
     from pagetables.operators import answers as X
-    # written once: each kind is read on its own, listings by every step of the walk
-    c = sized(completions.groupBy("key", "kind").agg(F.min("content").alias("content")))
+    c = X.one_answer_each(completions)      # written: each kind is read on its own
     cats = X.parse_categories(c.filter(F.col("kind") == "categories"))
     dec = X.parse_decision(c.filter(F.col("kind") == "decision")).filter("decision")
     ok = cats.join(dec.select(F.col("key").alias("url")), "url", "left_semi")
@@ -173,12 +172,16 @@ def story_table_from_answers(completions: DataFrame, pages: DataFrame | None = N
     if checked_categories:
         ok = leading_to_stories(ok, pairs, stories.filter("status = 'ok'").select(F.col("key").alias("url")))
     ok = sized(ok)
-    titles = X.parse_listing(c.filter(F.col("kind") == "titles"))
-    full = X.parse_listing(c.filter(F.col("kind") == "titles_full"))
+    # parsed once: read by every step of the walk
+    titles = sized(X.parse_listing(c.filter(F.col("kind") == "titles")))
+    full = sized(X.parse_listing(c.filter(F.col("kind") == "titles_full")))
     walked = listing_walk(titles, full, ok.select("url").distinct(), pairs)
     listing = walked.join(ok.select(F.col("url").alias("seed"), "category"), "seed")
     answers = titles.withColumn("mode", F.lit("links")).unionByName(full.withColumn("mode", F.lit("full")))
     links = answers.join(listing, ["key", "mode"]).select("seed", "page_no", "category", F.posexplode("rows").alias("pos", "r"))
     links = links.select("seed", "page_no", "category", "pos", py_strip("r.url").alias("url"), py_strip("r.title").alias("title"))
     deduped = dedup_last(links, "title", order=("seed", "page_no", "pos"), values=("url", "category"))
-    return X.assemble_stories(deduped.select("title", "url", "category"), stories)
+    # of a known size: contents that no title leads to stay where they lie if the urls are small
+    deduped = sized(deduped.select("title", "url", "category"))
+    stories = stories.join(deduped.select(F.col("url").alias("key")), "key", "left_semi")
+    return X.assemble_stories(deduped, stories)

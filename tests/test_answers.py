@@ -100,3 +100,35 @@ def test_faults_in_arrays_and_at_the_top(spark):
     df = spark.createDataFrame([("[{\"n\": 1}, {\"n\": 2.5}]",), ("[{\"n\": 1}, {\"m\": 1}, 3]",), ("[1]",), ("{}",), ("[]",)], "t string")
     got = [r[0] for r in df.select(X.schema_fault(F.try_parse_json("t"), schema)).collect()]
     assert got == [None, "[1].n", "[0]", "$", None]
+
+
+def test_answers_of_texts_without_words(spark):
+    """A text without titles is answered like any other; a category has a name, and one name is one entry."""
+    from pagetables.plans import catalog_site as S
+    from pagetables.plans.pipelines import story_table_from_answers
+    d = [(1, "", "en", "s"), (2, " \n\t", "es", "s"), (3, None, "fr", "s"), (4, "One tale\n\nTwo", "en", "en"), (5, "Three", None, "s"),
+         (6, "Four", "en", None)]
+    docs = spark.createDataFrame(d, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 7)], "doc_id long, quality int, toxic int")
+    c = S.completions(docs, labels).cache()
+    url = (S.STORY_HOST + "story/{}/{}").format
+    st = X.parse_story(c.filter("kind = 'story'"))
+    assert rows(st, "key", "title", "author", "content", "status") == [
+        (url(1, 0), "", "s", "", "ok"), (url(2, 0), "", "s", " \n\t", "ok"), (url(3, 0), "", "s", "", "ok"),
+        (url(4, 0), "One", "en", "One tale\n\nTwo", "ok"), (url(5, 0), "Three", "s", "Three", "ok"), (url(6, 0), "Four", "", "Four", "ok")]
+    cats = rows(X.parse_categories(c.filter("kind = 'categories'")), "key", "category")
+    assert cats == sorted((f"{S.STORY_HOST}home/{i}", n) for i, _, *names in d for n in {*names} - {None})
+    assert rows(story_table_from_answers(c), "title", "author", "category", "url") == [
+        ("Four", "", "en", url(6, 0)), ("One", "en", "en", url(4, 0)), ("Two", "", "en", url(4, 2))]
+    c.unpersist()
+
+
+def test_only_contents_answered_again_are_gathered(spark):
+    c = [("a", "story", "2"), ("b", "story", "1"), ("a", "titles", "3"), (None, "story", "5"), (None, "titles", None)]
+    schema = "key string, kind string, content string"
+    once = X.one_answer_each(spark.createDataFrame(c, schema))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(c, key=repr)
+    again = X.one_answer_each(spark.createDataFrame([*c, ("a", "story", "1"), (None, "story", "4"), ("b", "story", None)], schema))
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(
+        [("a", "story", "1"), ("b", "story", "1"), ("a", "titles", "3"), (None, "story", "4"), (None, "titles", None)], key=repr)
