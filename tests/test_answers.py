@@ -132,3 +132,14 @@ def test_only_contents_answered_again_are_gathered(spark):
     again = X.one_answer_each(spark.createDataFrame([*c, ("a", "story", "1"), (None, "story", "4"), ("b", "story", None)], schema))
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(
         [("a", "story", "1"), ("b", "story", "1"), ("a", "titles", "3"), (None, "story", "4"), (None, "titles", None)], key=repr)
+
+
+def test_story_csv_of_texts_without_words(spark, tmp_path):
+    import __spark_entry__ as E
+    docs = [(1, "", "en", "s"), (2, " \n\t", "es", "s"), (3, None, "fr", "s"), (4, 'One "tale",\r\n\nTwo', "en", "t")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(1, 5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = E.queries()["story_csv_from_answers"](spark, str(tmp_path))
+    url = "http://stories.example/story/4/{}".format
+    assert rows(got, "title", "author", "content", "category", "url") == [
+        ("One", "t", 'One "tale",\r\n\nTwo', "en", url(0)), ("Two", "", "", "en", url(2))]
